@@ -86,6 +86,18 @@ def _nfkc_fold_items(values: pa.Array) -> pa.Array:
     return each(values, lambda items: [fold(v) for v in items], pa.list_(pa.string()))
 
 
+@F.arrow_udf("array<string>")
+def _nfkc_items(values: pa.Array) -> pa.Array:
+    return each(values, lambda items: [unicodedata.normalize("NFKC", v) for v in items], pa.list_(pa.string()))
+
+
+def nfkc_items(df: DataFrame, out: str, c: Column) -> DataFrame:
+    raw = f"__{out}_wide"
+    wide = F.exists(F.col(raw), lambda v: v.rlike(NON_ASCII))
+    df = df.withColumn(raw, c)
+    return df.withColumn(out, F.coalesce(_nfkc_items(F.when(wide, F.col(raw))), F.col(raw))).drop(raw)
+
+
 def nfkc(df: DataFrame, out: str, c: Column) -> DataFrame:
     raw = f"__{out}_wide"
     wide = F.col(raw).rlike(NON_ASCII)
