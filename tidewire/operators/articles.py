@@ -237,10 +237,12 @@ def edition_stats(articles: DataFrame, failures: Column | None = None) -> DataFr
     base = articles.groupBy("edition_id").agg(
         F.count("*").alias("article_count"),
         F.count_if(F.col("importance") >= 4).alias("important_count"),
-        F.array_size(F.array_distinct(F.flatten(F.collect_list("urls")))).alias("source_count"),
-        F.array_size(F.array_distinct(F.flatten(F.collect_list("publisher_ids")))).alias("publisher_count"),
     )
-    by_publisher = counts_map(articles.select("edition_id", F.explode("publisher_ids").alias("publisher")), ["edition_id"], "publisher", "publisher_counts")
+    urls = articles.select("edition_id", F.explode("urls").alias("url"))
+    base = base.join(urls.groupBy("edition_id").agg(F.count_distinct("url").alias("source_count")), "edition_id", "left")
+    names = articles.select("edition_id", F.explode("publisher_ids").alias("publisher"))
+    base = base.join(names.groupBy("edition_id").agg(F.count_distinct("publisher").alias("publisher_count")), "edition_id", "left")
+    by_publisher = counts_map(names, ["edition_id"], "publisher", "publisher_counts")
     out = base
     for maps in (
         counts_map(articles, ["edition_id"], "category", "category_counts"),
