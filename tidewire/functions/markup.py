@@ -13,7 +13,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidewire.functions.text import each, text_of_markup
+from tidewire.functions.text import arrow, each, text_of_markup
 
 # fixed values: elements of a page that never carry its article, void elements, and paragraph-like elements
 IGNORED = frozenset(
@@ -85,7 +85,7 @@ def page_blocks(page: str, root_ids: list[str] | None) -> list[str]:
     return reader.blocks()
 
 
-@F.arrow_udf("array<string>")
+@arrow("array<string>")
 def html_blocks(pages: pa.Array, root_ids: pa.Array) -> pa.Array:
     rows = zip(pages.to_pylist(), root_ids.to_pylist())
     return pa.array([None if p is None else page_blocks(p, ids) for p, ids in rows], pa.list_(pa.string()))
@@ -167,6 +167,6 @@ _PARTS_TYPE = pa.struct(
 )
 
 
-@F.arrow_udf(BULLETIN_PARTS)
+@arrow(BULLETIN_PARTS)
 def parsed_bulletin(documents: pa.Array) -> pa.Array:
     return each(documents, bulletin_parts, _PARTS_TYPE)

@@ -47,6 +47,15 @@ def trimmed(c: Column) -> Column:
     return F.trim(c)
 
 
+def arrow(returns: str):
+    """An Arrow UDF that is evaluated once.
+
+    Marked nondeterministic, because the optimizer otherwise copies a Python step, with all it reads, into every
+    expression that uses its result, and chained steps grow exponentially.
+    """
+    return lambda fn: F.arrow_udf(fn, returns).asNondeterministic()
+
+
 def each(values: pa.Array, fn, kind: pa.DataType) -> pa.Array:
     return pa.array([None if v is None else fn(v) for v in values.to_pylist()], kind)
 
@@ -62,12 +71,12 @@ def text_of_markup(value: str) -> str:
     return html.unescape(" ".join(nodes))
 
 
-@F.arrow_udf("string")
+@arrow("string")
 def _strip_markup(values: pa.Array) -> pa.Array:
     return each(values, text_of_markup, pa.string())
 
 
-@F.arrow_udf("string")
+@arrow("string")
 def _nfkc(values: pa.Array) -> pa.Array:
     return pc.utf8_normalize(values, form="NFKC")
 
@@ -76,17 +85,17 @@ def fold(value: str) -> str:
     return unicodedata.normalize("NFKC", value).casefold()
 
 
-@F.arrow_udf("string")
+@arrow("string")
 def _nfkc_fold(values: pa.Array) -> pa.Array:
     return each(values, fold, pa.string())
 
 
-@F.arrow_udf("array<string>")
+@arrow("array<string>")
 def _nfkc_fold_items(values: pa.Array) -> pa.Array:
     return each(values, lambda items: [fold(v) for v in items], pa.list_(pa.string()))
 
 
-@F.arrow_udf("array<string>")
+@arrow("array<string>")
 def _nfkc_items(values: pa.Array) -> pa.Array:
     return each(values, lambda items: [unicodedata.normalize("NFKC", v) for v in items], pa.list_(pa.string()))
 
@@ -196,7 +205,7 @@ def segments(df: DataFrame, out: str, c: Column, profile: Profile = JAPANESE) ->
     """Sentences of a text, never split inside brackets."""
     stops = profile.terminators
 
-    @F.arrow_udf("array<string>")
+    @arrow("array<string>")
     def by_brackets(values: pa.Array) -> pa.Array:
         return each(values, lambda v: bracket_segments(v, stops), pa.list_(pa.string()))
 
@@ -235,7 +244,7 @@ def complete_items(df: DataFrame, out: str, items: Column, limit: int, profile:
     """`complete_text` on every item of an array of cleaned one-sentence strings; empty results are dropped."""
     stops = profile.terminators
 
-    @F.arrow_udf("array<string>")
+    @arrow("array<string>")
     def repaired(values: pa.Array) -> pa.Array:
         return each(values, lambda items: [" ".join(bracket_segments(v, stops)) for v in items], pa.list_(pa.string()))
 
@@ -342,7 +351,7 @@ def closing_cut(text: str, limit: int) -> str:
 def clip_title(df: DataFrame, out: str, c: Column, limit: int = 120) -> DataFrame:
     """The title, or its start up to a boundary with an ellipsis and every bracket closed."""
 
-    @F.arrow_udf("string")
+    @arrow("string")
     def cut(values: pa.Array) -> pa.Array:
         return each(values, lambda v: closing_cut(v, limit), pa.string())
 
@@ -386,7 +395,7 @@ def likeness(a: str, b: str) -> float:
     return max(ratio(a, b), overlap, nested)
 
 
-@F.arrow_udf("double")
+@arrow("double")
 def title_likeness(a: pa.Array, b: pa.Array) -> pa.Array:
     """Similarity of two already normalised titles; the order of the arguments matters."""
     left, right = a.to_pylist(), b.to_pylist()

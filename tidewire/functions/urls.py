@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewire.functions.profiles import TRACKING_PARAMETERS
-from tidewire.functions.text import each
+from tidewire.functions.text import arrow, each
 
 URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 IP_LITERAL = r"^(?:\d{1,3}(?:\.\d{1,3}){3}|[0-9a-f:.]*:[0-9a-f:.]*)$"
@@ -23,7 +23,7 @@ def is_local_address(host: str) -> bool:
     return address.is_private or address.is_loopback or address.is_link_local or address.is_reserved
 
 
-@F.arrow_udf("boolean")
+@arrow("boolean")
 def _local_address(hosts: pa.Array) -> pa.Array:
     return each(hosts, is_local_address, pa.bool_())
 

@@ -245,7 +245,9 @@ def assign_clusters(df: DataFrame, edges: DataFrame, by_lead: bool) -> DataFrame
             chosen.append(target)
         return nodes.assign(cluster=chosen)[["edition_id", "pos", "cluster"]]
 
-    nodes = df.select("edition_id", "pos", "lead_order").groupBy("edition_id")
+    # fresh aliases: the edges derive from the same rows
+    nodes = df.select(*[F.col(c).alias(c) for c in ("edition_id", "pos", "lead_order")]).groupBy("edition_id")
+    edges = edges.select(*[F.col(c).alias(c) for c in ("edition_id", "pos", "match")])
     placed = nodes.cogroup(edges.groupBy("edition_id")).applyInPandas(walk, "edition_id string, pos int, cluster int")
     return df.join(placed, ["edition_id", "pos"])
 

@@ -38,7 +38,7 @@ def newest_editions(editions: DataFrame, n: int = 12) -> DataFrame:
 def unlike_title(df: DataFrame, out: str, points: str, title: str, threshold: float = SEEN_SIMILARITY) -> DataFrame:
     """Items of an array that are no credit line and do not repeat the title."""
 
-    @F.arrow_udf("array<double>")
+    @text.arrow("array<double>")
     def scores(items: pa.Array, titles: pa.Array) -> pa.Array:
         rows = zip(items.to_pylist(), titles.to_pylist())
         return pa.array([None if v is None else [text.likeness(p, t or "") for p in v] for v, t in rows], pa.list_(pa.float64()))

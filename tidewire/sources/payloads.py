@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.text import each
+from tidewire.functions.text import arrow, each
 
 TAG = "struct<_term string, _label string, _VALUE string>"
 ITEM = (
@@ -24,7 +24,7 @@ FEED_XML = f"channel struct<item array<{ITEM}>>, item array<{ITEM}>, entry array
 XML_OPTIONS = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "broken", "mode": "PERMISSIVE"}
 
 
-@F.arrow_udf("binary")
+@arrow("binary")
 def _gunzip(values: pa.Array) -> pa.Array:
     return each(values, unpacked, pa.binary())
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.profiles import CATEGORIES, INTENSITY_RANKS
-from tidewire.functions.text import each
+from tidewire.functions.text import arrow, each
 from tidewire.functions.urls import canonical_url, url_parts
 
 # fixed values: limits a registry row may ask for
@@ -74,7 +74,7 @@ def compiles(pattern: str) -> bool:
     return True
 
 
-@F.arrow_udf("boolean")
+@arrow("boolean")
 def _all_compile(lists: pa.Array) -> pa.Array:
     return each(lists, lambda items: all(compiles(p) for p in items if p is not None), pa.bool_())
 
