@@ -71,18 +71,42 @@ def text_of_markup(value: str) -> str:
     return html.unescape(" ".join(nodes))
 
 
+def text_of_nested_markup(value: str) -> str:
+    """Markup that was escaped inside markup is taken off as well."""
+    plain = text_of_markup(value)
+    while plain != value and ("<" in plain or "&" in plain):
+        value, plain = plain, text_of_markup(plain)
+    return plain
+
+
+def tidy(value: str, limit: int) -> str:
+    """The Python form of `squash`, for rows that go to Python anyway."""
+    plain = text_of_nested_markup(value) if "<" in value or "&" in value else value
+    plain = "".join(ch for ch in plain if ch in "\n\t" or unicodedata.category(ch)[0] != "C")
+    return " ".join(plain.split())[:limit].rstrip()
+
+
+def wide(value: str) -> str:
+    return unicodedata.normalize("NFKC", value)
+
+
+def fold(value: str) -> str:
+    return wide(value).casefold()
+
+
 @arrow("string")
 def _strip_markup(values: pa.Array) -> pa.Array:
     return each(values, text_of_markup, pa.string())
 
 
 @arrow("string")
-def _nfkc(values: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(values, form="NFKC")
+def _strip_nested_markup(values: pa.Array) -> pa.Array:
+    return each(values, text_of_nested_markup, pa.string())
 
 
-def fold(value: str) -> str:
-    return unicodedata.normalize("NFKC", value).casefold()
+@arrow("string")
+def _nfkc(values: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(values, form="NFKC")
 
 
 @arrow("string")
@@ -90,41 +114,92 @@ def _nfkc_fold(values: pa.Array) -> pa.Array:
     return each(values, fold, pa.string())
 
 
+@arrow("array<string>")
+def _nfkc_items(values: pa.Array) -> pa.Array:
+    return each(values, lambda items: [wide(v) for v in items], pa.list_(pa.string()))
+
+
 @arrow("array<string>")
 def _nfkc_fold_items(values: pa.Array) -> pa.Array:
     return each(values, lambda items: [fold(v) for v in items], pa.list_(pa.string()))
 
 
-@arrow("array<string>")
-def _nfkc_items(values: pa.Array) -> pa.Array:
-    return each(values, lambda items: [unicodedata.normalize("NFKC", v) for v in items], pa.list_(pa.string()))
+@arrow("string")
+def _title_form(values: pa.Array) -> pa.Array:
+    return each(values, lambda v: wide(tidy(v, 300)).lower(), pa.string())
 
 
-def nfkc_items(df: DataFrame, out: str, c: Column) -> DataFrame:
-    raw = f"__{out}_wide"
-    wide = F.exists(F.col(raw), lambda v: v.rlike(NON_ASCII))
-    df = df.withColumn(raw, c)
-    return df.withColumn(out, F.coalesce(_nfkc_items(F.when(wide, F.col(raw))), F.col(raw))).drop(raw)
+@arrow("string")
+def _key_form(values: pa.Array) -> pa.Array:
+    return each(values, lambda v: fold(tidy(v, 500)), pa.string())
+
+
+# The *_of functions take the name of a materialised column, so several of them in one `withColumns` share one
+# Python evaluation.
+
+def _where(name: str, needed: Column) -> Column:
+    return F.when(needed, F.col(name))
+
+
+def nfkc_of(name: str) -> Column:
+    return F.coalesce(_nfkc(_where(name, F.col(name).rlike(NON_ASCII))), F.col(name))
+
+
+def nfkc_fold_of(name: str) -> Column:
+    return F.coalesce(_nfkc_fold(_where(name, F.col(name).rlike(NON_ASCII))), F.lower(name))
+
+
+def nfkc_items_of(name: str) -> Column:
+    needed = F.exists(name, lambda v: v.rlike(NON_ASCII))
+    return F.coalesce(_nfkc_items(_where(name, needed)), F.col(name))
+
+
+def nfkc_fold_items_of(name: str) -> Column:
+    needed = F.exists(name, lambda v: v.rlike(NON_ASCII))
+    return F.coalesce(_nfkc_fold_items(_where(name, needed)), F.transform(name, lambda v: F.lower(v)))
+
+
+def title_norm_of(name: str) -> Column:
+    """Lower-case NFKC title without publisher suffix, reduced to digits, Latin letters, kana and kanji."""
+    needed = F.col(name).rlike(r"[<&]|[^\x00-\x7F]")
+    form = F.coalesce(_title_form(_where(name, needed)), F.lower(squash(F.coalesce(F.col(name), F.lit("")), 300)))
+    return F.regexp_replace(F.regexp_replace(form, TITLE_SUFFIX, ""), NON_TITLE, "")
+
+
+def point_key_of(name: str) -> Column:
+    """Comparison key of a point: folded letters and digits only."""
+    needed = F.col(name).rlike(r"[<&]|[^\x00-\x7F]")
+    form = F.coalesce(_key_form(_where(name, needed)), F.lower(squash(F.coalesce(F.col(name), F.lit("")), 500)))
+    return F.regexp_replace(form, NON_WORD, "")
+
+
+def _step(df: DataFrame, out: str, c: Column, of) -> DataFrame:
+    raw = f"__{out}_in"
+    return df.withColumn(raw, c).withColumn(out, of(raw)).drop(raw)
 
 
 def nfkc(df: DataFrame, out: str, c: Column) -> DataFrame:
-    raw = f"__{out}_wide"
-    wide = F.col(raw).rlike(NON_ASCII)
-    return df.withColumn(raw, c).withColumn(out, F.coalesce(_nfkc(F.when(wide, F.col(raw))), F.col(raw))).drop(raw)
+    return _step(df, out, c, nfkc_of)
 
 
 def nfkc_fold(df: DataFrame, out: str, c: Column) -> DataFrame:
-    raw = f"__{out}_wide"
-    wide = F.col(raw).rlike(NON_ASCII)
-    folded = F.coalesce(_nfkc_fold(F.when(wide, F.col(raw))), F.lower(raw))
-    return df.withColumn(raw, c).withColumn(out, folded).drop(raw)
+    return _step(df, out, c, nfkc_fold_of)
+
+
+def nfkc_items(df: DataFrame, out: str, c: Column) -> DataFrame:
+    return _step(df, out, c, nfkc_items_of)
 
 
 def nfkc_fold_items(df: DataFrame, out: str, c: Column) -> DataFrame:
-    raw = f"__{out}_wide"
-    wide = F.exists(F.col(raw), lambda v: v.rlike(NON_ASCII))
-    folded = F.coalesce(_nfkc_fold_items(F.when(wide, F.col(raw))), F.transform(F.col(raw), F.lower))
-    return df.withColumn(raw, c).withColumn(out, folded).drop(raw)
+    return _step(df, out, c, nfkc_fold_items_of)
+
+
+def normalize_title(df: DataFrame, out: str, c: Column) -> DataFrame:
+    return _step(df, out, c, title_norm_of)
+
+
+def point_key(df: DataFrame, out: str, c: Column) -> DataFrame:
+    return _step(df, out, c, point_key_of)
 
 
 def squash(c: Column, limit: int | None = None) -> Column:
@@ -134,11 +209,11 @@ def squash(c: Column, limit: int | None = None) -> Column:
     return F.rtrim(F.substring(c, 1, limit)) if limit else c
 
 
-def clean_text(df: DataFrame, out: str, c: Column, limit: int | None = 1200) -> DataFrame:
+def clean_text(df: DataFrame, out: str, c: Column, limit: int | None = 1200, nested: bool = False) -> DataFrame:
     """Text nodes of possible markup, entities decoded, one-line, at most `limit` code points."""
     raw = f"__{out}_raw"
-    marked = F.col(raw).rlike("[<&]")
-    plain = F.coalesce(_strip_markup(F.when(marked, F.col(raw))), F.col(raw))
+    strip = _strip_nested_markup if nested else _strip_markup
+    plain = F.coalesce(strip(F.when(F.col(raw).rlike("[<&]"), F.col(raw))), F.col(raw))
     return df.withColumn(raw, F.coalesce(c, F.lit(""))).withColumn(out, squash(plain, limit)).drop(raw)
 
 
@@ -228,10 +303,16 @@ def fitting(parts: Column, limit: int) -> Column:
     return F.aggregate(parts, start, step, lambda acc: acc["text"])
 
 
-def complete_text(df: DataFrame, out: str, c: Column, limit: int, profile: Profile = JAPANESE) -> DataFrame:
-    """The text itself when it fits and is complete, else its leading whole sentences that fit."""
+def complete_text(
+    df: DataFrame, out: str, c: Column, limit: int, profile: Profile = JAPANESE, cleaned: bool = True
+) -> DataFrame:
+    """The text itself when it fits and is complete, else its leading whole sentences that fit.
+
+    `cleaned` says that the text holds no markup any more.
+    """
     text, parts = f"__{out}_text", f"__{out}_parts"
-    df = clean_text(df, text, c, max(1200, limit * 4))
+    most = max(1200, limit * 4)
+    df = df.withColumn(text, squash(F.coalesce(c, F.lit("")), most)) if cleaned else clean_text(df, text, c, most, nested=True)
     intact = (F.length(text) <= limit) & balanced(F.col(text)) & ~truncated(F.col(text), profile)
     df = df.withColumn(f"__{out}_intact", intact)
     df = segments(df, parts, F.when(~F.col(f"__{out}_intact"), F.col(text)), profile)
@@ -257,14 +338,17 @@ def complete_items(df: DataFrame, out: str, items: Column, limit: int, profile:
     return df.withColumn(out, keep).drop(raw)
 
 
+def safe_sentences(c: Column, limit: int | None, profile: Profile = JAPANESE) -> Column:
+    """A cleaned text without instruction-like sentences or role tags."""
+    parts = F.transform(F.split(c, rf"(?U)(?<=[{profile.terminators}])\s*|(?<=[.])\s+(?=[A-Z])"), trimmed)
+    kept = F.filter(parts, lambda s: (s != "") & ~s.rlike(any_of(profile.injections)))
+    return squash(F.regexp_replace(F.array_join(kept, " "), ROLE_TAGS, " "), limit)
+
+
 def safe_text(df: DataFrame, out: str, c: Column, limit: int | None, profile: Profile = JAPANESE) -> DataFrame:
     """Clean text without instruction-like sentences or role tags."""
-    text = f"__{out}_safe"
-    df = clean_text(df, text, c, max(limit * 3, limit + 240) if limit else None)
-    parts = F.transform(F.split(F.col(text), rf"(?U)(?<=[{profile.terminators}])\s*|(?<=[.])\s+(?=[A-Z])"), trimmed)
-    kept = F.filter(parts, lambda s: (s != "") & ~s.rlike(any_of(profile.injections)))
-    df = df.withColumn(text, F.regexp_replace(F.array_join(kept, " "), ROLE_TAGS, " "))
-    return clean_text(df, out, F.col(text), limit).drop(text)
+    df = clean_text(df, out, c, max(limit * 3, limit + 240) if limit else None, nested=True)
+    return df.withColumn(out, safe_sentences(F.col(out), limit, profile))
 
 
 def with_keys(df: DataFrame, out: str, items: Column) -> DataFrame:
@@ -311,20 +395,6 @@ def description_sentences(
 
 # ---- titles and keys --------------------------------------------------------------------------------
 
-def normalize_title(df: DataFrame, out: str, c: Column) -> DataFrame:
-    """Lower-case NFKC title without publisher suffix, reduced to digits, Latin letters, kana and kanji."""
-    df = clean_text(df, out, c, 300)
-    df = nfkc(df, out, F.col(out))
-    bare = F.regexp_replace(F.lower(out), TITLE_SUFFIX, "")
-    return df.withColumn(out, F.regexp_replace(bare, NON_TITLE, ""))
-
-
-def point_key(df: DataFrame, out: str, c: Column) -> DataFrame:
-    """Comparison key of a point: folded letters and digits only."""
-    df = nfkc_fold(clean_text(df, out, c, 500), out, F.col(out))
-    return df.withColumn(out, F.regexp_replace(out, NON_WORD, ""))
-
-
 def comparison_text(df: DataFrame, out: str, c: Column) -> DataFrame:
     """Search form: NFKC, lower case, only digits, Latin letters, kana and kanji."""
     return nfkc(df, out, F.coalesce(c, F.lit(""))).withColumn(out, F.regexp_replace(F.lower(out), NON_TITLE, ""))
@@ -349,14 +419,14 @@ def closing_cut(text: str, limit: int) -> str:
 
 
 def clip_title(df: DataFrame, out: str, c: Column, limit: int = 120) -> DataFrame:
-    """The title, or its start up to a boundary with an ellipsis and every bracket closed."""
+    """A cleaned title, or its start up to a boundary with an ellipsis and every bracket closed."""
 
     @arrow("string")
     def cut(values: pa.Array) -> pa.Array:
         return each(values, lambda v: closing_cut(v, limit), pa.string())
 
     text, start = f"__{out}_text", f"__{out}_start"
-    df = clean_text(df, text, c, max(300, limit * 3))
+    df = df.withColumn(text, squash(F.coalesce(c, F.lit("")), max(300, limit * 3)))
     intact = (F.length(text) <= limit) & balanced(F.col(text))
     df = df.withColumn(start, F.when(~intact, F.rtrim(F.substring(text, 1, max(1, limit - 1)))))
     bounded = F.regexp_extract(F.col(start), r"^(.*[。！？!?｜|：:])", 1)
@@ -418,9 +488,9 @@ def text_overlap(c: Column, references: Column) -> Column:
 def excerpt(
     df: DataFrame, out: str, c: Column, limit: int, profile: Profile = JAPANESE, sentences: int = 3
 ) -> DataFrame:
-    """Up to three whole sentences within the limit, ended by a stop; '' when the first is too long."""
+    """Up to three whole sentences of a cleaned text within the limit, ended by a stop; '' when the first is too long."""
     stops, found = profile.terminators, f"__{out}_found"
-    df = safe_text(df, found, c, limit + 160, profile)
+    df = df.withColumn(found, safe_sentences(squash(F.coalesce(c, F.lit("")), (limit + 160) * 3), limit + 160, profile))
     split = F.transform(F.regexp_extract_all(F.col(found), F.lit(f"[^{stops}]+[{stops}]?"), F.lit(0)), trimmed)
     df = df.withColumn(found, F.filter(split, lambda s: s != ""))
     starts = F.transform(

@@ -22,7 +22,7 @@ from tidewire.functions.profiles import (
     Profile,
 )
 from tidewire.operators.similarity import similar_pairs
-from tidewire.sources.entries import category_family, editorial_category
+from tidewire.sources.entries import category_family, desk_of
 
 SUBSTANTIVE_CHARS = 45
 
@@ -107,11 +107,13 @@ def magnitude_anchor(folded: Column) -> Column:
 
 
 def event_signature(df: DataFrame, out: str, title: Column, description: Column, profile: Profile = JAPANESE) -> DataFrame:
-    """Identity of events whose headlines paraphrase each other, '' for all others."""
-    folded = f"__{out}_f"
-    df = text.nfkc_fold(df, folded, F.concat_ws(" ", title, description))
-    t = F.col(folded)
-    day, size = date_anchor(t, F.col("published_at")), magnitude_anchor(t)
+    df = text.nfkc_fold(df, f"__{out}_f", F.concat_ws(" ", title, description))
+    return df.withColumn(out, signature_of(F.col(f"__{out}_f"), F.col("published_at"), profile)).drop(f"__{out}_f")
+
+
+def signature_of(t: Column, published_at: Column, profile: Profile = JAPANESE) -> Column:
+    """Identity, in folded text, of events whose headlines paraphrase each other; '' for all others."""
+    day, size = date_anchor(t, published_at), magnitude_anchor(t)
     known = (day != "") & (size != "")
     origin = F.regexp_extract(t, r"(?U)発生時刻\s*[:：]\s*(20\d{2}-\d{2}-\d{2}t\d{2}:\d{2}:\d{2}[+\-]\d{2}:\d{2})", 1)
     place = F.regexp_replace(F.regexp_extract(t, r"(?U)震央・震源地域\s*[:：]\s*([^。]{2,80})", 1), text.NON_WORD, "")
@@ -128,7 +130,7 @@ def event_signature(df: DataFrame, out: str, title: Column, description: Column,
         for p in patterns:
             hit = hit & t.rlike(p)
         result = result.when(hit, F.lit(name))
-    return df.withColumn(out, result.otherwise("")).drop(folded)
+    return result.otherwise("")
 
 
 def described(df: DataFrame, profile: Profile = JAPANESE, limit: int | None = 900) -> DataFrame:
@@ -136,18 +138,33 @@ def described(df: DataFrame, profile: Profile = JAPANESE, limit: int | None = 90
     df = df.withColumn("publisher", publisher_key())
     df = safe_description(df, "safe_description", F.col("description"), profile, limit)
     df = text.safe_text(df, "safe_title", F.col("title"), 360, profile)
-    df = text.normalize_title(df, "title_norm", F.col("title"))
-    df = text.point_key(df, "title_key", F.col("title"))
     df = text.description_sentences(df, "sentences", F.col("safe_description"), profile)
-    df = with_sections(df, "classified", "sentences", profile)
-    df = editorial_category(df, "desk", F.col("title"), F.col("category"), profile)
-    df = event_signature(df, "signature", F.col("title"), F.col("safe_description"), profile)
-    df = text.nfkc(df, "wide_description", F.col("safe_description"))
-    df = text.safe_text(df, "__ground_title", F.col("title"), 900, profile)
-    df = text.with_keys(df, "__ground", F.array("__ground_title", "safe_description"))
-    grounded = F.transform(
+    df = df.withColumns(
+        {
+            "__desk_title": F.rtrim(F.substring("safe_title", 1, 180)),
+            "__event_text": F.concat_ws(" ", "title", "safe_description"),
+            "__sentence_texts": F.transform("sentences", lambda s: s["text"]),
+            "__ground": F.array("safe_title", "safe_description"),
+        }
+    )
+    df = df.withColumns(
+        {
+            "title_norm": text.title_norm_of("title"),
+            "title_key": text.point_key_of("title"),
+            "wide_description": text.nfkc_of("safe_description"),
+            "__desk_title": text.nfkc_of("__desk_title"),
+            "__event_text": text.nfkc_fold_of("__event_text"),
+            "__sentence_texts": text.nfkc_items_of("__sentence_texts"),
+            "__ground_keys": text.nfkc_fold_items_of("__ground"),
+        }
+    )
+    grounded = F.zip_with(
         "__ground",
-        lambda g: F.struct(g["key"].alias("key"), F.length(F.regexp_replace(g["text"], text.SPACE, "")).alias("chars")),
+        "__ground_keys",
+        lambda t, k: F.struct(
+            F.regexp_replace(F.substring(k, 1, 500), text.NON_WORD, "").alias("key"),
+            F.length(F.regexp_replace(t, text.SPACE, "")).alias("chars"),
+        ),
     )
     has_text = F.col("safe_description") != ""
     rank = F.struct(
@@ -159,15 +176,19 @@ def described(df: DataFrame, profile: Profile = JAPANESE, limit: int | None = 90
         F.col("priority").alias("priority"),
         F.col("published_at").alias("at"),
     )
-    return df.withColumns(
+    df = df.withColumns(
         {
-            "family": category_family(F.col("desk")),
+            "classified": classify("sentences", "__sentence_texts", profile),
+            "desk": desk_of(F.col("__desk_title"), F.col("category"), profile),
+            "signature": signature_of(F.col("__event_text"), F.col("published_at"), profile),
             "field_count": bulletin_fields(F.col("wide_description"), profile),
             "grounded": F.filter(grounded, lambda g: g["key"] != ""),
             "alert": F.col("title").rlike("(?U)" + profile.alert_words),
             "rank": rank,
         }
-    ).drop("__ground_title", "__ground")
+    )
+    df = df.withColumn("family", category_family(F.col("desk")))
+    return df.drop("__desk_title", "__event_text", "__sentence_texts", "__ground", "__ground_keys")
 
 
 def lead_ordered(df: DataFrame) -> DataFrame:

@@ -66,12 +66,11 @@ def natural(wide: Column) -> Column:
 def feature_points(df: DataFrame, profile: Profile = JAPANESE) -> DataFrame:
     """Add `natural`: distinct naturalised sentences with keys, and `points`: capped classified points."""
     df = text.nfkc_items(df, "__w", F.transform("sentences", lambda s: s["text"]))
-    df = df.withColumn("__n", F.transform("__w", lambda w: natural(F.trim(w))))
-    df = text.with_keys(df, "__n", F.col("__n"))
+    df = df.withColumn("__prose", F.transform("__w", lambda w: natural(F.trim(w))))
+    df = text.with_keys(df, "__n", F.col("__prose"))
     df = text.distinct_by_key(df, "natural", F.col("__n"))
-    df = text.nfkc_items(df, "__pw", F.transform("classified", lambda s: s["text"]))
     prose = F.zip_with(
-        "classified", "__pw", lambda s, w: F.struct(natural(F.trim(w)).alias("text"), s["section"].alias("section"))
+        "classified", "__prose", lambda s, w: F.struct(w.alias("text"), s["section"].alias("section"))
     )
     df = df.withColumn("__p", prose)
     for name, cap in SECTION_CAPS.items():
@@ -79,7 +78,7 @@ def feature_points(df: DataFrame, profile: Profile = JAPANESE) -> DataFrame:
         wide = 180 if name == "watch" else 240
         fits = F.filter(capped, lambda s: (s["text"] != "") & (F.length(s["text"]) <= wide) & text.balanced(s["text"]))
         df = df.withColumn(f"point_{name}", F.transform(fits, lambda s: s["text"]))
-    return df.drop("__w", "__n", "__pw", "__p")
+    return df.drop("__w", "__n", "__prose", "__p")
 
 
 def bulletin_dek(df: DataFrame, out: str, profile: Profile = JAPANESE) -> DataFrame:
@@ -121,36 +120,45 @@ def merged(members: Column, field: str) -> Column:
     return F.flatten(F.transform(members, lambda m: m[field]))
 
 
-def exclusive_sections(df: DataFrame, profile: Profile = JAPANESE) -> DataFrame:
+def leading(items: Column, limit: int) -> Column:
+    """Items from the start whose text, joined by spaces, fits in the limit."""
+    ends = F.sequence(F.lit(0), F.size(items))
+    count = F.array_max(F.filter(ends, lambda n: F.length(F.array_join(F.slice(items, F.lit(1), n), " ")) <= limit))
+    return F.slice(items, F.lit(1), count)
+
+
+def exclusive_sections(df: DataFrame) -> DataFrame:
     """Make facts, impact, background and watch mutually exclusive, in that order, within caps and widths.
 
-    Reads and rewrites the array columns facts, impact, background_points, watch; adds `background`.
+    Reads complete sentences in the array columns facts, impact, background_points, watch; rewrites them and adds
+    `background` and `background_count`.
     """
-    joined = "__background"
-    df = text.complete_text(df, joined, F.array_join("background_points", " "), BACKGROUND_CHARS, profile)
-    df = text.description_sentences(df, "__bg", F.col(joined), profile)
-    parts = {
-        "facts": F.col("facts"),
-        "impact": F.col("impact"),
-        "background": F.transform("__bg", lambda s: s["text"]),
-        "watch": F.col("watch"),
-    }
+    given = {"facts": "facts", "impact": "impact", "background": "background_points", "watch": "watch"}
+    df = df.withColumn("background_points", leading(F.col("background_points"), BACKGROUND_CHARS))
+    df = df.withColumns(
+        {f"__{n}": F.filter(c, lambda v: (v != "") & (F.length(v) <= SECTION_WIDTHS[n])) for n, c in given.items()}
+    )
+    df = df.withColumns({f"__{n}_c": F.transform(f"__{n}", lambda v: F.regexp_replace(v, LABEL, "")) for n in given})
+    df = df.withColumns({f"__{n}_c": text.nfkc_fold_items_of(f"__{n}_c") for n in given})
     taken: list[str] = []
-    for name, values in parts.items():
-        wide = SECTION_WIDTHS[name]
-        df = text.complete_items(df, f"__{name}_v", values, wide, profile)
-        df = text.with_keys(df, f"__{name}_k", F.transform(f"__{name}_v", lambda v: F.regexp_replace(v, LABEL, "")))
-        keyed = F.zip_with(f"__{name}_v", f"__{name}_k", lambda v, k: F.struct(v.alias("text"), k["key"].alias("key")))
-        df = df.withColumn(f"__{name}_k", keyed)
+    for name in given:
+        keyed = F.zip_with(
+            f"__{name}", f"__{name}_c", lambda v, k: F.struct(v.alias("text"), F.regexp_replace(k, text.NON_WORD, "").alias("key"))
+        )
         before = F.concat(*[F.transform(f"__{t}_d", lambda x: x["key"]) for t in taken]) if taken else F.array().cast("array<string>")
-        df = df.withColumn("__before", before)
-        fresh = F.filter(f"__{name}_k", lambda x: ~F.array_contains(F.col("__before"), x["key"]))
+        df = df.withColumns({"__keyed": keyed, "__before": before})
+        fresh = F.filter("__keyed", lambda x: ~F.array_contains(F.col("__before"), x["key"]))
         df = text.distinct_by_key(df, f"__{name}_d", fresh)
         df = df.withColumn(f"__{name}_d", F.slice(f"__{name}_d", 1, SECTION_CAPS[name]))
         taken.append(name)
     df = df.withColumns({n: F.transform(f"__{n}_d", lambda x: x["text"]) for n in ("facts", "impact", "watch")})
-    df = text.complete_text(df, "background", F.array_join(F.transform("__background_d", lambda x: x["text"]), " "), BACKGROUND_CHARS, profile)
-    return df.drop("background_points", "__before", "__bg", joined, *[f"__{n}_{s}" for n in parts for s in "vkd"])
+    df = df.withColumns(
+        {
+            "background": text.fitting(F.transform("__background_d", lambda x: x["text"]), BACKGROUND_CHARS),
+            "background_count": F.size("__background_d"),
+        }
+    )
+    return df.drop("background_points", "__before", "__keyed", *[f"__{n}{s}" for n in given for s in ("", "_c", "_d")])
 
 
 def notes_map(members: Column) -> Column:
@@ -172,7 +180,7 @@ def individual_drafts(chosen: DataFrame, profile: Profile = JAPANESE) -> DataFra
     df = text.distinct_by_key(df, "detail", merged(F.col("members"), "sentences"))
     df = with_sections(df, "__c", "detail", profile)
     df = text.excerpt(df, "__summary", F.array_join(F.transform("detail", lambda s: s["text"]), " "), 280, profile)
-    df = text.safe_text(df, "summary", F.col("__summary"), 420, profile)
+    df = df.withColumn("summary", text.safe_sentences(F.col("__summary"), 420, profile))
     classified = F.col("__c")
     df = df.withColumns(
         {
@@ -181,8 +189,8 @@ def individual_drafts(chosen: DataFrame, profile: Profile = JAPANESE) -> DataFra
         }
     )
     first = F.coalesce(*[F.get(n, F.lit(0)) for n in ("impact", "facts", "watch")], F.lit(""))
-    df = text.safe_text(df, "dek", first, 140, profile)
-    df = exclusive_sections(df, profile)
+    df = df.withColumn("dek", text.safe_sentences(first, 140, profile))
+    df = exclusive_sections(df)
     return df.withColumns(
         {
             "draft_no": F.col("pick"),
@@ -198,7 +206,7 @@ def individual_drafts(chosen: DataFrame, profile: Profile = JAPANESE) -> DataFra
     ).select(*DRAFT)
 
 
-def event_summary(sentences: Column, limit: int = 420, most: int = 8, enough: int = 100) -> Column:
+def event_summary(sentences: Column, limit: int = 420, most: int = 8, enough: int | Column = 100) -> Column:
     """Leading sentences until their keys hold `enough` characters, at most eight and within the limit."""
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("keys"), F.lit(0).alias("n"), F.lit(False).alias("done"))
 
@@ -224,7 +232,7 @@ def feature_drafts(rows: DataFrame, profile: Profile = JAPANESE, most: int = MAX
     df = rows.filter("any_fresh")
     df = text.distinct_by_key(df, "detail", merged(members, "natural"))
     df = df.withColumns({n: merged(members, f"point_{n}") for n in POINT_SECTIONS} | {"background_points": merged(members, "point_background")})
-    df = exclusive_sections(df, profile)
+    df = exclusive_sections(df)
     start = F.array_min(F.transform(members, lambda m: m["published_at"]))
     end = F.array_max(F.transform(members, lambda m: m["published_at"]))
     shown = "M'月'd'日' HH:mm"
@@ -236,12 +244,14 @@ def feature_drafts(rows: DataFrame, profile: Profile = JAPANESE, most: int = MAX
     df = text.complete_text(df, "__opening", opening, 220, profile)
     df = df.withColumn("dek", F.when(F.col("__official") != "", F.col("__official")).otherwise(F.col("__opening")))
 
-    df = text.with_keys(df, "__impact", F.concat(F.array("__official"), "impact"))
+    own_chars = F.length(F.regexp_replace("__official", text.NON_WORD, ""))
     told = F.filter(
-        "__impact",
-        lambda p, i: (i == 0) | ~((F.contains(p["text"], F.lit("津波")) & F.contains(F.col("__official"), F.lit("津波"))) | F.contains(F.col("__official"), p["text"])),
+        "impact",
+        lambda p: ~(F.contains(p, F.lit("津波")) & F.contains(F.col("__official"), F.lit("津波"))) & ~F.contains(F.col("__official"), p),
     )
-    df = text.complete_text(df, "__official_summary", event_summary(told, 10_000, 10_000), 420, profile)
+    told = F.transform(told, lambda p: F.struct(p.alias("text"), F.regexp_replace(p, text.NON_WORD, "").alias("key")))
+    rest = event_summary(told, 420, SECTION_CAPS["impact"], F.greatest(F.lit(100) - own_chars, F.lit(1)))
+    df = text.complete_text(df, "__official_summary", F.concat("__official", rest), 420, profile)
     summary = F.when(F.col("__official") != "", F.col("__official_summary")).otherwise(event_summary(F.col("detail")))
     df = df.withColumn("summary", summary)
 
@@ -277,10 +287,9 @@ def qualified(df: DataFrame, profile: Profile = JAPANESE) -> DataFrame:
     primary = F.exists(members, lambda m: m["primary_source"] & (F.size(m["sentences"]) > 0))
     bulletin = F.exists(members, lambda m: m["structured_bulletin"])
     points = F.concat("facts", "impact", F.filter(F.array("background"), lambda b: b != ""), "watch")
-    df = text.point_key(df, "__grounded", F.substring(F.array_join(points, " "), 1, 500))
-    df = text.point_key(df, "__summary_key", F.col("summary"))
-    df = text.description_sentences(df, "__bg", F.col("background"), profile)
-    count = F.size("facts") + F.size("impact") + F.size("__bg") + F.size("watch")
+    df = df.withColumn("__grounded", F.array_join(points, " "))
+    df = df.withColumns({"__grounded": text.point_key_of("__grounded"), "__summary_key": text.point_key_of("summary")})
+    count = F.size("facts") + F.size("impact") + F.col("background_count") + F.size("watch")
     copy = F.concat_ws(" ", "title", "dek", "summary", F.array_join(points, " "))
     return df.filter(
         F.col("any_fresh")
@@ -290,7 +299,7 @@ def qualified(df: DataFrame, profile: Profile = JAPANESE) -> DataFrame:
         & ((F.length("__grounded") >= FEATURE_MIN_CHARS) | bulletin)
         & (F.length("__summary_key") >= FEATURE_SUMMARY_CHARS)
         & ~copy.rlike("(?U)" + forbidden_copy(profile.site_name))
-    ).drop("__grounded", "__summary_key", "__bg")
+    ).drop("__grounded", "__summary_key")
 
 
 def edited(described: DataFrame, profile: Profile = JAPANESE) -> DataFrame:

@@ -167,7 +167,8 @@ def validated_drafts(proposals: DataFrame, described: DataFrame, profile: Profil
     df = df.withColumn("summary", F.when(F.col("summary") != "", F.col("summary")).otherwise(F.substring(F.array_join("facts", " "), 1, 420)))
     df = df.filter(text.readable(F.concat_ws(" ", "title", "summary"), profile))
     df = text.safe_text(df, "background", F.col("background"), BACKGROUND_CHARS, profile)
-    df = exclusive_sections(df.withColumn("background_points", F.array("background")), profile)
+    df = text.description_sentences(df, "__bg", F.col("background"), profile)
+    df = exclusive_sections(df.withColumn("background_points", F.transform("__bg", lambda s: s["text"]))).drop("__bg")
     df = text.safe_text(df, "dek", F.col("dek"), 140, profile)
     df = text.safe_text(df, "why_it_matters", F.col("why"), 220, profile)
     notes = F.map_filter("source_notes", lambda k, v: F.array_contains(F.col("candidate_ids"), k) & (F.trim(v) != ""))

@@ -63,14 +63,16 @@ def _by_edition(order: str):
 
 
 def edition_articles(
-    fresh: DataFrame, context: DataFrame, generated_at: Column, profile: Profile = JAPANESE, checkpoint: bool = False
+    fresh: DataFrame, context: DataFrame, generated_at: Column, profile: Profile = JAPANESE
 ) -> DataFrame:
-    """Articles of every edition in `fresh` (candidates with `edition_id`), in one pass over all editions."""
-    own, pool = edition_pool(fresh, context, profile)
-    if checkpoint:
-        pool = cut_lineage(pool)
-        own = lead_ordered(pool.filter(F.col("pos") < MAX_CANDIDATES).drop("lead_order"))
-    drafts = build_drafts(own, pool, profile)
+    """Articles of every edition in `fresh` (candidates with `edition_id`), in one pass over all editions.
+
+    The limited pool (at most 48 rows per edition) feeds several joins, so it is checkpointed once instead of
+    being worked out again for each of them.
+    """
+    pool = cut_lineage(edition_pool(fresh, context, profile)[1])
+    own = lead_ordered(pool.filter(F.col("pos") < MAX_CANDIDATES).drop("lead_order"))
+    drafts = cut_lineage(build_drafts(own, pool, profile))
     evidence = merge_evidence(fresh.select(*EVIDENCE), context.select(*EVIDENCE), ("edition_id", "url"))
     return art.build_articles(drafts, evidence, generated_at, profile)
 

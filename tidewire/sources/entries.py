@@ -107,12 +107,16 @@ def candidates(entries: DataFrame, rules: DataFrame, profile: Profile = JAPANESE
 
 
 def editorial_category(df: DataFrame, out: str, title: Column, category: Column, profile: Profile = JAPANESE) -> DataFrame:
-    """Desk category: the first title rule that matches, else the own category."""
     df = text.safe_text(df, f"__{out}_t", title, 180, profile)
     df = text.nfkc(df, f"__{out}_t", F.col(f"__{out}_t"))
-    by_title = F.coalesce(*[F.when(F.col(f"__{out}_t").rlike("(?U)" + rule), F.lit(name)) for name, rule in profile.title_categories])
+    return df.withColumn(out, desk_of(F.col(f"__{out}_t"), category, profile)).drop(f"__{out}_t")
+
+
+def desk_of(title: Column, category: Column, profile: Profile = JAPANESE) -> Column:
+    """Desk category of a safe NFKC title: the first title rule that matches, else the own category."""
+    by_title = [F.when(title.rlike("(?U)" + rule), F.lit(name)) for name, rule in profile.title_categories]
     own = F.when(category.isin(*CATEGORIES), category).otherwise(F.lit(OTHER_CATEGORY))
-    return df.withColumn(out, F.coalesce(by_title, own)).drop(f"__{out}_t")
+    return F.coalesce(*by_title, own)
 
 
 def category_family(category: Column) -> Column:
