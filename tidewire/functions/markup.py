@@ -11,9 +11,9 @@ from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
-from tidewire.functions.text import arrow, each, text_of_markup
+from tidewire.functions.text import TEXTS, arrow, each, text_of_markup
 
 # fixed values: elements of a page that never carry its article, void elements, and paragraph-like elements
 IGNORED = frozenset(
@@ -85,20 +85,12 @@ def page_blocks(page: str, root_ids: list[str] | None) -> list[str]:
     return reader.blocks()
 
 
-@arrow("array<string>")
+@arrow(TEXTS)
 def html_blocks(pages: pa.Array, root_ids: pa.Array) -> pa.Array:
     rows = zip(pages.to_pylist(), root_ids.to_pylist())
     return pa.array([None if p is None else page_blocks(p, ids) for p, ids in rows], pa.list_(pa.string()))
 
 
-BULLETIN_ITEM = "struct<kinds array<string>, areas array<string>, height string, arrival string, condition string, tsunami boolean>"
-BULLETIN_PARTS = (
-    "struct<head_title string, control_title string, event_id string, serial string, origin_time string, "
-    "hypocenter string, magnitude string, magnitude_note string, max_intensity string, headlines array<string>, "
-    f"texts array<string>, items array<{BULLETIN_ITEM}>>"
-)
-
-
 def content(node: ET.Element | None) -> str:
     return "" if node is None else text_of_markup(" ".join(node.itertext())).strip()
 
@@ -167,6 +159,6 @@ _PARTS_TYPE = pa.struct(
 )
 
 
-@arrow(BULLETIN_PARTS)
+@arrow(from_arrow_type(_PARTS_TYPE))
 def parsed_bulletin(documents: pa.Array) -> pa.Array:
     return each(documents, bulletin_parts, _PARTS_TYPE)

@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.functions.profiles import BRACKETS, JAPANESE, ROLE_TAGS, Profile
 
@@ -47,7 +48,10 @@ def trimmed(c: Column) -> Column:
     return F.trim(c)
 
 
-def arrow(returns: str):
+TEXT, TEXTS = T.StringType(), T.ArrayType(T.StringType())
+
+
+def arrow(returns: T.DataType):
     """An Arrow UDF that is evaluated once.
 
     Marked nondeterministic, because the optimizer otherwise copies a Python step, with all it reads, into every
@@ -94,42 +98,42 @@ def fold(value: str) -> str:
     return wide(value).casefold()
 
 
-@arrow("string")
+@arrow(TEXT)
 def _strip_markup(values: pa.Array) -> pa.Array:
     return each(values, text_of_markup, pa.string())
 
 
-@arrow("string")
+@arrow(TEXT)
 def _strip_nested_markup(values: pa.Array) -> pa.Array:
     return each(values, text_of_nested_markup, pa.string())
 
 
-@arrow("string")
+@arrow(TEXT)
 def _nfkc(values: pa.Array) -> pa.Array:
     return pc.utf8_normalize(values, form="NFKC")
 
 
-@arrow("string")
+@arrow(TEXT)
 def _nfkc_fold(values: pa.Array) -> pa.Array:
     return each(values, fold, pa.string())
 
 
-@arrow("array<string>")
+@arrow(TEXTS)
 def _nfkc_items(values: pa.Array) -> pa.Array:
     return each(values, lambda items: [wide(v) for v in items], pa.list_(pa.string()))
 
 
-@arrow("array<string>")
+@arrow(TEXTS)
 def _nfkc_fold_items(values: pa.Array) -> pa.Array:
     return each(values, lambda items: [fold(v) for v in items], pa.list_(pa.string()))
 
 
-@arrow("string")
+@arrow(TEXT)
 def _title_form(values: pa.Array) -> pa.Array:
     return each(values, lambda v: wide(tidy(v, 300)).lower(), pa.string())
 
 
-@arrow("string")
+@arrow(TEXT)
 def _key_form(values: pa.Array) -> pa.Array:
     return each(values, lambda v: fold(tidy(v, 500)), pa.string())
 
@@ -280,7 +284,7 @@ def segments(df: DataFrame, out: str, c: Column, profile: Profile = JAPANESE) ->
     """Sentences of a text, never split inside brackets."""
     stops = profile.terminators
 
-    @arrow("array<string>")
+    @arrow(TEXTS)
     def by_brackets(values: pa.Array) -> pa.Array:
         return each(values, lambda v: bracket_segments(v, stops), pa.list_(pa.string()))
 
@@ -325,7 +329,7 @@ def complete_items(df: DataFrame, out: str, items: Column, limit: int, profile:
     """`complete_text` on every item of an array of cleaned one-sentence strings; empty results are dropped."""
     stops = profile.terminators
 
-    @arrow("array<string>")
+    @arrow(TEXTS)
     def repaired(values: pa.Array) -> pa.Array:
         return each(values, lambda items: [" ".join(bracket_segments(v, stops)) for v in items], pa.list_(pa.string()))
 
@@ -421,7 +425,7 @@ def closing_cut(text: str, limit: int) -> str:
 def clip_title(df: DataFrame, out: str, c: Column, limit: int = 120) -> DataFrame:
     """A cleaned title, or its start up to a boundary with an ellipsis and every bracket closed."""
 
-    @arrow("string")
+    @arrow(TEXT)
     def cut(values: pa.Array) -> pa.Array:
         return each(values, lambda v: closing_cut(v, limit), pa.string())
 
@@ -465,7 +469,7 @@ def likeness(a: str, b: str) -> float:
     return max(ratio(a, b), overlap, nested)
 
 
-@arrow("double")
+@arrow(T.DoubleType())
 def title_likeness(a: pa.Array, b: pa.Array) -> pa.Array:
     """Similarity of two already normalised titles; the order of the arguments matters."""
     left, right = a.to_pylist(), b.to_pylist()

@@ -7,6 +7,7 @@ import ipaddress
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.functions.profiles import TRACKING_PARAMETERS
 from tidewire.functions.text import arrow, each
@@ -23,7 +24,7 @@ def is_local_address(host: str) -> bool:
     return address.is_private or address.is_loopback or address.is_link_local or address.is_reserved
 
 
-@arrow("boolean")
+@arrow(T.BooleanType())
 def _local_address(hosts: pa.Array) -> pa.Array:
     return each(hosts, is_local_address, pa.bool_())
 

@@ -1,0 +1,144 @@
+"""SQL equivalents of the registered queries, for an independent engine on the same tables."""
+
+from __future__ import annotations
+
+from tidewire.functions.profiles import CATEGORIES, LATIN
+from tidewire.plans.fixtures import FIXTURE_INJECTION
+
+ORACLES: dict[str, str] = {}
+
+CATEGORY_LIST = "[" + ", ".join(f"'{c}'" for c in CATEGORIES) + "]"
+
+
+def wall(ts: str) -> str:
+    return f"({ts} + INTERVAL 9 HOUR)"
+
+
+def slot_end(ts: str) -> str:
+    w = wall(ts)
+    return (
+        f"(date_trunc('day', {w}) + CASE WHEN hour({w}) < 6 THEN INTERVAL 6 HOUR WHEN hour({w}) < 12 THEN INTERVAL 12 HOUR "
+        f"WHEN hour({w}) < 18 THEN INTERVAL 18 HOUR ELSE INTERVAL 30 HOUR END)"
+    )
+
+
+def edition_id(end: str) -> str:
+    return f"strftime({end}, '%Y-%m-%d-%H')"
+
+
+def edition(ts: str) -> str:
+    return edition_id(slot_end(ts))
+
+
+def following(end: str) -> str:
+    return f"({end} + CASE WHEN hour({end}) = 18 THEN INTERVAL 12 HOUR ELSE INTERVAL 6 HOUR END)"
+
+
+def squash(c: str) -> str:
+    return rf"trim(regexp_replace({c}, '[\s\x{{00a0}}\p{{Z}}]+', ' ', 'g'))"
+
+
+CAND = rf"""cand AS (
+  SELECT doc_id AS ord, 'd' || doc_id AS id, substr(regexp_extract(text, '^[^.\n]+'), 1, 260) AS title, text AS description,
+    'https://' || source || '.example.org/' || doc_id AS url, source AS source_name, source AS publisher_id,
+    {CATEGORY_LIST}[doc_id % 9 + 1] AS category,
+    TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id * 300) AS published_at,
+    CAST(1 + doc_id % 5 AS INT) AS priority, doc_id % 7 = 0 AS primary_source
+  FROM documents)"""
+ITEMS = rf"""{CAND}, items AS (
+  SELECT * REPLACE ('https://news.example.org/' || md5(title) AS url), {edition('published_at')} AS edition_id FROM cand)"""
+
+
+def title_norm(c: str) -> str:
+    folded = f"lower({squash(c)})"
+    bare = rf"regexp_replace({folded}, '[\s\p{{Z}}]*[|｜:：\-—–][\s\p{{Z}}]*[^|｜:：\-—–]{{1,28}}$', '')"
+    return rf"regexp_replace({bare}, '[^0-9a-z\x{{3040}}-\x{{30ff}}\x{{3400}}-\x{{9fff}}]+', '', 'g')"
+
+
+def fold_key(c: str) -> str:
+    return rf"regexp_replace(substr(replace(lower({c}), 'ß', 'ss'), 1, 500), '[^\p{{L}}\p{{N}}]+', '', 'g')"
+
+
+ORACLES["edition_slot_counts"] = f"""
+SELECT {edition('ts')} AS edition_id, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM events GROUP BY 1, 2"""
+
+ORACLES["window_assignment"] = f"""
+WITH {CAND}, own AS (SELECT published_at, {slot_end('published_at')} AS e FROM cand),
+all_ends AS (
+  SELECT e AS window_end, false AS late FROM own
+  UNION ALL
+  SELECT {following('e')}, true FROM own WHERE published_at + INTERVAL 9 HOUR >= e - INTERVAL 90 MINUTE)
+SELECT {edition_id('window_end')} AS edition_id, count(*) FILTER (NOT late) AS on_time, count(*) FILTER (late) AS from_grace
+FROM all_ends GROUP BY 1"""
+
+ORACLES["missing_windows"] = f"""
+WITH p AS (SELECT user_id, min(ts) AS a, max(ts) AS b FROM events GROUP BY 1),
+q AS (SELECT user_id, {slot_end('a')} AS mark, date_trunc('day', {wall('b')}) + CASE
+    WHEN hour({wall('b')}) >= 18 THEN INTERVAL 18 HOUR WHEN hour({wall('b')}) >= 12 THEN INTERVAL 12 HOUR
+    WHEN hour({wall('b')}) >= 6 THEN INTERVAL 6 HOUR ELSE INTERVAL (-6) HOUR END AS target FROM p),
+grid AS (SELECT user_id, unnest(generate_series(date_trunc('day', mark), target, INTERVAL 6 HOUR)) AS e, mark, target FROM q),
+later AS (SELECT user_id, e, row_number() OVER (PARTITION BY user_id ORDER BY e) AS k FROM grid
+  WHERE hour(e) IN (6, 12, 18) AND e > mark AND e <= target),
+capped AS (SELECT user_id, e, row_number() OVER (PARTITION BY user_id ORDER BY e DESC) AS back FROM later WHERE k <= 61)
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY e) - 1 AS INT) AS run_order, {edition_id('e')} AS edition_id,
+  CASE hour(e) WHEN 6 THEN '朝6時版' WHEN 12 THEN '昼12時版' ELSE '夕方6時版' END AS label
+FROM capped WHERE back <= 9"""
+
+ORACLES["rolling_context"] = f"""
+WITH {CAND}, own AS (SELECT url, published_at, {slot_end('published_at')} AS e FROM cand),
+ends AS (SELECT DISTINCT date_trunc('day', e) + to_hours(h) + to_days(d) AS window_end FROM own, (VALUES (6), (12), (18)) v(h), (VALUES (0), (1)) w(d))
+SELECT {edition_id('window_end')} AS edition_id, {edition_id('e')} AS origin_edition_id, count(*) AS n,
+  min('context-' || substr(sha256(url), 1, 20)) AS first_id
+FROM own JOIN ends ON window_end > e AND window_end - INTERVAL 24 HOUR <= published_at + INTERVAL 9 HOUR
+GROUP BY 1, 2"""
+
+URL_PARTS = r"""parts AS (
+  SELECT page_id, lower(regexp_extract(url, '^([a-zA-Z]+)://', 1)) AS scheme, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)) AS host,
+    regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS path,
+    list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT starts_with(lower(p), 'utm_') AND NOT starts_with(p, 'ref=')) AS query
+  FROM pages),
+canonical AS (
+  SELECT page_id, scheme || '://' || host || CASE WHEN path IN ('', '/') THEN '/' ELSE rtrim(regexp_replace(path, '/+', '/', 'g'), '/') END
+    || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canonical FROM parts)"""
+
+ORACLES["canonical_urls"] = f"WITH {URL_PARTS} SELECT page_id, canonical FROM canonical"
+
+ORACLES["digest_by_slot"] = f"""
+WITH {URL_PARTS}, items AS (
+  SELECT page_id, canonical, regexp_extract(url, '^https?://([^/]+)', 1) AS publisher,
+    TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id * 600) AS published_at FROM canonical JOIN pages USING (page_id)),
+keyed AS (SELECT *, {edition('published_at')} AS edition_id FROM items),
+firsts AS (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY edition_id, canonical ORDER BY published_at, page_id) = 1)
+SELECT edition_id, publisher, count(*) AS n, min(published_at) AS first_at, max(published_at) AS last_at FROM firsts GROUP BY 1, 2"""
+
+ORACLES["seen_url_antijoin"] = f"""
+WITH {ITEMS} SELECT id, edition_id, url FROM items WHERE ord % 2 = 1 AND url NOT IN (SELECT url FROM items WHERE ord % 2 = 0)"""
+
+ORACLES["merge_evidence"] = f"""
+WITH {ITEMS}, sided AS (SELECT *, ord % 3 = 0 AS context_only FROM items)
+SELECT url, id, context_only FROM sided
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY context_only, length(description) DESC, ord) = 1"""
+
+ORACLES["state_append_and_prune"] = f"""
+WITH {ITEMS} SELECT ord AS seq, edition_id, {title_norm('title')} AS title, published_at, url AS urls FROM items
+WHERE ord % 2 = 0 AND published_at >= TIMESTAMP '2024-01-02 00:00:00' QUALIFY row_number() OVER (ORDER BY ord DESC) <= 8000"""
+
+BULLETINS = """b AS (SELECT event_id AS ord, CAST(user_id AS VARCHAR) AS event_id, json_extract_string(props, '$.k') AS serial, ts AS published_at,
+  ['0', '1', '2', '3', '4', '5-', '5+', '6-'][CAST(floor(value) AS BIGINT) % 8 + 1] AS max_intensity, length(event_type) AS richness,
+  event_type AS product_title FROM events)"""
+
+ORACLES["latest_bulletin"] = f"""
+WITH {BULLETINS} SELECT event_id, ord AS bulletin, published_at, serial, max_intensity FROM b
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY published_at DESC, CAST(serial AS INT) DESC, richness DESC, ord) = 1"""
+
+ORACLES["bulletin_severity_filter"] = f"""
+WITH {BULLETINS}, r AS (SELECT *, product_title IN ('signup', 'error') OR max_intensity IN ('3', '4', '5-', '5+', '6-') AS k FROM b)
+SELECT product_title, max_intensity, count(*) FILTER (k) AS kept, count(*) FILTER (NOT k) AS dropped FROM r GROUP BY 1, 2"""
+
+ORACLES["bulletin_extraction"] = f"""
+WITH {BULLETINS}, s AS (SELECT *, CASE max_intensity WHEN '5-' THEN '5弱' WHEN '5+' THEN '5強' WHEN '6-' THEN '6弱' ELSE max_intensity END AS shown,
+  'region ' || ord % 47 AS place, strftime(published_at + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S+09:00') AS origin FROM b)
+SELECT ord, place || 'で地震 最大震度' || shown AS title,
+  '発生時刻: ' || origin || '。 震央・震源地域: ' || place || '。 最大震度: ' || shown || '。 報 ' || ord || '。 警報: ' || place || '。' AS description,
+  '震度 ' || product_title AS product, max_intensity AS intensity, event_id AS event, serial FROM s"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.functions import slots, text
 from tidewire.functions.profiles import CATEGORIES, JAPANESE, OTHER_CATEGORY, SEEN_SIMILARITY, Profile
@@ -38,7 +39,7 @@ def newest_editions(editions: DataFrame, n: int = 12) -> DataFrame:
 def unlike_title(df: DataFrame, out: str, points: str, title: str, threshold: float = SEEN_SIMILARITY) -> DataFrame:
     """Items of an array that are no credit line and do not repeat the title."""
 
-    @text.arrow("array<double>")
+    @text.arrow(T.ArrayType(T.DoubleType()))
     def scores(items: pa.Array, titles: pa.Array) -> pa.Array:
         rows = zip(items.to_pylist(), titles.to_pylist())
         return pa.array([None if v is None else [text.likeness(p, t or "") for p in v] for v, t in rows], pa.list_(pa.float64()))

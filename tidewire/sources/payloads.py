@@ -8,6 +8,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.functions.text import arrow, each
 
@@ -24,7 +25,7 @@ FEED_XML = f"channel struct<item array<{ITEM}>>, item array<{ITEM}>, entry array
 XML_OPTIONS = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "broken", "mode": "PERMISSIVE"}
 
 
-@arrow("binary")
+@arrow(T.BinaryType())
 def _gunzip(values: pa.Array) -> pa.Array:
     return each(values, unpacked, pa.binary())
 

@@ -7,6 +7,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.functions.profiles import CATEGORIES, INTENSITY_RANKS
 from tidewire.functions.text import arrow, each
@@ -74,7 +75,7 @@ def compiles(pattern: str) -> bool:
     return True
 
 
-@arrow("boolean")
+@arrow(T.BooleanType())
 def _all_compile(lists: pa.Array) -> pa.Array:
     return each(lists, lambda items: all(compiles(p) for p in items if p is not None), pa.bool_())
 
