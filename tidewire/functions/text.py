@@ -16,7 +16,6 @@ from difflib import SequenceMatcher
 from html.parser import HTMLParser
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,7 +109,7 @@ def _strip_nested_markup(values: pa.Array) -> pa.Array:
 
 @arrow(TEXT)
 def _nfkc(values: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(values, form="NFKC")
+    return each(values, wide, pa.string())  # not pyarrow's utf8_normalize, whose NFKC leaves letters decomposed
 
 
 @arrow(TEXT)

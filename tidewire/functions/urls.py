@@ -119,14 +119,12 @@ def host_allowed(host: Column, allowed: Column, subdomains: bool | Column = True
     return F.array_contains(allowed, host) | (flag & within)
 
 
-def linked_page_allowed(url: Column, hosts: Column, prefixes: Column, exact_host: Column) -> Column:
-    """HTTPS, an allowed host, an allowed path prefix, and no suffix other than .html/.htm."""
-    canonical = canonical_url(url)
+def linked_page_allowed(canonical: Column, hosts: Column, prefixes: Column, exact_host: Column) -> Column:
+    """For a canonical URL: HTTPS, an allowed host, an allowed path prefix, and no suffix other than .html/.htm."""
     u = url_parts(canonical)
     suffix = F.lower(F.regexp_extract(u["path"], r"[^/](\.[^./]+)$", 1))
     return F.coalesce(
-        canonical.isNotNull()
-        & (u["scheme"] == "https")
+        (u["scheme"] == "https")
         & host_allowed(u["host"], hosts, ~exact_host)
         & F.exists(prefixes, lambda p: F.startswith(u["path"], p))
         & suffix.isin("", ".html", ".htm"),

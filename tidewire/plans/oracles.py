@@ -142,3 +142,167 @@ WITH {BULLETINS}, s AS (SELECT *, CASE max_intensity WHEN '5-' THEN '5弱' WHEN
 SELECT ord, place || 'で地震 最大震度' || shown AS title,
   '発生時刻: ' || origin || '。 震央・震源地域: ' || place || '。 最大震度: ' || shown || '。 報 ' || ord || '。 警報: ' || place || '。' AS description,
   '震度 ' || product_title AS product, max_intensity AS intensity, event_id AS event, serial FROM s"""
+
+W = r"\p{L}\p{N}_"
+STOPS = ".。！？!?"
+
+
+def word(alternatives: str) -> str:
+    """Whole-word search for an engine without Unicode word boundaries."""
+    return rf"(?i)(?:^|[^{W}])(?:{alternatives})(?:$|[^{W}])"
+
+
+FEEDS = f"""feeds AS (
+  SELECT source, CAST(regexp_extract(source, '(\\d+)$', 1) AS INT) AS n FROM (SELECT DISTINCT source FROM documents)),
+usable AS (SELECT * FROM feeds WHERE n % 11 <> 10 AND n % 10 <> 9 AND (n % 13 <> 12 OR n % 4 = 2))"""
+
+ORACLES["registry_problems"] = f"""
+WITH {FEEDS}
+SELECT source AS id, 'category' AS rule FROM feeds WHERE n % 11 = 10
+UNION ALL SELECT source, 'maxFeedBytes' FROM feeds WHERE n % 10 = 9
+UNION ALL SELECT source, 'excludeTitlePatterns' FROM feeds WHERE n % 13 = 12 AND n % 4 <> 2"""
+
+
+def escaped(c: str) -> str:
+    return f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+PAYLOADS = f"""{CAND}, {FEEDS}, sized AS (
+  SELECT c.*, u.n, strlen('<rss><channel><title>feed</title><item><title>' || {escaped('title')} || '</title><link>' ||
+      {escaped("CASE WHEN ord % 2 = 0 THEN 'http://' ELSE 'https://' END || source_name || '.example.org//doc/' || ord || '/?utm_source=feed&id=' || ord")}
+      || '</link><pubDate>' || strftime(published_at, '%a, %d %b %Y %H:%M:%S') || ' GMT</pubDate><description>' || {escaped('description')}
+      || '</description></item></channel></rss>') + CASE WHEN ord % 97 = 96 THEN 14 ELSE 0 END AS bytes
+  FROM cand c JOIN usable u ON u.source = c.source_name),
+judged AS (SELECT *, CASE WHEN bytes > (CASE WHEN n % 4 = 3 THEN 20000 ELSE 2000000 END) THEN 'too large'
+    WHEN ord % 97 = 96 THEN 'document type not allowed' END AS reason FROM sized)"""
+
+ORACLES["payload_outcomes"] = f"""
+WITH {PAYLOADS}
+SELECT u.source AS feed_id, coalesce(bool_or(j.ord IS NOT NULL AND reason IS NULL), false) AS ok,
+  coalesce(string_agg(DISTINCT reason, ', ' ORDER BY reason), '') AS reasons
+FROM usable u LEFT JOIN judged j ON j.source_name = u.source GROUP BY 1"""
+
+# the text rules of the fixture profile, for an engine without Unicode word boundaries
+TEXT_RULES = (
+    ("スポーツ", rf"(?i)(?:^|[^{W}])(?:threed|ounon)"),
+    ("エンタメ", word("avec|mit")),
+    ("海外", word("dans|und")),
+    ("テクノロジー", word("this")),
+    ("経済", word("was")),
+    ("科学", word("from")),
+    ("社会", word("are|para")),
+)
+TITLE_RULES = (("スポーツ", word("with|mit")), ("エンタメ", word("are|avec")), ("テクノロジー", word("this|las")), ("海外", word("dans|und")))
+
+
+def rules(c: str, table, otherwise: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({c}, '{rx}') THEN '{name}'" for name, rx in table) + f" ELSE {otherwise} END"
+
+
+ORACLES["entry_conversion"] = f"""
+WITH {PAYLOADS}, e AS (
+  SELECT *, substr({squash('title')}, 1, 260) AS t, rtrim(substr({squash('description')}, 1, 900)) AS d,
+    CASE WHEN ord % 2 = 0 AND n % 3 <> 0 THEN 'http' ELSE 'https' END || '://' || source_name || '.example.org/doc/' || ord || '?id=' || ord AS u
+  FROM judged WHERE reason IS NULL),
+kept AS (SELECT * FROM e WHERE t <> '' AND NOT (n % 4 = 2 AND regexp_matches(t, '{word("mit")}'))
+  AND (n % 3 <> 1 OR regexp_matches(t, '{word("the")}') OR regexp_matches(t, '(?i)^[aeiou]')))
+SELECT substr(sha256('Feed ' || source_name || '|' || u || '|' || strftime(published_at, '%Y-%m-%dT%H:%M:%S+00:00')), 1, 18) AS id,
+  t AS title, CASE WHEN n % 6 = 5 THEN '' ELSE d END AS description, u AS url, 'Feed ' || source_name AS source_name, 'house' || n % 7 AS publisher_id,
+  CASE WHEN n % 2 = 0 THEN {rules("t || ' ' || d || ' '", TEXT_RULES, f"{CATEGORY_LIST}[n % 9 + 1]")} ELSE {CATEGORY_LIST}[n % 9 + 1] END AS category,
+  published_at, CAST(least(greatest(n % 8, 1), 5) AS INT) AS priority, n % 5 = 0 AS primary_source FROM kept"""
+
+ORACLES["rule_filter"] = f"""
+WITH {FEEDS} SELECT doc_id, d.source FROM documents d JOIN usable u USING (source)
+WHERE NOT (n % 4 = 2 AND regexp_matches(text, '{word("mit")}'))
+  AND (n % 3 <> 1 OR regexp_matches(text, '{word("the")}') OR regexp_matches(text, '(?i)^[aeiou]'))"""
+
+ORACLES["category_inference"] = f"""
+WITH {CAND} SELECT id, category, {rules("title || ' ' || description", TEXT_RULES, 'category')} AS inferred FROM cand"""
+
+
+def spaced(c: str) -> str:
+    """Trimmed sentences joined by single spaces."""
+    return squash(rf"regexp_replace({squash(c)}, '([{STOPS}])', '\1 ', 'g')")
+
+
+ORACLES["desk_category"] = f"""
+WITH {CAND}, d AS (SELECT id, {rules(f"rtrim(substr({spaced('title')}, 1, 180))", TITLE_RULES, 'category')} AS desk FROM cand)
+SELECT id, desk, CASE WHEN desk IN ('国内', '社会', '経済', '海外', '国際', 'その他') THEN 'public'
+    WHEN desk IN ('テクノロジー', '科学', '文化', 'エンタメ') THEN 'technology_culture' ELSE desk END AS family,
+  CASE desk WHEN '国内' THEN 'domestic' WHEN '海外' THEN 'world' WHEN '経済' THEN 'economy' WHEN '社会' THEN 'society' WHEN '科学' THEN 'science'
+    WHEN 'テクノロジー' THEN 'technology' WHEN 'エンタメ' THEN 'entertainment' WHEN 'スポーツ' THEN 'sports' ELSE 'other' END AS category_id
+FROM d"""
+
+ORACLES["linked_page_rules"] = r"""
+SELECT page_id, regexp_matches(url, '^https://([^/]*\.)?example\.(com|org)/(en|fr)/[^/?#.]*(\.html?)?/?([?#]|$)') AS allowed FROM pages"""
+
+ORACLES["clean_documents"] = f"""
+SELECT doc_id, length({squash('text')}) AS n, md5({squash('text')}) AS digest FROM documents"""
+
+ORACLES["title_keys"] = f"""
+WITH {CAND} SELECT id, {title_norm('title')} AS title_norm, {fold_key(squash('title'))} AS title_key,
+  regexp_matches(title, '[A-Za-z]') AS readable FROM cand"""
+
+INJECTED = rf"(?i)(?:^|[^{W}])(?:with|avec|mit|con)[^{W}](?:.{{0,58}}[^{W}])?(?:the|le|der|la)(?:$|[^{W}])"
+ORACLES["injection_filter"] = rf"""
+WITH parts AS (SELECT conv_id, turn, list_transform(regexp_extract_all({squash('text')}, '[^{STOPS}]*[{STOPS}]|[^{STOPS}]+'), lambda p: trim(p)) AS p FROM conversations),
+safe AS (SELECT conv_id, turn, array_to_string(list_filter(p, lambda s: s <> '' AND NOT regexp_matches(s, '{INJECTED}')), ' ') AS t FROM parts)
+SELECT conv_id, turn, length(t) AS n, md5(t) AS digest FROM safe"""
+
+CUT = rf"(?: th| qu| ge)\s*[{STOPS}]"
+
+
+def sentence_list(c: str) -> str:
+    return rf"list_filter(list_transform(regexp_extract_all({c}, '[^{STOPS}]*[{STOPS}]|[^{STOPS}]+'), lambda p: trim(p)), lambda p: p <> '')"
+
+
+ORACLES["complete_descriptions"] = rf"""
+WITH {CAND}, c AS (SELECT id, rtrim(substr({squash('description')}, 1, 3600)) AS t FROM cand),
+s AS (SELECT id, t, list_filter({sentence_list('t')}, lambda p: NOT regexp_matches(p, '{CUT}') AND length(p) <= 900) AS p FROM c),
+r AS (SELECT id, CASE WHEN length(t) <= 900 AND NOT regexp_matches(t, '{CUT}') THEN t ELSE
+  array_to_string(p[1:list_max(list_filter(range(0, len(p) + 1), lambda k: length(array_to_string(p[1:k], ' ')) <= 900))], ' ') END AS t FROM s)
+SELECT id, length(t) AS n, md5(t) AS digest FROM r"""
+
+ORACLES["excerpts"] = rf"""
+WITH {CAND}, c AS (SELECT id, rtrim(substr({spaced(f"substr({squash('description')}, 1, 1320)")}, 1, 440)) AS t FROM cand),
+s AS (SELECT id, list_filter(list_transform(regexp_extract_all(t, '[^{STOPS}]+[{STOPS}]?'), lambda p: trim(p)), lambda p: p <> '') AS p FROM c),
+b AS (SELECT id, array_to_string(p[1:list_max(list_filter(range(0, least(len(p), 3) + 1), lambda k: length(array_to_string(p[1:k], '')) <= 280))], '') AS x FROM s)
+SELECT id, CASE WHEN x = '' OR regexp_matches(x, '[{STOPS}]$') THEN x ELSE x || '.' END AS excerpt FROM b"""
+
+ORACLES["clipped_titles"] = rf"""
+WITH {CAND}, c AS (SELECT id, rtrim(substr({squash('title')}, 1, 260)) AS t FROM cand),
+s AS (SELECT id, t, rtrim(substr(t, 1, 39)) AS a, regexp_extract(rtrim(substr(t, 1, 39)), '^(.*[。！？!?｜|：:])', 1) AS b FROM c),
+p AS (SELECT id, t, CASE WHEN length(b) - 1 >= 20 THEN rtrim(b, '｜|：: ') ELSE a END AS a FROM s)
+SELECT id, CASE WHEN length(t) <= 40 THEN t ELSE rtrim(a, '、,・/／｜|：:-') || '…' END AS clipped, true AS balanced FROM p"""
+
+ORACLES["sentence_sections"] = rf"""
+WITH {CAND}, s AS (
+  SELECT id, unnest(list_transform(regexp_extract_all({spaced('description')}, '[^{STOPS}]+[{STOPS}]?'), lambda p: trim(p))) AS t,
+    generate_subscripts(regexp_extract_all({spaced('description')}, '[^{STOPS}]+[{STOPS}]?'), 1) AS i FROM cand),
+e AS (SELECT id, i, CASE WHEN regexp_matches(t, '[{STOPS}]$') THEN t ELSE t || '.' END AS t FROM s
+  WHERE t <> '' AND length(t) <= 240 AND NOT regexp_matches(t, '{CUT}')),
+k AS (SELECT id, i, t, {fold_key('t')} AS key FROM e),
+d AS (SELECT * FROM k WHERE key <> '' QUALIFY row_number() OVER (PARTITION BY id, key ORDER BY i) = 1),
+c AS (SELECT id, t, key, CASE WHEN regexp_matches(t, '{word("will|by|sur|zu|por")}') THEN 'watch'
+  WHEN regexp_matches(t, '{word("with|avec|mit|con")}') OR regexp_matches(t, '{word("this|dans|und|para")}') THEN 'impact'
+  WHEN regexp_matches(t, '{word("was|from|du|das|del")}') THEN 'background' ELSE 'facts' END AS section FROM d)
+SELECT id, section, count(*) AS n, sum(length(key)) AS key_chars, min(t) AS first_text FROM c GROUP BY 1, 2"""
+
+ORACLES["event_identity"] = f"""
+WITH e AS (SELECT event_id AS n, {wall('ts')} AS w, (event_id % 8) || '.' || (event_id % 10) AS size, event_id % 31 + 1 AS d, event_id % 12 + 1 AS m FROM events)
+SELECT n AS event_id, CASE n % 5
+  WHEN 0 THEN coalesce('earthquake:indonesia-flores:' || strftime(try_strptime(year(w) || '-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(d::VARCHAR, 2, '0'), '%Y-%m-%d'), '%Y-%m-%d') || ':m' || size, '')
+  WHEN 1 THEN coalesce('earthquake:indonesia-flores:' || strftime(try_strptime(strftime(w, '%Y-%m-') || lpad(d::VARCHAR, 2, '0'), '%Y-%m-%d'), '%Y-%m-%d') || ':m' || size, '')
+  WHEN 2 THEN 'earthquake:地点' || n % 47 || ':' || strftime(w, '%Y-%m-%dt%H:%M:%S+09:00')
+  WHEN 3 THEN 'technology:claude-watermark' ELSE '' END AS signature FROM e"""
+
+
+def trigrams(c: str) -> str:
+    return f"list_distinct(list_transform(range(1, greatest(length({c}) - 2, 1) + 1), lambda i: substr({c}, i, 3)))"
+
+
+ORACLES["text_overlap"] = rf"""
+WITH t AS (SELECT conv_id, turn, regexp_replace(lower(text), '[^0-9a-z\x{{3040}}-\x{{30ff}}\x{{3400}}-\x{{9fff}}]+', '', 'g') AS own FROM conversations),
+p AS (SELECT *, coalesce(lag(own) OVER (PARTITION BY conv_id ORDER BY turn), '') AS ref FROM t)
+SELECT conv_id, turn, length(own) AS n, own <> '' AND ref <> '' AND (own = ref OR CASE WHEN length(own) < 12 THEN contains(ref, own)
+  ELSE len(list_intersect({trigrams('own')}, {trigrams('ref')})) / len({trigrams('own')}) >= 0.68 END) AS overlap FROM p"""

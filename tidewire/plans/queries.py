@@ -144,7 +144,7 @@ def registry_problems(spark, sf):
 
 @query
 def payload_outcomes(spark, sf):
-    rules = registry.prepared_rules(fixtures.feed_registry(spark, sf))
+    rules = registry.prepared_rules(registry.usable_feeds(fixtures.feed_registry(spark, sf)))
     parsed = payloads.parse_payloads(payloads.decode_payloads(fixtures.feed_payloads(spark, sf), rules))
     outcome = payloads.feed_failures(parsed, rules)
     return outcome.select("feed_id", "ok", F.array_join("reasons", ", ").alias("reasons"))
@@ -152,7 +152,7 @@ def payload_outcomes(spark, sf):
 
 @query
 def entry_conversion(spark, sf):
-    rules = registry.prepared_rules(fixtures.feed_registry(spark, sf))
+    rules = registry.prepared_rules(registry.usable_feeds(fixtures.feed_registry(spark, sf)))
     parsed = payloads.parse_payloads(payloads.decode_payloads(fixtures.feed_payloads(spark, sf), rules))
     found = entries.candidates(payloads.entries(parsed), rules, LATIN)
     return found.select("id", "title", "description", "url", "source_name", "publisher_id", "category", "published_at", "priority", "primary_source")
@@ -161,7 +161,7 @@ def entry_conversion(spark, sf):
 @query
 def rule_filter(spark, sf):
     """Include and exclude patterns of each source over the whole text of its documents."""
-    rules = registry.prepared_rules(fixtures.feed_registry(spark, sf))
+    rules = registry.prepared_rules(registry.usable_feeds(fixtures.feed_registry(spark, sf)))
     docs = tables.table(spark, sf, "documents").withColumn("feed_id", F.col("source"))
     kept = docs.join(rules.select("feed_id", "includeTitlePatterns", "excludeTitlePatterns"), "feed_id").filter(
         registry.text_passes(F.col("text"), F.col("includeTitlePatterns"), F.col("excludeTitlePatterns"))
@@ -187,7 +187,7 @@ def desk_category(spark, sf):
 @query
 def linked_page_rules(spark, sf):
     """Allow-list decision for every page URL."""
-    pages = tables.page_items(spark, sf)
+    pages = tables.page_items(spark, sf).withColumn("url", urls.canonical_url(F.col("url")))
     hosts = F.array(F.lit("example.com"), F.lit("example.org"))
     prefixes = F.array(F.lit("/en/"), F.lit("/fr/"))
     return pages.select("page_id", urls.linked_page_allowed(F.col("url"), hosts, prefixes, F.lit(False)).alias("allowed"))

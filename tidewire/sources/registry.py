@@ -119,6 +119,11 @@ def registry_problems(registry: DataFrame) -> DataFrame:
     return checked.select("id", F.explode(broken).alias("rule"))
 
 
+def usable_feeds(registry: DataFrame) -> DataFrame:
+    """Registry rows that break no rule."""
+    return registry.join(registry_problems(registry), "id", "left_anti")
+
+
 def prepared_rules(registry: DataFrame) -> DataFrame:
     """Registry rows as a join dimension: one regex per rule, host lists completed, defaults applied.
 
