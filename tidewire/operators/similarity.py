@@ -17,63 +17,74 @@ overlap counts before the sequence ratio is computed in Arrow batches.
 from __future__ import annotations
 
 import math
+import zlib
+from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewire.functions.text import grams, jaccard, title_likeness
+from tidewire.functions.text import TEXTS, arrow, each, grams, jaccard, title_likeness
 
-NO_TOKENS = "array<string>"
+EPSILON = 1e-9
+INDEX = T.StructType([T.StructField("grams", TEXTS), T.StructField("set", TEXTS), T.StructField("tokens", TEXTS)])
+_INDEX = pa.struct([(name, pa.list_(pa.string())) for name in ("grams", "set", "tokens")])
 
 
-def numbered(items: Column, tag: str) -> Column:
-    """Tag each item with its occurrence number, so that a multiset becomes a set."""
-    return F.transform(
-        items,
-        lambda g, i: F.concat(
-            F.lit(tag), g, F.lit("#"), F.size(F.filter(F.slice(items, F.lit(1), i), lambda h: h == g)).cast("string")
-        ),
-    )
+def numbered(items: list[str], tag: str) -> list[str]:
+    """Each item with its occurrence number, so that a multiset becomes a set."""
+    seen: Counter[str] = Counter()
+    out = []
+    for item in items:
+        seen[item] += 1
+        out.append(f"{tag}{item}{seen[item]}")
+    return out
 
 
-def prefix(tokens: Column, size: Column) -> Column:
-    ordered = F.transform(tokens, lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("t")))
-    return F.transform(F.slice(F.array_sort(ordered), F.lit(1), F.greatest(size, F.lit(0)).cast("int")), lambda x: x["t"])
+def prefix(tokens: list[str], shared: float) -> list[str]:
+    """The start, in the fixed order, that meets every set sharing at least `shared` of these tokens."""
+    size = len(tokens) - max(1, math.ceil(shared - EPSILON)) + 1
+    return sorted(tokens, key=lambda t: (zlib.crc32(t.encode()), t))[:max(size, 0)]
 
 
-def indexed(df: DataFrame, title: str, threshold: float) -> DataFrame:
-    """Add `__grams` (all numbered bigrams), `__set` (distinct bigrams) and `__tokens` (the index entries)."""
-    gain = 1.5 * threshold - 1
-    if gain <= 0:
+def title_index(title: str, threshold: float) -> dict[str, list[str]]:
+    gain, total = 1.5 * threshold - 1, 2 * len(title) / (2 - threshold)  # total: least len(a) + len(b) of a match
+    pairs = [title[i:i + 2] for i in range(max(1, len(title) - 1))]
+    marked, distinct = numbered(pairs, "m"), sorted(set(pairs))
+    tokens = prefix(marked, gain * total - 1) + prefix(["s" + p for p in distinct], threshold * len(distinct))
+    if len(title) * gain <= 1:
+        tokens += prefix(numbered(list(title), "u"), threshold * total / 2)
+    return {"grams": marked, "set": distinct, "tokens": tokens}
+
+
+def indexed(df: DataFrame, title: str, threshold: float, side: str) -> DataFrame:
+    """Add the index entries of each title and what is needed to judge a pair."""
+    if threshold <= 2 / 3:
         raise ValueError("the blocking bound needs a threshold above 2/3")
-    length = F.length(title)
-    starts = F.sequence(F.lit(1), F.greatest(length - 1, F.lit(1)))
-    characters = F.filter(F.split(F.col(title), ""), lambda ch: ch != "")
-    smallest_total = 2 * length / (2 - threshold)
-    df = df.withColumn("__all", F.transform(starts, lambda i: F.substring(F.col(title), i, F.lit(2))))
-    df = df.withColumn("__chars", F.when(length <= F.lit(1 / gain), characters).otherwise(F.array().cast(NO_TOKENS)))
-    df = df.withColumn("__grams", numbered(F.col("__all"), "m"))
-    df = df.withColumn("__set", grams(F.col(title)))
-    shared = F.greatest(F.lit(1), F.ceil(gain * smallest_total - 1 - 1e-9))
-    same = F.greatest(F.lit(1), F.ceil(F.lit(threshold) * F.size("__set") - 1e-9))
-    letters = F.greatest(F.lit(1), F.ceil(F.lit(threshold) * smallest_total / 2 - 1e-9))
-    tokens = F.concat(
-        prefix(F.col("__grams"), F.size("__grams") - shared + 1),
-        prefix(F.transform("__set", lambda g: F.concat(F.lit("s"), g)), F.size("__set") - same + 1),
-        prefix(numbered(F.col("__chars"), "u"), F.size("__chars") - letters + 1),
-    )
-    return df.withColumn("__tokens", tokens).drop("__all", "__chars")
+
+    @arrow(INDEX)
+    def index(titles: pa.Array) -> pa.Array:
+        return each(titles, lambda v: title_index(v, threshold), _INDEX)
+
+    df = df.withColumn("__i", index(F.col(title)))
+    return df.select(
+        "*",
+        F.col("__i.grams").alias(f"{side}__grams"),
+        F.col("__i.set").alias(f"{side}__set"),
+        F.col("__i.tokens").alias(f"{side}__tokens"),
+    ).withColumn("__token", F.explode(f"{side}__tokens")).drop("__i")
 
 
 def possible(left: str, right: str, threshold: float) -> Column:
     """Necessary condition for the score to reach the threshold, from lengths and overlap counts alone."""
     gain = 1.5 * threshold - 1
-    a, b = F.length("__ltext"), F.length("__rtext")
-    overlap = F.size(F.array_intersect(F.col(f"{left}__grams"), F.col(f"{right}__grams")))
-    by_ratio = (F.least(a, b) * (2 - threshold) >= F.greatest(a, b) * threshold - 1e-9) & (
-        overlap >= gain * (a + b) - 1 - 1e-9
+    a, b = F.length(left), F.length(right)
+    overlap = F.size(F.array_intersect("l__grams", "r__grams"))
+    by_ratio = (F.least(a, b) * (2 - threshold) >= F.greatest(a, b) * threshold - EPSILON) & (
+        overlap >= gain * (a + b) - 1 - EPSILON
     )
-    return by_ratio | (jaccard(F.col(f"{left}__set"), F.col(f"{right}__set")) >= threshold - 1e-12)
+    return by_ratio | (jaccard(F.col("l__set"), F.col("r__set")) >= threshold - EPSILON)
 
 
 def similar_pairs(
@@ -89,19 +100,34 @@ def similar_pairs(
     """Pairs of rows whose normalised titles score at least `threshold`, with `similarity`.
 
     The columns of both sides must have different names except the equi-join columns `on`. Titles are compared
-    as (left, right): the sequence ratio depends on the order. `broadcast_right` is for a right side whose
-    number of rows is bounded by construction.
+    as (left, right): the sequence ratio depends on the order. A pair that shares several tokens is judged at the
+    first of them only, so no distinct is needed. `broadcast_right` is for a right side whose number of rows is
+    bounded by construction.
     """
-    a = indexed(left, left_title, threshold).withColumnsRenamed({"__grams": "l__grams", "__set": "l__set"})
-    b = indexed(right, right_title, threshold).withColumnsRenamed({"__grams": "r__grams", "__set": "r__set"})
-    a = a.withColumn("__token", F.explode("__tokens")).drop("__tokens")
-    b = b.withColumn("__token", F.explode("__tokens")).drop("__tokens")
-    if broadcast_right:
-        b = F.broadcast(b)
-    met = a.join(b, [*on, "__token"]).withColumns({"__ltext": F.col(left_title), "__rtext": F.col(right_title)})
+    a, b = indexed(left, left_title, threshold, "l"), indexed(right, right_title, threshold, "r")
+    met = a.join(F.broadcast(b) if broadcast_right else b, [*on, "__token"])
     if extra is not None:
         met = met.filter(extra)
-    plain = [c for c in met.columns if not c.startswith("__") and "__" not in c]
-    met = met.filter(possible("l", "r", threshold)).select(*plain).distinct()
+    met = met.filter(F.array_min(F.array_intersect("l__tokens", "r__tokens")) == F.col("__token"))
+    met = met.filter(possible(left_title, right_title, threshold))
+    met = met.select(*[c for c in met.columns if "__" not in c])
     scored = met.withColumn("similarity", title_likeness(F.col(left_title), F.col(right_title)))
     return scored.filter(F.col("similarity") >= threshold)
+
+
+def jaccard_pairs(df: DataFrame, title: str, threshold: float, on: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of distinct normalised titles (left < right) whose bigram Jaccard reaches the threshold, without Python."""
+    df = df.select(*on, title).distinct().filter(F.col(title) != "")
+    df = df.withColumn("set", grams(F.col(title)))
+    shared = F.greatest(F.lit(1), F.ceil(threshold * F.size("set") - EPSILON))
+    ordered = F.array_sort(F.transform("set", lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
+    kept = F.slice(ordered, F.lit(1), (F.size("set") - shared + 1).cast("int"))
+    df = df.withColumn("__token", F.explode(F.transform(kept, lambda x: x["g"])))
+    a = df.withColumnsRenamed({title: "left_title", "set": "left_set"})
+    b = df.withColumnsRenamed({title: "right_title", "set": "right_set"})
+    sizes = [F.size("left_set"), F.size("right_set")]
+    met = a.join(b, [*on, "__token"]).filter(
+        (F.col("left_title") < F.col("right_title")) & (F.least(*sizes) >= F.greatest(*sizes) * threshold - EPSILON)
+    )
+    met = met.withColumn("jaccard", jaccard(F.col("left_set"), F.col("right_set")))
+    return met.filter(F.col("jaccard") >= threshold).select(*on, "left_title", "right_title", "jaccard").distinct()

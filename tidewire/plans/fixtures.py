@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import slots, text
-from tidewire.functions.profiles import CATEGORIES, Profile
+from tidewire.functions.profiles import CATEGORIES, LATIN, Profile
 from tidewire.operators import articles as art
-from tidewire.operators import dedup
+from tidewire.operators import dedup, sinks
 from tidewire.sources import tables
 from tidewire.sources.registry import FEED_FIELDS
 
@@ -178,11 +179,12 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         {
             "article_type": F.when(F.col("position") % 3 == 0, F.lit("feature")).otherwise(F.lit("brief")),
             "slug": F.concat_ws("-", "edition_id", F.substring("id", 1, 8)),
-            "dek": F.col("title"),
+            "dek": F.when(F.col("position") % 2 == 0, F.concat(F.lit("1月1日 10:50更新。"), "title")).otherwise(F.col("title")),
             "summary": F.col("description"),
             "desk_lens": F.when(F.col("position") % 3 == 0, F.lit("event")).otherwise(""),
             "event_keys": F.array(F.concat(F.lit("event "), (F.col("position") % 4).cast("string"))),
-            "facts": none, "impact": none, "background": F.lit(""), "watch": none, "body": F.array("description"),
+            "facts": text.pieces(text.squash(F.col("description")), LATIN), "impact": none, "background": F.lit(""), "watch": none,
+            "body": F.array("description"),
             "tags": F.array("category"),
         }
     )
@@ -192,3 +194,37 @@ def edition_windows(articles: DataFrame) -> DataFrame:
     """The window of every edition that has articles."""
     ends = articles.select(slots.slot_end(F.col("published_at")).alias("window_end")).distinct()
     return ends.select("window_end", slots.slot_start(F.col("window_end")).alias("window_start"), slots.edition_id(F.col("window_end")).alias("edition_id"))
+
+
+def archive(articles: DataFrame) -> DataFrame:
+    """Index rows of the editions, `place` 0 for the newest; the number of editions grows with time, not with rows."""
+    rows = sinks.archive_rows(articles, edition_windows(articles), F.lit(dt.datetime(2024, 3, 1)).cast("timestamp_ntz"))
+    place = F.row_number().over(Window.orderBy(F.desc("edition_id"))) - 1
+    return rows.withColumns({"place": place, "is_sample": F.lit(False)})
+
+
+def edition_times(articles: DataFrame) -> DataFrame:
+    """(edition_id, generated_at): the wall-clock end of each edition as its generation time."""
+    return edition_windows(articles).select("edition_id", F.col("window_end").alias("generated_at"))
+
+
+def stored_articles(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as stored articles of three schema generations, one JSON text each."""
+    rows = tables.candidates(spark, sf)
+    n = F.col("ord")
+    link = F.struct(F.col("title").alias("title"), "url")
+    newest = F.to_json(
+        F.struct(
+            "id", "title", F.col("description").alias("summary"), F.lit("経済").alias("category"), F.col("priority").alias("importance"),
+            F.lit("feature").alias("articleType"), F.lit(2).alias("sourceCount"),
+            F.array(F.struct(F.col("source_name").alias("name"), F.col("publisher_id").alias("publisherId"), F.array(link, link).alias("links"), F.col("primary_source").alias("isPrimary"))).alias("sources"),
+        )
+    )
+    older = F.to_json(
+        F.struct(
+            "id", F.col("title").alias("headline"), F.col("description").alias("description"), F.lit(" Business ").alias("section"), (F.col("priority") + 3).alias("priority"),
+            F.lit("SHORT").alias("storyType"), F.array("url", F.lit("ftp://nowhere/"), "url").alias("references"),
+        )
+    )
+    oldest = F.to_json(F.struct("id", "title", F.array(F.col("title"), F.col("title")).alias("keyFacts"), F.lit("mystery").alias("category"), F.col("url").alias("unused")))
+    return rows.select("ord", F.when(n % 3 == 0, newest).when(n % 3 == 1, older).otherwise(oldest).alias("json"))

@@ -270,3 +270,277 @@ def text_overlap(spark, sf):
     turns = turns.withColumn("references", F.array(F.coalesce(before, F.lit(""))))
     overlap = text.text_overlap(F.col("own"), F.col("references"))
     return turns.select("conv_id", "turn", F.length("own").alias("n"), overlap.alias("overlap"))
+
+
+# ---- similarity, quotas, clusters, selection -----------------------------------------------------------------
+
+def titled(spark, sf) -> DataFrame:
+    rows = tables.with_edition(tables.candidates(spark, sf))
+    return rows.withColumn("title_norm", text.title_norm_of("title")).filter("title_norm <> ''")
+
+
+@query
+def title_jaccard_pairs(spark, sf):
+    pairs = similarity.jaccard_pairs(titled(spark, sf), "title_norm", 0.78, on=("edition_id", "category"))
+    return pairs.withColumn("jaccard", F.round("jaccard", 6))
+
+
+@query
+def title_similarity_pairs(spark, sf):
+    """Full score (sequence ratio, Jaccard, containment) between distinct titles of an edition and category."""
+    rows = titled(spark, sf).select("edition_id", "category", "title_norm").distinct()
+    left = rows.withColumnRenamed("title_norm", "left_title")
+    right = rows.withColumnRenamed("title_norm", "right_title")
+    distinct = F.col("left_title") < F.col("right_title")
+    return similarity.similar_pairs(left, right, "left_title", "right_title", 0.78, ("edition_id", "category"), distinct)
+
+
+@query
+def fuzzy_seen_filter(spark, sf):
+    """New documents whose title resembles none of the 350 newest stories within 36 hours."""
+    items = tables.with_edition(tables.candidates(spark, sf))
+    stories = fixtures.published_stories(items)
+    return dedup.filter_seen(items.filter(~fixtures.already_published()), stories).select("id", "edition_id", "primary_source")
+
+
+@query
+def publisher_quota(spark, sf):
+    """Rows the quotas can still select, by edition and publisher."""
+    rows = tables.with_edition(tables.candidates(spark, sf))
+    keys = selection.quota_prefilter(selection.ranking_keys(selection.usable(rows, LATIN), LATIN), total=12, per_publisher=1)
+    return keys.select("edition_id", "publisher", "category", "ord")
+
+
+@query
+def candidate_limiter(spark, sf):
+    rows = selection.limit_candidates(tables.with_edition(tables.candidates(spark, sf)), LATIN)
+    return rows.select("edition_id", "id", "pos")
+
+
+def prepared(spark, sf) -> DataFrame:
+    """Limited and described candidates of every edition, at most 24 each; read by several joins."""
+    rows = selection.limit_candidates(tables.with_edition(tables.candidates(spark, sf)), LATIN)
+    return clusters.lead_ordered(cut_lineage(clusters.described(rows, LATIN)))
+
+
+@query
+def event_clusters(spark, sf):
+    rows = clusters.ordered_clusters(clusters.cluster_rows(clusters.event_clusters(prepared(spark, sf))))
+    lead = F.col("lead")
+    return rows.select(
+        "edition_id", "place", F.size("members").alias("members"), lead["id"].alias("lead"), "importance", "grounded_chars",
+        clusters.modal_category(F.col("members"), lead).alias("desk"),
+    )
+
+
+@query
+def same_event_clusters(spark, sf):
+    rows = clusters.cluster_rows(clusters.feature_clusters(prepared(spark, sf)))
+    return rows.select("edition_id", "cluster", F.size("members").alias("members"), F.col("lead.id").alias("lead"), "importance")
+
+
+@query
+def diverse_selection(spark, sf):
+    rows = drafts.chosen_clusters(prepared(spark, sf), ())
+    return rows.select("edition_id", "pick", F.col("lead.id").alias("lead"), "category", "importance", F.size("publishers").alias("publishers"))
+
+
+@query
+def edition_articles(spark, sf):
+    """The whole run over every edition: context, limits, clusters, features, briefs, evidence, articles."""
+    rows = tables.with_edition(tables.candidates(spark, sf))
+    context = edition_run.context_for(rows, rows)
+    found = edition_run.edition_articles(rows, context, F.lit(dt.datetime(2024, 3, 1)).cast("timestamp_ntz"), LATIN)
+    return found.select(
+        "edition_id", "position", "id", "title", "article_type", "importance", "source_count", "publisher_count",
+        F.size("facts").alias("facts"), F.size("impact").alias("impact"), F.size("watch").alias("watch"), "dek",
+    )
+
+
+# ---- articles and editions ------------------------------------------------------------------------------------
+
+@query
+def evidence_by_publisher(spark, sf):
+    rows = art.sources_by_publisher(fixtures.cited_rows(spark, sf), LATIN)
+    s = F.col("source")
+    return rows.select(
+        "edition_id", "position", "first_at", s["name"].alias("name"), s["publishedAt"].alias("published"), F.size(s["links"]).alias("links"),
+        F.array_join(F.transform(s["links"], lambda x: x["url"]), " ").alias("urls"), F.array_join(s["keyPoints"], " | ").alias("key_points"),
+        s["type"].alias("type"), s["isPrimary"].alias("is_primary"),
+    )
+
+
+@query
+def article_measures(spark, sf):
+    rows = art.evidence_measures(fixtures.cited_rows(spark, sf))
+    return rows.select(
+        "edition_id", "position", "id", "published_at", "source_count", "fresh_source_count", "continuation_source_count",
+        F.array_join("continuation_origins", " ").alias("origins"), F.array_join("publisher_ids", " ").alias("publishers"), "has_primary",
+    )
+
+
+@query
+def importance_score(spark, sf):
+    cited = fixtures.cited_rows(spark, sf).withColumn("alert", F.col("title").rlike("(?U)" + LATIN.alert_words))
+    scored = cited.groupBy("edition_id", "position").agg(
+        F.avg("priority").alias("mean"), F.bool_or("alert").alias("alert"), F.count_distinct("publisher_id").alias("publisher_count"),
+        F.bool_or("primary_source").alias("has_primary"), F.min("published_at").alias("published_at"), F.min("ord").alias("first"),
+    )
+    raw = clusters.importance(F.col("mean"), F.col("publisher_count"), F.col("alert"))
+    scored = scored.withColumn("importance", art.capped_importance(raw, F.col("publisher_count"), F.col("has_primary")))
+    return art.promote_lead(scored).select("edition_id", "first", "importance", "position")
+
+
+@query
+def edition_stats(spark, sf):
+    stats = art.edition_stats(fixtures.articles(spark, sf))
+    return stats.select(
+        "edition_id", "article_count", "important_count", "source_count", "publisher_count", F.to_json("category_counts").alias("categories"),
+        F.to_json("publisher_counts").alias("publishers"), F.to_json("article_type_counts").alias("types"),
+        art.edition_summary(F.col("article_count"), F.col("important_count"), F.col("publisher_count")).alias("summary"),
+        art.digest_lead(F.col("article_count"), F.col("important_count")).alias("opening"),
+    )
+
+
+@query
+def digest_listing(spark, sf):
+    rows = art.digest_listing(fixtures.articles(spark, sf))
+    return rows.select("edition_id", "category_rank", "category", "position", "source_no", "link_no", "label", "url", "published")
+
+
+@query
+def reading_body(spark, sf):
+    """Body paragraphs without mutual containment, over the sentences of each document."""
+    rows = tables.candidates(spark, sf).withColumn("parts", text.pieces(text.squash(F.col("description")), LATIN))
+    paragraphs = F.concat(F.array("title"), F.col("parts"))
+    return rows.withColumn("paragraphs", paragraphs).select("id", F.size(art.reading_body(F.col("paragraphs"))).alias("kept"), F.size("paragraphs").alias("given"))
+
+
+@query
+def archive_upsert(spark, sf):
+    found = fixtures.articles(spark, sf)
+    existing = fixtures.archive(found.filter("importance >= 3"))
+    renewed = fixtures.archive(found).filter(F.col("place") % 2 == 0)
+    out = sinks.upsert_archive(existing, renewed)
+    return out.select("edition_id", "place", "label", "coverage_label", "headline", "article_count", F.to_json("categories").alias("categories"))
+
+
+@query
+def feed_items(spark, sf):
+    found = fixtures.articles(spark, sf)
+    return sinks.feed_items(fixtures.archive(found), found, "https://digest.example.org/")
+
+
+@query
+def source_mix_violations(spark, sf):
+    found = fixtures.articles(spark, sf)
+    one = found.withColumn("sources", F.filter("sources", lambda s: s["publisherId"].isin("src1", "src2")))
+    return gates.source_mix_violations(one, found)
+
+
+@query
+def feature_rule_violations(spark, sf):
+    rows = gates.feature_rules(fixtures.articles(spark, sf), LATIN)
+    return rows.select("edition_id", "position", F.array_join("violations", ", ").alias("violations"))
+
+
+@query
+def shared_feature_events(spark, sf):
+    return gates.shared_event_keys(fixtures.articles(spark, sf).filter("article_type = 'feature'"))
+
+
+@query
+def draft_ownership(spark, sf):
+    """Which proposal keeps each candidate when proposals overlap."""
+    rows = tables.with_edition(tables.candidates(spark, sf))
+    n = F.col("ord")
+    ids = F.array(F.concat(F.lit("d"), n), F.concat(F.lit("d"), n + 1), F.concat(F.lit("d"), n * 2))
+    proposals = rows.select("edition_id", n.alias("draft_no"), ids.alias("candidate_ids"))
+    return gates.owned_candidates(proposals, rows, None).select("edition_id", "draft_no", "n", "id")
+
+
+# ---- read side ---------------------------------------------------------------------------------------------------
+
+@query
+def article_search(spark, sf):
+    found = viewer.search(fixtures.articles(spark, sf), "the  Leau", haystack=F.concat_ws(" ", "title", "dek", "summary"))
+    rank = F.row_number().over(Window.partitionBy("edition_id").orderBy(*viewer.by_importance("id")))
+    return viewer.of_category(found, "all").select("edition_id", "id", "importance", rank.alias("rank"))
+
+
+@query
+def article_lookup(spark, sf):
+    found = fixtures.articles(spark, sf)
+    wanted = found.select(F.max("slug")).scalar()
+    return found.filter((F.col("id") == wanted) | (F.col("slug") == wanted)).select("edition_id", "id", "slug", "title")
+
+
+@query
+def bulletin_list(spark, sf):
+    return viewer.bulletin_list(fixtures.articles(spark, sf)).select("edition_id", "rank", "id", "updated_at")
+
+
+@query
+def desk_order(spark, sf):
+    return viewer.desk_order(fixtures.articles(spark, sf)).select("edition_id", "category", "rank", "id")
+
+
+@query
+def related_articles(spark, sf):
+    return viewer.related_articles(fixtures.articles(spark, sf))
+
+
+@query
+def recent_features(spark, sf):
+    found = fixtures.articles(spark, sf)
+    few = found.filter((F.col("article_type") == "brief") | (F.col("position") % 2 == 0))
+    return viewer.recent_features(few, fixtures.edition_times(found), visible=9).select("edition_id", "rank", "from_edition", "id")
+
+
+@query
+def front_page(spark, sf):
+    found = fixtures.articles(spark, sf)
+    recent = viewer.recent_features(found, fixtures.edition_times(found))
+    return viewer.front_page(found, recent).select("edition_id", "rank", "from_edition", "id")
+
+
+@query
+def publisher_network(spark, sf):
+    rows = viewer.publisher_network(fixtures.articles(spark, sf))
+    return rows.select("edition_id", "rank", "publisher", "name", "url", "articles", "primary_articles")
+
+
+@query
+def distinct_originals(spark, sf):
+    return viewer.distinct_originals(fixtures.articles(spark, sf)).select("edition_id", "url", "is_continuation")
+
+
+@query
+def edition_overview(spark, sf):
+    return viewer.edition_overview(fixtures.articles(spark, sf))
+
+
+@query
+def archive_list(spark, sf):
+    found = fixtures.articles(spark, sf)
+    return viewer.archive_list(fixtures.edition_times(found)).select("edition_id", "generated_at")
+
+
+@query
+def stored_article_forms(spark, sf):
+    rows = fixtures.stored_articles(spark, sf).withColumn("article", F.try_parse_json("json")).drop("json")
+    rows = viewer.normalize_articles(rows)
+    return rows.select(
+        "ord", "id", "title", "category", "importance", "article_type", "source_count", "publisher_count", "fresh_source_count",
+        F.size("facts").alias("facts"), F.array_join(F.flatten(F.transform("sources", lambda s: F.transform(s["links"], lambda x: x["url"]))), " ").alias("urls"),
+    )
+
+
+@query
+def material_updates(spark, sf):
+    """Conversation turns as update notes."""
+    kinds = F.get(F.array(F.lit("auto"), F.lit("correction"), F.lit("")), (F.col("turn") % 3).cast("int"))
+    note = F.when(F.col("conv_id") % 2 == 0, F.lit("要約・出典情報を更新")).otherwise(F.col("text"))
+    update = F.struct(note.alias("text"), kinds.alias("kind"), F.when(F.col("conv_id") % 5 == 0, F.col("turn") == 1).alias("material"))
+    turns = tables.table(spark, sf, "conversations").withColumn("update", update)
+    return turns.select("conv_id", "turn", viewer.material_update(F.col("update")).alias("material"))
