@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -356,10 +357,10 @@ def normalize_articles(df: DataFrame, article: str = "article") -> DataFrame:
         }
     )
     first_fact = F.coalesce(F.get("facts", F.lit(0)), F.lit(""))
-    urls = F.array_distinct(F.flatten(F.transform("sources", lambda s: F.transform(s["links"], lambda x: x["url"]))))
+    urls = F.array_distinct(F.flatten(F.transform("sources", lambda s: F.transform(s["links"], lambda x: safe_external_url(x["url"])))))
     identifier = F.coalesce(_first(v, "id", "slug"), F.regexp_replace(F.lower("title"), r"(?U)[^\p{L}\p{N}]+", "-"))
     declared_count = lambda p: F.try_variant_get(v, f"$.{p}", "int")
-    source_count = F.coalesce(F.when(declared_count("sourceCount") > 0, declared_count("sourceCount")), F.nullif(F.size(urls), F.lit(0)), F.size("sources"))
+    source_count = F.coalesce(F.when(declared_count("sourceCount") > 0, declared_count("sourceCount")), F.nullif(F.size(F.array_compact(urls)), F.lit(0)), F.size("sources"))
     continued = F.greatest(F.coalesce(declared_count("continuationSourceCount"), F.lit(0)), F.lit(0))
     df = df.withColumns(
         {
@@ -393,11 +394,10 @@ def search(df: DataFrame, query: str, columns: Sequence[str] = SEARCHED, lists:
     if haystack is None:
         haystack = F.concat_ws(" ", *columns, *[F.array_join(c, " ") for c in lists])
     df = text.comparison_text(df, "__haystack", haystack)
-    spark = df.sparkSession
-    terms = text.comparison_text(spark.range(1).select(F.explode(F.split(F.lit(query.strip()), text.SPACE)).alias("t")), "term", F.col("t"))
-    wanted = terms.filter("term <> ''").agg(F.collect_list("term").alias("terms"))
-    found = F.forall(wanted.scalar(), lambda t: F.contains(F.col("__haystack"), t))
-    return df.filter(found).drop("__haystack")
+    terms = [re.sub(text.NON_TITLE, "", text.wide(term).lower()) for term in query.split()]
+    for term in filter(None, terms):
+        df = df.filter(F.contains("__haystack", F.lit(term)))
+    return df.drop("__haystack")
 
 
 def article_haystack() -> Column:

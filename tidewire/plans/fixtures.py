@@ -228,3 +228,36 @@ def stored_articles(spark: SparkSession, sf: str) -> DataFrame:
     )
     oldest = F.to_json(F.struct("id", "title", F.array(F.col("title"), F.col("title")).alias("keyFacts"), F.lit("mystery").alias("category"), F.col("url").alias("unused")))
     return rows.select("ord", F.when(n % 3 == 0, newest).when(n % 3 == 1, older).otherwise(oldest).alias("json"))
+
+
+def stored_editions(spark: SparkSession, sf: str) -> DataFrame:
+    """Each article as a stored edition document of its own; the article number decides its declared source count."""
+    found = articles(spark, sf)
+    source = F.transform(
+        "sources",
+        lambda s: F.struct(
+            s["name"].alias("name"), s["publisherId"].alias("publisherId"), F.lit(None).cast("string").alias("url"), s["links"].alias("links"),
+            F.lit(None).cast("string").alias("publishedAt"), F.array(F.col("title"), F.concat(F.lit("point "), s["name"])).alias("keyPoints"),
+            F.lit("").alias("type"), s["isPrimary"].alias("isPrimary"),
+        ),
+    )
+    nothing = F.lit(None).cast("array<string>")
+    article = F.struct(
+        "title", "category", "importance", (F.col("position") % 4).cast("int").alias("sourceCount"), nothing.alias("facts"), nothing.alias("impactPoints"),
+        nothing.alias("watchPoints"), F.lit("").alias("background"), slots.iso_local(F.col("published_at")).alias("publishedAt"), source.alias("sources"),
+    )
+    return found.select(F.struct(F.col("edition_id").alias("id")).alias("edition"), F.array(article).alias("articles"))
+
+
+def proposals(rows: DataFrame) -> DataFrame:
+    """One external draft per document about itself and its successor."""
+    n = F.col("ord")
+    ids = F.array(F.concat(F.lit("d"), n), F.concat(F.lit("d"), n + 1), F.lit("unknown"))
+    sentences = text.pieces(text.squash(F.col("description")), LATIN)
+    return rows.select(
+        "edition_id", n.alias("draft_no"), ids.alias("candidate_ids"), "title", F.lit("").alias("dek"), F.col("description").alias("summary"), F.lit("").alias("why"),
+        F.when(n % 2 == 0, F.col("category")).otherwise("none").alias("category"), F.lit("feature").alias("article_type"), (n % 9).cast("int").alias("importance"),
+        F.array("category", "category").alias("tags"), F.slice(sentences, 1, 12).alias("facts"), F.array().cast("array<string>").alias("impact"),
+        F.lit("").alias("background"), F.array().cast("array<string>").alias("watch"),
+        F.create_map(F.concat(F.lit("d"), n), F.lit("note"), F.lit("stranger"), F.lit("dropped")).alias("source_notes"),
+    )

@@ -306,3 +306,300 @@ WITH t AS (SELECT conv_id, turn, regexp_replace(lower(text), '[^0-9a-z\x{{3040}}
 p AS (SELECT *, coalesce(lag(own) OVER (PARTITION BY conv_id ORDER BY turn), '') AS ref FROM t)
 SELECT conv_id, turn, length(own) AS n, own <> '' AND ref <> '' AND (own = ref OR CASE WHEN length(own) < 12 THEN contains(ref, own)
   ELSE len(list_intersect({trigrams('own')}, {trigrams('ref')})) / len({trigrams('own')}) >= 0.68 END) AS overlap FROM p"""
+
+# ---- similarity and quotas -------------------------------------------------------------------------------
+
+EDITIONED = f"{CAND}, ed AS (SELECT *, {edition('published_at')} AS edition_id FROM cand)"
+
+
+def bigrams(c: str) -> str:
+    return f"list_distinct(list_transform(range(1, greatest(length({c}) - 1, 1) + 1), lambda i: substr({c}, i, 2)))"
+
+
+ORACLES["title_jaccard_pairs"] = f"""
+WITH {EDITIONED}, t AS (SELECT DISTINCT category, {title_norm('title')} AS t FROM ed), g AS (SELECT *, {bigrams('t')} AS s FROM t WHERE t <> ''),
+p AS (SELECT category, a.t AS left_title, b.t AS right_title, len(list_intersect(a.s, b.s)) AS k, len(a.s) + len(b.s) AS n
+  FROM g a JOIN g b USING (category) WHERE a.t < b.t)
+SELECT category, left_title, right_title, round(k / (n - k), 6) AS jaccard FROM p WHERE k / (n - k) >= 0.72"""
+
+QUOTA_ORDER = "priority DESC, published_at DESC, ord"
+USABLE = f"{EDITIONED}, ok AS (SELECT * FROM ed WHERE regexp_matches(title, '[A-Za-z]'))"
+
+ORACLES["publisher_quota"] = f"""
+WITH {USABLE}, r AS (SELECT * FROM ok QUALIFY row_number() OVER (PARTITION BY edition_id, source_name, category ORDER BY {QUOTA_ORDER}) <= 1),
+h AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY edition_id, source_name ORDER BY {QUOTA_ORDER}) = 1),
+top AS (SELECT edition_id, source_name FROM h QUALIFY row_number() OVER (PARTITION BY edition_id ORDER BY {QUOTA_ORDER}) <= 12)
+SELECT edition_id, source_name AS publisher, category, ord FROM r JOIN top USING (edition_id, source_name)"""
+
+
+def limiter(total: int = 24, per_publisher: int = 6) -> str:
+    """The three passes of the limiter, one step per category."""
+    steps = [
+        f"u AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY {QUOTA_ORDER}) AS place FROM ok)",
+        f"""s0 AS MATERIALIZED (SELECT edition_id, place, source_name, 0 AS pass FROM u
+          QUALIFY row_number() OVER (PARTITION BY edition_id, source_name ORDER BY place) = 1),
+        p0 AS MATERIALIZED (SELECT * FROM s0 QUALIFY row_number() OVER (PARTITION BY edition_id ORDER BY place) <= {total})""",
+    ]
+    for i, category in enumerate(CATEGORIES):
+        steps.append(
+            f"""n{i} AS MATERIALIZED (SELECT edition_id, count(*) AS taken FROM p{i} GROUP BY 1),
+        c{i} AS MATERIALIZED (SELECT edition_id, source_name, count(*) AS used FROM p{i} GROUP BY 1, 2),
+        f{i} AS MATERIALIZED (SELECT u.edition_id, u.place, u.source_name FROM u LEFT JOIN c{i} c ON c.edition_id = u.edition_id AND c.source_name = u.source_name
+          WHERE u.category = '{category}' AND coalesce(used, 0) < {per_publisher}
+            AND NOT EXISTS (SELECT 1 FROM p{i} p WHERE p.edition_id = u.edition_id AND p.place = u.place)
+          QUALIFY row_number() OVER (PARTITION BY u.edition_id, u.source_name ORDER BY u.place) = 1),
+        g{i} AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY place) AS k FROM f{i}),
+        p{i + 1} AS MATERIALIZED (SELECT * FROM p{i} UNION ALL SELECT g.edition_id, g.place, g.source_name, {i + 1}
+          FROM g{i} g JOIN n{i} n ON n.edition_id = g.edition_id WHERE g.k <= least(4, {total} - n.taken))"""
+        )
+    last = len(CATEGORIES)
+    steps.append(
+        f"""nl AS MATERIALIZED (SELECT edition_id, count(*) AS taken FROM p{last} GROUP BY 1),
+        cl AS MATERIALIZED (SELECT edition_id, source_name, count(*) AS used FROM p{last} GROUP BY 1, 2),
+        rl AS MATERIALIZED (SELECT u.edition_id, u.place, u.source_name, row_number() OVER (PARTITION BY u.edition_id, u.source_name ORDER BY u.place) AS r
+          FROM u WHERE NOT EXISTS (SELECT 1 FROM p{last} p WHERE p.edition_id = u.edition_id AND p.place = u.place)),
+        fl AS MATERIALIZED (SELECT r.edition_id, r.place, r.source_name, row_number() OVER (PARTITION BY r.edition_id ORDER BY r.place) AS k
+          FROM rl r JOIN cl c ON c.edition_id = r.edition_id AND c.source_name = r.source_name WHERE r.r <= {per_publisher} - c.used),
+        taken AS (SELECT * FROM p{last} UNION ALL SELECT f.edition_id, f.place, f.source_name, {last + 1}
+          FROM fl f JOIN nl n ON n.edition_id = f.edition_id WHERE f.k <= {total} - n.taken)"""
+    )
+    return ",\n".join(steps)
+
+
+ORACLES["candidate_limiter"] = f"""
+WITH {USABLE}, {limiter()}
+SELECT t.edition_id, u.id, CAST(row_number() OVER (PARTITION BY t.edition_id ORDER BY t.pass, t.place) - 1 AS INT) AS pos
+FROM taken t JOIN u ON u.edition_id = t.edition_id AND u.place = t.place"""
+
+# ---- articles of six documents ---------------------------------------------------------------------------
+
+ISO = "strftime({} + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S+09:00')"
+CITED = f"""{CAND}, cited AS (
+  SELECT *, ord // 6 AS position, ord % 6 AS n, ord % 4 = 3 AS context_only, source_name AS publisher,
+    {edition("(TIMESTAMP '2024-01-01 00:00:00' + to_seconds((ord // 6) * 1800))")} AS edition_id,
+    CASE WHEN ord % 4 = 3 THEN {edition('published_at')} ELSE '' END AS origin FROM cand)"""
+ART = f"""{CITED}, grouped AS (
+  SELECT position, edition_id, min(published_at) AS published_at, max(published_at) AS updated_at, list_sort(list(DISTINCT url)) AS urls,
+    count(*) FILTER (NOT context_only) AS fresh, count(*) FILTER (context_only) AS continued,
+    list_sort(list(DISTINCT origin) FILTER (origin <> '')) AS origins, list_sort(list(DISTINCT publisher)) AS publishers, bool_or(primary_source) AS has_primary,
+    max(title) FILTER (n = 0) AS title, max(category) FILTER (n = 0) AS category, max(priority) FILTER (n = 0) AS importance, max(description) FILTER (n = 0) AS description
+  FROM cited GROUP BY 1, 2),
+art AS (SELECT *, substr(sha256(array_to_string(urls, '|')), 1, 16) AS id, len(publishers) AS publisher_count, len(urls) AS source_count,
+    edition_id || '-' || substr(sha256(array_to_string(urls, '|')), 1, 8) AS slug,
+    CASE WHEN position % 3 = 0 THEN 'feature' ELSE 'brief' END AS article_type,
+    CASE WHEN position % 2 = 0 THEN '1月1日 10:50更新。' || title ELSE title END AS dek FROM grouped),
+src AS (SELECT edition_id, position, publisher, min(published_at) AS first_at, bool_or(primary_source) AS is_primary, count(*) AS links,
+    arg_min(url, published_at) AS first_url FROM cited GROUP BY 1, 2, 3)"""
+
+
+def clip(c: str, limit: int) -> str:
+    start = f"rtrim(substr({c}, 1, {limit - 1}))"
+    bounded = f"regexp_extract({start}, '^(.*[。！？!?｜|：:])', 1)"
+    cut = f"CASE WHEN length({bounded}) - 1 >= {max(12, limit // 2)} THEN rtrim({bounded}, '｜|：: ') ELSE {start} END"
+    return f"CASE WHEN length({c}) <= {limit} THEN {c} ELSE rtrim({cut}, '、,・/／｜|：:-') || '…' END"
+
+
+ORACLES["evidence_by_publisher"] = f"""
+WITH {CITED}, c AS (SELECT *, {clip(squash('title'), 180)} AS label FROM cited),
+k AS (SELECT *, replace(lower(label), 'ß', 'ss') AS key FROM c),
+d AS (SELECT *, row_number() OVER (PARTITION BY position, publisher, key ORDER BY published_at) AS dup FROM k),
+m AS (SELECT *, row_number() OVER (PARTITION BY position, publisher, dup = 1 AND key <> '' ORDER BY published_at) AS nth FROM d)
+SELECT edition_id, position, min(published_at) AS first_at, publisher AS name,
+  {ISO.format('max_by(published_at, struct_pack(a := primary_source, b := priority, c := length(description) > 0, d := published_at))')} AS published,
+  CAST(count(*) AS INT) AS links, string_agg(url, ' ' ORDER BY published_at) AS urls,
+  coalesce(string_agg(label, ' | ' ORDER BY published_at) FILTER (dup = 1 AND key <> '' AND nth <= 4), '') AS key_points,
+  CASE WHEN bool_or(primary_source) THEN '一次情報' ELSE '報道' END AS type, bool_or(primary_source) AS is_primary
+FROM m GROUP BY edition_id, position, publisher"""
+
+ORACLES["article_measures"] = f"""
+WITH {ART} SELECT edition_id, position, id, published_at, CAST(source_count AS INT) AS source_count, CAST(fresh AS INT) AS fresh_source_count,
+  CAST(continued AS INT) AS continuation_source_count, coalesce(array_to_string(origins, ' '), '') AS origins, array_to_string(publishers, ' ') AS publishers, has_primary FROM art"""
+
+ORACLES["importance_score"] = f"""
+WITH {CITED}, g AS (SELECT edition_id, position, min(published_at) AS published_at, min(ord) AS first, count(DISTINCT publisher) AS pubs, bool_or(primary_source) AS prim,
+  least(greatest(round_even(avg(priority), 0) + CASE WHEN count(DISTINCT publisher) >= 2 THEN 1 ELSE 0 END
+    + CASE WHEN bool_or(regexp_matches(title, '{word("are|pas|ein|las")}')) THEN 1 ELSE 0 END, 1), 5) AS raw FROM cited GROUP BY 1, 2),
+c AS (SELECT *, CASE WHEN raw >= 4 AND pubs < 2 AND NOT prim THEN 3 ELSE raw END AS imp FROM g),
+o AS (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY imp DESC, published_at DESC, position) AS k, max(imp) OVER (PARTITION BY edition_id) AS top FROM c),
+f AS (SELECT *, min(CASE WHEN pubs >= 2 THEN k END) OVER (PARTITION BY edition_id) AS lead FROM o),
+l AS (SELECT *, CASE WHEN top < 4 AND k = lead THEN 4 ELSE imp END AS final FROM f)
+SELECT edition_id, first, CAST(final AS INT) AS importance, CAST(row_number() OVER (PARTITION BY edition_id ORDER BY final DESC, published_at DESC, k) - 1 AS INT) AS position FROM l"""
+
+
+def json_counts(source: str, value: str, out: str, where: str = "") -> str:
+    return f"""(SELECT edition_id, '{{' || string_agg('"' || v || '":' || n, ',' ORDER BY v) || '}}' AS {out}
+    FROM (SELECT edition_id, {value} AS v, count(*) AS n FROM {source} {where} GROUP BY 1, 2) GROUP BY 1)"""
+
+
+ORACLES["edition_stats"] = f"""
+WITH {ART}, e AS (SELECT edition_id, count(*) AS article_count, count(*) FILTER (importance >= 4) AS important_count FROM art GROUP BY 1),
+s AS (SELECT edition_id, count(DISTINCT url) AS source_count, count(DISTINCT publisher) AS publisher_count FROM cited GROUP BY 1),
+j AS (SELECT * FROM e JOIN s USING (edition_id) JOIN {json_counts('art', 'category', 'categories')} c USING (edition_id)
+  JOIN {json_counts('src', 'publisher', 'publishers')} p USING (edition_id) JOIN {json_counts('art', 'article_type', 'types')} t USING (edition_id))
+SELECT *, CASE WHEN important_count > 0 THEN '対象時間帯の' || publisher_count || '配信元のニュースを' || article_count || '本に整理しました。うち重要ニュースは' || important_count || '本です。'
+    ELSE '対象時間帯の' || publisher_count || '配信元の主なニュースを' || article_count || '本に整理しました。' END AS summary,
+  CASE WHEN important_count > 0 THEN article_count || '件を掲載。特に注目度の高いニュースは' || important_count || '件です。'
+    ELSE 'この時間帯の主なニュースを' || article_count || '件に整理しました。' END AS opening FROM j"""
+
+CATEGORY_RANK = "CASE a.category " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(CATEGORIES)) + " END"
+ORACLES["digest_listing"] = f"""
+WITH {ART}, s AS (SELECT *, CAST(row_number() OVER (PARTITION BY position ORDER BY first_at) - 1 AS INT) AS source_no FROM src)
+SELECT a.edition_id, CAST({CATEGORY_RANK} AS INT) AS category_rank, a.category, a.position, s.source_no,
+  CAST(row_number() OVER (PARTITION BY c.position, c.publisher ORDER BY c.published_at) - 1 AS INT) AS link_no,
+  CASE WHEN s.links > 1 AND c.title <> '' THEN c.publisher || '：' || c.title ELSE c.publisher END AS label, c.url, {ISO.format('c.published_at')} AS published
+FROM art a JOIN cited c ON c.position = a.position JOIN s ON s.position = c.position AND s.publisher = c.publisher"""
+
+
+def index_rows(articles: str) -> str:
+    return f"""(SELECT h.*, n, categories, CAST(row_number() OVER (ORDER BY h.edition_id DESC) - 1 AS INT) AS place
+    FROM (SELECT edition_id, published_at, title AS headline FROM {articles} QUALIFY row_number() OVER (PARTITION BY edition_id ORDER BY position) = 1) h
+    JOIN (SELECT edition_id, count(*) AS n FROM {articles} GROUP BY 1) c USING (edition_id) JOIN {json_counts(articles, 'category', 'categories')} k USING (edition_id))"""
+
+
+def labels(end: str) -> str:
+    start = f"({end} - CASE WHEN hour({end}) = 6 THEN INTERVAL 12 HOUR ELSE INTERVAL 6 HOUR END)"
+    return f"""CASE hour({end}) WHEN 6 THEN '朝6時版' WHEN 12 THEN '昼12時版' ELSE '夕方6時版' END AS label,
+    strftime({start}, '%m月%d日 %H:%M') || '〜' || strftime({end}, '%m月%d日 %H:%M') AS coverage_label"""
+
+
+ORACLES["archive_upsert"] = f"""
+WITH {ART}, big AS (SELECT * FROM art WHERE importance >= 3), old AS (SELECT *, 1 AS age FROM {index_rows('big')}),
+new AS (SELECT *, 0 AS age FROM {index_rows('art')} WHERE place % 2 = 0),
+one AS (SELECT * FROM (SELECT * FROM old UNION ALL SELECT * FROM new) QUALIFY row_number() OVER (PARTITION BY edition_id ORDER BY age, place) = 1),
+e AS (SELECT *, {slot_end('published_at')} AS e FROM one)
+SELECT edition_id, CAST(row_number() OVER (ORDER BY age, place) - 1 AS INT) AS place, {labels('e')}, headline, n AS article_count, categories FROM e
+QUALIFY row_number() OVER (ORDER BY age, place) <= 540"""
+
+ORACLES["feed_items"] = f"""
+WITH {ART}, i AS (SELECT edition_id, place FROM {index_rows('art')} WHERE place < 20),
+r AS (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY position) AS k FROM art)
+SELECT place, position, title, 'https://digest.example.org/?article=' || slug AS link, id AS guid, description,
+  strftime(published_at + INTERVAL 9 HOUR, '%a, %d %b %Y %H:%M:%S +0900') AS pub_date FROM r JOIN i USING (edition_id) WHERE k <= 5"""
+
+ORACLES["source_mix_violations"] = f"""
+WITH {ART}, e AS (SELECT DISTINCT edition_id FROM art), s AS (SELECT edition_id, count(DISTINCT publisher) AS p, bool_or(is_primary) AS prim FROM src
+  WHERE publisher = 'src3' GROUP BY 1), j AS (SELECT edition_id, coalesce(p, 0) AS p, prim FROM e LEFT JOIN s USING (edition_id))
+SELECT edition_id, CASE WHEN p = 0 THEN 'no sourced articles' ELSE 'single secondary publisher' END AS violation FROM j WHERE p = 0 OR (p = 1 AND NOT prim)"""
+
+COMPACT = r"[\s\p{Z}]+"
+ORACLES["feature_rule_violations"] = rf"""
+WITH {ART}, f AS (SELECT *, {sentence_list(squash('description'))} AS facts, CASE WHEN has_primary THEN 1 ELSE 2 END AS least_sources, {squash('title')} AS t FROM art WHERE article_type = 'feature'),
+v AS (SELECT edition_id, position, list_filter([
+  CASE WHEN source_count < least_sources THEN 'sources' END, CASE WHEN fresh < 1 THEN 'fresh' END,
+  CASE WHEN NOT has_primary AND publisher_count < 2 THEN 'publishers' END, CASE WHEN len(facts) < 3 THEN 'points' END,
+  CASE WHEN length(regexp_replace(array_to_string(facts, ' '), '{COMPACT}', '', 'g')) < 180 THEN 'material' END,
+  CASE WHEN length(regexp_replace(description, '{COMPACT}', '', 'g')) < 80 THEN 'summary' END,
+  CASE WHEN NOT regexp_matches(dek, '\d月\d日 \d\d:\d\d') THEN 'time scope' END, CASE WHEN len(urls) < least_sources THEN 'links' END,
+  CASE WHEN length(t) < 8 OR length(t) > 120 OR regexp_matches(t, '(\.\.\.|[/／｜|：:、,（(【「『\-])$') OR regexp_matches(t, '{CUT}') THEN 'title' END,
+  CASE WHEN regexp_matches(title, '{CUT}') OR regexp_matches(description, '{CUT}') OR len(list_filter(facts, lambda x: regexp_matches(x, '{CUT}'))) > 0 THEN 'copy' END],
+  lambda x: x IS NOT NULL) AS v FROM f)
+SELECT edition_id, position, array_to_string(v, ', ') AS violations FROM v"""
+
+ORACLES["shared_feature_events"] = f"""
+WITH {ART} SELECT edition_id, 'event ' || position % 4 AS key FROM art WHERE article_type = 'feature' GROUP BY 1, 2 HAVING count(*) > 1"""
+
+ORACLES["draft_ownership"] = f"""
+WITH {EDITIONED}, p AS (SELECT edition_id, ord AS draft_no, unnest([0, 1, 2]) AS n, unnest(['d' || ord, 'd' || ord + 1, 'd' || ord * 2]) AS id FROM ed),
+k AS (SELECT p.* FROM p JOIN ed ON ed.edition_id = p.edition_id AND ed.id = p.id)
+SELECT edition_id, draft_no, n, id FROM k QUALIFY row_number() OVER (PARTITION BY edition_id, id ORDER BY draft_no, n) = 1"""
+
+# ---- read side -------------------------------------------------------------------------------------------
+
+BEST = "importance DESC, updated_at DESC, id"
+COMPARED = r"regexp_replace(lower(title || ' ' || dek || ' ' || description), '[^0-9a-z\x{3040}-\x{30ff}\x{3400}-\x{9fff}]+', '', 'g')"
+
+ORACLES["article_search"] = f"""
+WITH {ART}, f AS (SELECT * FROM art WHERE contains({COMPARED}, 'en') AND contains({COMPARED}, 'le'))
+SELECT edition_id, id, importance, CAST(row_number() OVER (PARTITION BY edition_id ORDER BY {BEST}) AS INT) AS rank FROM f"""
+
+ORACLES["article_lookup"] = f"WITH {ART} SELECT edition_id, id, slug, title FROM art WHERE slug = (SELECT max(slug) FROM art)"
+
+ORACLES["bulletin_list"] = f"""
+WITH {ART}, lead AS (SELECT id FROM art WHERE article_type = 'feature' QUALIFY row_number() OVER (PARTITION BY edition_id ORDER BY {BEST}) = 1)
+SELECT edition_id, CAST(row_number() OVER (PARTITION BY edition_id ORDER BY updated_at DESC, id) AS INT) AS rank, id, updated_at FROM art
+WHERE id NOT IN (SELECT id FROM lead) QUALIFY row_number() OVER (PARTITION BY edition_id ORDER BY updated_at DESC, id) <= 8"""
+
+ORACLES["desk_order"] = f"""
+WITH {ART}, r AS (SELECT *, row_number() OVER (PARTITION BY edition_id, category ORDER BY article_type = 'feature' DESC, {BEST}) AS k FROM art)
+SELECT edition_id, category, CAST(k AS INT) AS rank, id FROM r WHERE k <= 6"""
+
+ORACLES["related_articles"] = f"""
+WITH {ART}, p AS (SELECT a.edition_id, a.id, f.id AS related_id, row_number() OVER (PARTITION BY a.edition_id, a.id
+    ORDER BY (f.category = a.category) DESC, f.importance DESC, f.updated_at DESC, f.id) AS k
+  FROM art a JOIN art f ON f.edition_id = a.edition_id AND f.id <> a.id AND f.article_type = 'feature')
+SELECT edition_id, id, CAST(k AS INT) AS rank, related_id FROM p WHERE k <= 3"""
+
+
+def recent(source: str, visible: int) -> str:
+    """Shared steps of the look back at earlier editions."""
+    return f"""ft AS (SELECT *, lower(regexp_replace(title, '{COMPACT}', '', 'g')) AS title_key FROM {source} WHERE article_type = 'feature'),
+times AS (SELECT DISTINCT edition_id, {slot_end('published_at')} AS made FROM art),
+own AS (SELECT edition_id, count(*) AS n FROM ft GROUP BY 1),
+needy AS (SELECT t.edition_id, t.made, coalesce(n, 0) AS n FROM times t LEFT JOIN own USING (edition_id) WHERE coalesce(n, 0) < {visible}),
+near AS (SELECT d.edition_id, d.n, t.edition_id AS from_edition, t.made FROM needy d JOIN times t ON t.made < d.made AND d.made - t.made <= INTERVAL 48 HOUR
+  QUALIFY row_number() OVER (PARTITION BY d.edition_id ORDER BY t.made DESC) <= 8),
+offer AS (SELECT r.edition_id, r.n, r.from_edition, r.made, f.id, f.title, f.title_key, f.importance, f.updated_at FROM near r JOIN ft f ON f.edition_id = r.from_edition
+  WHERE NOT EXISTS (SELECT 1 FROM ft o WHERE o.edition_id = r.edition_id AND o.title_key = f.title_key)
+  QUALIFY row_number() OVER (PARTITION BY r.edition_id, f.title_key ORDER BY r.made DESC, f.importance DESC, f.updated_at DESC, f.id) = 1),
+recent AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY made DESC, importance DESC, updated_at DESC, id) AS k FROM offer) WHERE k <= {visible} - n)"""
+
+
+ORACLES["recent_features"] = f"""
+WITH {ART}, few AS (SELECT * FROM art WHERE article_type = 'brief' OR position % 2 = 0), {recent('few', 9)}
+SELECT edition_id, CAST(k AS INT) AS rank, from_edition, id FROM recent"""
+
+ORACLES["front_page"] = f"""
+WITH {ART}, {recent('art', 3)}, shelves AS (
+  SELECT edition_id, edition_id AS from_edition, id, title, importance, updated_at, CASE WHEN article_type = 'feature' THEN 0 ELSE 2 END AS shelf, 0 AS k FROM art
+  UNION ALL SELECT edition_id, from_edition, id, title, importance, updated_at, 1, k FROM recent),
+u AS (SELECT * FROM shelves QUALIFY row_number() OVER (PARTITION BY edition_id, lower(regexp_replace(title, '{COMPACT}', '', 'g')) ORDER BY shelf, k, {BEST}) = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY shelf, k, {BEST}) - 1 AS rank FROM u)
+SELECT edition_id, CAST(rank AS INT) AS rank, from_edition, id FROM r WHERE rank <= 3"""
+
+ORACLES["publisher_network"] = f"""
+WITH {ART}, g AS (SELECT edition_id, publisher, arg_min(first_url, position) AS url, count(*) AS articles, count(*) FILTER (is_primary) AS primary_articles FROM src GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY primary_articles DESC, articles DESC, publisher) AS rank FROM g)
+SELECT edition_id, CAST(rank AS INT) AS rank, publisher, publisher AS name, url, articles, primary_articles FROM r WHERE rank <= 10"""
+
+ORACLES["distinct_originals"] = f"WITH {CITED} SELECT edition_id, url, bool_or(context_only) AS is_continuation FROM cited GROUP BY 1, 2"
+
+ORACLES["edition_overview"] = f"""
+WITH {ART}, a AS (SELECT edition_id, count(*) AS articles, count(*) FILTER (article_type = 'feature') AS features, count(*) FILTER (article_type = 'brief') AS briefs,
+  count(DISTINCT category) AS categories FROM art GROUP BY 1),
+c AS (SELECT edition_id, count(DISTINCT publisher) AS publishers, count(DISTINCT url) AS originals, count(DISTINCT url) FILTER (context_only) AS continued FROM cited GROUP BY 1)
+SELECT * FROM a JOIN c USING (edition_id)"""
+
+ORACLES["archive_list"] = f"""
+WITH {ART}, t AS (SELECT DISTINCT edition_id, {slot_end('published_at')} AS generated_at FROM art) SELECT * FROM t ORDER BY generated_at DESC LIMIT 12"""
+
+SAYS = "regexp_matches({}, '[^。！？!?\\s]')"
+ORACLES["stored_article_forms"] = f"""
+WITH {CAND}
+SELECT ord, id, CASE WHEN title = '' THEN '無題の記事' ELSE title END AS title, CASE ord % 3 WHEN 2 THEN 'other' ELSE 'economy' END AS category,
+  CAST(CASE ord % 3 WHEN 0 THEN priority WHEN 1 THEN least(priority + 3, 5) ELSE 3 END AS INT) AS importance,
+  CASE ord % 3 WHEN 0 THEN 'feature' ELSE 'brief' END AS article_type, CAST(CASE ord % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS INT) AS source_count,
+  CAST(CASE ord % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 0 END AS INT) AS publisher_count, CAST(CASE ord % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS INT) AS fresh_source_count,
+  CAST(CASE WHEN ord % 3 = 2 THEN CASE WHEN {SAYS.format('title')} THEN 1 ELSE 0 END ELSE CASE WHEN {SAYS.format('description')} THEN 1 ELSE 0 END END AS INT) AS facts,
+  CASE ord % 3 WHEN 0 THEN url WHEN 1 THEN url || ' ftp://nowhere/ ' || url ELSE '' END AS urls FROM cand"""
+
+ORACLES["material_updates"] = """
+SELECT conv_id, turn, CASE WHEN conv_id % 2 = 1 AND text = '' THEN false WHEN conv_id % 5 = 0 THEN turn = 1 WHEN turn % 3 = 0 THEN false
+  WHEN turn % 3 = 1 THEN true ELSE conv_id % 2 = 1 END AS material FROM conversations"""
+
+ORACLES["linked_bulletins"] = f"""
+WITH {BULLETINS}, s AS (SELECT *, CASE max_intensity WHEN '5-' THEN '5弱' WHEN '5+' THEN '5強' WHEN '6-' THEN '6弱' ELSE max_intensity END AS shown,
+  'region ' || ord % 47 AS place, strftime(published_at + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S+09:00') AS origin FROM b
+  WHERE max_intensity IN ('3', '4', '5-', '5+', '6-') OR product_title IN ('signup', 'error')),
+d AS (SELECT *, place || 'で地震 最大震度' || shown AS title,
+  '発生時刻: ' || origin || '。 震央・震源地域: ' || place || '。 最大震度: ' || shown || '。 報 ' || ord || '。 警報: ' || place || '。' AS description FROM s)
+SELECT event_id, ord, title, CAST(length(description) + 100 AS INT) AS richness, published_at FROM d
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY published_at DESC, CAST(serial AS INT) DESC, ord) = 1"""
+
+ORACLES["archive_context"] = f"""
+WITH {ART} SELECT a.edition_id AS origin_edition_id, c.url, c.title, 'point ' || c.publisher AS description, c.published_at, CAST(a.importance AS INT) AS priority,
+  s.is_primary AS primary_source, a.category, 'context-' || substr(sha256(a.edition_id || '|' || c.url), 1, 20) AS id
+FROM art a JOIN cited c ON c.position = a.position JOIN src s ON s.position = c.position AND s.publisher = c.publisher
+WHERE a.position % 4 < 3 AND c.title <> ''"""
+
+ORACLES["stream_slot_counts"] = f"SELECT {edition('ts')} AS edition_id, event_type, count(*) AS n FROM events GROUP BY 1, 2"
+ORACLES["stream_url_dedup"] = f"WITH {ITEMS} SELECT DISTINCT url FROM items"

@@ -15,6 +15,8 @@ from tidewire.operators import clusters, dedup, drafts, enrich, gates, selection
 from tidewire.plans import edition_run, fixtures
 from tidewire.session import cut_lineage
 from tidewire.sources import archive, entries, payloads, registry, tables
+from tidewire.streaming import run
+from tidewire.streaming import slots as stream_slots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -281,7 +283,7 @@ def titled(spark, sf) -> DataFrame:
 
 @query
 def title_jaccard_pairs(spark, sf):
-    pairs = similarity.jaccard_pairs(titled(spark, sf), "title_norm", 0.78, on=("edition_id", "category"))
+    pairs = similarity.jaccard_pairs(titled(spark, sf), "title_norm", 0.72, on=("category",))
     return pairs.withColumn("jaccard", F.round("jaccard", 6))
 
 
@@ -328,7 +330,7 @@ def event_clusters(spark, sf):
     rows = clusters.ordered_clusters(clusters.cluster_rows(clusters.event_clusters(prepared(spark, sf))))
     lead = F.col("lead")
     return rows.select(
-        "edition_id", "place", F.size("members").alias("members"), lead["id"].alias("lead"), "importance", "grounded_chars",
+        "edition_id", "place", F.size("members").alias("size"), lead["id"].alias("lead_id"), "importance", "grounded_chars",
         clusters.modal_category(F.col("members"), lead).alias("desk"),
     )
 
@@ -434,7 +436,7 @@ def feed_items(spark, sf):
 @query
 def source_mix_violations(spark, sf):
     found = fixtures.articles(spark, sf)
-    one = found.withColumn("sources", F.filter("sources", lambda s: s["publisherId"].isin("src1", "src2")))
+    one = found.withColumn("sources", F.filter("sources", lambda s: s["publisherId"].isin("src3")))
     return gates.source_mix_violations(one, found)
 
 
@@ -463,7 +465,7 @@ def draft_ownership(spark, sf):
 
 @query
 def article_search(spark, sf):
-    found = viewer.search(fixtures.articles(spark, sf), "the  Leau", haystack=F.concat_ws(" ", "title", "dek", "summary"))
+    found = viewer.search(fixtures.articles(spark, sf), "en  LE", haystack=F.concat_ws(" ", "title", "dek", "summary"))
     rank = F.row_number().over(Window.partitionBy("edition_id").orderBy(*viewer.by_importance("id")))
     return viewer.of_category(found, "all").select("edition_id", "id", "importance", rank.alias("rank"))
 
@@ -544,3 +546,57 @@ def material_updates(spark, sf):
     update = F.struct(note.alias("text"), kinds.alias("kind"), F.when(F.col("conv_id") % 5 == 0, F.col("turn") == 1).alias("material"))
     turns = tables.table(spark, sf, "conversations").withColumn("update", update)
     return turns.select("conv_id", "turn", viewer.material_update(F.col("update")).alias("material"))
+
+
+@query
+def linked_bulletins(spark, sf):
+    """Candidates rewritten from their bulletin, severe enough or exempt, one per event."""
+    rows = fixtures.bulletin_documents(tables.bulletins(spark, sf))
+    rows = enrich.extract_bulletins(rows.withColumnRenamed("max_intensity", "given")).withColumns(
+        {
+            "title": F.col("product_title"), "description": F.lit(""),
+            "linkedXmlIncludePatterns": F.lit(None).cast("string"), "linkedXmlExcludePatterns": F.lit(None).cast("string"),
+            "minimumMaxIntensity": F.lit("3"), "minimumMaxIntensityExemptPatterns": F.lit("(?iU)signup|error"),
+        }
+    )
+    linked = enrich.bulletin_candidates(rows)
+    latest = enrich.latest_per_event(linked, F.col("publisher"), F.lower("title"))
+    return latest.select("event_id", "ord", "title", "richness", "published_at")
+
+
+@query
+def archive_context(spark, sf):
+    """Sources of stored articles as context candidates."""
+    out = archive.archive_context(fixtures.stored_editions(spark, sf), LATIN)
+    return out.select("origin_edition_id", "url", "title", "description", "published_at", "priority", "primary_source", "category", "id")
+
+
+@query
+def validated_drafts(spark, sf):
+    """External proposals, one per document and its successor, reduced to what the candidates support."""
+    rows = tables.with_edition(tables.candidates(spark, sf))
+    described = cut_lineage(clusters.described(rows, LATIN))
+    return gates.validated_drafts(fixtures.proposals(rows), described, LATIN, None).select(
+        "edition_id", "draft_no", F.array_join("candidate_ids", " ").alias("ids"), "category", "importance", "article_type", "title",
+        F.size("facts").alias("facts"), F.size("source_notes").alias("notes"),
+    )
+
+
+# ---- streams -------------------------------------------------------------------------------------------------------
+
+@query
+def stream_slot_counts(spark, sf):
+    events = run.landed(spark, sf, "events").withColumn("published_at", F.col("ts").cast("timestamp"))
+    counted = run.drain(stream_slots.slot_counts(events, by=["event_type"]), "complete")
+    return stream_slots.merge_slots(counted, ["event_type"])
+
+
+@query
+def stream_url_dedup(spark, sf):
+    docs = run.landed(spark, sf, "documents")
+    title = F.substring(F.regexp_extract("text", r"^[^.\n]+", 0), 1, 260)
+    items = docs.select(
+        F.concat(F.lit("https://news.example.org/"), F.md5(title)).alias("url"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 300).alias("published_at"),
+    )
+    return run.drain(stream_slots.distinct_urls(items), "append").select("url")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tidewire.functions import slots, text
 from tidewire.functions.profiles import CATEGORIES, JAPANESE, OTHER_CATEGORY, SEEN_SIMILARITY, Profile
+from tidewire.functions.text import likeness
 
 CREDIT = "公開情報をもとに"
 LINK = "struct<title: string, url: string, publishedAt: string, isContinuation: boolean, originEditionId: string>"
@@ -42,7 +43,7 @@ def unlike_title(df: DataFrame, out: str, points: str, title: str, threshold: fl
     @text.arrow(T.ArrayType(T.DoubleType()))
     def scores(items: pa.Array, titles: pa.Array) -> pa.Array:
         rows = zip(items.to_pylist(), titles.to_pylist())
-        return pa.array([None if v is None else [text.likeness(p, t or "") for p in v] for v, t in rows], pa.list_(pa.float64()))
+        return pa.array([None if v is None else [likeness(p, t or "") for p in v] for v, t in rows], pa.list_(pa.float64()))
 
     df = text.nfkc_items(df, "__wide", F.transform(points, lambda p: text.squash(p, 300)))
     norm = lambda w: F.regexp_replace(F.regexp_replace(F.lower(w), text.TITLE_SUFFIX, ""), text.NON_TITLE, "")
