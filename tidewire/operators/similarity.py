@@ -116,18 +116,28 @@ def similar_pairs(
 
 
 def jaccard_pairs(df: DataFrame, title: str, threshold: float, on: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs of distinct normalised titles (left < right) whose bigram Jaccard reaches the threshold, without Python."""
-    df = df.select(*on, title).distinct().filter(F.col(title) != "")
-    df = df.withColumn("set", grams(F.col(title)))
-    shared = F.greatest(F.lit(1), F.ceil(threshold * F.size("set") - EPSILON))
-    ordered = F.array_sort(F.transform("set", lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
-    kept = F.slice(ordered, F.lit(1), (F.size("set") - shared + 1).cast("int"))
-    df = df.withColumn("__token", F.explode(F.transform(kept, lambda x: x["g"])))
-    a = df.withColumnsRenamed({title: "left_title", "set": "left_set"})
-    b = df.withColumnsRenamed({title: "right_title", "set": "right_set"})
-    sizes = [F.size("left_set"), F.size("right_set")]
+    """Pairs of distinct normalised titles (left < right) whose bigram Jaccard reaches the threshold, without Python.
+
+    Rarest grams first: the frequency table is an aggregate with as many rows as there are distinct bigrams, and
+    the join with it is left to the size Spark sees.
+    """
+    df = df.select(*on, title).distinct().filter(F.col(title) != "").withColumn("set", grams(F.col(title)))
+    tokens = df.select(*on, title, F.size("set").alias("n"), F.explode("set").alias("gram"))
+    frequency = tokens.groupBy("gram").agg(F.count("*").alias("f"))
+    ranked = tokens.join(frequency, "gram").groupBy(*on, title, "n").agg(F.array_sort(F.collect_list(F.struct("f", "gram"))).alias("set"))
+    ranked = ranked.withColumn("set", F.transform("set", lambda x: x["gram"]))
+    shared = F.greatest(F.lit(1), F.ceil(threshold * F.col("n") - EPSILON))
+    ranked = ranked.select("*", F.posexplode(F.slice("set", F.lit(1), (F.col("n") - shared + 1).cast("int"))).alias("at", "__token"))
+    a = ranked.withColumnsRenamed({title: "left_title", "set": "left_set", "n": "left_n", "at": "left_at"})
+    b = ranked.withColumnsRenamed({title: "right_title", "set": "right_set", "n": "right_n", "at": "right_at"})
+    # what can still be shared after this token must reach the needed overlap
+    needed = F.ceil(threshold / (1 + threshold) * (F.col("left_n") + F.col("right_n")) - EPSILON)
+    rest = F.least(F.col("left_n") - F.col("left_at"), F.col("right_n") - F.col("right_at"))
+    before = F.least("left_at", "right_at")
     met = a.join(b, [*on, "__token"]).filter(
-        (F.col("left_title") < F.col("right_title")) & (F.least(*sizes) >= F.greatest(*sizes) * threshold - EPSILON)
+        (F.col("left_title") < F.col("right_title"))
+        & (F.least("left_n", "right_n") >= F.greatest("left_n", "right_n") * threshold - EPSILON)
+        & (before + rest >= needed)
     )
     met = met.withColumn("jaccard", jaccard(F.col("left_set"), F.col("right_set")))
     return met.filter(F.col("jaccard") >= threshold).select(*on, "left_title", "right_title", "jaccard").distinct()

@@ -317,10 +317,10 @@ def bigrams(c: str) -> str:
 
 
 ORACLES["title_jaccard_pairs"] = f"""
-WITH {EDITIONED}, t AS (SELECT DISTINCT category, {title_norm('title')} AS t FROM ed), g AS (SELECT *, {bigrams('t')} AS s FROM t WHERE t <> ''),
-p AS (SELECT category, a.t AS left_title, b.t AS right_title, len(list_intersect(a.s, b.s)) AS k, len(a.s) + len(b.s) AS n
-  FROM g a JOIN g b USING (category) WHERE a.t < b.t)
-SELECT category, left_title, right_title, round(k / (n - k), 6) AS jaccard FROM p WHERE k / (n - k) >= 0.72"""
+WITH {EDITIONED}, t AS (SELECT DISTINCT edition_id, {title_norm('title')} AS t FROM ed), g AS (SELECT *, {bigrams('t')} AS s FROM t WHERE t <> ''),
+p AS (SELECT edition_id, a.t AS left_title, b.t AS right_title, len(list_intersect(a.s, b.s)) AS k, len(a.s) + len(b.s) AS n
+  FROM g a JOIN g b USING (edition_id) WHERE a.t < b.t)
+SELECT edition_id, left_title, right_title, round(k / (n - k), 6) AS jaccard FROM p WHERE k / (n - k) >= 0.72"""
 
 QUOTA_ORDER = "priority DESC, published_at DESC, ord"
 USABLE = f"{EDITIONED}, ok AS (SELECT * FROM ed WHERE regexp_matches(title, '[A-Za-z]'))"
@@ -596,7 +596,7 @@ SELECT event_id, ord, title, CAST(length(description) + 100 AS INT) AS richness,
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY published_at DESC, CAST(serial AS INT) DESC, ord) = 1"""
 
 ORACLES["archive_context"] = f"""
-WITH {ART} SELECT a.edition_id AS origin_edition_id, c.url, c.title, 'point ' || c.publisher AS description, c.published_at, CAST(a.importance AS INT) AS priority,
+WITH {ART} SELECT a.edition_id AS origin_edition_id, c.url, rtrim(substr({squash('c.title')}, 1, 180)) AS title, 'point ' || c.publisher AS description, c.published_at, CAST(a.importance AS INT) AS priority,
   s.is_primary AS primary_source, a.category, 'context-' || substr(sha256(a.edition_id || '|' || c.url), 1, 20) AS id
 FROM art a JOIN cited c ON c.position = a.position JOIN src s ON s.position = c.position AND s.publisher = c.publisher
 WHERE a.position % 4 < 3 AND c.title <> ''"""

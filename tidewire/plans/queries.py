@@ -164,7 +164,7 @@ def entry_conversion(spark, sf):
 def rule_filter(spark, sf):
     """Include and exclude patterns of each source over the whole text of its documents."""
     rules = registry.prepared_rules(registry.usable_feeds(fixtures.feed_registry(spark, sf)))
-    docs = tables.table(spark, sf, "documents").withColumn("feed_id", F.col("source"))
+    docs = tables.texts(spark, sf, "documents").withColumn("feed_id", F.col("source"))
     kept = docs.join(rules.select("feed_id", "includeTitlePatterns", "excludeTitlePatterns"), "feed_id").filter(
         registry.text_passes(F.col("text"), F.col("includeTitlePatterns"), F.col("excludeTitlePatterns"))
     )
@@ -199,7 +199,7 @@ def linked_page_rules(spark, sf):
 
 @query
 def clean_documents(spark, sf):
-    docs = text.clean_text(tables.table(spark, sf, "documents"), "clean", F.col("text"), None)
+    docs = text.clean_text(tables.texts(spark, sf, "documents"), "clean", F.col("text"), None)
     return docs.select("doc_id", F.length("clean").alias("n"), F.md5("clean").alias("digest"))
 
 
@@ -214,7 +214,7 @@ def title_keys(spark, sf):
 @query
 def injection_filter(spark, sf):
     rules = fixtures.with_injection(LATIN, fixtures.FIXTURE_INJECTION)
-    rows = text.safe_text(tables.table(spark, sf, "conversations"), "safe", F.col("text"), None, rules)
+    rows = text.safe_text(tables.texts(spark, sf, "conversations"), "safe", F.col("text"), None, rules)
     return rows.select("conv_id", "turn", F.length("safe").alias("n"), F.md5("safe").alias("digest"))
 
 
@@ -266,7 +266,7 @@ def event_identity(spark, sf):
 @query
 def text_overlap(spark, sf):
     """Whether a conversation turn repeats the turn before it."""
-    turns = tables.table(spark, sf, "conversations")
+    turns = tables.texts(spark, sf, "conversations")
     turns = text.comparison_text(turns, "own", F.col("text"))
     before = F.lag("own").over(Window.partitionBy("conv_id").orderBy("turn"))
     turns = turns.withColumn("references", F.array(F.coalesce(before, F.lit(""))))
@@ -283,7 +283,7 @@ def titled(spark, sf) -> DataFrame:
 
 @query
 def title_jaccard_pairs(spark, sf):
-    pairs = similarity.jaccard_pairs(titled(spark, sf), "title_norm", 0.72, on=("category",))
+    pairs = similarity.jaccard_pairs(titled(spark, sf), "title_norm", 0.72, on=("edition_id",))
     return pairs.withColumn("jaccard", F.round("jaccard", 6))
 
 
@@ -544,7 +544,7 @@ def material_updates(spark, sf):
     kinds = F.get(F.array(F.lit("auto"), F.lit("correction"), F.lit("")), (F.col("turn") % 3).cast("int"))
     note = F.when(F.col("conv_id") % 2 == 0, F.lit("要約・出典情報を更新")).otherwise(F.col("text"))
     update = F.struct(note.alias("text"), kinds.alias("kind"), F.when(F.col("conv_id") % 5 == 0, F.col("turn") == 1).alias("material"))
-    turns = tables.table(spark, sf, "conversations").withColumn("update", update)
+    turns = tables.texts(spark, sf, "conversations").withColumn("update", update)
     return turns.select("conv_id", "turn", viewer.material_update(F.col("update")).alias("material"))
 
 

@@ -18,13 +18,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that landed in fewer parts than there are cores; leave others alone.
+
+    Text work is bound by the processor, and a small single file would keep it on one core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spread(table(spark, folder, name))
+
+
 def after_epoch(seconds: Column) -> Column:
     return F.to_timestamp_ntz(F.lit(EPOCH)) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
     """documents as news items: one every five minutes, title = first sentence, description = whole text."""
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents")
     number = F.col("doc_id")
     return docs.select(
         F.concat(F.lit("d"), number).alias("id"),
@@ -45,7 +58,7 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_items(spark: SparkSession, folder: str) -> DataFrame:
     """pages as linked items: one every ten minutes, host as publisher."""
-    return table(spark, folder, "pages").select(
+    return texts(spark, folder, "pages").select(
         "page_id",
         "url",
         "html",
@@ -57,7 +70,7 @@ def page_items(spark: SparkSession, folder: str) -> DataFrame:
 def bulletins(spark: SparkSession, folder: str) -> DataFrame:
     """events as official bulletins: user as event, k as serial, value as intensity."""
     ranks = F.array(*[F.lit(x) for x in ("0", "1", "2", "3", "4", "5-", "5+", "6-")])
-    return table(spark, folder, "events").select(
+    return texts(spark, folder, "events").select(
         F.col("event_id").alias("ord"),
         F.lit("jma").alias("publisher"),
         F.col("user_id").cast("string").alias("event_key"),
