@@ -32,6 +32,7 @@ from tidewire.operators.clusters import (
     with_sections,
 )
 from tidewire.operators.selection import fill_with_individuals, select_diverse
+from tidewire.session import cut_lineage
 
 LABEL = r"^[^：]{1,80}："
 POINT_SECTIONS = ("facts", "impact", "watch")
@@ -326,5 +327,7 @@ def build_drafts(fresh: DataFrame, pool: DataFrame, profile: Profile = JAPANESE)
 
     `fresh` and `pool` are limited, described and `edited`, with `pos` and `lead_order`; the pool adds context.
     """
-    features = feature_drafts(cluster_rows(feature_clusters(pool), EDITED), profile)
-    return fill_with_individuals(features, individual_drafts(chosen_clusters(fresh), profile))
+    events = cut_lineage(cluster_rows(feature_clusters(pool), EDITED))
+    chosen = cut_lineage(chosen_clusters(fresh))
+    features = cut_lineage(feature_drafts(events, profile))
+    return fill_with_individuals(features, cut_lineage(individual_drafts(chosen, profile)))

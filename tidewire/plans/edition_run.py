@@ -53,7 +53,8 @@ def edition_pool(fresh: DataFrame, context: DataFrame, profile: Profile = JAPANE
     extra = extra.withColumn("pos", (F.col("pos") + MAX_CANDIDATES).cast("int")).join(counted, "edition_id", "left")
     room = MAX_CANDIDATES - F.coalesce("__n", F.lit(0))
     extra = extra.withColumn("__k", F.row_number().over(_by_edition("pos"))).filter(F.col("__k") <= room).drop("__k", "__n")
-    pool = chosen.unionByName(extra, allowMissingColumns=True)
+    # written before the long chain of text steps, which is then planned over a plain scan
+    pool = cut_lineage(chosen.unionByName(extra, allowMissingColumns=True))
     rows = edited(described(pool, profile), profile)
     return lead_ordered(rows.filter(F.col("pos") < MAX_CANDIDATES)), lead_ordered(rows)
 
@@ -70,10 +71,15 @@ def edition_articles(
     The limited pool (at most 48 rows per edition) feeds several joins, so it is checkpointed once instead of
     being worked out again for each of them.
     """
+    context = cut_lineage(context)  # at most 24 rows per edition, read three times below
     pool = cut_lineage(edition_pool(fresh, context, profile)[1])
     own = lead_ordered(pool.filter(F.col("pos") < MAX_CANDIDATES).drop("lead_order"))
     drafts = cut_lineage(build_drafts(own, pool, profile))
-    evidence = merge_evidence(fresh.select(*EVIDENCE), context.select(*EVIDENCE), ("edition_id", "url"))
+    # only the URLs the drafts cite have to be merged
+    cited = drafts.select("edition_id", F.explode("candidate_ids").alias("id")).join(pool.select("edition_id", "id", "url"), ["edition_id", "id"])
+    cited = cited.select("edition_id", "url").distinct()
+    sides = [side.select(*EVIDENCE).join(cited, ["edition_id", "url"], "left_semi") for side in (fresh, context)]
+    evidence = merge_evidence(*sides, ("edition_id", "url"))
     return art.build_articles(drafts, evidence, generated_at, profile)
 
 
