@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewire.llm.language import op4_language
+from tidewire.llm.packing import op6_packing
 from tidewire.llm.relative_dedup import op10_relative_dedup
 from tidewire.llm.suffix_dedup import op7_suffix_dedup
+from tidewire.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language": op4_language,
+    "op5_toxicity": op5_toxicity,
+    "op6_packing": op6_packing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op10_relative_dedup": op10_relative_dedup,
 }
