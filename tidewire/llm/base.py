@@ -72,6 +72,10 @@ class Rolling:
             return np.zeros(0, dtype=np.uint64)
         return mix((self.sums[width:] - self.sums[:-width]) * self.down[: self.n - width + 1])
 
+    def at(self, start: np.ndarray, width: int) -> np.ndarray:
+        """The hashes of the windows of the width at given starts."""
+        return mix((self.sums[start + width] - self.sums[start]) * self.down[start])
+
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The hashes of given windows; windows of different lengths differ."""
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + mix((end - start).astype(np.uint64)))
@@ -127,6 +131,14 @@ def anchors(grams: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(sliding(padded, width, np.maximum) == grams)
 
 
+def with_least_among(grams: np.ndarray, width: int, values: np.ndarray) -> np.ndarray:
+    """Starts of the runs of `width` grams whose least gram is one of the values."""
+    if not len(values) or len(grams) < width:
+        return np.zeros(0, dtype=np.int64)
+    least, values = sliding(grams, width, np.minimum), np.sort(values)
+    return np.flatnonzero(values[np.minimum(np.searchsorted(values, least), len(values) - 1)] == least)
+
+
 def covered(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
     """Which of n positions lie in one of the half-open ranges."""
     change = np.zeros(n + 1, dtype=np.int64)

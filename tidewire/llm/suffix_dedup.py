@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.base import anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, runs
+from tidewire.llm.base import anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, runs, with_least_among
 
 WINDOW, GRAM = 50, 20
 
@@ -56,7 +56,8 @@ class Suffixes:
         """Windows known to be repeated, those still to be compared, and for each of these the first equal one here."""
         around = self.surroundings(self.at)
         known = self.windows(self.at[np.isin(around, done)])
-        start = np.flatnonzero(self.windows(self.at[np.isin(around, unsettled)]) & ~known)
+        start = with_least_among(self.bucket, self.span, self.bucket[self.at[np.isin(around, unsettled)]])
+        start = start[~known[start]]
         parts = self.refined(start)
         order = np.lexsort((start, *parts))
         fresh = np.ones(len(start), dtype=bool)
