@@ -7,20 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewire.llm.ann import op1_ann
+from tidewire.llm.decontaminate import op2_decontaminate
 from tidewire.llm.language import op4_language
 from tidewire.llm.near_dup import op3_near_dup
 from tidewire.llm.packing import op6_packing
 from tidewire.llm.relative_dedup import op10_relative_dedup
+from tidewire.llm.secrets import op8_secrets
 from tidewire.llm.suffix_dedup import op7_suffix_dedup
 from tidewire.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
+    "op2_decontaminate": op2_decontaminate,
     "op3_near_dup": op3_near_dup,
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_secrets": op8_secrets,
     "op10_relative_dedup": op10_relative_dedup,
 }
 
