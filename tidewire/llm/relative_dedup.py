@@ -2,14 +2,14 @@
 
 The reference is every earlier text, indexed in two steps so that the index stays small. Sampled ten-word grams (the least
 of every run of eleven, so that each window of twenty words holds one) are looked up first, one row for each gram and
-document. Only windows around a gram that occurs again are indexed themselves: each window goes to its first occurrence.
+document. Only windows whose sampled gram occurs again are indexed themselves: each window goes to its first occurrence.
 A document is then parsed greedily: a factor starts at the first window with an earlier occurrence and follows that
 reference for as long as the words go on there; at its end the parse goes on with the window that crosses the boundary,
 so nothing that straddles two factors is missed. A factor covers at least one whole window.
 
 Order is (doc_id, position). Rows without an id come last, as one document; rows that share an id do not count as earlier
 at the same position. Null text has no words. Texts with fewer words than a window, and empty tables, lose nothing.
-Windows are compared by 128 bits of hash.
+Windows are compared by 96 bits of hash.
 """
 
 from __future__ import annotations
@@ -22,9 +22,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.base import Rolling, anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, word_bounds
+from tidewire.llm.base import Rolling, U, anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, with_least_among, word_bounds
 
 WINDOW, GRAM = 20, 10
+HALF = U(0xFFFFFFFF00000000)
 FACTORS = "array<struct<start:int,length:int,ref_doc:long,ref_start:int>>"
 
 
@@ -36,29 +37,25 @@ class Words:
         self.starts, self.ends = word_bounds(self.data)
         self.n = len(self.starts)
         if self.n >= window:
-            words = mix(byte_hashes(self.data).spans(self.starts, self.ends))
-            self.rolling, self.span = Rolling(words), window - gram + 1
+            self.words = byte_hashes(self.data).spans(self.starts, self.ends)
+            self.rolling, self.span = Rolling(self.words), window - gram + 1
             self.grams = self.rolling.grams(gram)
             self.at = anchors(self.grams, self.span)
 
     def repeated(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts and two hashes of the windows around grams that occur elsewhere or again here."""
+        """Starts of the windows whose least gram occurs elsewhere or again here, and two hashes of each."""
         grams = self.grams[self.at]
-        _, which, times = np.unique(grams, return_inverse=True, return_counts=True)
-        hot = self.at[np.isin(grams, shared) | (times[which] > 1)]
-        starts = np.flatnonzero(covered(hot - self.span + 1, hot + 1, self.n - self.window + 1))
-        second = Rolling(mix(byte_hashes(self.data, 1).spans(self.starts, self.ends)), 1)
-        return starts, self.rolling.grams(self.window)[starts], second.grams(self.window)[starts]
+        order = np.sort(grams)
+        hot = np.concatenate((grams[np.isin(grams, shared)], order[1:][order[1:] == order[:-1]]))
+        starts = with_least_among(self.grams, self.span, hot)
+        second = Rolling(mix(self.words ^ U(0xA0761D6478BD642F)), 1)
+        return starts, self.rolling.at(starts, self.window), second.at(starts, self.window)
 
 
 def first_of_each(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """For each row the index of the first row with the same pair."""
-    order = np.lexsort((np.arange(len(one)), two, one))
-    fresh = np.ones(len(one), dtype=bool)
-    fresh[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
-    first = np.empty(len(one), dtype=np.int64)
-    first[order] = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-    return first
+    _, first, which = np.unique(one ^ mix(two), return_index=True, return_inverse=True)
+    return first[which]
 
 
 def gram_rows(window: int, gram: int):
@@ -77,7 +74,10 @@ def gram_rows(window: int, gram: int):
 
 
 def window_rows(window: int, gram: int):
-    """One row for each distinct window of a document around a repeated gram, at its first position there."""
+    """One row for each distinct window of a document around a repeated gram, at its first position there.
+
+    `tail` holds half of the second hash above the position, which keeps the shuffled rows short.
+    """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -87,29 +87,33 @@ def window_rows(window: int, gram: int):
                 if words.n >= window:
                     starts, one, two = words.repeated(longs(shared).view(np.uint64))
                     own = first_of_each(one, two) == np.arange(len(one))
-                    found.append((np.full(own.sum(), key, dtype=np.int64), starts[own].astype(np.int32), one[own].view(np.int64), two[own].view(np.int64)))
+                    tail = (two[own] & HALF) | starts[own].astype(np.uint64)
+                    found.append((np.full(own.sum(), key, dtype=np.int64), one[own].view(np.int64), tail.view(np.int64)))
             if found:
-                yield pd.DataFrame(dict(zip(("key", "start", "one", "two"), map(np.concatenate, zip(*found)))))
+                yield pd.DataFrame(dict(zip(("key", "one", "tail"), map(np.concatenate, zip(*found)))))
 
     return rows
 
 
-def parse(key: int, words: Words, shared: np.ndarray, known: dict[int, tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-    """Greedy factors (start, length, reference document, reference start) of one document."""
+def parse(key: int, words: Words, shared: np.ndarray, found: list[np.ndarray]) -> np.ndarray:
+    """Greedy factors of one document, a row (start, length, reference document, reference start) each."""
     starts, one, two = words.repeated(shared)
     own = first_of_each(one, two)
-    factors: list[list[int]] = []
-    for i, start in enumerate(starts.tolist()):
-        earlier = known.get(int(starts[own[i]]))
-        if own[i] != i and earlier is None:
-            earlier = (key, int(starts[own[i]]))
-        if earlier is None:
-            continue
-        if factors and factors[-1][2] == earlier[0] and factors[-1][3] + start - factors[-1][0] == earlier[1] and start <= factors[-1][0] + factors[-1][1]:
-            factors[-1][1] = start + words.window - factors[-1][0]
-        else:
-            factors.append([start, words.window, *earlier])
-    return [tuple(x) for x in factors]
+    order = np.argsort(found[0])
+    known, ref_doc, ref_start = (x[order] for x in found)
+    place = np.minimum(np.searchsorted(known, starts[own]), max(0, len(known) - 1))
+    before = known[place] == starts[own] if len(known) else np.zeros(len(starts), dtype=bool)
+    again = own != np.arange(len(starts))
+    doc = np.where(before, ref_doc[place] if len(known) else key, key)
+    at = np.where(before, ref_start[place] if len(known) else 0, starts[own])
+    starts, doc, at = (x[before | again] for x in (starts, doc, at))
+    if not len(starts):
+        return np.zeros((0, 4), dtype=np.int64)
+    fresh = np.ones(len(starts), dtype=bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (np.diff(at) != np.diff(starts)) | (np.diff(starts) > words.window)
+    head = np.flatnonzero(fresh)
+    tail = np.append(head[1:], len(starts)) - 1
+    return np.column_stack((starts[head], starts[tail] - starts[head] + words.window, doc[head], at[head]))
 
 
 def parsed_rows(window: int, gram: int):
@@ -118,15 +122,13 @@ def parsed_rows(window: int, gram: int):
             out = []
             for key, doc_id, text, shared, *found in zip(*(batch[c] for c in ("key", "doc_id", "text", "shared", "starts", "ref_docs", "ref_starts"))):
                 words = Words(text, window, gram)
-                kept, factors = np.ones(words.n, dtype=bool), []
+                kept, factors = np.ones(words.n, dtype=bool), np.zeros((0, 4), dtype=np.int64)
                 if words.n >= window:
-                    start, *ref = (longs(x).tolist() for x in found)
-                    factors = parse(key, words, longs(shared).view(np.uint64), dict(zip(start, zip(*ref))))
-                    at = np.array([x[:2] for x in factors], dtype=np.int64).reshape(-1, 2)
-                    kept = ~covered(at[:, 0], at.sum(axis=1), words.n)
+                    factors = parse(key, words, longs(shared).view(np.uint64), [longs(x) for x in found])
+                    kept = ~covered(factors[:, 0], factors[:, 0] + factors[:, 1], words.n)
                 pieces = words.data.tobytes().split()
                 left = b" ".join(pieces if kept.all() else [w for w, k in zip(pieces, kept.tolist()) if k])
-                spans = [dict(zip(("start", "length", "ref_doc", "ref_start"), x)) for x in factors]
+                spans = [dict(zip(("start", "length", "ref_doc", "ref_start"), x)) for x in factors.tolist()]
                 out.append((doc_id, words.n, int(words.n - kept.sum()), left.decode("utf-8", "surrogatepass"), spans))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_text", "factors"]).astype({"doc_id": "Int64"})
 
@@ -150,13 +152,14 @@ def relative_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .agg(F.collect_list("gram").alias("shared"))
     )
     with_grams = texts.join(shared, "key", "left")
-    windows = with_grams.mapInPandas(window_rows(window, gram), "key long, start int, one long, two long")
-    earlier = Window.partitionBy("one", "two").orderBy("key", "start").rowsBetween(Window.unboundedPreceding, 0)
+    windows = with_grams.mapInPandas(window_rows(window, gram), "key long, one long, tail long")
+    start = F.col("tail").bitwiseAND(2**32 - 1).cast("int")
+    earlier = Window.partitionBy("one", F.shiftrightunsigned("tail", 32)).orderBy("key", "tail").rowsBetween(Window.unboundedPreceding, 0)
     found = (
-        windows.withColumn("ref", F.first(F.struct("key", "start")).over(earlier))
-        .filter("ref.key < key")
+        windows.withColumns({"ref_key": F.first("key").over(earlier), "ref_tail": F.first("tail").over(earlier)})
+        .filter("ref_key < key")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("start", F.col("ref.key").alias("ref_doc"), F.col("ref.start").alias("ref_start"))).alias("found"))
+        .agg(F.collect_list(F.struct(start.alias("start"), F.col("ref_key").alias("ref_doc"), F.col("ref_tail").bitwiseAND(2**32 - 1).cast("int").alias("ref_start"))).alias("found"))
     )
     found = found.select("key", F.col("found.start").alias("starts"), F.col("found.ref_doc").alias("ref_docs"), F.col("found.ref_start").alias("ref_starts"))
     return with_grams.join(found, "key", "left").mapInPandas(
