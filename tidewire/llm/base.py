@@ -81,6 +81,19 @@ class Rolling:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + mix((end - start).astype(np.uint64)))
 
 
+class Rows:
+    """Hashes of the windows of each row of a table of bytes."""
+
+    def __init__(self, table: np.ndarray, which: int = 0):
+        self.n = table.shape[1]
+        up, self.down = powers(self.n + 1, which)
+        self.sums = np.zeros((len(table), self.n + 1), dtype=np.uint64)
+        np.cumsum(_TABLES[which][table] * up[: self.n], axis=1, out=self.sums[:, 1:])
+
+    def grams(self, width: int) -> np.ndarray:
+        return mix((self.sums[:, width:] - self.sums[:, :-width]) * self.down[: self.n - width + 1])
+
+
 def raw_bytes(text: str | None, lowered: bool = False) -> np.ndarray:
     data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
     return _LOWERED[data] if lowered else data

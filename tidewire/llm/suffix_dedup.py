@@ -1,12 +1,12 @@
 """Exact substring de-duplication by bucket-pointer refinement over the suffixes of all texts.
 
-Suffixes start in buckets of one q-gram, named by the gram's hash, so that a bucket's name is the same in every task. Only
-sampled suffixes are sorted first (the least gram of each run, so every window holds one): a bucket with one document is
-done. A bucket with several is split by what stands around the gram: a suffix whose whole surroundings occur in an earlier
-document has every window around it repeated and is done as well. For the few left (edges of repeated passages, and first
-occurrences to compare them with) each window's bucket is refined by the identifiers of the buckets at later offsets of
-the same window, which the document has worked out once and reuses; equal identifiers at offsets that cover the window
-mean equal windows.
+Suffixes start in buckets of one q-gram, named by the gram's hash, so that a bucket has the same name in every task. Only
+sampled suffixes are sorted (the least gram of each run, so every window holds one), by bucket and then by the identifier of
+what stands around the gram. That settles most: a bucket of one document is unique; a suffix whose whole surroundings occur in
+an earlier document has every window around it repeated. What is left are edges of repeated passages. There a bucket is refined
+once more by what stands at later offsets: its members' surroundings go to one task, which compares every window around
+the gram. A bucket with very many members is refined across tasks instead: each window is sorted by the identifiers of the
+buckets at later offsets that cover it. Both ways are exact and give the same.
 
 A byte goes if a window of 50 bytes over it also starts in a document with a smaller id. Rows without an id come last, as
 one document; rows that share an id never remove from one another. Null text is empty. Shorter texts lose nothing.
@@ -22,9 +22,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.base import anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, runs, with_least_among
+from tidewire.llm.base import U, Rows, anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, runs, with_least_among
 
 WINDOW, GRAM = 50, 20
+#: Members from which a bucket is refined across tasks.
+CROWD = 4096
 
 
 class Suffixes:
@@ -52,70 +54,115 @@ class Suffixes:
         """Identifiers of the buckets at offsets that cover the window: the first, one gram on, and so on to the last."""
         return [self.bucket[start + offset] for offset in [*range(0, self.window - self.gram, self.gram), self.window - self.gram]]
 
-    def open_windows(self, done: np.ndarray, unsettled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows known to be repeated, those still to be compared, and for each of these the first equal one here."""
-        around = self.surroundings(self.at)
-        known = self.windows(self.at[np.isin(around, done)])
-        start = with_least_among(self.bucket, self.span, self.bucket[self.at[np.isin(around, unsettled)]])
-        start = start[~known[start]]
-        parts = self.refined(start)
-        order = np.lexsort((start, *parts))
-        fresh = np.ones(len(start), dtype=bool)
-        if len(start):
-            fresh[1:] = np.any([p[order][1:] != p[order][:-1] for p in parts], axis=0)
-        first = np.empty(len(start), dtype=np.int64)
-        first[order] = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-        return np.flatnonzero(known), start, first
-
-
-def bucket_rows(window: int, gram: int):
-    """One row for each document and distinct bucket among its sampled suffixes."""
+    def windows_at(self, at: np.ndarray) -> np.ndarray:
+        """Starts of the windows whose least gram is that of one of the sampled suffixes."""
+        return with_least_among(self.bucket, self.span, self.bucket[at])
+
+    def contexts(self, at: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """The bytes around each sampled suffix, and how many of them stand before its gram."""
+        low = np.maximum(at + self.gram - self.window, 0)
+        data = self.data.tobytes()
+        return [data[a:b] for a, b in zip(low.tolist(), (at + self.window).tolist())], at - low
+
+
+def firsts(parts: list[np.ndarray]) -> np.ndarray:
+    """For each row the index of the first row that is equal in every part."""
+    n = len(parts[0])
+    order = np.lexsort((np.arange(n), *parts))
+    fresh = np.ones(n, dtype=bool)
+    if n:
+        fresh[1:] = np.any([p[order][1:] != p[order][:-1] for p in parts], axis=0)
+    first = np.empty(n, dtype=np.int64)
+    first[order] = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+    return first
+
+
+def suffix_rows(window: int, gram: int):
+    """One row for each document and distinct surroundings of a sampled suffix; 48 bits name the bucket."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, found = [], []
+            keys, buckets, found = [], [], []
             for key, text in zip(batch["key"], batch["text"]):
                 one = Suffixes(text, window, gram)
                 if len(one.at):
-                    found.append(np.unique(one.bucket[one.at]).view(np.int64))
-                    keys.append(np.full(len(found[-1]), key, dtype=np.int64))
+                    around, where = np.unique(one.surroundings(one.at), return_index=True)
+                    found.append(around.view(np.int64))
+                    buckets.append((one.bucket[one.at[where]] >> U(16)).view(np.int64))
+                    keys.append(np.full(len(where), key, dtype=np.int64))
             if found:
-                yield pd.DataFrame({"bucket": np.concatenate(found), "key": np.concatenate(keys)})
+                yield pd.DataFrame({"bucket": np.concatenate(buckets), "around": np.concatenate(found), "key": np.concatenate(keys)})
 
     return rows
 
 
-def surrounding_rows(window: int, gram: int):
-    """One row for each document, shared bucket and distinct surroundings."""
+def context_rows(window: int, gram: int):
+    """The surroundings of the suffixes still to be compared."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, buckets, found = [], [], []
-            for key, text, shared in zip(batch["key"], batch["text"], batch["shared"]):
-                one = Suffixes(text, window, gram)
-                at = one.at[np.isin(one.bucket[one.at], longs(shared).view(np.uint64))] if len(one.at) else one.at
-                if len(at):
-                    around, where = np.unique(one.surroundings(at), return_index=True)
-                    found.append(around.view(np.int64))
-                    buckets.append(one.bucket[at[where]].view(np.int64))
-                    keys.append(np.full(len(where), key, dtype=np.int64))
-            if found:
-                yield pd.DataFrame({"bucket": np.concatenate(buckets), "around": np.concatenate(found), "key": np.concatenate(keys)})
+            out = []
+            for key, text, edge in zip(batch["key"], batch["text"], batch["edge"]):
+                one = Suffixes(text, window, gram) if edge is not None and len(edge) else None
+                if one is not None and len(one.at):
+                    around, where = np.unique(one.surroundings(one.at), return_index=True)
+                    mine = np.isin(around, longs(edge).view(np.uint64))
+                    at = one.at[where[mine]]
+                    out += zip((one.bucket[at] >> U(16)).view(np.int64).tolist(), [key] * len(at), around[mine].view(np.int64).tolist(), *one.contexts(at))
+            yield pd.DataFrame(out, columns=["bucket", "key", "around", "context", "before"])
+
+    return rows
+
+
+def repeated_windows(rows: pd.DataFrame, window: int, gram: int) -> pd.DataFrame:
+    """Of whole buckets in order of (bucket, key): a bit for each window around a suffix that an earlier document has too."""
+    before, width = window - gram, 2 * window - gram
+    table = np.zeros((len(rows), width + 1), dtype=np.uint8)
+    left, size = before - rows["before"].to_numpy(), rows["context"].str.len().to_numpy()
+    for line, start, data in zip(table, left.tolist(), rows["context"]):
+        line[start : start + len(data)] = np.frombuffer(data, dtype=np.uint8)
+    hashes = Rows(table[:, :width]).grams(window)
+    bucket = mix(rows["bucket"].to_numpy().view(np.uint64))[:, None] + np.arange(before + 1, dtype=np.uint64)
+    inside = (np.arange(before + 1) >= left[:, None]) & (np.arange(before + 1) + window <= (left + size)[:, None])
+    flat = np.flatnonzero(inside)
+    _, first, which = np.unique(mix(hashes ^ mix(bucket)).reshape(-1)[flat], return_index=True, return_inverse=True)
+    keys = np.repeat(rows["key"].to_numpy(), before + 1)[flat]
+    hit = flat[keys[first][which] < keys]
+    bits = np.zeros((len(rows), before + 1), dtype=np.int64)
+    bits.reshape(-1)[hit] = 1
+    mask = (bits << np.arange(before + 1)).sum(axis=1)
+    return rows[["key", "around"]].assign(mask=mask)[mask != 0]
+
+
+def refined_rows(window: int, gram: int):
+    """Compares bucket by bucket; rows come in order of bucket and key, and a bucket that a batch cuts off waits for the next."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting = None
+        for batch in batches:
+            if len(batch):
+                joined = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+                last = joined["bucket"] == joined["bucket"].iloc[-1]
+                waiting = joined[last]
+                yield repeated_windows(joined[~last], window, gram)
+        if waiting is not None:
+            yield repeated_windows(waiting, window, gram)
 
     return rows
 
 
 def window_rows(window: int, gram: int):
-    """The refined buckets of the windows still to be compared, once for each document."""
+    """The refined buckets of the windows of crowded buckets, once for each document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for key, text, done, unsettled in zip(*(batch[c] for c in ("key", "text", "done", "unsettled"))):
-                one = Suffixes(text, window, gram)
-                if len(one.at):
-                    _, start, first = one.open_windows(longs(done).view(np.uint64), longs(unsettled).view(np.uint64))
-                    own = start[first == np.arange(len(start))]
+            for key, text, crowded in zip(batch["key"], batch["text"], batch["crowded"]):
+                one = Suffixes(text, window, gram) if crowded is not None and len(crowded) else None
+                if one is not None and len(one.at):
+                    start = one.windows_at(one.at[np.isin(one.surroundings(one.at), longs(crowded).view(np.uint64))])
+                    parts = one.refined(start)
+                    own = start[firsts(parts) == np.arange(len(start))]
                     found.append((np.full(len(own), key, dtype=np.int64), own.astype(np.int32), *(p.view(np.int64) for p in one.refined(own))))
             if found:
                 parts = [np.concatenate(x) for x in zip(*found)]
@@ -125,57 +172,77 @@ def window_rows(window: int, gram: int):
 
 
 def kept_rows(window: int, gram: int):
+    """What is left of each text; `masks` of `edge` surroundings and `repeated` windows of crowded buckets are the verdicts."""
+
+    def gone(one: Suffixes, done: np.ndarray, crowded: np.ndarray, found: np.ndarray, masks: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+        around = one.surroundings(one.at)
+        known = [np.flatnonzero(one.windows(one.at[np.isin(around, done)]))]
+        if len(found):
+            order = np.argsort(found)
+            place = np.minimum(np.searchsorted(found[order], around), len(found) - 1)
+            hit = found[order][place] == around
+            bits = masks[order][place[hit]][:, None] >> np.arange(window - gram + 1) & 1
+            known.append((one.at[hit][:, None] + np.arange(window - gram + 1) + gram - window)[bits > 0])
+        if len(repeated):
+            start = one.windows_at(one.at[np.isin(around, crowded)])
+            known.append(start[np.isin(start[firsts(one.refined(start))], repeated)])
+        return np.concatenate(known)
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, text, done, unsettled, repeated in zip(*(batch[c] for c in ("doc_id", "text", "done", "unsettled", "repeated"))):
-                one = Suffixes(text, window, gram)
+            for doc_id, text, *lists in zip(*(batch[c] for c in ("doc_id", "text", "done", "crowded", "found", "masks", "repeated"))):
+                done, crowded, found, masks, repeated = (longs(x) for x in lists)
+                data = raw_bytes(text)
                 low = high = np.zeros(0, dtype=np.int64)
-                kept = one.data
-                if len(one.at):
-                    known, start, first = one.open_windows(longs(done).view(np.uint64), longs(unsettled).view(np.uint64))
-                    gone = np.concatenate((known, start[np.isin(start[first], longs(repeated))]))
-                    mask = covered(gone, gone + window, one.n)
-                    (low, high), kept = runs(mask), one.data[~mask]
+                kept = data
+                if len(done) or len(found) or len(repeated):
+                    one = Suffixes(text, window, gram)
+                    start = gone(one, done.view(np.uint64), crowded.view(np.uint64), found.view(np.uint64), masks, repeated)
+                    mask = covered(start, start + window, one.n)
+                    (low, high), kept = runs(mask), data[~mask]
                 spans = [{"start": a, "end": b} for a, b in zip(low.tolist(), high.tolist())]
-                out.append((doc_id, one.n, int((high - low).sum()), len(low), kept.tobytes(), spans))
+                out.append((doc_id, len(data), int((high - low).sum()), len(low), kept.tobytes(), spans))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"]).astype({"doc_id": "Int64"})
 
     return rows
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def suffix_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, the kept bytes and the removed spans, one row for each row of docs.
 
-    The texts are dealt out by id once; the later passes over them read that shuffle again.
+    The window is at most 63 bytes longer than the gram. The texts are dealt out by id once; the later passes over them
+    read that shuffle again.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn("key", ordered_key())
     texts = rows.repartition("key")
     of_bucket = Window.partitionBy("bucket")
-    shared = (
-        rows.select("key", "text")
-        .mapInPandas(bucket_rows(window, gram), "bucket long, key long")
-        .withColumn("low", F.min("key").over(of_bucket))
-        .withColumn("high", F.max("key").over(of_bucket))
-        .filter("low <> high")
-        .groupBy("key")
-        .agg(F.collect_list("bucket").alias("shared"))
-    )
-    around = texts.join(shared, "key").mapInPandas(surrounding_rows(window, gram), "bucket long, around long, key long")
-    same = Window.partitionBy("bucket")
-    first_here = Window.partitionBy("bucket", "around").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    of_class = Window.partitionBy("bucket", "around").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    around = rows.select("key", "text").mapInPandas(suffix_rows(window, gram), "bucket long, around long, key long")
+    state = F.when(F.col("first") < F.col("key"), "done").when(F.col("one") < F.col("other"), F.when(F.col("members") > crowd, "crowded").otherwise("edge"))
+    extremes = {"low": F.min("key"), "high": F.max("key"), "one": F.min("around"), "other": F.max("around"), "members": F.count("*")}
     settled = (
-        around.withColumn("first", F.first("key").over(first_here))
-        .withColumn("one", F.min("around").over(same))
-        .withColumn("other", F.max("around").over(same))
-        .withColumn("repeated", F.col("first") < F.col("key"))
-        .filter("repeated or one <> other")
+        around.withColumn("first", F.first("key").over(of_class))
+        .withColumns({name: value.over(of_bucket) for name, value in extremes.items()})
+        .filter("low < high")
+        .withColumn("state", state)
+        .filter("state is not null")
         .groupBy("key")
-        .agg(F.collect_list(F.when(F.col("repeated"), F.col("around"))).alias("done"), F.collect_list(F.when(~F.col("repeated"), F.col("around"))).alias("unsettled"))
+        .agg(*[F.collect_list(F.when(F.col("state") == x, F.col("around"))).alias(x) for x in ("done", "edge", "crowded")])
     )
     judged = texts.join(settled, "key", "left")
-    n = len(range(0, window - gram, gram)) + 1
-    names = [f"b{i}" for i in range(n)]
+    contexts = judged.mapInPandas(context_rows(window, gram), "bucket long, key long, around long, context binary, before int")
+    masks = (
+        contexts.repartition("bucket")
+        .sortWithinPartitions("bucket", "key")
+        .mapInPandas(refined_rows(window, gram), "key long, around long, mask long")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("around", "mask")).alias("m"))
+        .select("key", F.col("m.around").alias("found"), F.col("m.mask").alias("masks"))
+    )
+    names = [f"b{i}" for i in range(len(range(0, window - gram, gram)) + 1)]
     windows = judged.mapInPandas(window_rows(window, gram), "key long, start int, " + ", ".join(f"{b} long" for b in names))
     repeated = (
         windows.withColumn("first", F.first("key").over(Window.partitionBy(*names).orderBy("key").rowsBetween(Window.unboundedPreceding, 0)))
@@ -183,7 +250,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .groupBy("key")
         .agg(F.collect_list("start").alias("repeated"))
     )
-    return judged.join(repeated, "key", "left").mapInPandas(
+    return judged.join(masks, "key", "left").join(repeated, "key", "left").mapInPandas(
         kept_rows(window, gram), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,end:long>>"
     )
 
