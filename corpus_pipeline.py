@@ -1,14 +1,88 @@
-"""The training-data pipeline: stages over documents, each written as Parquet and reread by the next."""
+"""The training-data pipeline: stages over documents, each written as Parquet and reread by the next.
+
+Rejected go: documents that the toxicity model marks; all but one document (the one with the least id) of each
+near-duplicate group; documents contaminated by the benchmark. Secrets are masked in place. The last stage packs the rest into
+sequences. Every stage decides row by row, so repeated ids are safe; documents without an id are never linked.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from tidewire.llm.base import read
+from tidewire.llm.decontaminate import contaminated, decontaminate
+from tidewire.llm.near_dup import near_duplicates
+from tidewire.llm.packing import default_vocabulary, pack, token_pieces
+from tidewire.llm.secrets import blob_of, findings_of, new_ledger, read_ledger, update_ledger, with_findings, without_findings
+from tidewire.llm.toxicity import Model, model_for
 from tidewire.session import cut_lineage
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: What stands for a secret in a text.
+MASK = "[SECRET]"
+
+
+def toxic_score(model: Model):
+    """The model's score as a column function of the text."""
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            found = [model.locations(t)[:2] for t in texts]
+            yield pd.Series(model.probability(np.array([x[0] for x in found]), np.array([x[1] for x in found])), dtype="float64")
+
+    return score
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, learned from these documents and the labels, does not mark."""
+    model = model_for(docs, read(spark, sf_dir, "labels"))
+    return docs.filter(toxic_score(model)("text") < 0.5)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similarity 0.8 or more on five-word shingles."""
+    classes = near_duplicates(docs)
+    least = classes.filter("doc_id = component_id").select("doc_id").distinct()
+    one_row = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    kept = docs.join(least, "doc_id", "left_semi").withColumn("_n", F.row_number().over(one_row)).filter("_n = 1").drop("_n")
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark does not contaminate."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    judged = decontaminate(docs, read(spark, sf_dir, "benchmark"), carry=rest).filter(~contaminated())
+    return judged.select("doc_id", "text", *[f"carried.{c}" for c in rest]).select(docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each secret replaced by a mark; n_chars follows the text."""
+    ledger = new_ledger(spark)
+    update_ledger(docs, ledger)
+    findings = cut_lineage(findings_of(read_ledger(spark, ledger)))
+    found = with_findings(docs.withColumn("blob", blob_of(F.col("text"))), findings)
+    masked = found.withColumn("masked", without_findings(F.col("text"), F.col("findings"), MASK))
+    length = F.when(F.size("findings") > 0, F.length("masked")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return masked.withColumn("n_chars", length).withColumn("text", F.col("masked")).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in which sequence."""
+    return pack(token_pieces(docs, default_vocabulary()))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", mask_secrets),
+    ("packing", pack_sequences),
+]
 
 #: The toxicity model, the signatures and the tokens have no SQL form; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
@@ -16,7 +90,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the last stage returns for the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = cut_lineage(stage(spark, docs, sf_dir))
     return docs

@@ -102,7 +102,6 @@ def decontaminate(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), carried).withColumn("key", ordered_key())
     items = cut_lineage(item_windows(benchmark, window, shingle))
     found = shingle_hits(rows.select("key", "text"), items)
-    none = F.array().cast("array<struct<item:bigint,shift:int>>")
     if found is None:  # no item has a word
         judged = rows.withColumn("candidates", F.array().cast("array<struct<item_id:string,item_words:array<string>,n_window:int,shift:int>>"))
     else:

@@ -11,6 +11,7 @@ from tidewire.llm.decontaminate import op2_decontaminate
 from tidewire.llm.language import op4_language
 from tidewire.llm.near_dup import op3_near_dup
 from tidewire.llm.packing import op6_packing
+from tidewire.llm.page_text import op9_page_text
 from tidewire.llm.relative_dedup import op10_relative_dedup
 from tidewire.llm.secrets import op8_secrets
 from tidewire.llm.suffix_dedup import op7_suffix_dedup
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_secrets": op8_secrets,
+    "op9_page_text": op9_page_text,
     "op10_relative_dedup": op10_relative_dedup,
 }
 
