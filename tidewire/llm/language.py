@@ -80,7 +80,8 @@ def prototype_rows(dimensions: int):
                     codes, counts = np.unique(found, return_counts=True)
                     total = counts.astype(np.float64) @ vectors(codes, dimensions) if len(codes) else 0.0
                     sums[lang] = sums.get(lang, np.zeros(dimensions)) + total
-        yield pd.DataFrame({"lang": list(sums), "sum": list(sums.values())})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "sum": list(sums.values())})
 
     return rows
 

@@ -200,12 +200,16 @@ def near_duplicates(
         .join(signed.select("id", "n_shingles", "signature"), "id")
     )
     mixed = cut_lineage(mixed.select("key", "id", "component", "n_shingles", "signature"))
-    left, right = (mixed.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "component", "n_shingles", "signature"))) for side in "ab")
+    fields = ("id", "component", "n_shingles", "signature", "keys")
+    mixed = mixed.join(mixed.groupBy("id").agg(F.collect_list("key").alias("keys")), "id")
+    left, right = (mixed.select("key", *(F.col(c).alias(f"{c}_{side}") for c in fields)) for side in "ab")
     near = (
         (F.col("component_a") != F.col("component_b"))
         & (F.col("id_a") < F.col("id_b"))
         & (100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b"))
         & (places_apart(F.col("signature_a"), F.col("signature_b")) <= threshold(chunks, errors))
+        # a pair that meets under several keys is judged at the least of them
+        & (F.array_min(F.array_intersect("keys_a", "keys_b")) == left["key"])
     )
     pairs = left.join(right, (left["key"] == right["key"]) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     links = links.unionByName(cut_lineage(confirmed(pairs, full, percent)))

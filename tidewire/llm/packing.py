@@ -11,6 +11,8 @@ table gives no piece.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,9 +27,10 @@ from tidewire.session import cut_lineage
 CAPACITY, END_ID = 4096, 1
 #: Pieces of a group: packing holds one group's lengths in a task.
 GROUP = 16_384
-#: Words whose ids a worker remembers, and the longest it remembers.
-REMEMBERED, LONGEST = 400_000, 48
+#: Words whose ids a worker remembers before it forgets all but the latest, and the longest it then keeps.
+REMEMBERED, LONGEST = 250_000, 48
 SEPARATOR, SEPARATOR_ID = "<|startoftext|>", 49406
+_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?= |\Z)")
 
 
 def default_vocabulary() -> str:
@@ -37,48 +40,52 @@ def default_vocabulary() -> str:
 
 
 class WordTokenizer:
-    """Ids of whole texts by a tokenizer that never joins across a blank or a line end, so that words can be remembered."""
+    """Ids of whole texts by a tokenizer that lowers letters, splits words from signs and never joins across a blank.
+
+    So A-Z may be lowered first, a line end be a blank, and a full stop or comma after a word stand apart; words are then
+    remembered. Texts with what could be a special token are left as they are.
+    """
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads of its own would only add memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[bytes, bytes] = {b"": b""}
+
+    def words(self, text: str) -> list[bytes]:
+        data = text.encode("utf-8", "replace").replace(b"\n", b" ")
+        return data.split(b" ") if b"<|" in data else _STOP.sub(rb" \1", data.lower()).split(b" ")
 
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of each word as little-endian numbers; many words are encoded in one call, a special token apart."""
-        found = {}
-        odd = [w for w in words if "<|" in w]
-        plain = [w for w in words if "<|" not in w]
+    def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of words, as little-endian numbers; many are encoded in one call, a special token apart."""
+        odd = [w for w in words if b"<|" in w]
+        plain = [w for w in words if b"<|" not in w] if odd else words
         blocks = [plain[i : i + 500] for i in range(0, len(plain), 500)]
-        for block, encoded in zip(blocks, self.tokenizer.encode_batch_fast([SEPARATOR.join(b) for b in blocks], add_special_tokens=False)):
+        joined = [SEPARATOR.join([w.decode() for w in b]) for b in blocks]
+        for block, encoded in zip(blocks, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(encoded.ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == SEPARATOR_ID)
-            data, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
-            begins = [0, *(4 * cuts + 4).tolist()]
-            found.update(zip(block, [data[a:b] for a, b in zip(begins, ends)]))
+            cuts = 4 * np.flatnonzero(ids == SEPARATOR_ID)
+            data = ids.tobytes()
+            self.known.update(zip(block, [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])]))
         for word in odd:
-            found[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return found
+            self.known[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split).difference(self.known)
-        fresh = self.learn(list(new))
-        short = {w: ids for w, ids in fresh.items() if len(w) <= LONGEST}
-        if len(self.known) + len(short) > REMEMBERED:
-            lookup = {**self.known, **fresh}
-            self.known = {"": b"", **(short if len(short) <= REMEMBERED else {})}
-        else:
-            self.known.update(short)
-            lookup = self.known if len(short) == len(fresh) else {**self.known, **fresh}
-        return [b"".join([lookup[w] for w in words]) for words in split]
+        split = [self.words(t) for t in texts]
+        used = set().union(*split)
+        self.learn([w for w in used if w not in self.known])
+        known = self.known
+        out = [b"".join([known[w] for w in words]) for words in split]
+        if len(known) > REMEMBERED:  # the words of the last texts stay, unless they are very long
+            self.known = {b"": b"", **{w: known[w] for w in used if len(w) <= LONGEST}}
+        return out
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
-def piece_rows(vocabulary: str, capacity: int, end_id: int, batch_chars: int = 1_000_000):
+def piece_rows(vocabulary: str, capacity: int, end_id: int, batch_chars: int = 500_000):
     end = int(end_id).to_bytes(4, "little")
 
     def pieces(ids: list[int | None], texts: list[str], tokenizer: WordTokenizer) -> Iterator[tuple]:

@@ -152,7 +152,7 @@ def relative_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .agg(F.collect_list("gram").alias("shared"))
     )
     with_grams = texts.join(shared, "key", "left")
-    windows = with_grams.mapInPandas(window_rows(window, gram), "key long, one long, tail long")
+    windows = with_grams.mapInPandas(window_rows(window, gram), "key long, one long, tail long").repartition("one")
     start = F.col("tail").bitwiseAND(2**32 - 1).cast("int")
     earlier = Window.partitionBy("one", F.shiftrightunsigned("tail", 32)).orderBy("key", "tail").rowsBetween(Window.unboundedPreceding, 0)
     found = (

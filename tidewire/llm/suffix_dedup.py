@@ -42,9 +42,13 @@ class Suffixes:
             self.at = anchors(self.bucket, self.span)
 
     def surroundings(self, at: np.ndarray) -> np.ndarray:
-        """The name of what every window around a sampled suffix covers together."""
+        """The name (48 bits) of what every window around a sampled suffix covers together."""
         low, high = np.maximum(at + self.gram - self.window, 0), np.minimum(at + self.window, self.n)
-        return mix(self.rolling.spans(low, high) + mix((at - low).astype(np.uint64)))
+        return mix(self.rolling.spans(low, high) + mix((at - low).astype(np.uint64))) >> U(16)
+
+    def names(self, at: np.ndarray) -> np.ndarray:
+        """The names (48 bits) of the buckets of sampled suffixes."""
+        return self.bucket[at] >> U(16)
 
     def windows(self, at: np.ndarray) -> np.ndarray:
         """Which windows hold one of the sampled suffixes."""
@@ -78,20 +82,23 @@ def firsts(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def suffix_rows(window: int, gram: int):
-    """One row for each document and distinct surroundings of a sampled suffix; 48 bits name the bucket."""
+    """One row for each document and distinct surroundings of a sampled suffix.
+
+    The bucket's 48 bits and the first 16 of the surroundings' 48 are one number, the others a second, to keep rows short.
+    """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, buckets, found = [], [], []
+            keys, heads, tails = [], [], []
             for key, text in zip(batch["key"], batch["text"]):
                 one = Suffixes(text, window, gram)
                 if len(one.at):
                     around, where = np.unique(one.surroundings(one.at), return_index=True)
-                    found.append(around.view(np.int64))
-                    buckets.append((one.bucket[one.at[where]] >> U(16)).view(np.int64))
+                    heads.append(((one.names(one.at[where]) << U(16)) | (around >> U(32))).view(np.int64))
+                    tails.append(around.astype(np.uint32).view(np.int32))
                     keys.append(np.full(len(where), key, dtype=np.int64))
-            if found:
-                yield pd.DataFrame({"bucket": np.concatenate(buckets), "around": np.concatenate(found), "key": np.concatenate(keys)})
+            if heads:
+                yield pd.DataFrame({"head": np.concatenate(heads), "tail": np.concatenate(tails), "key": np.concatenate(keys)})
 
     return rows
 
@@ -108,7 +115,7 @@ def context_rows(window: int, gram: int):
                     around, where = np.unique(one.surroundings(one.at), return_index=True)
                     mine = np.isin(around, longs(edge).view(np.uint64))
                     at = one.at[where[mine]]
-                    out += zip((one.bucket[at] >> U(16)).view(np.int64).tolist(), [key] * len(at), around[mine].view(np.int64).tolist(), *one.contexts(at))
+                    out += zip(one.names(at).view(np.int64).tolist(), [key] * len(at), around[mine].view(np.int64).tolist(), *one.contexts(at))
             yield pd.DataFrame(out, columns=["bucket", "key", "around", "context", "before"])
 
     return rows
@@ -220,7 +227,10 @@ def suffix_dedup(
     texts = rows.repartition("key")
     of_bucket = Window.partitionBy("bucket")
     of_class = Window.partitionBy("bucket", "around").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    around = rows.select("key", "text").mapInPandas(suffix_rows(window, gram), "bucket long, around long, key long")
+    bucket = F.shiftrightunsigned("head", 16)
+    rest = F.shiftleft(F.col("head").bitwiseAND(0xFFFF), 32).bitwiseOR(F.col("tail").cast("long").bitwiseAND(0xFFFFFFFF))
+    suffixes = rows.select("key", "text").mapInPandas(suffix_rows(window, gram), "head long, tail int, key long")
+    around = suffixes.repartition(bucket).select(bucket.alias("bucket"), rest.alias("around"), "key")
     state = F.when(F.col("first") < F.col("key"), "done").when(F.col("one") < F.col("other"), F.when(F.col("members") > crowd, "crowded").otherwise("edge"))
     extremes = {"low": F.min("key"), "high": F.max("key"), "one": F.min("around"), "other": F.max("around"), "members": F.count("*")}
     settled = (
