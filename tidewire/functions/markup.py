@@ -16,11 +16,16 @@ from pyspark.sql.pandas.types import from_arrow_type
 from tidewire.functions.text import TEXTS, arrow, each, text_of_markup
 
 # fixed values: elements of a page that never carry its article, void elements, and paragraph-like elements
-IGNORED = frozenset(
-    "aside audio button canvas footer form header iframe nav noscript script style svg template video".split()
-)
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BLOCKS = frozenset("p li td dd dt".split())
+IGNORED = frozenset((
+    "aside", "audio", "button", "canvas", "footer", "form", "header", "iframe", "nav", "noscript", "script", "style",
+    "svg", "template", "video",
+))
+VOID = frozenset((
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
+))
+BLOCKS = frozenset((
+    "p", "li", "td", "dd", "dt",
+))
 SCOPES = ("root", "article", "main")
 
 
