@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +32,10 @@ GROUP = 16_384
 REMEMBERED, LONGEST = 250_000, 48
 SEPARATOR, SEPARATOR_ID = "<|startoftext|>", 49406
 _STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?= |\Z)")
+# Lower-case ASCII and Latin letters whose UTF-8 bytes the byte alphabet leaves as they are; a quote may start a contraction.
+_LETTER, _SIGN = rb"[a-z]|\xc3[\xa1-\xac\xae-\xb6\xb8-\xbf]", rb"[!-&(-/:-@\[-`{-~]"
+_SIMPLE = re.compile(rb"(?:[!-&(-@\[-~]|%b)*+" % _LETTER)
+_PART = re.compile(rb"(?:%b)++|[0-9]|%b++" % (_LETTER, _SIGN))
 
 
 def default_vocabulary() -> str:
@@ -43,7 +48,8 @@ class WordTokenizer:
     """Ids of whole texts by a tokenizer that lowers letters, splits words from signs and never joins across a blank.
 
     So A-Z may be lowered first, a line end be a blank, and a full stop or comma after a word stand apart; words are then
-    remembered. Texts with what could be a special token are left as they are.
+    remembered. Simple words go straight to the tokenizer's model, run by run of letters or signs, as nothing normalises
+    them. Texts with what could be a special token are left as they are.
     """
 
     def __init__(self, vocabulary: str):
@@ -51,6 +57,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {b"": b""}
 
     def words(self, text: str) -> list[bytes]:
@@ -58,9 +65,17 @@ class WordTokenizer:
         return data.split(b" ") if b"<|" in data else _STOP.sub(rb" \1", data.lower()).split(b" ")
 
     def learn(self, words: list[bytes]) -> None:
-        """Remember the ids of words, as little-endian numbers; many are encoded in one call, a special token apart."""
-        odd = [w for w in words if b"<|" in w]
-        plain = [w for w in words if b"<|" not in w] if odd else words
+        """Remember the ids of words, as little-endian numbers; others than simple ones in few calls, a special token apart."""
+        odd, plain, simple, part, tokens = [], [], _SIMPLE.fullmatch, _PART.findall, self.model.tokenize
+        for word in words:
+            if b"<|" in word:
+                odd.append(word)
+            elif simple(word):
+                runs = [word] if word.isalpha() else part(word)
+                ids = [t.id for run in runs for t in tokens(run.decode("latin-1"))]
+                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                plain.append(word)
         blocks = [plain[i : i + 500] for i in range(0, len(plain), 500)]
         joined = [SEPARATOR.join([w.decode() for w in b]) for b in blocks]
         for block, encoded in zip(blocks, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
