@@ -85,6 +85,26 @@ def test_seen_titles_equal_brute_force(spark):
     assert 0 < len(got) < 30
 
 
+def test_seen_titles_of_many_editions_know_earlier_ones_only(spark):
+    titles = [f"大雨で川が増水し{i % 3}人が避難した" if i % 4 else f"動物園でパンダが誕生{i}" for i in range(60)]
+    rows = [(f"c{i}", title, "", "p", "社会", i * 100, 3, i % 7 == 0) for i, title in enumerate(titles)]
+    df = candidates(spark, rows).withColumn("edition_id", F.date_format("published_at", "yyyy-MM-dd-HH"))
+    stories = spark.createDataFrame(
+        [(i, f"{at:%Y-%m-%d-%H}", f"大雨で川が増水し{i % 4}人が避難した", at, [f"https://p.example.com/{'s' if i % 10 else 'c'}{i}"])
+         for i in range(400) for at in [T0 + dt.timedelta(minutes=37 * (i - 200))]], state.STORY)
+    got = {r["id"] for r in dedup.filter_seen(df, stories, "edition_id").select("id").collect()}
+    history = stories.collect()
+
+    def seen(r):
+        earlier = [s for s in history if s["edition_id"] < r["edition_id"]]
+        near = [s for s in earlier if abs(r["published_at"] - s["published_at"]) <= dt.timedelta(hours=36)]
+        same = any(r["url"] in s["urls"] for s in earlier)
+        return same or not r["primary_source"] and any(likeness(r["title"], s["title"]) >= 0.86 for s in near)
+
+    assert got == {r["id"] for r in df.collect() if not seen(r)}
+    assert 0 < len(got) < 60
+
+
 def test_limiter_respects_publisher_cap_and_reserves_publishers(spark):
     rows = [(f"a{i}", f"大きな発表その{i}", "", "big", "国内", i, 5, False) for i in range(40)]
     rows += [(f"b{i}", f"小さな発表その{i}", "", f"small{i}", "海外", i, 1, False) for i in range(3)]

@@ -35,7 +35,6 @@ SEEN_SIMILARITY = 0.86
 CLUSTER_SIMILARITY = 0.78
 FEATURE_SIMILARITY = 0.72
 SEEN_HOURS = 36
-SEEN_RECENT = 350
 STATE_LIMIT = 8000
 STATE_DAYS = 180
 STATE_VERSION = 1

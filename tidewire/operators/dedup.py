@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import text
-from tidewire.functions.profiles import SEEN_HOURS, SEEN_RECENT, SEEN_SIMILARITY, STATE_DAYS, STATE_LIMIT
+from tidewire.functions.profiles import SEEN_HOURS, SEEN_SIMILARITY, STATE_DAYS, STATE_LIMIT
 from tidewire.operators.similarity import similar_pairs
 
 
@@ -40,62 +40,66 @@ def merge_evidence(fresh: DataFrame, context: DataFrame, keys: Sequence[str] = (
     return first_per_key(both, keys, order).drop("__side")
 
 
-def unseen_urls(df: DataFrame, stories: DataFrame, url: str = "url") -> DataFrame:
-    """Rows whose URL no published story holds."""
-    seen = stories.select(F.explode("urls").alias("__seen"))
-    return df.join(seen, F.col(url) == F.col("__seen"), "left_anti")
+def unseen_urls(df: DataFrame, stories: DataFrame, url: str = "url", edition: str | None = None) -> DataFrame:
+    """Rows whose URL no published story holds; with `edition`, no story of an earlier edition than the row's.
 
-
-def recent_stories(stories: DataFrame, recent: int = SEEN_RECENT) -> DataFrame:
-    """The newest stories by append order: the only ones whose titles are compared."""
-    return stories.orderBy(F.col("seq").desc()).limit(recent)
+    Each URL is reduced to its first edition before the join, so a URL of many stories is one row.
+    """
+    seen = stories.select(F.explode("urls").alias("__seen"), (F.col(edition) if edition else F.lit("")).alias("__first"))
+    seen = seen.groupBy("__seen").agg(F.min("__first").alias("__first"))
+    known = F.col(url) == F.col("__seen")
+    if edition:
+        known &= F.col("__first") < F.col(edition)
+    return df.join(seen, known, "left_anti")
 
 
 def seen_titles(
     df: DataFrame,
     stories: DataFrame,
-    recent: int = SEEN_RECENT,
     threshold: float = SEEN_SIMILARITY,
     within_hours: int = SEEN_HOURS,
+    edition: str | None = None,
+    full: bool = True,
 ) -> DataFrame:
-    """Distinct (normalised title, published_at) of `df` that resemble a recent story published close in time.
+    """Distinct (normalised title, published_at, edition) of `df` that resemble a story published close in time.
 
-    At most `recent` rows are compared against, so that side is small whatever the size of the history, and its
-    broadcast needs no further check. The large side is reduced to its distinct titles before the comparison.
+    Every story counts; with `edition`, every one of an earlier edition than the row's. A story lies in one stretch of
+    `within_hours`, and a row looks into its own, the one before and the one after, so a pair meets once and neither
+    side is broadcast. `full` is the parameter of `similar_pairs`.
     """
-    titles = text.normalize_title(df.select("title", "published_at"), "title_norm", F.col("title"))
-    titles = titles.filter(F.col("title_norm") != "").select("title_norm", "published_at").distinct()
-    history = recent_stories(stories, recent)
-    history = text.normalize_title(history, "norm", F.col("title")).filter(F.col("norm") != "")
-    history = history.select("norm", F.col("published_at").alias("story_at"))
-    pairs = similar_pairs(
-        titles.select("title_norm").distinct(),
-        history.select("norm").distinct(),
-        "title_norm",
-        "norm",
-        threshold,
-        broadcast_right=True,
-    )
+    def number(at: str) -> Column:
+        return F.floor((F.datediff(at, F.lit("1970-01-01")) * 24 + F.hour(at)) / within_hours)
+
+    at_edition = F.col(edition) if edition else F.lit("")
+    titles = text.normalize_title(df.select("title", "published_at", at_edition.alias("__edition")), "title_norm", F.col("title"))
+    titles = titles.filter((F.col("title_norm") != "") & F.col("published_at").isNotNull()).select("title_norm", "published_at", "__edition").distinct()
+    titles = titles.withColumnsRenamed({"published_at": "item_at", "__edition": "item_edition"})
+    around = F.sequence(number("item_at") - 1, number("item_at") + 1)
+    history = text.normalize_title(stories.select("title", "published_at", at_edition.alias("__edition")), "norm", F.col("title"))
+    history = history.filter(F.col("norm") != "").groupBy("norm", F.col("published_at").alias("story_at"))
+    history = history.agg(F.min("__edition").alias("story_edition")).withColumn("stretch", number("story_at"))
     gap = F.make_dt_interval(hours=F.lit(within_hours))
-    return (
-        titles.join(pairs, "title_norm")
-        .join(F.broadcast(history), "norm")
-        .filter((F.col("published_at") - F.col("story_at")).between(-gap, gap))
-        .select("title_norm", "published_at")
-        .distinct()
-    )
+    close = (F.col("item_at") - F.col("story_at")).between(-gap, gap)
+    if edition:
+        close &= F.col("story_edition") < F.col("item_edition")
+    pairs = similar_pairs(titles.withColumn("stretch", F.explode(around)), history, "title_norm", "norm", threshold, ("stretch",), close, full)
+    return pairs.select("title_norm", F.col("item_at").alias("published_at"), F.col("item_edition").alias("__edition")).distinct()
+
 
+def filter_seen(df: DataFrame, stories: DataFrame, edition: str | None = None, **title_rule) -> DataFrame:
+    """Drop what was already published: exact URLs always, resembling titles unless the source is primary.
 
-def filter_seen(df: DataFrame, stories: DataFrame, **title_rule) -> DataFrame:
-    """Drop what was already published: exact URLs always, resembling titles unless the source is primary."""
-    fresh = unseen_urls(df, stories)
+    `stories` is the history as it stands, or, with `edition` (a column of both sides), that of many editions at once,
+    of which each row only knows the earlier ones.
+    """
+    fresh = unseen_urls(df, stories, edition=edition)
     judged = fresh.filter(~F.col("primary_source"))
-    seen = seen_titles(judged, stories, **title_rule).withColumnRenamed("published_at", "__at")
+    seen = seen_titles(judged, stories, edition=edition, **title_rule).withColumnsRenamed({"published_at": "__at", "__edition": "__of"})
     judged = text.normalize_title(judged, "__norm", F.col("title"))
-    kept = judged.join(
-        seen, (F.col("__norm") == F.col("title_norm")) & (F.col("published_at") == F.col("__at")), "left_anti"
-    ).drop("__norm")
-    return fresh.filter("primary_source").unionByName(kept)
+    same = (F.col("__norm") == F.col("title_norm")) & (F.col("published_at") == F.col("__at"))
+    if edition:
+        same &= F.col(edition) == F.col("__of")
+    return fresh.filter("primary_source").unionByName(judged.join(seen, same, "left_anti").drop("__norm"))
 
 
 def remember(articles: DataFrame, edition_id: Column, last_seq: Column) -> DataFrame:

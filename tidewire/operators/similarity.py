@@ -28,8 +28,10 @@ from pyspark.sql import types as T
 from tidewire.functions.text import TEXTS, arrow, each, grams, jaccard, title_likeness
 
 EPSILON = 1e-9
-INDEX = T.StructType([T.StructField("grams", TEXTS), T.StructField("set", TEXTS), T.StructField("tokens", TEXTS)])
-_INDEX = pa.struct([(name, pa.list_(pa.string())) for name in ("grams", "set", "tokens")])
+
+
+def bigrams_of(title: str) -> list[str]:
+    return [title[i:i + 2] for i in range(max(1, len(title) - 1))]
 
 
 def numbered(items: list[str], tag: str) -> list[str]:
@@ -48,43 +50,58 @@ def prefix(tokens: list[str], shared: float) -> list[str]:
     return sorted(tokens, key=lambda t: (zlib.crc32(t.encode()), t))[:max(size, 0)]
 
 
-def title_index(title: str, threshold: float) -> dict[str, list[str]]:
+def title_tokens(title: str, threshold: float) -> list[str]:
     gain, total = 1.5 * threshold - 1, 2 * len(title) / (2 - threshold)  # total: least len(a) + len(b) of a match
-    pairs = [title[i:i + 2] for i in range(max(1, len(title) - 1))]
-    marked, distinct = numbered(pairs, "m"), sorted(set(pairs))
-    tokens = prefix(marked, gain * total - 1) + prefix(["s" + p for p in distinct], threshold * len(distinct))
+    pairs = bigrams_of(title)
+    distinct = sorted(set(pairs))
+    tokens = prefix(numbered(pairs, "m"), gain * total - 1) + prefix(["s" + p for p in distinct], threshold * len(distinct))
     if len(title) * gain <= 1:
         tokens += prefix(numbered(list(title), "u"), threshold * total / 2)
-    return {"grams": marked, "set": distinct, "tokens": tokens}
+    return tokens
 
 
-def indexed(df: DataFrame, title: str, threshold: float, side: str) -> DataFrame:
-    """Add the index entries of each title and what is needed to judge a pair."""
+def indexed(df: DataFrame, title: str, threshold: float) -> DataFrame:
+    """The tokens under which each row is found; rows are named by a hash, as the exploded rows should be narrow."""
     if threshold <= 2 / 3:
         raise ValueError("the blocking bound needs a threshold above 2/3")
 
-    @arrow(INDEX)
-    def index(titles: pa.Array) -> pa.Array:
-        return each(titles, lambda v: title_index(v, threshold), _INDEX)
+    @arrow(TEXTS)
+    def tokens(titles: pa.Array) -> pa.Array:
+        return each(titles, lambda v: title_tokens(v, threshold), pa.list_(pa.string()))
+
+    return df.withColumn("__token", F.explode(tokens(F.col(title)))).drop(title)
+
+
+def shared_bigrams(threshold: float):
+    """Whether two titles share enough bigram occurrences for the sequence ratio to reach the threshold."""
+    gain = 1.5 * threshold - 1
 
-    df = df.withColumn("__i", index(F.col(title)))
-    return df.select(
-        "*",
-        F.col("__i.grams").alias(f"{side}__grams"),
-        F.col("__i.set").alias(f"{side}__set"),
-        F.col("__i.tokens").alias(f"{side}__tokens"),
-    ).withColumn("__token", F.explode(f"{side}__tokens")).drop("__i")
+    @arrow(T.BooleanType())
+    def enough(left: pa.Array, right: pa.Array) -> pa.Array:
+        pairs = list(zip(left.to_pylist(), right.to_pylist()))
+        counts = {title: Counter(bigrams_of(title)) for pair in pairs for title in pair if title is not None}
+        verdicts = [a is not None and (counts[a] & counts[b]).total() >= gain * (len(a) + len(b)) - 1 - EPSILON for a, b in pairs]
+        return pa.array(verdicts, pa.bool_())
+
+    return enough
+
+
+@arrow(T.DoubleType())
+def bigram_jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Jaccard of the distinct bigrams, built once for each title of a batch; expressions would be quadratic in long titles."""
+    pairs = list(zip(left.to_pylist(), right.to_pylist()))
+    sets = {title: set(bigrams_of(title)) for pair in pairs for title in pair}
+    shared = [len(sets[a] & sets[b]) for a, b in pairs]
+    return pa.array([k / (len(sets[a]) + len(sets[b]) - k) for (a, b), k in zip(pairs, shared)], pa.float64())
 
 
 def possible(left: str, right: str, threshold: float) -> Column:
     """Necessary condition for the score to reach the threshold, from lengths and overlap counts alone."""
-    gain = 1.5 * threshold - 1
     a, b = F.length(left), F.length(right)
-    overlap = F.size(F.array_intersect("l__grams", "r__grams"))
-    by_ratio = (F.least(a, b) * (2 - threshold) >= F.greatest(a, b) * threshold - EPSILON) & (
-        overlap >= gain * (a + b) - 1 - EPSILON
-    )
-    return by_ratio | (jaccard(F.col("l__set"), F.col("r__set")) >= threshold - EPSILON)
+    lengths = F.least(a, b) * (2 - threshold) >= F.greatest(a, b) * threshold - EPSILON
+    close = bigram_jaccard(F.col(left), F.col(right)) >= threshold - EPSILON
+    judged = [F.when(lengths, F.col(c)) for c in (left, right)]
+    return close | (lengths & shared_bigrams(threshold)(*judged))
 
 
 def similar_pairs(
@@ -95,22 +112,27 @@ def similar_pairs(
     threshold: float,
     on: tuple[str, ...] = (),
     extra: Column | None = None,
-    broadcast_right: bool = False,
+    full: bool = True,
 ) -> DataFrame:
     """Pairs of rows whose normalised titles score at least `threshold`, with `similarity`.
 
     The columns of both sides must have different names except the equi-join columns `on`. Titles are compared
-    as (left, right): the sequence ratio depends on the order. A pair that shares several tokens is judged at the
-    first of them only, so no distinct is needed. `broadcast_right` is for a right side whose number of rows is
-    bounded by construction.
+    as (left, right): the sequence ratio depends on the order. Only hashes of rows are exploded and met; titles are
+    joined back to the distinct pairs. Without `full`, the score is the bigram Jaccard alone.
     """
-    a, b = indexed(left, left_title, threshold, "l"), indexed(right, right_title, threshold, "r")
-    met = a.join(F.broadcast(b) if broadcast_right else b, [*on, "__token"])
+    left = left.withColumn("l__row", F.xxhash64(*left.columns))
+    right = right.withColumn("r__row", F.xxhash64(*right.columns))
+    a = indexed(left.select(*on, "l__row", left_title), left_title, threshold)
+    b = indexed(right.select(*on, "r__row", right_title), right_title, threshold)
+    met = a.join(b, [*on, "__token"]).select(*on, "l__row", "r__row").distinct()
+    # rows with one hash meet each other's partners too; the judgement on the titles follows
+    met = met.join(left, [*on, "l__row"]).join(right, [*on, "r__row"]).drop("l__row", "r__row")
     if extra is not None:
         met = met.filter(extra)
-    met = met.filter(F.array_min(F.array_intersect("l__tokens", "r__tokens")) == F.col("__token"))
+    if not full:
+        met = met.withColumn("similarity", bigram_jaccard(F.col(left_title), F.col(right_title)))
+        return met.filter(F.col("similarity") >= threshold)
     met = met.filter(possible(left_title, right_title, threshold))
-    met = met.select(*[c for c in met.columns if "__" not in c])
     scored = met.withColumn("similarity", title_likeness(F.col(left_title), F.col(right_title)))
     return scored.filter(F.col("similarity") >= threshold)
 

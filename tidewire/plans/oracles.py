@@ -113,7 +113,8 @@ firsts AS (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY edition_i
 SELECT edition_id, publisher, count(*) AS n, min(published_at) AS first_at, max(published_at) AS last_at FROM firsts GROUP BY 1, 2"""
 
 ORACLES["seen_url_antijoin"] = f"""
-WITH {ITEMS} SELECT id, edition_id, url FROM items WHERE ord % 2 = 1 AND url NOT IN (SELECT url FROM items WHERE ord % 2 = 0)"""
+WITH {ITEMS} SELECT id, edition_id, url FROM items 
+WHERE ord % 2 = 1 AND NOT EXISTS (FROM items AS s WHERE s.ord % 2 = 0 AND s.url = items.url AND s.edition_id < items.edition_id)"""
 
 ORACLES["merge_evidence"] = f"""
 WITH {ITEMS}, sided AS (SELECT *, ord % 3 = 0 AS context_only FROM items)
@@ -322,6 +323,17 @@ p AS (SELECT edition_id, a.t AS left_title, b.t AS right_title, len(list_interse
   FROM g a JOIN g b USING (edition_id) WHERE a.t < b.t)
 SELECT edition_id, left_title, right_title, round(k / (n - k), 6) AS jaccard FROM p WHERE k / (n - k) >= 0.72"""
 
+ORACLES["jaccard_seen_filter"] = f"""
+WITH {EDITIONED}, b AS MATERIALIZED (SELECT id, ord, edition_id, published_at, primary_source, t, {bigrams('t')} AS s
+  FROM (SELECT *, {title_norm('title')} AS t FROM ed)),
+p AS MATERIALIZED (SELECT i.id, i.s AS own, p.s AS other FROM b i JOIN b p ON p.edition_id < i.edition_id
+  AND p.published_at >= i.published_at - INTERVAL 36 HOUR AND p.published_at <= i.published_at + INTERVAL 36 HOUR
+  WHERE i.ord % 2 = 1 AND p.ord % 2 = 0 AND NOT i.primary_source AND i.t <> '' AND p.t <> ''
+  AND least(len(i.s), len(p.s)) >= 0.7 * greatest(len(i.s), len(p.s))),
+k AS MATERIALIZED (SELECT id, len(list_intersect(own, other)) AS k, len(own) + len(other) AS n FROM p),
+seen AS (SELECT DISTINCT id FROM k WHERE k / (n - k) >= 0.72)
+SELECT id, edition_id, primary_source FROM b WHERE ord % 2 = 1 AND id NOT IN (SELECT id FROM seen)"""
+
 QUOTA_ORDER = "priority DESC, published_at DESC, ord"
 USABLE = f"{EDITIONED}, ok AS (SELECT * FROM ed WHERE regexp_matches(title, '[A-Za-z]'))"
 

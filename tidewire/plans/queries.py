@@ -88,7 +88,7 @@ def digest_by_slot(spark, sf):
 def seen_url_antijoin(spark, sf):
     items = fixtures.titled_items(spark, sf)
     published = fixtures.published_stories(items)
-    fresh = dedup.unseen_urls(items.filter(~fixtures.already_published()), published)
+    fresh = dedup.unseen_urls(items.filter(~fixtures.already_published()), published, edition="edition_id")
     return fresh.select("id", "edition_id", "url")
 
 
@@ -299,10 +299,18 @@ def title_similarity_pairs(spark, sf):
 
 @query
 def fuzzy_seen_filter(spark, sf):
-    """New documents whose title resembles none of the 350 newest stories within 36 hours."""
+    """New documents whose title resembles no story of an earlier edition within 36 hours."""
     items = tables.with_edition(tables.candidates(spark, sf))
-    stories = fixtures.published_stories(items)
-    return dedup.filter_seen(items.filter(~fixtures.already_published()), stories).select("id", "edition_id", "primary_source")
+    kept = dedup.filter_seen(items.filter(~fixtures.already_published()), fixtures.published_stories(items), "edition_id")
+    return kept.select("id", "edition_id", "primary_source")
+
+
+@query
+def jaccard_seen_filter(spark, sf):
+    """The same filter scored by bigram Jaccard alone."""
+    items = tables.with_edition(tables.candidates(spark, sf))
+    new, stories = items.filter(~fixtures.already_published()), fixtures.published_stories(items)
+    return dedup.filter_seen(new, stories, "edition_id", threshold=0.72, full=False).select("id", "edition_id", "primary_source")
 
 
 @query
@@ -322,7 +330,7 @@ def candidate_limiter(spark, sf):
 def prepared(spark, sf) -> DataFrame:
     """Limited and described candidates of every edition, at most 24 each; read by several joins."""
     rows = selection.limit_candidates(tables.with_edition(tables.candidates(spark, sf)), LATIN)
-    return clusters.lead_ordered(cut_lineage(clusters.described(rows, LATIN)))
+    return clusters.lead_ordered(cut_lineage(clusters.described(rows, LATIN, None)))
 
 
 @query
@@ -575,7 +583,7 @@ def archive_context(spark, sf):
 def validated_drafts(spark, sf):
     """External proposals, one per document and its successor, reduced to what the candidates support."""
     rows = tables.with_edition(tables.candidates(spark, sf))
-    described = cut_lineage(clusters.described(rows, LATIN))
+    described = cut_lineage(clusters.described(rows, LATIN, None))
     return gates.validated_drafts(fixtures.proposals(rows), described, LATIN, None).select(
         "edition_id", "draft_no", F.array_join("candidate_ids", " ").alias("ids"), "category", "importance", "article_type", "title",
         F.size("facts").alias("facts"), F.size("source_notes").alias("notes"),
