@@ -87,6 +87,18 @@ def test_pairs_within_the_threshold_share_a_key():
     assert all(keys[i] & keys[200 + i] for i in range(200))
 
 
+def test_parities_differ_in_no_more_places_than_the_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 300, 5000):
+        one, two = (rng.integers(0, 2**63, n, dtype=np.uint64) for _ in "ab")
+        two[: n * 3 // 4] = one[: n * 3 // 4]
+        apart = sum(int(x).bit_count() for x in (near_dup.parities(one) ^ near_dup.parities(two)).view(np.uint64))
+        assert apart <= len(np.setxor1d(one, two))
+        assert n != 300 or apart >= 120  # and not much fewer, as long as there are more buckets than shingles
+
+
 def test_components_follow_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 99)], "a long, b long")
     found = {r.id: r.component for r in near_dup.components(links).collect()}

@@ -7,7 +7,9 @@ within the threshold meets under some key. Every candidate is confirmed on the f
 
 Classes need connections, not all pairs, so keys are read twice. First every document of a key is compared with the key's
 smallest one; the links give components. Then only pairs of a key whose components differ, and whose signatures are within
-the threshold, are compared. Documents with equal sets are one representative throughout.
+the threshold, are compared. Documents with equal sets are one representative throughout. Before such a pair's sets are
+fetched, a lossless bound on their difference is checked: of each set the parity of its shingles in each of 1,024 buckets is
+kept; bits in which two sets differ are never more than the shingles in which they differ.
 
 Production parameters: 80 places of 16 bits in 16 chunks of 5, one error each, so all pairs that differ in at most 31 places
 meet; a pair of similarity 0.8 differs in 16 on average and in more than 31 with a probability of about 1e-5.
@@ -34,6 +36,8 @@ from tidewire.session import cut_lineage
 CHUNKS, PLACES, ERRORS = 16, 5, 1
 #: Partners that are sent to a task together with one set.
 BLOCK = 64
+#: Buckets whose parity is kept of each set.
+PARITIES = 1024
 
 
 def threshold(chunks: int = CHUNKS, errors: int = ERRORS) -> int:
@@ -62,8 +66,15 @@ def signature(members: np.ndarray, places: int) -> np.ndarray:
     return (mix(least) & U(0xFFFF)).astype(np.uint16)
 
 
+def parities(members: np.ndarray) -> np.ndarray:
+    """For each bucket whether it holds an odd number of the set's shingles, 64 to a number."""
+    odd = np.bincount((mix(members) >> U(48)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def set_rows(width: int, chunks: int, places: int, with_members: bool):
-    """doc_id, n_shingles, digest and signature (or members) of each text."""
+    """doc_id, n_shingles, digest, and signature and parities (or members) of each text."""
+    names = ["doc_id", "n_shingles", "digest", *(["members"] if with_members else ["signature", "parities"])]
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -71,9 +82,14 @@ def set_rows(width: int, chunks: int, places: int, with_members: bool):
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 members = shingles(text, width)
                 digest = hashlib.blake2b(members.tobytes(), digest_size=16).digest()
-                last = members.tobytes() if with_members else signature(members, chunks * places).view(np.int16) if len(members) else None
-                out.append((doc_id, len(members), digest, last))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "digest", "members" if with_members else "signature"]).astype({"doc_id": "Int64"})
+                if with_members:
+                    last = (members.tobytes(),)
+                elif len(members):
+                    last = (signature(members, chunks * places).view(np.int16), parities(members))
+                else:
+                    last = (None, None)
+                out.append((doc_id, len(members), digest, *last))
+            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
     return rows
 
@@ -158,6 +174,11 @@ def places_apart(one: Column, two: Column) -> Column:
     return F.size(F.filter(F.zip_with(one, two, lambda x, y: x != y), lambda x: x))
 
 
+def parities_apart(one: Column, two: Column) -> Column:
+    """The buckets whose parity differs: at most the number of shingles that one of the sets lacks."""
+    return F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -170,13 +191,13 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     rows = id_and_text(docs, id_col, text_col)
-    sets = cut_lineage(rows.mapInPandas(set_rows(width, chunks, places, False), "doc_id long, n_shingles long, digest binary, signature array<short>"))
+    sets = cut_lineage(rows.mapInPandas(set_rows(width, chunks, places, False), "doc_id long, n_shingles long, digest binary, signature array<short>, parities array<long>"))
     members = sets.filter("doc_id is not null and n_shingles > 0")
     equal = members.groupBy("digest").agg(F.min("doc_id").alias("first"))
     # a representative is named by the digest, so that two sets under one id stay apart
     named = equal.select("digest", "first", F.xxhash64("digest").alias("id"))
     signed = cut_lineage(
-        members.join(named, "digest").filter("doc_id = first").dropDuplicates(["id"]).select("id", F.col("first"), "n_shingles", "signature")
+        members.join(named, "digest").filter("doc_id = first").dropDuplicates(["id"]).select("id", F.col("first"), "n_shingles", "signature", "parities")
     )
     keys = signed.select("id", "signature").mapInPandas(key_rows(chunks, places, errors), "key long, id long")
     # the smallest member of a key leads it: the one with the least document id
@@ -197,10 +218,10 @@ def near_duplicates(
         ids.withColumn("low", F.min("component").over(across))
         .withColumn("high", F.max("component").over(across))
         .filter("low <> high")
-        .join(signed.select("id", "n_shingles", "signature"), "id")
+        .join(signed.select("id", "n_shingles", "signature", "parities"), "id")
     )
-    mixed = cut_lineage(mixed.select("key", "id", "component", "n_shingles", "signature"))
-    fields = ("id", "component", "n_shingles", "signature", "keys")
+    mixed = cut_lineage(mixed.select("key", "id", "component", "n_shingles", "signature", "parities"))
+    fields = ("id", "component", "n_shingles", "signature", "parities", "keys")
     mixed = mixed.join(mixed.groupBy("id").agg(F.collect_list("key").alias("keys")), "id")
     left, right = (mixed.select("key", *(F.col(c).alias(f"{c}_{side}") for c in fields)) for side in "ab")
     near = (
@@ -208,6 +229,8 @@ def near_duplicates(
         & (F.col("id_a") < F.col("id_b"))
         & (100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b"))
         & (places_apart(F.col("signature_a"), F.col("signature_b")) <= threshold(chunks, errors))
+        # sets of that similarity differ in at most this share of their shingles together
+        & ((100 + percent) * parities_apart(F.col("parities_a"), F.col("parities_b")) <= (100 - percent) * (F.col("n_shingles_a") + F.col("n_shingles_b")))
         # a pair that meets under several keys is judged at the least of them
         & (F.array_min(F.array_intersect("keys_a", "keys_b")) == left["key"])
     )
