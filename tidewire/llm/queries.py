@@ -10,6 +10,7 @@ from tidewire.llm.ann import op1_ann
 from tidewire.llm.decontaminate import op2_decontaminate
 from tidewire.llm.language import op4_language
 from tidewire.llm.near_dup import op3_near_dup
+from tidewire.llm.oracles import ORACLES as ORACLES
 from tidewire.llm.packing import op6_packing
 from tidewire.llm.page_text import op9_page_text
 from tidewire.llm.relative_dedup import op10_relative_dedup
@@ -29,5 +30,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_page_text": op9_page_text,
     "op10_relative_dedup": op10_relative_dedup,
 }
-
-ORACLES: dict[str, str] = {}

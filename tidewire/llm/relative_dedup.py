@@ -169,7 +169,7 @@ def relative_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op10_relative_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = relative_dedup(read(spark, folder, "documents"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("factors").alias("n_factors"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def removed_by_definition(rows: list[tuple[int, str | None]], window: int = WINDOW) -> dict[int, tuple[int, int, str]]:
