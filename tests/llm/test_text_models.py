@@ -290,6 +290,34 @@ def test_pages_without_landmarks_lose_what_the_nearest_page_shares(spark, parts)
     assert {r.page_id: r.text for r in out} == {i: f"Own {i}" for i in range(40)}
 
 
+def plain_page(*body):
+    return "<div>Home</div><div>World</div>" + "".join(f"<p>{x}</p>" for x in body) + "<p>All rights reserved</p>"
+
+
+def story(name, n=4):
+    return [f"{name} paragraph {i} tells what happened there" for i in range(n)]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_copies_and_near_copies_without_landmarks_do_not_delete_a_story(spark, parts):
+    rows = [(1, "https://h/a/1", plain_page(*story("A"), "Read 17 times"))]  # a near copy next to it in order
+    rows += [(2, "https://h/a/2", plain_page(*story("A"), "Read 18 times"))]
+    rows += [(3, "https://h/b/1", plain_page(*story("B"))), (4, "https://h/b/2", plain_page(*story("B")))]  # an exact copy
+    rows += [(5, "https://h/c/1", plain_page(*story("C"))), (6, "https://h/c/2", plain_page(*story("C"), *story("D", 9)))]  # all lines in its neighbour
+    rows += [(7, "https://alone/1", plain_page(*story("E"))), (8, "https://alone/2", plain_page(*story("E")))]  # only copies
+    rows += [(100 + i, f"https://h/d/{i:03d}", plain_page(*story("F"), f"Read {i} times")) for i in range(60)]  # near copies over many parts
+    want = {1: [*story("A"), "Read 17 times"], 2: [*story("A"), "Read 18 times"], 3: story("B"), 4: story("B"), 5: story("C"), 6: [*story("C"), *story("D", 9)]}
+    want |= {i: ["Home", "World", *story("E"), "All rights reserved"] for i in (7, 8)}
+    want |= {100 + i: [*story("F"), f"Read {i} times"] for i in range(60)}
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false" if parts > 1 else was)
+    try:
+        out = page_text.main_text(pages(spark, rows).repartition(parts)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    assert {r.page_id: r.text for r in out} == {i: "\n\n".join(x) for i, x in want.items()}
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(6)
     for _ in range(200):
