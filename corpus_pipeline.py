@@ -2,7 +2,8 @@
 
 Rejected go: documents that the toxicity model marks; all but one document (the one with the least id) of each
 near-duplicate group; documents contaminated by the benchmark. Secrets are masked in place. The last stage packs the rest into
-sequences. Every stage decides row by row, so repeated ids are safe; documents without an id are never linked.
+sequences. Every stage judges texts, not ids, so repeated ids are safe; of rows that share an id and a set of shingles the near-duplicate
+stage keeps one. Documents without an id are never linked.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.base import read
 from tidewire.llm.decontaminate import contaminated, decontaminate
-from tidewire.llm.near_dup import near_duplicates
+from tidewire.llm.near_dup import near_classes
 from tidewire.llm.packing import default_vocabulary, pack, token_pieces
 from tidewire.llm.secrets import blob_of, findings_of, new_ledger, read_ledger, update_ledger, with_findings, without_findings
 from tidewire.llm.toxicity import Model, model_for
@@ -45,11 +46,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similarity 0.8 or more on five-word shingles."""
-    classes = near_duplicates(docs)
-    least = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    one_row = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.join(least, "doc_id", "left_semi").withColumn("_n", F.row_number().over(one_row)).filter("_n = 1").drop("_n")
+    """One document of each group of similarity 0.8 or more on five-word shingles; different texts under one id are judged each by itself."""
+    classes = near_classes(docs)
+    least = classes.filter("doc_id = component_id and set_id = kept_set").groupBy("doc_id", "set_id").agg(F.min("text_hash").alias("_hash")).drop("set_id")
+    hashed = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    one_row = Window.partitionBy("doc_id", "_hash").orderBy(F.xxhash64(*docs.columns))
+    kept = hashed.join(least, ["doc_id", "_hash"], "left_semi").withColumn("_n", F.row_number().over(one_row)).filter("_n = 1")
     return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 

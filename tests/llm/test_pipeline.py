@@ -55,6 +55,21 @@ def test_each_stage_on_its_own_input(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()} == set(kept)
 
 
+def test_texts_under_one_id_are_judged_each_by_itself(spark, tmp_path):
+    import random
+
+    rng = random.Random(21)
+    original, clean, one, two, three = (sentence(rng, 60) for _ in range(5))
+    near = " ".join([*original.split()[:-1], "changed"])
+    rows = [(3, original), (7, clean), (7, near), (8, one), (8, two), (8, two.upper()), (9, two), (9, three), (10, ""), (10, None), (11, three), (6, f"{three} "), (6, three)]
+    for i in range(12, 20):  # whichever of two texts has the lower hash
+        rows += [(i, sentence(rng, 50)), (i, " ".join([*original.split()[:-1], f"changed{i}"]))]
+    docs = documents(spark, [(i, t, "en", "s", 1) for i, t in rows])
+    out = [(r.doc_id, (r.text or "").lower().strip()) for r in corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()]
+    want = [(3, original), (7, clean), (8, one), (8, two), (6, three), (10, "")] + [(i, t) for i, t in rows if i >= 12 and "changed" not in t]
+    assert sorted(out) == sorted(want)
+
+
 def test_empty_documents(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     labels_table(spark, []).write.parquet(f"{tmp_path}/labels.parquet")

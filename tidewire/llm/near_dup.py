@@ -73,21 +73,22 @@ def parities(members: np.ndarray) -> np.ndarray:
 
 
 def set_rows(width: int, chunks: int, places: int, with_members: bool):
-    """doc_id, n_shingles, digest, and signature and parities (or members) of each text."""
-    names = ["doc_id", "n_shingles", "digest", *(["members"] if with_members else ["signature", "parities"])]
+    """doc_id, n_shingles, digest, and signature, parities and the text's hash (or members) of each text."""
+    names = ["doc_id", "n_shingles", "digest", *(["members"] if with_members else ["signature", "parities", "text_hash"])]
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            hashes = batch["doc_id"] if with_members else batch["text_hash"]
+            for doc_id, text, text_hash in zip(batch["doc_id"], batch["text"], hashes):
                 members = shingles(text, width)
                 digest = hashlib.blake2b(members.tobytes(), digest_size=16).digest()
                 if with_members:
                     last = (members.tobytes(),)
                 elif len(members):
-                    last = (signature(members, chunks * places).view(np.int16), parities(members))
+                    last = (signature(members, chunks * places).view(np.int16), parities(members), text_hash)
                 else:
-                    last = (None, None)
+                    last = (None, None, text_hash)
                 out.append((doc_id, len(members), digest, *last))
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
@@ -179,7 +180,7 @@ def parities_apart(one: Column, two: Column) -> Column:
     return F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
 
 
-def near_duplicates(
+def near_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -189,9 +190,14 @@ def near_duplicates(
     places: int = PLACES,
     errors: int = ERRORS,
 ) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+    """doc_id, text_hash, n_shingles, component_id, set_id and kept_set of every row.
+
+    set_id names the row's set; kept_set is the one that stands for its class: of the sets under the least id, the least.
+    """
     rows = id_and_text(docs, id_col, text_col)
-    sets = cut_lineage(rows.mapInPandas(set_rows(width, chunks, places, False), "doc_id long, n_shingles long, digest binary, signature array<short>, parities array<long>"))
+    hashed = rows.withColumn("text_hash", F.xxhash64("text"))
+    columns = "doc_id long, n_shingles long, digest binary, signature array<short>, parities array<long>, text_hash long"
+    sets = cut_lineage(hashed.mapInPandas(set_rows(width, chunks, places, False), columns))
     members = sets.filter("doc_id is not null and n_shingles > 0")
     equal = members.groupBy("digest").agg(F.min("doc_id").alias("first"))
     # a representative is named by the digest, so that two sets under one id stay apart
@@ -237,12 +243,18 @@ def near_duplicates(
     pairs = left.join(right, (left["key"] == right["key"]) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     links = links.unionByName(cut_lineage(confirmed(pairs, full, percent)))
     parts = components(links)
-    smallest = parts.join(signed.select("id", "first"), "id").groupBy("component").agg(F.min("first").alias("component_id"))
-    of_set = parts.join(smallest, "component").select("id", "component_id")
-    classes = named.join(of_set, "id", "left").select("digest", F.coalesce("component_id", "first").alias("component_id"))
-    out = sets.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
+    smallest = parts.join(signed.select("id", "first"), "id").groupBy("component").agg(F.min(F.struct("first", "id")).alias("least"))
+    of_set = parts.join(smallest, "component").select("id", "least")
+    classes = named.join(of_set, "id", "left").select("digest", F.coalesce("least.first", "first").alias("component_id"), F.coalesce("least.id", "id").alias("kept_set"))
+    out = sets.select("doc_id", "n_shingles", "digest", "text_hash").join(classes, "digest", "left").withColumn("set_id", F.xxhash64("digest"))
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    return out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    return out.select("doc_id", "text_hash", "n_shingles", component, "set_id", F.when(alone, F.col("set_id")).otherwise(F.col("kept_set")).alias("kept_set"))
+
+
+def near_duplicates(docs: DataFrame, *args, **kwargs) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row; parameters as of near_classes."""
+    return near_classes(docs, *args, **kwargs).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_near_dup(spark: SparkSession, folder: str) -> DataFrame:
