@@ -19,7 +19,7 @@ from tidewire.llm.base import read
 from tidewire.llm.decontaminate import contaminated, decontaminate
 from tidewire.llm.near_dup import near_classes
 from tidewire.llm.packing import default_vocabulary, pack, token_pieces
-from tidewire.llm.secrets import blob_of, findings_of, new_ledger, read_ledger, update_ledger, with_findings, without_findings
+from tidewire.llm.secrets import MASKED, blob_of, findings_of, new_ledger, read_ledger, update_ledger, with_findings, without_findings
 from tidewire.llm.toxicity import Model, model_for
 from tidewire.session import cut_lineage
 
@@ -65,8 +65,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret replaced by a mark; n_chars follows the text."""
     ledger = new_ledger(spark)
-    update_ledger(docs, ledger)
-    findings = cut_lineage(findings_of(read_ledger(spark, ledger)))
+    update_ledger(docs, ledger, MASKED)
+    findings = cut_lineage(findings_of(read_ledger(spark, ledger), MASKED))
     found = with_findings(docs.withColumn("blob", blob_of(F.col("text"))), findings)
     masked = found.withColumn("masked", without_findings(F.col("text"), F.col("findings"), MASK))
     length = F.when(F.size("findings") > 0, F.length("masked")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)

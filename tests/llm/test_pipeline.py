@@ -70,6 +70,28 @@ def test_texts_under_one_id_are_judged_each_by_itself(spark, tmp_path):
     assert sorted(out) == sorted(want)
 
 
+def test_private_keys_are_masked_whole(spark, tmp_path):
+    import random
+
+    rng = random.Random(4)
+    body = "\n".join("".join(rng.choices("abcXYZ0189+/", k=64)) for _ in range(26))
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n"
+    cases = {
+        1: (f"see {begin}\n{body}\nab+/c=\n{end} and more", "see [SECRET] and more"),
+        2: (f"see {begin}\n{fields}{body}\n{end}\nand more", "see [SECRET]\nand more"),
+        3: (f"see {begin}\n{body}\nab+/c=\n\nWithout an end.", "see [SECRET]\n\nWithout an end."),
+        4: (f"see {begin}\r\n{fields}{body}", "see [SECRET]"),
+        5: ("see " + f"{begin}\n{body}\n{end}".replace("\n", "\\n") + "\\n and more", "see [SECRET]\\n and more"),
+        6: (f"A {begin} line alone is short, and so on", "A [SECRET] line alone is short, and so on"),
+        7: (f"{begin}\n{body}\n{end}\nA well-known word\n{begin}\n{body}\n{end}", "[SECRET]\nA well-known word\n[SECRET]"),
+        8: (f"see {begin}\n{body}\nis the key.", "see [SECRET]\nis the key."),
+    }
+    docs = documents(spark, [(i, text, "en", "s", len(text)) for i, (text, _) in cases.items()])
+    out = corpus_pipeline.mask_secrets(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in out} == {i: (want, len(want)) for i, (_, want) in cases.items()}
+
+
 def test_empty_documents(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     labels_table(spark, []).write.parquet(f"{tmp_path}/labels.parquet")

@@ -51,6 +51,24 @@ RULES = (
     Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 BASE = ("assign", "access", "hex")
+_KEY_HEADER = r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----"
+_KEY_GAP = r"(?:\s|\\[nr])*"
+#: What is masked: RULES, with the whole key in place of its header, up to the END line of its kind or, without one, over the
+#: named fields and the lines of base64 that follow (at most 400, a few times the longest key).
+MASKED = (
+    *(r for r in RULES if r.kind != "private_key"),
+    Rule(
+        "private_key",
+        2,
+        _KEY_HEADER
+        + r"(?:[^-]*+(?:-[^-]++){0,64}-----END \1PRIVATE KEY-----"
+        + rf"|(?:{_KEY_GAP}(?:Proc-Type|DEK-Info):[^\r\n]*){{0,8}}(?:{_KEY_GAP}[A-Za-z0-9+/]{{16,}}={{0,2}}){{1,400}}(?:\s*\n[A-Za-z0-9+/]{{1,15}}={{0,2}}(?=\s*(?:\n|\z)))?"
+        + r"|)",
+        0,
+        1,
+        _KEY_HEADER,
+    ),
+)
 SPANS = "array<struct<start:long,end:long>>"
 FINDINGS = "array<struct<start:long,rank:long,end:long,kind:string>>"
 LEDGER = f"blob string, kind string, version int, spans {SPANS}"
