@@ -55,7 +55,7 @@ def edition_pool(fresh: DataFrame, context: DataFrame, profile: Profile = JAPANE
     extra = extra.withColumn("__k", F.row_number().over(_by_edition("pos"))).filter(F.col("__k") <= room).drop("__k", "__n")
     # written before the long chain of text steps, which is then planned over a plain scan
     pool = cut_lineage(chosen.unionByName(extra, allowMissingColumns=True))
-    rows = edited(described(pool, profile), profile)
+    rows = edited(described(pool, profile, None), profile)
     return lead_ordered(rows.filter(F.col("pos") < MAX_CANDIDATES)), lead_ordered(rows)
 
 

@@ -257,7 +257,7 @@ def proposals(rows: DataFrame) -> DataFrame:
     return rows.select(
         "edition_id", n.alias("draft_no"), ids.alias("candidate_ids"), "title", F.lit("").alias("dek"), F.col("description").alias("summary"), F.lit("").alias("why"),
         F.when(n % 2 == 0, F.col("category")).otherwise("none").alias("category"), F.lit("feature").alias("article_type"), (n % 9).cast("int").alias("importance"),
-        F.array("category", "category").alias("tags"), F.slice(sentences, 1, 12).alias("facts"), F.array().cast("array<string>").alias("impact"),
+        F.array("category", "category").alias("tags"), sentences.alias("facts"), F.array().cast("array<string>").alias("impact"),
         F.lit("").alias("background"), F.array().cast("array<string>").alias("watch"),
         F.create_map(F.concat(F.lit("d"), n), F.lit("note"), F.lit("stranger"), F.lit("dropped")).alias("source_notes"),
     )
