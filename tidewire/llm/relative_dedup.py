@@ -1,11 +1,13 @@
-"""Substring de-duplication by relative Lempel-Ziv parsing: documents are factored against the words that came before.
+"""Substring de-duplication: windows of words that occurred before are found by a join and listed as factors.
+
+This is not a relative Lempel-Ziv parse: no reference text is read and no longest factor is looked for.
 
 The reference is every earlier text, indexed in two steps so that the index stays small. Sampled ten-word grams (the least
 of every run of eleven, so that each window of twenty words holds one) are looked up first, one row for each gram and
 document. Only windows whose sampled gram occurs again are indexed themselves: each window goes to its first occurrence.
-A document is then parsed greedily: a factor starts at the first window with an earlier occurrence and follows that
-reference for as long as the words go on there; at its end the parse goes on with the window that crosses the boundary,
-so nothing that straddles two factors is missed. A factor covers at least one whole window.
+All windows of a document that occurred earlier are removed; every window is looked up, so nothing that straddles two
+factors is missed. Factors only list them: neighbouring windows whose first occurrences run on in one document make one
+factor, so a factor ends where the next window occurred first elsewhere, even if the words go on in the same reference.
 
 Order is (doc_id, position). Rows without an id come last, as one document; rows that share an id do not count as earlier
 at the same position. Null text has no words. Texts with fewer words than a window, and empty tables, lose nothing.
