@@ -1,4 +1,4 @@
-"""Exact substring de-duplication by bucket-pointer refinement over the suffixes of all texts.
+"""Exact substring de-duplication by buckets of sampled suffixes, in place of recursive bucket-pointer refinement.
 
 Suffixes start in buckets of one q-gram, named by the gram's hash, so that a bucket has the same name in every task. Only
 sampled suffixes are sorted (the least gram of each run, so every window holds one), by bucket and then by the identifier of
