@@ -12,7 +12,7 @@ fetched, a lossless bound on their difference is checked: of each set the parity
 kept; bits in which two sets differ are never more than the shingles in which they differ.
 
 Production parameters: 80 places of 16 bits in 16 chunks of 5, one error each, so all pairs that differ in at most 31 places
-meet; a pair of similarity 0.8 differs in 16 on average and in more than 31 with a probability of about 1e-5.
+meet; a pair of similarity 0.8 differs in 16 on average and in more than 31 with a probability of about 3.3e-5.
 
 Words are [^\\x20\\x09-\\x0D]+ with A-Z lowered. Shingles are compared by 64 bits of hash, equal sets by 128. Null text and
 texts without words have the empty set and are linked with nothing. Rows without an id are not linked and are their own class
