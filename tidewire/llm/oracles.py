@@ -118,9 +118,47 @@ SELECT doc_id, CAST(len(doc.words) AS BIGINT) AS n_words, CAST(len(doc.words) -
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
+#: crc32 of distinct words, byte by byte over a table made by its rule; gains of buckets; the drawn tenth by one sort.
+IMPORTANCE = rf"""
+WITH doc AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words FROM documents
+), source AS (
+    SELECT doc_id, unnest(words) AS word FROM doc
+), target AS (
+    SELECT unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark
+), crc AS (
+    SELECT list(list_reduce([CAST(i AS UBIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps
+    FROM range(256) r(i)
+), word AS (
+    SELECT word, hex(encode(word)) AS code FROM (SELECT word FROM source UNION SELECT word FROM target)
+), hashed AS (
+    SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(range(1, length(code), 2), lambda i: CAST('0x' || code[i:i + 1] AS UBIGINT))),
+                                 lambda c, b: xor(steps[CAST(xor(c, b) & 255 AS BIGINT) + 1], c >> 8)), CAST(4294967295 AS UBIGINT)) % 10000 AS bucket
+    FROM word, crc
+), held AS (
+    SELECT bucket, count(*) AS n FROM source JOIN hashed USING (word) GROUP BY bucket
+), wanted AS (
+    SELECT bucket, count(*) AS n FROM target JOIN hashed USING (word) GROUP BY bucket
+), gain AS (
+    SELECT bucket, CAST(floor(1000 * ln((coalesce(wanted.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM held) + 10000)::DOUBLE
+        / ((held.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM wanted) + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM held LEFT JOIN wanted USING (bucket)
+), weighed AS (
+    SELECT doc_id, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM source JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY doc_id
+), scored AS (
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+        + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM doc LEFT JOIN weighed USING (doc_id)
+), drawn AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM scored LEFT JOIN drawn USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_decontaminate": DECONTAMINATE,
     "op3_near_dup": NEAR_DUP,
     "op8_secrets": SECRETS,
     "op10_relative_dedup": RELATIVE_DEDUP,
+    "op12_importance": IMPORTANCE,
 }

@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewire.llm.ann import op1_ann
 from tidewire.llm.decontaminate import op2_decontaminate
+from tidewire.llm.importance import op12_importance
 from tidewire.llm.language import op4_language
 from tidewire.llm.near_dup import op3_near_dup
 from tidewire.llm.oracles import ORACLES as ORACLES
 from tidewire.llm.packing import op6_packing
 from tidewire.llm.page_text import op9_page_text
+from tidewire.llm.periodic_runs import op13_periodic_runs
 from tidewire.llm.relative_dedup import op10_relative_dedup
 from tidewire.llm.secrets import op8_secrets
 from tidewire.llm.suffix_dedup import op7_suffix_dedup
+from tidewire.llm.token_counts import op11_token_counts
 from tidewire.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,4 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_page_text": op9_page_text,
     "op10_relative_dedup": op10_relative_dedup,
+    "op11_token_counts": op11_token_counts,
+    "op12_importance": op12_importance,
+    "op13_periodic_runs": op13_periodic_runs,
 }
