@@ -462,17 +462,14 @@ def likeness(a: str, b: str) -> float:
         return 0.0
     if a == b:
         return 1.0
-    pairs = [{s[i:i + 2] for i in range(max(1, len(s) - 1))} for s in (a, b)]
-    overlap = len(pairs[0] & pairs[1]) / len(pairs[0] | pairs[1])
-    nested = min(len(a), len(b)) / max(len(a), len(b)) if a in b or b in a else 0.0
-    return max(ratio(a, b), overlap, nested)
+    return max(ratio(a, b), shared_share(a, b))
 
 
-@arrow(T.DoubleType())
-def title_likeness(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Similarity of two already normalised titles; the order of the arguments matters."""
-    left, right = a.to_pylist(), b.to_pylist()
-    return pa.array([None if x is None or y is None else likeness(x, y) for x, y in zip(left, right)], pa.float64())
+def shared_share(a: str, b: str) -> float:
+    """The better of bigram Jaccard and containment of two texts."""
+    pairs = [{s[i:i + 2] for i in range(max(1, len(s) - 1))} for s in (a, b)]
+    overlap = len(pairs[0] & pairs[1]) / len(pairs[0] | pairs[1])
+    return max(overlap, min(len(a), len(b)) / max(len(a), len(b)) if a in b or b in a else 0.0)
 
 
 def text_overlap(c: Column, references: Column) -> Column:

@@ -63,9 +63,9 @@ def seen_titles(
 ) -> DataFrame:
     """Distinct (normalised title, published_at, edition) of `df` that resemble a story published close in time.
 
-    Every story counts; with `edition`, every one of an earlier edition than the row's. A story lies in one stretch of
-    `within_hours`, and a row looks into its own, the one before and the one after, so a pair meets once and neither
-    side is broadcast. `full` is the parameter of `similar_pairs`.
+    Every story counts; with `edition`, every one of an earlier edition, and so of an earlier time, than the row's. A story
+    lies in one stretch of `within_hours`, and a row looks into its own, the one before and, without editions, the one after, so a
+    pair meets once and neither side is broadcast. `full` is the parameter of `similar_pairs`.
     """
     def number(at: str) -> Column:
         return F.floor((F.datediff(at, F.lit("1970-01-01")) * 24 + F.hour(at)) / within_hours)
@@ -74,7 +74,7 @@ def seen_titles(
     titles = text.normalize_title(df.select("title", "published_at", at_edition.alias("__edition")), "title_norm", F.col("title"))
     titles = titles.filter((F.col("title_norm") != "") & F.col("published_at").isNotNull()).select("title_norm", "published_at", "__edition").distinct()
     titles = titles.withColumnsRenamed({"published_at": "item_at", "__edition": "item_edition"})
-    around = F.sequence(number("item_at") - 1, number("item_at") + 1)
+    around = F.sequence(number("item_at") - 1, number("item_at") + (0 if edition else 1))
     history = text.normalize_title(stories.select("title", "published_at", at_edition.alias("__edition")), "norm", F.col("title"))
     history = history.filter(F.col("norm") != "").groupBy("norm", F.col("published_at").alias("story_at"))
     history = history.agg(F.min("__edition").alias("story_edition")).withColumn("stretch", number("story_at"))

@@ -39,7 +39,7 @@ def squash(c: str) -> str:
 
 
 CAND = rf"""cand AS (
-  SELECT doc_id AS ord, 'd' || doc_id AS id, substr(regexp_extract(text, '^[^.\n]+'), 1, 260) AS title, text AS description,
+  SELECT doc_id AS ord, 'd' || doc_id AS id, regexp_extract(text, '^[^.\n]+') AS title, text AS description,
     'https://' || source || '.example.org/' || doc_id AS url, source AS source_name, source AS publisher_id,
     {CATEGORY_LIST}[doc_id % 9 + 1] AS category,
     TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id * 300) AS published_at,
@@ -50,13 +50,13 @@ ITEMS = rf"""{CAND}, items AS (
 
 
 def title_norm(c: str) -> str:
-    folded = f"lower({squash(c)})"
+    folded = f"lower(rtrim(substr({squash(c)}, 1, 300)))"
     bare = rf"regexp_replace({folded}, '[\s\p{{Z}}]*[|｜:：\-—–][\s\p{{Z}}]*[^|｜:：\-—–]{{1,28}}$', '')"
     return rf"regexp_replace({bare}, '[^0-9a-z\x{{3040}}-\x{{30ff}}\x{{3400}}-\x{{9fff}}]+', '', 'g')"
 
 
 def fold_key(c: str) -> str:
-    return rf"regexp_replace(substr(replace(lower({c}), 'ß', 'ss'), 1, 500), '[^\p{{L}}\p{{N}}]+', '', 'g')"
+    return rf"regexp_replace(replace(lower(rtrim(substr({c}, 1, 500))), 'ß', 'ss'), '[^\p{{L}}\p{{N}}]+', '', 'g')"
 
 
 ORACLES["edition_slot_counts"] = f"""

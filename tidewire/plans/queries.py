@@ -602,7 +602,7 @@ def stream_slot_counts(spark, sf):
 @query
 def stream_url_dedup(spark, sf):
     docs = run.landed(spark, sf, "documents")
-    title = F.substring(F.regexp_extract("text", r"^[^.\n]+", 0), 1, 260)
+    title = F.regexp_extract("text", r"^[^.\n]+", 0)
     items = docs.select(
         F.concat(F.lit("https://news.example.org/"), F.md5(title)).alias("url"),
         F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 300).alias("published_at"),

@@ -41,7 +41,7 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("doc_id")
     return docs.select(
         F.concat(F.lit("d"), number).alias("id"),
-        F.substring(F.regexp_extract("text", r"^[^.\n]+", 0), 1, 260).alias("title"),
+        F.regexp_extract("text", r"^[^.\n]+", 0).alias("title"),
         F.col("text").alias("description"),
         F.concat(F.lit("https://"), "source", F.lit(".example.org/"), number).alias("url"),
         F.col("source").alias("source_name"),
