@@ -615,3 +615,26 @@ WHERE a.position % 4 < 3 AND c.title <> ''"""
 
 ORACLES["stream_slot_counts"] = f"SELECT {edition('ts')} AS edition_id, event_type, count(*) AS n FROM events GROUP BY 1, 2"
 ORACLES["stream_url_dedup"] = f"WITH {ITEMS} SELECT DISTINCT url FROM items"
+
+ORACLES["stream_unseen_urls"] = f"""
+WITH {ITEMS} SELECT ord, url FROM items QUALIFY row_number() OVER (PARTITION BY url ORDER BY published_at, ord) = 1"""
+
+ORACLES["stream_unseen_titles"] = f"""
+WITH RECURSIVE {CAND}, o AS (SELECT ord, {title_norm('title')} AS title_norm, published_at, primary_source FROM cand),
+n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY title_norm ORDER BY published_at, ord) AS r FROM o WHERE title_norm <> ''),
+s AS (SELECT title_norm, r, ord, published_at, published_at AS last, true AS kept FROM n WHERE r = 1
+  UNION ALL
+  SELECT n.title_norm, n.r, n.ord, n.published_at,
+    CASE WHEN n.primary_source OR n.published_at - s.last > INTERVAL 36 HOUR THEN n.published_at ELSE s.last END,
+    n.primary_source OR n.published_at - s.last > INTERVAL 36 HOUR
+  FROM s JOIN n ON n.title_norm = s.title_norm AND n.r = s.r + 1)
+SELECT ord, title_norm, published_at FROM s WHERE kept"""
+
+ORACLES["stream_closed_slots"] = """
+WITH span AS (SELECT epoch(date_trunc('second', min(ts))) AS a, epoch(date_trunc('second', max(ts))) AS b FROM events),
+landed AS (SELECT ts, event_type, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2000-01-01 03:00:00') AS w,
+    least(floor((epoch(date_trunc('second', ts)) - a) * 3 / (b - a + 1)) + CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END, 2) AS landing FROM events, span),
+marks AS (SELECT l.landing, (SELECT max(ts) FROM landed e WHERE e.landing < l.landing) - INTERVAL 90 MINUTE AS mark FROM (SELECT DISTINCT landing FROM landed) l),
+judged AS (SELECT w, event_type, coalesce(w + INTERVAL 6 HOUR <= mark, false) AS late FROM landed JOIN marks USING (landing))
+SELECT CASE WHEN late THEN 'late' ELSE 'closed' END AS kind, w AS window_start, event_type, count(*) AS n FROM judged
+WHERE late OR w + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 90 MINUTE FROM events) GROUP BY ALL"""

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import slots, text, urls
-from tidewire.functions.profiles import CATEGORIES, LATIN
+from tidewire.functions.profiles import CATEGORIES, LATIN, SEEN_HOURS, STATE_DAYS
 from tidewire.operators import articles as art
 from tidewire.operators import clusters, dedup, drafts, enrich, gates, selection, similarity, sinks, viewer, windows
 from tidewire.plans import edition_run, fixtures
 from tidewire.session import cut_lineage
 from tidewire.sources import archive, entries, payloads, registry, tables
-from tidewire.streaming import run
+from tidewire.streaming import history, run
 from tidewire.streaming import slots as stream_slots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -599,12 +599,55 @@ def stream_slot_counts(spark, sf):
     return stream_slots.merge_slots(counted, ["event_type"])
 
 
+LANDINGS = 3
+
+
+def third(number: str, rows: DataFrame) -> Column:
+    """In which of three landings a row comes, by its number."""
+    most = rows.select(F.max(number)).scalar()
+    return F.floor(F.col(number) * LANDINGS / (most + 1))
+
+
+@query
+def stream_closed_slots(spark, sf):
+    """Slots closed by the watermark over three landings, and rows behind it; every 17th event lands one landing late."""
+    events = tables.table(spark, sf, "events").withColumn("published_at", F.col("ts").cast("timestamp"))
+    events = events.select("event_id", "event_type", "published_at")
+    first, last = (events.select(F.unix_seconds(f("published_at"))).scalar() for f in (F.min, F.max))
+    own = F.floor((F.unix_seconds("published_at") - first) * LANDINGS / (last - first + 1))
+    landing = F.least(own + F.when(F.col("event_id") % 17 == 0, 1).otherwise(0), F.lit(LANDINGS - 1))
+    landed = cut_lineage(events.withColumn("landing", landing))
+    found = stream_slots.closed_slot_counts(landed, F.col("landing"), LANDINGS, by=["event_type"])
+    return found.select("kind", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
 @query
 def stream_url_dedup(spark, sf):
-    docs = run.landed(spark, sf, "documents")
-    title = F.regexp_extract("text", r"^[^.\n]+", 0)
-    items = docs.select(
-        F.concat(F.lit("https://news.example.org/"), F.md5(title)).alias("url"),
-        F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 300).alias("published_at"),
+    items = fixtures.titled_items(spark, sf).select("ord", "url", F.col("published_at").cast("timestamp").alias("published_at"))
+    landed = cut_lineage(items)
+    flow = run.by_landings(landed, third("ord", landed), LANDINGS, lambda s: stream_slots.distinct_urls(s, horizon="180 days"))
+    return flow.result().select("url")
+
+
+@query
+def stream_unseen_urls(spark, sf):
+    """URLs that no earlier landing or row published within 180 days, by keyed state."""
+    history.use_rocks(spark)
+    landed = cut_lineage(fixtures.titled_items(spark, sf).select("ord", "url", "published_at"))
+    flow = run.by_landings(
+        landed, third("ord", landed), LANDINGS, lambda s: history.kept_stories(s, F.col("url"), F.col("ord"), F.col("published_at"), 24 * STATE_DAYS)
     )
-    return run.drain(stream_slots.distinct_urls(items), "append").select("url")
+    return flow.result().select(F.col("number").alias("ord"), F.col("key").alias("url"))
+
+
+@query
+def stream_unseen_titles(spark, sf):
+    """Items whose normalised title no kept item had within 36 hours before; primary sources stay."""
+    history.use_rocks(spark)
+    items = text.normalize_title(tables.candidates(spark, sf), "title_norm", F.col("title"))
+    landed = cut_lineage(items.select("ord", "title_norm", "published_at", "primary_source"))
+    flow = run.by_landings(
+        landed, third("ord", landed), LANDINGS,
+        lambda s: history.kept_stories(s, F.col("title_norm"), F.col("ord"), F.col("published_at"), SEEN_HOURS, F.col("primary_source")),
+    )
+    return flow.result().select(F.col("number").alias("ord"), F.col("key").alias("title_norm"), F.col("at").cast("timestamp_ntz").alias("published_at"))
