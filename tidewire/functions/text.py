@@ -447,6 +447,12 @@ def grams(c: Column, width: int = 2) -> Column:
     return F.when(c == "", F.array().cast("array<string>")).otherwise(found)
 
 
+@arrow(TEXTS)
+def pair_sets(values: pa.Array) -> pa.Array:
+    """Distinct pairs of neighbouring characters of each text; `grams` is quadratic in the length of a text."""
+    return each(values, lambda v: sorted({v[i : i + 2] for i in range(len(v) - 1)}), pa.list_(pa.string()))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     shared = F.size(F.array_intersect(a, b))
     return shared / F.nullif(F.size(a) + F.size(b) - shared, F.lit(0))

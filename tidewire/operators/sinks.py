@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import slots
@@ -91,9 +91,13 @@ def category_listing(articles: DataFrame) -> DataFrame:
     return articles.withColumn("listing", rank)
 
 
-def run_summary(candidates: DataFrame, articles: DataFrame, failures: DataFrame) -> DataFrame:
-    """One row: candidates considered, articles published, failed feeds, last edition."""
-    c = candidates.agg(F.count("*").alias("candidates"))
-    a = articles.agg(F.count("*").alias("published"), F.max("edition_id").alias("last_edition"))
-    f = failures.agg(F.count_if(~F.col("ok")).alias("failed_feeds"))
-    return a.select("*", c.scalar().alias("candidates"), f.scalar().alias("failed_feeds"))
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """The rows, counted while the job that writes them runs, so no second pass is needed."""
+    seen = Observation(name)
+    return df.observe(seen, *[value.alias(key) for key, value in metrics.items()]), seen
+
+
+def run_summary(spark: SparkSession, *observations: Observation) -> DataFrame:
+    """One row of everything that was observed while a run was written."""
+    values = {key: value for seen in observations for key, value in seen.get.items()}
+    return spark.range(1).select(*[F.lit(value).alias(key) for key, value in values.items()])

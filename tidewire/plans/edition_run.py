@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from tidewire.functions import slots
 from tidewire.functions.profiles import CATCHUP_LIMIT, CONTEXT_LIMIT, JAPANESE, MAX_CANDIDATES, Profile
 from tidewire.operators import articles as art
-from tidewire.operators import gates, sinks
+from tidewire.operators import gates
 from tidewire.operators.clusters import described, lead_ordered
 from tidewire.operators.dedup import filter_seen, first_per_key, forget_edition, merge_evidence, prune_stories, remember
 from tidewire.operators.drafts import build_drafts, edited
 from tidewire.operators.selection import limit_candidates
 from tidewire.operators.windows import assign_windows, missing_windows, rolling_context
+from tidewire.plans import publication
 from tidewire.session import cut_lineage
 from tidewire.sources.state import commit_state, load_state
 
@@ -89,7 +90,7 @@ def violations(articles: DataFrame, edition_ids: DataFrame, profile: Profile = J
 
 @dataclass
 class CatchUp:
-    """Publish every missing window in order; nothing is visible until all of them pass the gates."""
+    """Publish every missing window in order; nothing is visible until all of them pass the gates and the audit."""
 
     spark: SparkSession
     folder: str
@@ -124,14 +125,16 @@ class CatchUp:
             done.append((edition_id, start, end, found))
         if not done:
             return []
-        for edition_id, start, end, found in done:
-            window = self.spark.createDataFrame(
-                [(edition_id, start, end)], "edition_id string, window_start timestamp_ntz, window_end timestamp_ntz"
-            )
-            sinks.write_editions(art.editions(found, window), f"{self.folder}/editions")
+        number = publication.next_commit(mark)
+        publication.stage([self._documents(*d) for d in done], self.folder, number)
+        publication.checked(self.spark, self.folder, number)
         commit_state(self.spark, self.folder, stories, done[-1][2], done[-1][0])
         return [d[0] for d in done]
 
+    def _documents(self, edition_id: str, start: dt.datetime, end: dt.datetime, found: DataFrame) -> DataFrame:
+        window = self.spark.createDataFrame([(edition_id, start, end)], "edition_id string, window_start timestamp_ntz, window_end timestamp_ntz")
+        return art.editions(found, window)
+
     def _windows(self, mark, now: dt.datetime) -> list[tuple]:
         """(edition_id, start, end) of the windows to process: one row in, at most `limit` rows out."""
         row = self.spark.createDataFrame([(mark, now)], "mark timestamp_ntz, now timestamp_ntz")

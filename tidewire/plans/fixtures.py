@@ -230,6 +230,16 @@ def stored_articles(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("ord", F.when(n % 3 == 0, newest).when(n % 3 == 1, older).otherwise(oldest).alias("json"))
 
 
+def written_editions(spark: SparkSession, sf: str, folder: str) -> None:
+    """Every document as a stored edition document of one article in one of three schema generations; every 50th line is cut off, every 51st holds no article."""
+    rows = stored_articles(spark, sf).withColumn("published_at", tables.after_epoch(F.col("ord") * 300))
+    edition = slots.edition_of(F.col("published_at"))
+    whole = F.concat(F.lit('{"edition": {"id": "'), edition, F.lit('"}, "articles": ['), "json", F.lit("]}"))
+    n = F.col("ord")
+    line = F.when(n % 50 == 7, F.substring(whole, 1, 60)).when(n % 51 == 11, F.lit('{"note": "empty"}')).otherwise(whole)
+    rows.select(edition.alias("edition_id"), line.alias("value")).write.mode("overwrite").partitionBy("edition_id").text(folder)
+
+
 def stored_editions(spark: SparkSession, sf: str) -> DataFrame:
     """Each article as a stored edition document of its own; the article number decides its declared source count."""
     found = articles(spark, sf)

@@ -638,3 +638,29 @@ marks AS (SELECT l.landing, (SELECT max(ts) FROM landed e WHERE e.landing < l.la
 judged AS (SELECT w, event_type, coalesce(w + INTERVAL 6 HOUR <= mark, false) AS late FROM landed JOIN marks USING (landing))
 SELECT CASE WHEN late THEN 'late' ELSE 'closed' END AS kind, w AS window_start, event_type, count(*) AS n FROM judged
 WHERE late OR w + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 90 MINUTE FROM events) GROUP BY ALL"""
+
+STORED = f"""{EDITIONED}, ids AS (SELECT DISTINCT edition_id FROM ed ORDER BY edition_id DESC LIMIT 12),
+doc AS (SELECT *, CASE WHEN ord % 50 = 7 OR ord % 51 = 11 THEN 1 ELSE 0 END AS broken FROM ed)"""
+
+ORACLES["stored_documents"] = f"""
+WITH {STORED}
+SELECT edition_id, id, CASE WHEN title = '' THEN '無題の記事' ELSE title END AS title, CASE ord % 3 WHEN 2 THEN 'other' ELSE 'economy' END AS category,
+  CAST(CASE ord % 3 WHEN 0 THEN priority WHEN 1 THEN least(priority + 3, 5) ELSE 3 END AS INT) AS importance,
+  CASE ord % 3 WHEN 0 THEN 'feature' ELSE 'brief' END AS article_type FROM doc JOIN ids USING (edition_id) WHERE broken = 0"""
+
+ORACLES["stored_document_counts"] = f"""
+WITH {STORED}, idx AS (SELECT DISTINCT edition_id FROM ed ORDER BY edition_id DESC LIMIT 15),
+c AS (SELECT edition_id, count(*) FILTER (broken = 0) AS documents, sum(broken) AS broken FROM doc JOIN ids USING (edition_id) GROUP BY 1)
+SELECT edition_id, coalesce(documents, 0) AS articles, coalesce(documents, 0) AS documents, CAST(coalesce(broken, 0) AS BIGINT) AS broken FROM idx LEFT JOIN c USING (edition_id)"""
+
+ORACLES["observed_run"] = f"""
+WITH {PAYLOADS}, o AS (SELECT u.source, coalesce(bool_or(j.ord IS NOT NULL AND reason IS NULL), false) AS ok FROM usable u LEFT JOIN judged j ON j.source_name = u.source GROUP BY 1)
+SELECT (SELECT count(*) FROM o) AS feeds, (SELECT count(*) FROM o WHERE NOT ok) AS failed_feeds, (SELECT count(*) FROM judged WHERE reason IS NULL) AS candidates,
+  (SELECT count(DISTINCT ord // 6) FROM cand) AS published,
+  (SELECT max({edition("(TIMESTAMP '2024-01-01 00:00:00' + to_seconds((ord // 6) * 1800))")}) FROM cand) AS last_edition"""
+
+SEARCH_TERMS = (("en", "le"), ("sch", "ein"), ("tion", "and", "the"), ("ouèon",), ("e",), ("wherever", "zzqx"), ("an", "anan"))
+ORACLES["indexed_search"] = f"WITH {ART} " + " UNION ALL ".join(
+    f"SELECT {n} AS search, edition_id, id FROM art WHERE " + " AND ".join(f"contains({COMPARED}, regexp_replace('{t}', '[^0-9a-z]+', '', 'g'))" for t in terms)
+    for n, terms in enumerate(SEARCH_TERMS)
+)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,9 +13,9 @@ from pyspark.sql import functions as F
 from tidewire.functions import slots, text, urls
 from tidewire.functions.profiles import CATEGORIES, LATIN, SEEN_HOURS, STATE_DAYS
 from tidewire.operators import articles as art
-from tidewire.operators import clusters, dedup, drafts, enrich, gates, selection, similarity, sinks, viewer, windows
+from tidewire.operators import clusters, dedup, drafts, enrich, gates, search_index, selection, similarity, sinks, viewer, windows
 from tidewire.plans import edition_run, fixtures
-from tidewire.session import cut_lineage
+from tidewire.session import checkpoint_dir, cut_lineage
 from tidewire.sources import archive, entries, payloads, registry, tables
 from tidewire.streaming import history, run
 from tidewire.streaming import slots as stream_slots
@@ -27,6 +29,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for tables of one query, below the shared one."""
+    return f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+
+
 def exact_sum(c: str) -> Column:
     return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
 
@@ -478,6 +485,19 @@ def article_search(spark, sf):
     return viewer.of_category(found, "all").select("edition_id", "id", "importance", rank.alias("rank"))
 
 
+#: Searches of the indexed form: frequent and rare terms, a term inside another one, one character, and nothing that matches.
+SEARCHES = ("en  LE", "sch ein", "tion and the", "ouèon", "e", "wherever zzqx", "an anan")
+
+
+@query
+def indexed_search(spark, sf):
+    """Several searches over all editions by the persisted index."""
+    found = fixtures.articles(spark, sf).select("edition_id", "id", "title", "dek", "summary")
+    index = search_index.build_index(found, F.concat_ws(" ", "title", "dek", "summary"), scratch(spark))
+    hits = [index.search(q).select(F.lit(n).alias("search"), "edition_id", "id") for n, q in enumerate(SEARCHES)]
+    return functools.reduce(DataFrame.unionByName, hits)
+
+
 @query
 def article_lookup(spark, sf):
     found = fixtures.articles(spark, sf)
@@ -579,6 +599,39 @@ def archive_context(spark, sf):
     return out.select("origin_edition_id", "url", "title", "description", "published_at", "priority", "primary_source", "category", "id")
 
 
+@query
+def stored_documents(spark, sf):
+    """Articles of the newest twelve stored editions, read back from documents of three schema generations, some broken."""
+    folder = scratch(spark)
+    fixtures.written_editions(spark, sf, folder)
+    rows = viewer.normalize_articles(archive.article_rows(archive.read_editions(spark, folder)))
+    return rows.select("edition_id", "id", "title", "category", "importance", "article_type")
+
+
+@query
+def stored_document_counts(spark, sf):
+    """Readable and broken documents of the newest fifteen editions of the index, of which twelve are read."""
+    folder = scratch(spark)
+    fixtures.written_editions(spark, sf, folder)
+    index = fixtures.edition_windows(tables.candidates(spark, sf)).orderBy(F.desc("edition_id")).limit(15).select("edition_id")
+    return archive.with_documents(index, archive.read_editions(spark, folder))
+
+
+@query
+def observed_run(spark, sf):
+    """Run summary from metrics that are observed while candidates and articles are written, behind the floor of successful feeds."""
+    rules = registry.prepared_rules(registry.usable_feeds(fixtures.feed_registry(spark, sf)))
+    parsed = cut_lineage(payloads.parse_payloads(payloads.decode_payloads(fixtures.feed_payloads(spark, sf), rules)))
+    outcome = payloads.feed_failures(parsed, rules)
+    outcome, feeds = sinks.observed(outcome, "feeds", feeds=F.count("*"), failed_feeds=F.count_if(~F.col("ok")))
+    outcome = cut_lineage(outcome)
+    found, candidates = sinks.observed(payloads.behind_floor(payloads.entries(parsed), outcome), "candidates", candidates=F.count("*"))
+    cut_lineage(found)
+    articles, published = sinks.observed(fixtures.articles(spark, sf), "published", published=F.count("*"), last_edition=F.max("edition_id"))
+    cut_lineage(articles)
+    return sinks.run_summary(spark, feeds, candidates, published)
+
+
 @query
 def validated_drafts(spark, sf):
     """External proposals, one per document and its successor, reduced to what the candidates support."""

@@ -13,28 +13,43 @@ from tidewire.functions.text import likeness
 
 CREDIT = "公開情報をもとに"
 LINK = "struct<title: string, url: string, publishedAt: string, isContinuation: boolean, originEditionId: string>"
-SOURCE = (
-    f"struct<name: string, publisherId: string, url: string, links: array<{LINK}>, publishedAt: string, "
-    "keyPoints: array<string>, type: string, isPrimary: boolean>"
-)
-ARTICLE = (
-    "struct<id: string, slug: string, title: string, dek: string, summary: string, category: string, importance: int, "
-    "publishedAt: string, updatedAt: string, articleType: string, sourceCount: int, publisherCount: int, background: string, "
-    f"facts: array<string>, impactPoints: array<string>, watchPoints: array<string>, tags: array<string>, sources: array<{SOURCE}>>"
-)
-EDITION = (
-    "schemaVersion int, generatedAt string, summary string, edition struct<id: string, date: string, slot: string, label: string>, "
-    f"coverage struct<start: string, end: string, label: string>, articles array<{ARTICLE}>"
-)
-
-
-def read_editions(spark: SparkSession, path: str) -> DataFrame:
-    """Edition documents (one JSON object per file) with an explicit schema."""
-    return spark.read.schema(EDITION).json(path, multiLine=True).filter(F.col("articles").isNotNull())
-
-
-def newest_editions(editions: DataFrame, n: int = 12) -> DataFrame:
-    return editions.orderBy(F.desc("edition.id")).limit(n)
+DOCUMENT = "edition struct<id: string>, articles array<string>, broken string"
+
+
+def stored_ids(spark: SparkSession, folder: str, newest: int | None = None) -> list[str]:
+    """Ids of the stored editions, newest first, from the names of the files alone."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(F.regexp_extract("path", "edition_id=([^/]+)/", 1).alias("id"))
+    ids = listed.filter("id <> ''").distinct().orderBy(F.desc("id"))
+    return [r["id"] for r in (ids.limit(newest) if newest else ids).collect()]
+
+
+def read_editions(spark: SparkSession, folder: str, newest: int | None = 12) -> DataFrame:
+    """(edition_id, edition, articles, broken) of the newest stored editions, one row for each document.
+
+    Documents are lines of JSON in one partition for each edition, and only the partitions of the newest editions are read. Articles
+    stay JSON texts, as their fields changed over time (`article_rows`); a line that is no document has `broken` instead.
+    """
+    ids = stored_ids(spark, folder, newest)
+    schema = f"{DOCUMENT}, edition_id string"
+    if not ids:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "broken").option("mode", "PERMISSIVE")
+    rows = reader.json(folder).filter(F.col("edition_id").isin(ids))
+    unusable = F.col("broken").isNull() & F.col("articles").isNull()
+    return rows.withColumn("broken", F.when(unusable, F.lit("no articles")).otherwise(F.col("broken")))
+
+
+def article_rows(documents: DataFrame) -> DataFrame:
+    """One row for each article of the readable documents, its JSON text parsed to `article` (null if it is none)."""
+    rows = documents.filter(F.col("broken").isNull()).select("edition_id", F.posexplode("articles").alias("place", "json"))
+    return rows.select("edition_id", "place", F.try_parse_json("json").alias("article"))
+
+
+def with_documents(index: DataFrame, documents: DataFrame) -> DataFrame:
+    """Each edition of the index with its documents; one without a readable document is empty, not missing."""
+    readable = documents.filter(F.col("broken").isNull()).groupBy("edition_id").agg(F.sum(F.size("articles")).alias("articles"), F.count("*").alias("documents"))
+    broken = documents.filter(F.col("broken").isNotNull()).groupBy("edition_id").agg(F.count("*").alias("broken"))
+    return index.join(readable, "edition_id", "left").join(broken, "edition_id", "left").na.fill(0, ["articles", "documents", "broken"])
 
 
 def unlike_title(df: DataFrame, out: str, points: str, title: str, threshold: float = SEEN_SIMILARITY) -> DataFrame:

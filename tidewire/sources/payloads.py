@@ -141,3 +141,10 @@ def success_floor(outcome: DataFrame) -> DataFrame:
     counted = outcome.agg(F.count("*").alias("feeds"), F.count_if("ok").alias("succeeded"))
     required = F.greatest(F.lit(1), F.floor((F.col("feeds") + 3) / 4))
     return counted.withColumn("required", required).withColumn("passed", F.col("succeeded") >= F.col("required"))
+
+
+def behind_floor(df: DataFrame, outcome: DataFrame) -> DataFrame:
+    """The rows, in a job that fails when too few feeds succeeded; the verdict is worked out inside the job, once."""
+    verdict = success_floor(outcome)
+    message = F.concat(F.lit("only "), F.col("succeeded"), F.lit(" of "), F.col("feeds"), F.lit(" feeds succeeded, "), F.col("required"), F.lit(" are needed"))
+    return df.filter(verdict.select(F.when(F.col("passed"), True).otherwise(F.raise_error(message).cast("boolean"))).scalar())
