@@ -49,11 +49,25 @@ def test_factors_point_at_equal_words(spark):
             assert words[row.doc_id][f.start : f.start + f.length] == words[f.ref_doc][f.ref_start : f.ref_start + f.length]
 
 
-def test_suffix_dedup_equals_its_definition_in_both_ways(spark):
+def test_suffix_dedup_equals_its_definition(spark):
     rows = odd_rows(4)
+    rng = random.Random(14)
+    line = "a line of seventy-one bytes that many texts hold, between words of own."
+    for i in range(60):  # one gram in many texts, with as many bytes equal on either side as can be
+        left, right = rng.randrange(45), rng.randrange(45)
+        rows.append((2000 + i, f"{sentence(rng, 9)}{line[20 - min(left, 20) : 40 + min(right, 31)]}{sentence(rng, 9)}", "en", "src2", 0))
     want = suffix_dedup.removed_by_definition([r[:2] for r in rows])
-    for crowd in (suffix_dedup.CROWD, 1):
-        out = suffix_dedup.suffix_dedup(documents(spark, rows), crowd=crowd).withColumn("sha", F.sha2("kept", 256)).collect()
+    out = suffix_dedup.suffix_dedup(documents(spark, rows)).withColumn("sha", F.sha2("kept", 256)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.sha) for r in out} == want
+    assert sum(want[2000 + i][1] > 0 for i in range(60)) > 20
+
+
+def test_suffix_dedup_of_other_widths(spark):
+    rng = random.Random(15)
+    rows = [(i, "".join(rng.choices("ab", k=rng.randrange(60))), None, None, 0) for i in range(80)]
+    for window, gram in ((12, 5), (9, 4), (7, 6)):
+        want = suffix_dedup.removed_by_definition([r[:2] for r in rows], window)
+        out = suffix_dedup.suffix_dedup(documents(spark, rows), window=window, gram=gram).withColumn("sha", F.sha2("kept", 256)).collect()
         assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.sha) for r in out} == want
 
 

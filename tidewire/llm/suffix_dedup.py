@@ -1,12 +1,13 @@
-"""Exact substring de-duplication by buckets of sampled suffixes, in place of recursive bucket-pointer refinement.
+"""Exact substring de-duplication by bucket-pointer refinement over sampled suffixes.
 
 Suffixes start in buckets of one q-gram, named by the gram's hash, so that a bucket has the same name in every task. Only
-sampled suffixes are sorted (the least gram of each run, so every window holds one), by bucket and then by the identifier of
-what stands around the gram. That settles most: a bucket of one document is unique; a suffix whose whole surroundings occur in
-an earlier document has every window around it repeated. What is left are edges of repeated passages. There a bucket is refined
-once more by what stands at later offsets: its members' surroundings go to one task, which compares every window around
-the gram. A bucket with very many members is refined across tasks instead: each window is sorted by the identifiers of the
-buckets at later offsets that cover it. Both ways are exact and give the same.
+sampled suffixes are sorted (the least gram of each run, so every window holds one). A bucket of one document is unique, and a suffix whose
+whole surroundings occur in an earlier document has every window around it repeated. Every other suffix is undecided, and its
+bucket is refined by the identifiers of the buckets at later offsets. First it is sorted into the two halves of its windows: those that
+reach further right share the bytes of this bucket and of one further on, the others those of an earlier bucket and this one, and that
+pair is the new identifier. Only halves that several documents share are refined again: the new identifier and the buckets at the first and the
+last offset of a window name the window, and a window goes if an earlier document has it too. Each refinement is one shuffle of narrow
+rows, at most one for each document, whatever the size of a bucket.
 
 A byte goes if a window of 50 bytes over it also starts in a document with a smaller id. Rows without an id come last, as
 one document; rows that share an id never remove from one another. Null text is empty. Shorter texts lose nothing.
@@ -22,11 +23,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.base import U, Rows, anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, runs, with_least_among
+from tidewire.llm.base import U, anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, runs
 
 WINDOW, GRAM = 50, 20
-#: Members from which a bucket is refined across tasks.
-CROWD = 4096
 
 
 class Suffixes:
@@ -54,31 +53,28 @@ class Suffixes:
         """Which windows hold one of the sampled suffixes."""
         return covered(at - self.span + 1, at + 1, self.n - self.window + 1)
 
-    def refined(self, start: np.ndarray) -> list[np.ndarray]:
-        """Identifiers of the buckets at offsets that cover the window: the first, one gram on, and so on to the last."""
-        return [self.bucket[start + offset] for offset in [*range(0, self.window - self.gram, self.gram), self.window - self.gram]]
-
-    def windows_at(self, at: np.ndarray) -> np.ndarray:
-        """Starts of the windows whose least gram is that of one of the sampled suffixes."""
-        return with_least_among(self.bucket, self.span, self.bucket[at])
-
-    def contexts(self, at: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-        """The bytes around each sampled suffix, and how many of them stand before its gram."""
-        low = np.maximum(at + self.gram - self.window, 0)
-        data = self.data.tobytes()
-        return [data[a:b] for a, b in zip(low.tolist(), (at + self.window).tolist())], at - low
-
-
-def firsts(parts: list[np.ndarray]) -> np.ndarray:
-    """For each row the index of the first row that is equal in every part."""
-    n = len(parts[0])
-    order = np.lexsort((np.arange(n), *parts))
-    fresh = np.ones(n, dtype=bool)
-    if n:
-        fresh[1:] = np.any([p[order][1:] != p[order][:-1] for p in parts], axis=0)
-    first = np.empty(n, dtype=np.int64)
-    first[order] = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-    return first
+    def halves(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The identifiers of the two halves of the windows around suffixes, the suffix, and the windows' least and greatest distance to it."""
+        middle, most = (self.window - self.gram) // 2, self.window - self.gram
+        right, left = at[at + self.window - middle <= self.n], at[at > middle]
+        further = mix(self.bucket[right] ^ mix(self.bucket[right + self.window - middle - self.gram] + U(1)))
+        earlier = mix(self.bucket[left - middle - 1] ^ mix(self.bucket[left] + U(2)))
+        sizes = [len(right), len(left)]
+        return np.concatenate((further, earlier)), np.concatenate((right, left)), np.repeat([0, middle + 1], sizes), np.repeat([middle, most], sizes)
+
+    def named(self, at: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows of the halves that are shared: where they start, and their names of 64 and 32 bits."""
+        half, at, least, most = self.halves(at)
+        mine = np.isin(half, shared)
+        half, at, least, most = half[mine], at[mine], least[mine], most[mine]
+        distance = least[:, None] + np.arange(self.span)
+        start = at[:, None] - distance
+        inside = (distance <= most[:, None]) & (start >= 0) & (start + self.window <= self.n)
+        row = np.nonzero(inside)[0]
+        start, step = start[inside], distance[inside].astype(np.uint64)
+        first, last = self.bucket[start], self.bucket[start + self.window - self.gram]
+        name = mix(half[row] ^ mix(first ^ mix(last + step)))
+        return start, name, (mix(first ^ mix(last ^ mix(half[row] + step + U(3)))) >> U(32)).astype(np.uint32)
 
 
 def suffix_rows(window: int, gram: int):
@@ -103,109 +99,69 @@ def suffix_rows(window: int, gram: int):
     return rows
 
 
-def context_rows(window: int, gram: int):
-    """The surroundings of the suffixes still to be compared."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for key, text, edge in zip(batch["key"], batch["text"], batch["edge"]):
-                one = Suffixes(text, window, gram) if edge is not None and len(edge) else None
-                if one is not None and len(one.at):
-                    around, where = np.unique(one.surroundings(one.at), return_index=True)
-                    mine = np.isin(around, longs(edge).view(np.uint64))
-                    at = one.at[where[mine]]
-                    out += zip(one.names(at).view(np.int64).tolist(), [key] * len(at), around[mine].view(np.int64).tolist(), *one.contexts(at))
-            yield pd.DataFrame(out, columns=["bucket", "key", "around", "context", "before"])
-
-    return rows
+def undecided(one: Suffixes, edge: np.ndarray) -> np.ndarray:
+    """One suffix for each of the given surroundings that the text has."""
+    around, where = np.unique(one.surroundings(one.at), return_index=True)
+    return one.at[where[np.isin(around, edge.view(np.uint64))]]
 
 
-def repeated_windows(rows: pd.DataFrame, window: int, gram: int) -> pd.DataFrame:
-    """Of whole buckets in order of (bucket, key): a bit for each window around a suffix that an earlier document has too."""
-    before, width = window - gram, 2 * window - gram
-    table = np.zeros((len(rows), width + 1), dtype=np.uint8)
-    left, size = before - rows["before"].to_numpy(), rows["context"].str.len().to_numpy()
-    for line, start, data in zip(table, left.tolist(), rows["context"]):
-        line[start : start + len(data)] = np.frombuffer(data, dtype=np.uint8)
-    hashes = Rows(table[:, :width]).grams(window)
-    bucket = mix(rows["bucket"].to_numpy().view(np.uint64))[:, None] + np.arange(before + 1, dtype=np.uint64)
-    inside = (np.arange(before + 1) >= left[:, None]) & (np.arange(before + 1) + window <= (left + size)[:, None])
-    flat = np.flatnonzero(inside)
-    _, first, which = np.unique(mix(hashes ^ mix(bucket)).reshape(-1)[flat], return_index=True, return_inverse=True)
-    keys = np.repeat(rows["key"].to_numpy(), before + 1)[flat]
-    hit = flat[keys[first][which] < keys]
-    bits = np.zeros((len(rows), before + 1), dtype=np.int64)
-    bits.reshape(-1)[hit] = 1
-    mask = (bits << np.arange(before + 1)).sum(axis=1)
-    return rows[["key", "around"]].assign(mask=mask)[mask != 0]
-
-
-def refined_rows(window: int, gram: int):
-    """Compares bucket by bucket; rows come in order of bucket and key, and a bucket that a batch cuts off waits for the next."""
+def half_rows(window: int, gram: int):
+    """The halves of the undecided suffixes, once for each document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting = None
         for batch in batches:
-            if len(batch):
-                joined = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
-                last = joined["bucket"] == joined["bucket"].iloc[-1]
-                waiting = joined[last]
-                yield repeated_windows(joined[~last], window, gram)
-        if waiting is not None:
-            yield repeated_windows(waiting, window, gram)
+            keys, halves = [], []
+            for key, text, edge in zip(batch["key"], batch["text"], batch["edge"]):
+                if edge is not None and len(edge):
+                    one = Suffixes(text, window, gram)
+                    found = np.unique(one.halves(undecided(one, longs(edge)))[0]) if len(one.at) else one.at
+                    halves.append(found.view(np.int64))
+                    keys.append(np.full(len(found), key, dtype=np.int64))
+            if keys:
+                yield pd.DataFrame({"half": np.concatenate(halves), "key": np.concatenate(keys)})
 
     return rows
 
 
 def window_rows(window: int, gram: int):
-    """The refined buckets of the windows of crowded buckets, once for each document."""
+    """The windows of shared halves, once for each document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for key, text, crowded in zip(batch["key"], batch["text"], batch["crowded"]):
-                one = Suffixes(text, window, gram) if crowded is not None and len(crowded) else None
-                if one is not None and len(one.at):
-                    start = one.windows_at(one.at[np.isin(one.surroundings(one.at), longs(crowded).view(np.uint64))])
-                    parts = one.refined(start)
-                    own = start[firsts(parts) == np.arange(len(start))]
-                    found.append((np.full(len(own), key, dtype=np.int64), own.astype(np.int32), *(p.view(np.int64) for p in one.refined(own))))
-            if found:
-                parts = [np.concatenate(x) for x in zip(*found)]
-                yield pd.DataFrame(dict(zip(["key", "start", *(f"b{i}" for i in range(len(parts) - 2))], parts)))
+            keys, names, rests = [], [], []
+            for key, text, edge, shared in zip(batch["key"], batch["text"], batch["edge"], batch["shared"]):
+                if shared is not None and len(shared):
+                    one = Suffixes(text, window, gram)
+                    if len(one.at):
+                        _, name, rest = one.named(undecided(one, longs(edge)), longs(shared).view(np.uint64))
+                        own = np.unique(name, return_index=True)[1]
+                        names.append(name[own].view(np.int64))
+                        rests.append(rest[own].view(np.int32))
+                        keys.append(np.full(len(own), key, dtype=np.int64))
+            if keys:
+                yield pd.DataFrame({"name": np.concatenate(names), "rest": np.concatenate(rests), "key": np.concatenate(keys)})
 
     return rows
 
 
 def kept_rows(window: int, gram: int):
-    """What is left of each text; `masks` of `edge` surroundings and `repeated` windows of crowded buckets are the verdicts."""
-
-    def gone(one: Suffixes, done: np.ndarray, crowded: np.ndarray, found: np.ndarray, masks: np.ndarray, repeated: np.ndarray) -> np.ndarray:
-        around = one.surroundings(one.at)
-        known = [np.flatnonzero(one.windows(one.at[np.isin(around, done)]))]
-        if len(found):
-            order = np.argsort(found)
-            place = np.minimum(np.searchsorted(found[order], around), len(found) - 1)
-            hit = found[order][place] == around
-            bits = masks[order][place[hit]][:, None] >> np.arange(window - gram + 1) & 1
-            known.append((one.at[hit][:, None] + np.arange(window - gram + 1) + gram - window)[bits > 0])
-        if len(repeated):
-            start = one.windows_at(one.at[np.isin(around, crowded)])
-            known.append(start[np.isin(start[firsts(one.refined(start))], repeated)])
-        return np.concatenate(known)
+    """What is left of each text; `done` are surroundings, `repeated` the names of windows that an earlier document has."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, text, *lists in zip(*(batch[c] for c in ("doc_id", "text", "done", "crowded", "found", "masks", "repeated"))):
-                done, crowded, found, masks, repeated = (longs(x) for x in lists)
+            for doc_id, text, *lists in zip(*(batch[c] for c in ("doc_id", "text", "done", "edge", "shared", "repeated"))):
+                done, edge, shared, repeated = (longs(x) for x in lists)
                 data = raw_bytes(text)
                 low = high = np.zeros(0, dtype=np.int64)
                 kept = data
-                if len(done) or len(found) or len(repeated):
+                if len(done) or len(repeated):
                     one = Suffixes(text, window, gram)
-                    start = gone(one, done.view(np.uint64), crowded.view(np.uint64), found.view(np.uint64), masks, repeated)
+                    start = np.flatnonzero(one.windows(one.at[np.isin(one.surroundings(one.at), done.view(np.uint64))]))
+                    if len(repeated):
+                        every = one.at[np.isin(one.surroundings(one.at), edge.view(np.uint64))]
+                        at, name, _ = one.named(every, shared.view(np.uint64))
+                        start = np.concatenate((start, at[np.isin(name, repeated.view(np.uint64))]))
                     mask = covered(start, start + window, one.n)
                     (low, high), kept = runs(mask), data[~mask]
                 spans = [{"start": a, "end": b} for a, b in zip(low.tolist(), high.tolist())]
@@ -215,14 +171,14 @@ def kept_rows(window: int, gram: int):
     return rows
 
 
-def suffix_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD
-) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, the kept bytes and the removed spans, one row for each row of docs.
 
-    The window is at most 63 bytes longer than the gram. The texts are dealt out by id once; the later passes over them
-    read that shuffle again.
+    The window is longer than the gram by less than twice its length. The texts are dealt out by id once; the later
+    passes over them read that shuffle again.
     """
+    if not gram < window < 3 * gram:
+        raise ValueError("the buckets at later offsets cover windows of less than three grams")
     rows = id_and_text(docs, id_col, text_col).withColumn("key", ordered_key())
     texts = rows.repartition("key")
     of_bucket = Window.partitionBy("bucket")
@@ -231,8 +187,8 @@ def suffix_dedup(
     rest = F.shiftleft(F.col("head").bitwiseAND(0xFFFF), 32).bitwiseOR(F.col("tail").cast("long").bitwiseAND(0xFFFFFFFF))
     suffixes = rows.select("key", "text").mapInPandas(suffix_rows(window, gram), "head long, tail int, key long")
     around = suffixes.repartition(bucket).select(bucket.alias("bucket"), rest.alias("around"), "key")
-    state = F.when(F.col("first") < F.col("key"), "done").when(F.col("one") < F.col("other"), F.when(F.col("members") > crowd, "crowded").otherwise("edge"))
-    extremes = {"low": F.min("key"), "high": F.max("key"), "one": F.min("around"), "other": F.max("around"), "members": F.count("*")}
+    state = F.when(F.col("first") < F.col("key"), "done").when(F.col("one") < F.col("other"), "edge")
+    extremes = {"low": F.min("key"), "high": F.max("key"), "one": F.min("around"), "other": F.max("around")}
     settled = (
         around.withColumn("first", F.first("key").over(of_class))
         .withColumns({name: value.over(of_bucket) for name, value in extremes.items()})
@@ -240,27 +196,27 @@ def suffix_dedup(
         .withColumn("state", state)
         .filter("state is not null")
         .groupBy("key")
-        .agg(*[F.collect_list(F.when(F.col("state") == x, F.col("around"))).alias(x) for x in ("done", "edge", "crowded")])
+        .agg(*[F.collect_list(F.when(F.col("state") == x, F.col("around"))).alias(x) for x in ("done", "edge")])
     )
     judged = texts.join(settled, "key", "left")
-    contexts = judged.mapInPandas(context_rows(window, gram), "bucket long, key long, around long, context binary, before int")
-    masks = (
-        contexts.repartition("bucket")
-        .sortWithinPartitions("bucket", "key")
-        .mapInPandas(refined_rows(window, gram), "key long, around long, mask long")
+    of_half = Window.partitionBy("half")
+    shared = (
+        judged.mapInPandas(half_rows(window, gram), "half long, key long")
+        .withColumns({"low": F.min("key").over(of_half), "high": F.max("key").over(of_half)})
+        .filter("low < high")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("around", "mask")).alias("m"))
-        .select("key", F.col("m.around").alias("found"), F.col("m.mask").alias("masks"))
+        .agg(F.collect_list("half").alias("shared"))
     )
-    names = [f"b{i}" for i in range(len(range(0, window - gram, gram)) + 1)]
-    windows = judged.mapInPandas(window_rows(window, gram), "key long, start int, " + ", ".join(f"{b} long" for b in names))
+    refined = judged.join(shared, "key", "left")
+    of_window = Window.partitionBy("name", "rest").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     repeated = (
-        windows.withColumn("first", F.first("key").over(Window.partitionBy(*names).orderBy("key").rowsBetween(Window.unboundedPreceding, 0)))
+        refined.mapInPandas(window_rows(window, gram), "name long, rest int, key long")
+        .withColumn("first", F.first("key").over(of_window))
         .filter("first < key")
         .groupBy("key")
-        .agg(F.collect_list("start").alias("repeated"))
+        .agg(F.collect_list("name").alias("repeated"))
     )
-    return judged.join(masks, "key", "left").join(repeated, "key", "left").mapInPandas(
+    return refined.join(repeated, "key", "left").mapInPandas(
         kept_rows(window, gram), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,end:long>>"
     )
 
