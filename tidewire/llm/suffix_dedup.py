@@ -5,9 +5,10 @@ sampled suffixes are sorted (the least gram of each run, so every window holds o
 whole surroundings occur in an earlier document has every window around it repeated. Every other suffix is undecided, and its
 bucket is refined by the identifiers of the buckets at later offsets. First it is sorted into the two halves of its windows: those that
 reach further right share the bytes of this bucket and of one further on, the others those of an earlier bucket and this one, and that
-pair is the new identifier. Only halves that several documents share are refined again: the new identifier and the buckets at the first and the
-last offset of a window name the window, and a window goes if an earlier document has it too. Each refinement is one shuffle of narrow
-rows, at most one for each document, whatever the size of a bucket.
+pair is the new identifier. A half of one document is unique, and a half whose whole surroundings an earlier document has is repeated.
+Only the others are refined again: the new identifier and the buckets at the first and the last offset of a window name the window,
+and it goes if an earlier document has it too. A window is looked at once, by its least gram, and not if it is known to be repeated (an
+earlier document then stands for it). Each refinement is one shuffle of narrow rows, at most one for each document, whatever the size of a bucket.
 
 A byte goes if a window of 50 bytes over it also starts in a document with a smaller id. Rows without an id come last, as
 one document; rows that share an id never remove from one another. Null text is empty. Shorter texts lose nothing.
@@ -17,13 +18,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.base import U, anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, runs
+from tidewire.llm.base import U, anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, runs, sliding
 
 WINDOW, GRAM = 50, 20
 
@@ -53,28 +55,48 @@ class Suffixes:
         """Which windows hold one of the sampled suffixes."""
         return covered(at - self.span + 1, at + 1, self.n - self.window + 1)
 
-    def halves(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The identifiers of the two halves of the windows around suffixes, the suffix, and the windows' least and greatest distance to it."""
+    def halves(self, at: np.ndarray) -> Halves:
+        """The two halves of the windows around suffixes, as far as the text holds what all windows of a half cover."""
         middle, most = (self.window - self.gram) // 2, self.window - self.gram
         right, left = at[at + self.window - middle <= self.n], at[at > middle]
         further = mix(self.bucket[right] ^ mix(self.bucket[right + self.window - middle - self.gram] + U(1)))
         earlier = mix(self.bucket[left - middle - 1] ^ mix(self.bucket[left] + U(2)))
         sizes = [len(right), len(left)]
-        return np.concatenate((further, earlier)), np.concatenate((right, left)), np.repeat([0, middle + 1], sizes), np.repeat([middle, most], sizes)
-
-    def named(self, at: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The windows of the halves that are shared: where they start, and their names of 64 and 32 bits."""
-        half, at, least, most = self.halves(at)
-        mine = np.isin(half, shared)
-        half, at, least, most = half[mine], at[mine], least[mine], most[mine]
+        at, least, most = np.concatenate((right, left)), np.repeat([0, middle + 1], sizes), np.repeat([middle, most], sizes)
+        low, high = np.maximum(at - most, 0), np.minimum(at + self.window - least, self.n)
+        name = np.concatenate((further, earlier))
+        return Halves(name, mix(self.rolling.spans(low, high) ^ mix(name + (at - low).astype(np.uint64))), at, least, most)
+
+    def known(self, around: np.ndarray, done: np.ndarray, halves: Halves, done_halves: np.ndarray) -> np.ndarray:
+        """Which windows are repeated as one of the surroundings or halves that are."""
+        mask = self.windows(self.at[np.isin(around, done)])
+        mine = np.isin(halves.whole, done_halves)
+        at, least, most = halves.at[mine], halves.least[mine], halves.most[mine]
+        return mask | covered(at - most, at - least + 1, len(mask))
+
+    def named(self, halves: Halves, open_halves: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows of open halves that are not known, by their least gram: where they start, and their names of 64 and 32 bits."""
+        mine = np.isin(halves.whole, open_halves)
+        half, at, least, most = halves.name[mine], halves.at[mine], halves.least[mine], halves.most[mine]
         distance = least[:, None] + np.arange(self.span)
         start = at[:, None] - distance
-        inside = (distance <= most[:, None]) & (start >= 0) & (start + self.window <= self.n)
-        row = np.nonzero(inside)[0]
-        start, step = start[inside], distance[inside].astype(np.uint64)
+        row, column = np.nonzero((distance <= most[:, None]) & (start >= 0) & (start + self.window <= self.n))
+        start, step = start[row, column], distance[row, column].astype(np.uint64)
+        own = ~known[start] & (sliding(self.bucket, self.span, np.minimum)[start] == self.bucket[at[row]])
+        start, step, half = start[own], step[own], half[row[own]]
         first, last = self.bucket[start], self.bucket[start + self.window - self.gram]
-        name = mix(half[row] ^ mix(first ^ mix(last + step)))
-        return start, name, (mix(first ^ mix(last ^ mix(half[row] + step + U(3)))) >> U(32)).astype(np.uint32)
+        name = mix(half ^ mix(first ^ mix(last + step)))
+        return start, name, (mix(first ^ mix(last ^ mix(half + step + U(3)))) >> U(32)).astype(np.uint32)
+
+
+class Halves(NamedTuple):
+    """Halves of windows: the identifier, that of the whole surroundings, the suffix and the least and greatest distance of a window's start from it."""
+
+    name: np.ndarray
+    whole: np.ndarray
+    at: np.ndarray
+    least: np.ndarray
+    most: np.ndarray
 
 
 def suffix_rows(window: int, gram: int):
@@ -99,45 +121,52 @@ def suffix_rows(window: int, gram: int):
     return rows
 
 
-def undecided(one: Suffixes, edge: np.ndarray) -> np.ndarray:
-    """One suffix for each of the given surroundings that the text has."""
-    around, where = np.unique(one.surroundings(one.at), return_index=True)
-    return one.at[where[np.isin(around, edge.view(np.uint64))]]
-
-
 def half_rows(window: int, gram: int):
     """The halves of the undecided suffixes, once for each document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, halves = [], []
+            keys, halves, wholes = [], [], []
             for key, text, edge in zip(batch["key"], batch["text"], batch["edge"]):
-                if edge is not None and len(edge):
-                    one = Suffixes(text, window, gram)
-                    found = np.unique(one.halves(undecided(one, longs(edge)))[0]) if len(one.at) else one.at
-                    halves.append(found.view(np.int64))
-                    keys.append(np.full(len(found), key, dtype=np.int64))
+                one = Suffixes(text, window, gram) if edge is not None and len(edge) else None
+                if one is not None and len(one.at):
+                    found = one.halves(one.at[np.isin(one.surroundings(one.at), longs(edge).view(np.uint64))])
+                    whole, where = np.unique(found.whole, return_index=True)
+                    halves.append(found.name[where].view(np.int64))
+                    wholes.append(whole.view(np.int64))
+                    keys.append(np.full(len(whole), key, dtype=np.int64))
             if keys:
-                yield pd.DataFrame({"half": np.concatenate(halves), "key": np.concatenate(keys)})
+                yield pd.DataFrame({"half": np.concatenate(halves), "whole": np.concatenate(wholes), "key": np.concatenate(keys)})
 
     return rows
 
 
+LISTS = ["done", "edge", "done_halves", "open_halves"]
+
+
+def judged_windows(one: Suffixes, lists: list) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Which windows are known to be repeated, and those to be looked at one by one."""
+    done, edge, done_halves, open_halves = (longs(x).view(np.uint64) for x in lists)
+    around = one.surroundings(one.at)
+    halves = one.halves(one.at[np.isin(around, edge)])
+    known = one.known(around, done, halves, done_halves)
+    return known, one.named(halves, open_halves, known)
+
+
 def window_rows(window: int, gram: int):
-    """The windows of shared halves, once for each document."""
+    """The windows of open halves, once for each document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys, names, rests = [], [], []
-            for key, text, edge, shared in zip(batch["key"], batch["text"], batch["edge"], batch["shared"]):
-                if shared is not None and len(shared):
-                    one = Suffixes(text, window, gram)
-                    if len(one.at):
-                        _, name, rest = one.named(undecided(one, longs(edge)), longs(shared).view(np.uint64))
-                        own = np.unique(name, return_index=True)[1]
-                        names.append(name[own].view(np.int64))
-                        rests.append(rest[own].view(np.int32))
-                        keys.append(np.full(len(own), key, dtype=np.int64))
+            for key, text, *lists in zip(*(batch[c] for c in ["key", "text", *LISTS])):
+                one = Suffixes(text, window, gram) if lists[-1] is not None and len(lists[-1]) else None
+                if one is not None and len(one.at):
+                    _, name, rest = judged_windows(one, lists)[1]
+                    name, own = np.unique(name, return_index=True)
+                    names.append(name.view(np.int64))
+                    rests.append(rest[own].view(np.int32))
+                    keys.append(np.full(len(own), key, dtype=np.int64))
             if keys:
                 yield pd.DataFrame({"name": np.concatenate(names), "rest": np.concatenate(rests), "key": np.concatenate(keys)})
 
@@ -145,23 +174,19 @@ def window_rows(window: int, gram: int):
 
 
 def kept_rows(window: int, gram: int):
-    """What is left of each text; `done` are surroundings, `repeated` the names of windows that an earlier document has."""
+    """What is left of each text; `repeated` are the names of windows that an earlier document has."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, text, *lists in zip(*(batch[c] for c in ("doc_id", "text", "done", "edge", "shared", "repeated"))):
-                done, edge, shared, repeated = (longs(x) for x in lists)
+            for doc_id, text, repeated, *lists in zip(*(batch[c] for c in ["doc_id", "text", "repeated", *LISTS])):
                 data = raw_bytes(text)
                 low = high = np.zeros(0, dtype=np.int64)
-                kept = data
-                if len(done) or len(repeated):
+                kept, repeated = data, longs(repeated).view(np.uint64)
+                if len(repeated) or any(x is not None and len(x) for x in (lists[0], lists[2])):
                     one = Suffixes(text, window, gram)
-                    start = np.flatnonzero(one.windows(one.at[np.isin(one.surroundings(one.at), done.view(np.uint64))]))
-                    if len(repeated):
-                        every = one.at[np.isin(one.surroundings(one.at), edge.view(np.uint64))]
-                        at, name, _ = one.named(every, shared.view(np.uint64))
-                        start = np.concatenate((start, at[np.isin(name, repeated.view(np.uint64))]))
+                    known, (start, name, _) = judged_windows(one, lists)
+                    start = np.concatenate((np.flatnonzero(known), start[np.isin(name, repeated)]))
                     mask = covered(start, start + window, one.n)
                     (low, high), kept = runs(mask), data[~mask]
                 spans = [{"start": a, "end": b} for a, b in zip(low.tolist(), high.tolist())]
@@ -171,6 +196,22 @@ def kept_rows(window: int, gram: int):
     return rows
 
 
+def lists_by_key(rows: DataFrame, value: str, **states: str) -> DataFrame:
+    """For each key the values of each state, as a list under the state's new name."""
+    found = rows.filter("state is not null").groupBy("key")
+    return found.agg(*[F.collect_list(F.when(F.col("state") == state, F.col(value))).alias(name) for name, state in states.items()])
+
+
+def with_state(rows: DataFrame, bucket: str, whole: str) -> DataFrame:
+    """`state` of each row: done if an earlier document has the whole, open if its bucket holds others of another whole, else null."""
+    of_bucket = Window.partitionBy(bucket)
+    of_whole = Window.partitionBy(bucket, whole).orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    measures = {"low": F.min("key"), "high": F.max("key"), "one": F.min(whole), "other": F.max(whole)}
+    judged = rows.withColumn("first", F.first("key").over(of_whole)).withColumns({name: value.over(of_bucket) for name, value in measures.items()})
+    state = F.when(F.col("first") < F.col("key"), "done").when(F.col("one") < F.col("other"), "open")
+    return judged.filter("low < high").withColumn("state", state)
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, the kept bytes and the removed spans, one row for each row of docs.
 
@@ -181,41 +222,17 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("the buckets at later offsets cover windows of less than three grams")
     rows = id_and_text(docs, id_col, text_col).withColumn("key", ordered_key())
     texts = rows.repartition("key")
-    of_bucket = Window.partitionBy("bucket")
-    of_class = Window.partitionBy("bucket", "around").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     bucket = F.shiftrightunsigned("head", 16)
     rest = F.shiftleft(F.col("head").bitwiseAND(0xFFFF), 32).bitwiseOR(F.col("tail").cast("long").bitwiseAND(0xFFFFFFFF))
     suffixes = rows.select("key", "text").mapInPandas(suffix_rows(window, gram), "head long, tail int, key long")
     around = suffixes.repartition(bucket).select(bucket.alias("bucket"), rest.alias("around"), "key")
-    state = F.when(F.col("first") < F.col("key"), "done").when(F.col("one") < F.col("other"), "edge")
-    extremes = {"low": F.min("key"), "high": F.max("key"), "one": F.min("around"), "other": F.max("around")}
-    settled = (
-        around.withColumn("first", F.first("key").over(of_class))
-        .withColumns({name: value.over(of_bucket) for name, value in extremes.items()})
-        .filter("low < high")
-        .withColumn("state", state)
-        .filter("state is not null")
-        .groupBy("key")
-        .agg(*[F.collect_list(F.when(F.col("state") == x, F.col("around"))).alias(x) for x in ("done", "edge")])
-    )
-    judged = texts.join(settled, "key", "left")
-    of_half = Window.partitionBy("half")
-    shared = (
-        judged.mapInPandas(half_rows(window, gram), "half long, key long")
-        .withColumns({"low": F.min("key").over(of_half), "high": F.max("key").over(of_half)})
-        .filter("low < high")
-        .groupBy("key")
-        .agg(F.collect_list("half").alias("shared"))
-    )
-    refined = judged.join(shared, "key", "left")
-    of_window = Window.partitionBy("name", "rest").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    repeated = (
-        refined.mapInPandas(window_rows(window, gram), "name long, rest int, key long")
-        .withColumn("first", F.first("key").over(of_window))
-        .filter("first < key")
-        .groupBy("key")
-        .agg(F.collect_list("name").alias("repeated"))
-    )
+    judged = texts.join(lists_by_key(with_state(around, "bucket", "around"), "around", done="done", edge="open"), "key", "left")
+    halves = judged.mapInPandas(half_rows(window, gram), "half long, whole long, key long")
+    halves = lists_by_key(with_state(halves, "half", "whole"), "whole", done_halves="done", open_halves="open")
+    refined = judged.join(halves, "key", "left")
+    windows = refined.mapInPandas(window_rows(window, gram), "name long, rest int, key long")
+    first = F.first("key").over(Window.partitionBy("name", "rest").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
+    repeated = windows.withColumn("first", first).filter("first < key").groupBy("key").agg(F.collect_list("name").alias("repeated"))
     return refined.join(repeated, "key", "left").mapInPandas(
         kept_rows(window, gram), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,end:long>>"
     )
