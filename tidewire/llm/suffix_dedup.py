@@ -22,83 +22,152 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.base import U, anchors, byte_hashes, covered, id_and_text, longs, mix, ordered_key, raw_bytes, read, runs, sliding
+from tidewire.llm.base import U, byte_hashes, covered, id_and_text, longs, mix, ordered_key, read, runs, sliding
 
 WINDOW, GRAM = 50, 20
+#: Bytes of the texts that a task looks at together.
+BLOCK = 300_000
 
 
 class Suffixes:
-    """A text's bytes, the bucket of each suffix and the sampled suffixes."""
-
-    def __init__(self, text: str | None, window: int, gram: int):
-        self.data, self.window, self.gram = raw_bytes(text), window, gram
-        self.n, self.span = len(self.data), window - gram + 1
+    """The bytes of several texts, the bucket of each suffix, and the sampled suffixes; nothing crosses from one text to the next."""
+
+    def __init__(self, texts: list[bytes], window: int, gram: int):
+        self.window, self.gram, self.span = window, gram, window - gram + 1
+        self.data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        self.n, sizes = len(self.data), np.array([len(t) for t in texts], dtype=np.int64)
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
         self.at = np.zeros(0, dtype=np.int64)
         if self.n >= window:
             self.rolling = byte_hashes(self.data)
             self.bucket = self.rolling.grams(gram)
-            self.at = anchors(self.bucket, self.span)
-
-    def surroundings(self, at: np.ndarray) -> np.ndarray:
+            self.least = sliding(self.bucket, self.span, np.minimum)
+            self.least[covered(np.maximum(self.ends - window + 1, self.starts), self.ends, len(self.least))] = 0
+            around = np.zeros(len(self.least) + 2 * (self.span - 1), dtype=np.uint64)
+            around[self.span - 1 : self.span - 1 + len(self.least)] = self.least
+            self.at = np.flatnonzero(sliding(around, self.span, np.maximum) == self.bucket)
+        self.doc = self.doc_of(self.at)
+
+    def doc_of(self, at: np.ndarray) -> np.ndarray:
+        """Which text a place lies in."""
+        return np.searchsorted(self.ends, at, side="right")
+
+    def surroundings(self) -> np.ndarray:
         """The name (48 bits) of what every window around a sampled suffix covers together."""
-        low, high = np.maximum(at + self.gram - self.window, 0), np.minimum(at + self.window, self.n)
-        return mix(self.rolling.spans(low, high) + mix((at - low).astype(np.uint64))) >> U(16)
+        low = np.maximum(self.at + self.gram - self.window, self.starts[self.doc])
+        high = np.minimum(self.at + self.window, self.ends[self.doc])
+        return mix(self.rolling.spans(low, high) + mix((self.at - low).astype(np.uint64))) >> U(16)
 
-    def names(self, at: np.ndarray) -> np.ndarray:
-        """The names (48 bits) of the buckets of sampled suffixes."""
-        return self.bucket[at] >> U(16)
+    def names(self) -> np.ndarray:
+        """The names (48 bits) of the buckets of the sampled suffixes."""
+        return self.bucket[self.at] >> U(16)
 
-    def windows(self, at: np.ndarray) -> np.ndarray:
-        """Which windows hold one of the sampled suffixes."""
-        return covered(at - self.span + 1, at + 1, self.n - self.window + 1)
+    def windows(self, at: np.ndarray, doc: np.ndarray, least: np.ndarray | int, most: np.ndarray | int) -> np.ndarray:
+        """Which windows start that far before one of the places, in the same text."""
+        low, high = np.maximum(at - most, self.starts[doc]), np.minimum(at - least, self.ends[doc] - self.window) + 1
+        return covered(low, np.maximum(low, high), len(self.least))
 
-    def halves(self, at: np.ndarray) -> Halves:
-        """The two halves of the windows around suffixes, as far as the text holds what all windows of a half cover."""
+    def halves(self, mine: np.ndarray) -> Halves:
+        """The two halves of the windows around some sampled suffixes, as far as the text holds what all windows of a half cover."""
         middle, most = (self.window - self.gram) // 2, self.window - self.gram
-        right, left = at[at + self.window - middle <= self.n], at[at > middle]
-        further = mix(self.bucket[right] ^ mix(self.bucket[right + self.window - middle - self.gram] + U(1)))
-        earlier = mix(self.bucket[left - middle - 1] ^ mix(self.bucket[left] + U(2)))
-        sizes = [len(right), len(left)]
-        at, least, most = np.concatenate((right, left)), np.repeat([0, middle + 1], sizes), np.repeat([middle, most], sizes)
-        low, high = np.maximum(at - most, 0), np.minimum(at + self.window - least, self.n)
+        at, doc = self.at[mine], self.doc[mine]
+        right, left = at + self.window - middle <= self.ends[doc], at - middle > self.starts[doc]
+        one, two = at[right], at[left]
+        further = mix(self.bucket[one] ^ mix(self.bucket[one + self.window - middle - self.gram] + U(1)))
+        earlier = mix(self.bucket[two - middle - 1] ^ mix(self.bucket[two] + U(2)))
+        sizes = [len(one), len(two)]
+        at, doc = np.concatenate((one, two)), np.concatenate((doc[right], doc[left]))
+        least, most = np.repeat([0, middle + 1], sizes), np.repeat([middle, most], sizes)
+        low, high = np.maximum(at - most, self.starts[doc]), np.minimum(at + self.window - least, self.ends[doc])
         name = np.concatenate((further, earlier))
-        return Halves(name, mix(self.rolling.spans(low, high) ^ mix(name + (at - low).astype(np.uint64))), at, least, most)
-
-    def known(self, around: np.ndarray, done: np.ndarray, halves: Halves, done_halves: np.ndarray) -> np.ndarray:
-        """Which windows are repeated as one of the surroundings or halves that are."""
-        mask = self.windows(self.at[np.isin(around, done)])
-        mine = np.isin(halves.whole, done_halves)
-        at, least, most = halves.at[mine], halves.least[mine], halves.most[mine]
-        return mask | covered(at - most, at - least + 1, len(mask))
-
-    def named(self, halves: Halves, open_halves: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The windows of open halves that are not known, by their least gram: where they start, and their names of 64 and 32 bits."""
-        mine = np.isin(halves.whole, open_halves)
-        half, at, least, most = halves.name[mine], halves.at[mine], halves.least[mine], halves.most[mine]
-        distance = least[:, None] + np.arange(self.span)
+        whole = mix(self.rolling.spans(low, high) ^ mix(name + (at - low).astype(np.uint64)))
+        return Halves(name >> U(16), whole >> U(16), at, doc, least, most)
+
+    def named(self, halves: Halves, open_: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows of open halves that are not known, by their least gram: where they start, and their names of 64 and 16 bits."""
+        half, at, least = halves.name[open_], halves.at[open_], halves.least[open_]
+        distance = least[:, None] + np.arange(self.span - self.span // 2)
         start = at[:, None] - distance
-        row, column = np.nonzero((distance <= most[:, None]) & (start >= 0) & (start + self.window <= self.n))
-        start, step = start[row, column], distance[row, column].astype(np.uint64)
-        own = ~known[start] & (sliding(self.bucket, self.span, np.minimum)[start] == self.bucket[at[row]])
-        start, step, half = start[own], step[own], half[row[own]]
+        inside = (distance <= halves.most[open_][:, None]) & (start >= self.starts[halves.doc[open_]][:, None])
+        inside &= start + self.window <= self.ends[halves.doc[open_]][:, None]
+        row, column = np.nonzero(inside)
+        start = start[row, column]
+        own = ~known[start] & (self.least[start] == self.bucket[at[row]])
+        start, step, half = start[own], distance[row[own], column[own]].astype(np.uint64), half[row[own]]
         first, last = self.bucket[start], self.bucket[start + self.window - self.gram]
         name = mix(half ^ mix(first ^ mix(last + step)))
-        return start, name, (mix(first ^ mix(last ^ mix(half + step + U(3)))) >> U(32)).astype(np.uint32)
+        return start, name, (mix(first ^ mix(last ^ mix(half + step + U(3)))) >> U(48)).astype(np.uint16)
 
 
 class Halves(NamedTuple):
-    """Halves of windows: the identifier, that of the whole surroundings, the suffix and the least and greatest distance of a window's start from it."""
+    """Halves of windows: the identifier, that of the whole surroundings, the suffix, its text, and the least and greatest distance of a window's start."""
 
     name: np.ndarray
     whole: np.ndarray
     at: np.ndarray
+    doc: np.ndarray
     least: np.ndarray
     most: np.ndarray
 
 
+class Verdicts:
+    """The names that earlier steps listed for each text of a block."""
+
+    def __init__(self, lists: pd.Series):
+        values = [longs(x).view(np.uint64) for x in lists]
+        docs = np.repeat(np.arange(len(values)), [len(v) for v in values])
+        self.known = np.sort(self.tagged(np.concatenate([*values, np.zeros(0, dtype=np.uint64)]), docs))
+
+    @staticmethod
+    def tagged(names: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        return mix(names ^ mix(docs.astype(np.uint64) + U(1)))
+
+    def hold(self, names: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.zeros(len(names), dtype=bool)
+        tags = self.tagged(names, docs)
+        return self.known[np.minimum(np.searchsorted(self.known, tags), len(self.known) - 1)] == tags
+
+
+def distinct_rows(*columns: np.ndarray) -> np.ndarray:
+    """Places of the first of equal rows."""
+    order = np.lexsort(columns)
+    fresh = np.ones(len(order), dtype=bool)
+    if len(order):
+        fresh[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    return order[fresh]
+
+
+def blocks(batches: Iterator[pd.DataFrame], window: int, gram: int, limit: int = BLOCK) -> Iterator[tuple[pd.DataFrame, Suffixes]]:
+    """Rows of a batch whose texts have about `limit` bytes together, or one long text, with their suffixes."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        if "packed" in batch:
+            texts = [unpack(p) if p is not None else b"" for p in batch["packed"]]
+        else:
+            texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch["text"]]
+        number = np.cumsum([len(t) for t in texts]) // limit
+        for first, last in zip(*(np.searchsorted(number, np.unique(number), side=side) for side in ("left", "right"))):
+            yield batch.iloc[first:last].reset_index(drop=True), Suffixes(texts[first:last], window, gram)
+
+
+def packed(texts: DataFrame) -> DataFrame:
+    """The rows with compressed texts, as they are dealt out and read several times."""
+
+    @F.pandas_udf("binary")
+    def pack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            yield pd.Series([compress(t.encode("utf-8", "surrogatepass")) if t else None for t in batch], dtype=object)
+
+    return texts.select("doc_id", "key", pack("text").alias("packed"))
+
+
 def suffix_rows(window: int, gram: int):
     """One row for each document and distinct surroundings of a sampled suffix.
 
@@ -106,17 +175,13 @@ def suffix_rows(window: int, gram: int):
     """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, heads, tails = [], [], []
-            for key, text in zip(batch["key"], batch["text"]):
-                one = Suffixes(text, window, gram)
-                if len(one.at):
-                    around, where = np.unique(one.surroundings(one.at), return_index=True)
-                    heads.append(((one.names(one.at[where]) << U(16)) | (around >> U(32))).view(np.int64))
-                    tails.append(around.astype(np.uint32).view(np.int32))
-                    keys.append(np.full(len(where), key, dtype=np.int64))
-            if heads:
-                yield pd.DataFrame({"head": np.concatenate(heads), "tail": np.concatenate(tails), "key": np.concatenate(keys)})
+        for batch, block in blocks(batches, window, gram):
+            if len(block.at):
+                around = block.surroundings()
+                own = distinct_rows(around, block.doc)
+                around, head = around[own], block.names()[own] << U(16)
+                head = (head | (around >> U(32))).view(np.int64)
+                yield pd.DataFrame({"head": head, "tail": around.astype(np.uint32).view(np.int32), "key": batch["key"].to_numpy()[block.doc[own]]})
 
     return rows
 
@@ -125,50 +190,38 @@ def half_rows(window: int, gram: int):
     """The halves of the undecided suffixes, once for each document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, halves, wholes = [], [], []
-            for key, text, edge in zip(batch["key"], batch["text"], batch["edge"]):
-                one = Suffixes(text, window, gram) if edge is not None and len(edge) else None
-                if one is not None and len(one.at):
-                    found = one.halves(one.at[np.isin(one.surroundings(one.at), longs(edge).view(np.uint64))])
-                    whole, where = np.unique(found.whole, return_index=True)
-                    halves.append(found.name[where].view(np.int64))
-                    wholes.append(whole.view(np.int64))
-                    keys.append(np.full(len(whole), key, dtype=np.int64))
-            if keys:
-                yield pd.DataFrame({"half": np.concatenate(halves), "whole": np.concatenate(wholes), "key": np.concatenate(keys)})
+        for batch, block in blocks(batches, window, gram):
+            if len(block.at):
+                found = block.halves(Verdicts(batch["edge"]).hold(block.surroundings(), block.doc))
+                own = distinct_rows(found.whole, found.doc)
+                key = batch["key"].to_numpy()[found.doc[own]]
+                yield pd.DataFrame({"half": found.name[own].view(np.int64), "whole": found.whole[own].view(np.int64), "key": key})
 
     return rows
 
 
-LISTS = ["done", "edge", "done_halves", "open_halves"]
-
-
-def judged_windows(one: Suffixes, lists: list) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Which windows are known to be repeated, and those to be looked at one by one."""
-    done, edge, done_halves, open_halves = (longs(x).view(np.uint64) for x in lists)
-    around = one.surroundings(one.at)
-    halves = one.halves(one.at[np.isin(around, edge)])
-    known = one.known(around, done, halves, done_halves)
-    return known, one.named(halves, open_halves, known)
+def judged_windows(batch: pd.DataFrame, block: Suffixes) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Which windows are known to be repeated, as one of the surroundings or halves that are, and those to be looked at one by one."""
+    done, edge, done_halves, open_halves = (Verdicts(batch[c]) for c in ("done", "edge", "done_halves", "open_halves"))
+    around = block.surroundings()
+    whole = done.hold(around, block.doc)
+    known = block.windows(block.at[whole], block.doc[whole], 0, block.span - 1)
+    halves = block.halves(edge.hold(around, block.doc))
+    mine = done_halves.hold(halves.whole, halves.doc)
+    known |= block.windows(halves.at[mine], halves.doc[mine], halves.least[mine], halves.most[mine])
+    return known, block.named(halves, open_halves.hold(halves.whole, halves.doc), known)
 
 
 def window_rows(window: int, gram: int):
     """The windows of open halves, once for each document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, names, rests = [], [], []
-            for key, text, *lists in zip(*(batch[c] for c in ["key", "text", *LISTS])):
-                one = Suffixes(text, window, gram) if lists[-1] is not None and len(lists[-1]) else None
-                if one is not None and len(one.at):
-                    _, name, rest = judged_windows(one, lists)[1]
-                    name, own = np.unique(name, return_index=True)
-                    names.append(name.view(np.int64))
-                    rests.append(rest[own].view(np.int32))
-                    keys.append(np.full(len(own), key, dtype=np.int64))
-            if keys:
-                yield pd.DataFrame({"name": np.concatenate(names), "rest": np.concatenate(rests), "key": np.concatenate(keys)})
+        for batch, block in blocks(batches, window, gram):
+            if len(block.at):
+                start, name, rest = judged_windows(batch, block)[1]
+                doc = block.doc_of(start)
+                own = distinct_rows(name, doc)
+                yield pd.DataFrame({"name": name[own].view(np.int64), "rest": rest[own].view(np.int16), "key": batch["key"].to_numpy()[doc[own]]})
 
     return rows
 
@@ -177,20 +230,23 @@ def kept_rows(window: int, gram: int):
     """What is left of each text; `repeated` are the names of windows that an earlier document has."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc_id, text, repeated, *lists in zip(*(batch[c] for c in ["doc_id", "text", "repeated", *LISTS])):
-                data = raw_bytes(text)
-                low = high = np.zeros(0, dtype=np.int64)
-                kept, repeated = data, longs(repeated).view(np.uint64)
-                if len(repeated) or any(x is not None and len(x) for x in (lists[0], lists[2])):
-                    one = Suffixes(text, window, gram)
-                    known, (start, name, _) = judged_windows(one, lists)
-                    start = np.concatenate((np.flatnonzero(known), start[np.isin(name, repeated)]))
-                    mask = covered(start, start + window, one.n)
-                    (low, high), kept = runs(mask), data[~mask]
-                spans = [{"start": a, "end": b} for a, b in zip(low.tolist(), high.tolist())]
-                out.append((doc_id, len(data), int((high - low).sum()), len(low), kept.tobytes(), spans))
+        for batch, block in blocks(batches, window, gram):
+            mask = np.zeros(block.n, dtype=bool)
+            if len(block.at):
+                known, (start, name, _) = judged_windows(batch, block)
+                start = np.concatenate((np.flatnonzero(known), start[Verdicts(batch["repeated"]).hold(name, block.doc_of(start))]))
+                mask = covered(start, start + window, block.n)
+            edge = np.zeros(block.n + 1, dtype=bool)
+            edge[block.starts], edge[block.ends] = True, True
+            low = np.flatnonzero(mask & (edge[:-1] | ~np.concatenate(([False], mask[:-1]))))
+            high = np.flatnonzero(mask & (edge[1:] | ~np.concatenate((mask[1:], [False])))) + 1
+            first, last = np.searchsorted(low, block.starts), np.searchsorted(low, block.ends)
+            gone = np.concatenate(([0], np.cumsum(mask)))
+            data, left, out = block.data[~mask].tobytes(), np.arange(block.n + 1) - gone, []
+            for n, doc_id in enumerate(batch["doc_id"].tolist()):
+                a, b = block.starts[n], block.ends[n]
+                spans = [{"start": x, "end": y} for x, y in zip((low[first[n] : last[n]] - a).tolist(), (high[first[n] : last[n]] - a).tolist())]
+                out.append((doc_id, b - a, gone[b] - gone[a], len(spans), data[left[a] : left[b]], spans))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"]).astype({"doc_id": "Int64"})
 
     return rows
@@ -215,13 +271,13 @@ def with_state(rows: DataFrame, bucket: str, whole: str) -> DataFrame:
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, the kept bytes and the removed spans, one row for each row of docs.
 
-    The window is longer than the gram by less than twice its length. The texts are dealt out by id once; the later
-    passes over them read that shuffle again.
+    The window is longer than the gram by less than twice its length. The texts are dealt out by id once,
+    compressed; the later passes over them read that shuffle again.
     """
     if not gram < window < 3 * gram:
         raise ValueError("the buckets at later offsets cover windows of less than three grams")
     rows = id_and_text(docs, id_col, text_col).withColumn("key", ordered_key())
-    texts = rows.repartition("key")
+    texts = packed(rows).repartition("key")
     bucket = F.shiftrightunsigned("head", 16)
     rest = F.shiftleft(F.col("head").bitwiseAND(0xFFFF), 32).bitwiseOR(F.col("tail").cast("long").bitwiseAND(0xFFFFFFFF))
     suffixes = rows.select("key", "text").mapInPandas(suffix_rows(window, gram), "head long, tail int, key long")
@@ -230,7 +286,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     halves = judged.mapInPandas(half_rows(window, gram), "half long, whole long, key long")
     halves = lists_by_key(with_state(halves, "half", "whole"), "whole", done_halves="done", open_halves="open")
     refined = judged.join(halves, "key", "left")
-    windows = refined.mapInPandas(window_rows(window, gram), "name long, rest int, key long")
+    windows = refined.mapInPandas(window_rows(window, gram), "name long, rest short, key long")
     first = F.first("key").over(Window.partitionBy("name", "rest").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
     repeated = windows.withColumn("first", first).filter("first < key").groupBy("key").agg(F.collect_list("name").alias("repeated"))
     return refined.join(repeated, "key", "left").mapInPandas(
