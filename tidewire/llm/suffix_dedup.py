@@ -3,12 +3,13 @@
 Suffixes start in buckets of one q-gram, named by the gram's hash, so that a bucket has the same name in every task. Only
 sampled suffixes are sorted (the least gram of each run, so every window holds one). A bucket of one document is unique, and a suffix whose
 whole surroundings occur in an earlier document has every window around it repeated. Every other suffix is undecided, and its
-bucket is refined by the identifiers of the buckets at later offsets. First it is sorted into the two halves of its windows: those that
-reach further right share the bytes of this bucket and of one further on, the others those of an earlier bucket and this one, and that
-pair is the new identifier. A half of one document is unique, and a half whose whole surroundings an earlier document has is repeated.
-Only the others are refined again: the new identifier and the buckets at the first and the last offset of a window name the window,
-and it goes if an earlier document has it too. A window is looked at once, by its least gram, and not if it is known to be repeated (an
-earlier document then stands for it). Each refinement is one shuffle of narrow rows, at most one for each document, whatever the size of a bucket.
+bucket is refined by the identifiers of the buckets at later offsets: its windows are halved into those that reach further
+right and those that reach further left, and the windows of a half share all bytes between two buckets, one at their first and one at their last
+common offset. The old identifier and those of the two buckets are the new one. A half of one document is unique, and a half whose
+whole surroundings an earlier document has is repeated. Only the others are halved again, by their new identifiers, and at last their windows are
+named the same way, one by one; a window goes if an earlier document has it too. A window is looked at once, by its least gram, and not if it
+is known to be repeated (an earlier document then stands for it). Each refinement is one shuffle of narrow rows, at most one for each
+document, whatever the size of a bucket.
 
 A byte goes if a window of 50 bytes over it also starts in a document with a smaller id. Rows without an id come last, as
 one document; rows that share an id never remove from one another. Null text is empty. Shorter texts lose nothing.
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from tidewire.llm.base import U, byte_hashes, covered, id_and_text, longs, mix, ordered_key, read, runs, sliding
 
 WINDOW, GRAM = 50, 20
-#: Bytes of the texts that a task looks at together.
-BLOCK = 300_000
+#: Bytes of the texts that a task looks at together, and how often the windows of a suffix are halved before they are named.
+BLOCK, LEVELS = 300_000, 2
 
 
 class Suffixes:
@@ -72,29 +73,31 @@ class Suffixes:
         low, high = np.maximum(at - most, self.starts[doc]), np.minimum(at - least, self.ends[doc] - self.window) + 1
         return covered(low, np.maximum(low, high), len(self.least))
 
-    def halves(self, mine: np.ndarray) -> Halves:
-        """The two halves of the windows around some sampled suffixes, as far as the text holds what all windows of a half cover."""
-        middle, most = (self.window - self.gram) // 2, self.window - self.gram
+    def undecided(self, mine: np.ndarray) -> Ranges:
+        """All windows around some sampled suffixes, to be halved."""
         at, doc = self.at[mine], self.doc[mine]
-        right, left = at + self.window - middle <= self.ends[doc], at - middle > self.starts[doc]
-        one, two = at[right], at[left]
-        further = mix(self.bucket[one] ^ mix(self.bucket[one + self.window - middle - self.gram] + U(1)))
-        earlier = mix(self.bucket[two - middle - 1] ^ mix(self.bucket[two] + U(2)))
-        sizes = [len(one), len(two)]
-        at, doc = np.concatenate((one, two)), np.concatenate((doc[right], doc[left]))
-        least, most = np.repeat([0, middle + 1], sizes), np.repeat([middle, most], sizes)
+        return Ranges(self.bucket[at], at, at, doc, np.zeros_like(at), np.full_like(at, self.span - 1))
+
+    def halved(self, of: Ranges) -> Ranges:
+        """Both halves of ranges of windows, as far as the text holds what all windows of a half share."""
+        middle = (of.least + of.most) // 2
+        both = (np.concatenate(x) for x in ((of.name, of.name), (of.at, of.at), (of.doc, of.doc), (of.least, middle + 1), (middle, of.most)))
+        name, at, doc, least, most = both
+        held = (least <= most) & (at - least >= self.starts[doc]) & (at + self.window - most <= self.ends[doc])
+        name, at, doc, least, most = (x[held] for x in (name, at, doc, least, most))
+        first, last = self.bucket[at - least], self.bucket[at + self.window - most - self.gram]
+        name = mix(name ^ mix(first ^ mix(last + least.astype(np.uint64) + U(1)))) >> U(16)
         low, high = np.maximum(at - most, self.starts[doc]), np.minimum(at + self.window - least, self.ends[doc])
-        name = np.concatenate((further, earlier))
         whole = mix(self.rolling.spans(low, high) ^ mix(name + (at - low).astype(np.uint64)))
-        return Halves(name >> U(16), whole >> U(16), at, doc, least, most)
+        return Ranges(name, whole >> U(16), at, doc, least, most)
 
-    def named(self, halves: Halves, open_: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The windows of open halves that are not known, by their least gram: where they start, and their names of 64 and 16 bits."""
-        half, at, least = halves.name[open_], halves.at[open_], halves.least[open_]
-        distance = least[:, None] + np.arange(self.span - self.span // 2)
+    def named(self, of: Ranges, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows of ranges that are not known, by their least gram: where they start, and their names of 64 and 16 bits."""
+        half, at = of.name, of.at
+        distance = of.least[:, None] + np.arange((of.most - of.least).max(initial=0) + 1)
         start = at[:, None] - distance
-        inside = (distance <= halves.most[open_][:, None]) & (start >= self.starts[halves.doc[open_]][:, None])
-        inside &= start + self.window <= self.ends[halves.doc[open_]][:, None]
+        inside = (distance <= of.most[:, None]) & (start >= self.starts[of.doc][:, None])
+        inside &= start + self.window <= self.ends[of.doc][:, None]
         row, column = np.nonzero(inside)
         start = start[row, column]
         own = ~known[start] & (self.least[start] == self.bucket[at[row]])
@@ -104,8 +107,8 @@ class Suffixes:
         return start, name, (mix(first ^ mix(last ^ mix(half + step + U(3)))) >> U(48)).astype(np.uint16)
 
 
-class Halves(NamedTuple):
-    """Halves of windows: the identifier, that of the whole surroundings, the suffix, its text, and the least and greatest distance of a window's start."""
+class Ranges(NamedTuple):
+    """Ranges of windows: the identifier, that of the whole surroundings, the suffix, its text, and the least and greatest distance of a window's start."""
 
     name: np.ndarray
     whole: np.ndarray
@@ -114,6 +117,9 @@ class Halves(NamedTuple):
     least: np.ndarray
     most: np.ndarray
 
+    def some(self, mine: np.ndarray) -> Ranges:
+        return Ranges(*(x[mine] for x in self))
+
 
 class Verdicts:
     """The names that earlier steps listed for each text of a block."""
@@ -186,13 +192,27 @@ def suffix_rows(window: int, gram: int):
     return rows
 
 
-def half_rows(window: int, gram: int):
-    """The halves of the undecided suffixes, once for each document."""
+def refined(batch: pd.DataFrame, block: Suffixes, level: int) -> tuple[np.ndarray, Ranges]:
+    """Which windows are known to be repeated after some levels of refinement, and the ranges that are still open."""
+    around = block.surroundings()
+    whole = Verdicts(batch["done0"]).hold(around, block.doc)
+    known = block.windows(block.at[whole], block.doc[whole], 0, block.span - 1)
+    left = block.undecided(Verdicts(batch["open0"]).hold(around, block.doc))
+    for n in range(1, level + 1):
+        halves = block.halved(left)
+        done = halves.some(Verdicts(batch[f"done{n}"]).hold(halves.whole, halves.doc))
+        known |= block.windows(done.at, done.doc, done.least, done.most)
+        left = halves.some(Verdicts(batch[f"open{n}"]).hold(halves.whole, halves.doc))
+    return known, left
+
+
+def half_rows(window: int, gram: int, level: int):
+    """The halves of the ranges that are open after some levels, once for each document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, block in blocks(batches, window, gram):
             if len(block.at):
-                found = block.halves(Verdicts(batch["edge"]).hold(block.surroundings(), block.doc))
+                found = block.halved(refined(batch, block, level)[1])
                 own = distinct_rows(found.whole, found.doc)
                 key = batch["key"].to_numpy()[found.doc[own]]
                 yield pd.DataFrame({"half": found.name[own].view(np.int64), "whole": found.whole[own].view(np.int64), "key": key})
@@ -200,25 +220,14 @@ def half_rows(window: int, gram: int):
     return rows
 
 
-def judged_windows(batch: pd.DataFrame, block: Suffixes) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Which windows are known to be repeated, as one of the surroundings or halves that are, and those to be looked at one by one."""
-    done, edge, done_halves, open_halves = (Verdicts(batch[c]) for c in ("done", "edge", "done_halves", "open_halves"))
-    around = block.surroundings()
-    whole = done.hold(around, block.doc)
-    known = block.windows(block.at[whole], block.doc[whole], 0, block.span - 1)
-    halves = block.halves(edge.hold(around, block.doc))
-    mine = done_halves.hold(halves.whole, halves.doc)
-    known |= block.windows(halves.at[mine], halves.doc[mine], halves.least[mine], halves.most[mine])
-    return known, block.named(halves, open_halves.hold(halves.whole, halves.doc), known)
-
-
 def window_rows(window: int, gram: int):
-    """The windows of open halves, once for each document."""
+    """The windows of the ranges that are open after all levels, once for each document."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, block in blocks(batches, window, gram):
             if len(block.at):
-                start, name, rest = judged_windows(batch, block)[1]
+                known, left = refined(batch, block, LEVELS)
+                start, name, rest = block.named(left, known)
                 doc = block.doc_of(start)
                 own = distinct_rows(name, doc)
                 yield pd.DataFrame({"name": name[own].view(np.int64), "rest": rest[own].view(np.int16), "key": batch["key"].to_numpy()[doc[own]]})
@@ -233,7 +242,8 @@ def kept_rows(window: int, gram: int):
         for batch, block in blocks(batches, window, gram):
             mask = np.zeros(block.n, dtype=bool)
             if len(block.at):
-                known, (start, name, _) = judged_windows(batch, block)
+                known, left = refined(batch, block, LEVELS)
+                start, name, _ = block.named(left, known)
                 start = np.concatenate((np.flatnonzero(known), start[Verdicts(batch["repeated"]).hold(name, block.doc_of(start))]))
                 mask = covered(start, start + window, block.n)
             edge = np.zeros(block.n + 1, dtype=bool)
@@ -282,14 +292,15 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rest = F.shiftleft(F.col("head").bitwiseAND(0xFFFF), 32).bitwiseOR(F.col("tail").cast("long").bitwiseAND(0xFFFFFFFF))
     suffixes = rows.select("key", "text").mapInPandas(suffix_rows(window, gram), "head long, tail int, key long")
     around = suffixes.repartition(bucket).select(bucket.alias("bucket"), rest.alias("around"), "key")
-    judged = texts.join(lists_by_key(with_state(around, "bucket", "around"), "around", done="done", edge="open"), "key", "left")
-    halves = judged.mapInPandas(half_rows(window, gram), "half long, whole long, key long")
-    halves = lists_by_key(with_state(halves, "half", "whole"), "whole", done_halves="done", open_halves="open")
-    refined = judged.join(halves, "key", "left")
-    windows = refined.mapInPandas(window_rows(window, gram), "name long, rest short, key long")
+    judged = texts.join(lists_by_key(with_state(around, "bucket", "around"), "around", done0="done", open0="open"), "key", "left")
+    for level in range(LEVELS):
+        halves = judged.mapInPandas(half_rows(window, gram, level), "half long, whole long, key long")
+        lists = lists_by_key(with_state(halves, "half", "whole"), "whole", **{f"done{level + 1}": "done", f"open{level + 1}": "open"})
+        judged = judged.join(lists, "key", "left")
+    windows = judged.mapInPandas(window_rows(window, gram), "name long, rest short, key long")
     first = F.first("key").over(Window.partitionBy("name", "rest").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
     repeated = windows.withColumn("first", first).filter("first < key").groupBy("key").agg(F.collect_list("name").alias("repeated"))
-    return refined.join(repeated, "key", "left").mapInPandas(
+    return judged.join(repeated, "key", "left").mapInPandas(
         kept_rows(window, gram), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,end:long>>"
     )
 
