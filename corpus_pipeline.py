@@ -3,16 +3,18 @@
 Rejected go: documents that the toxicity model marks; all but one document (the one with the least id) of each
 near-duplicate group; documents contaminated by the benchmark. Secrets are masked in place. The last stage packs the rest into
 sequences. Every stage judges texts, not ids, so repeated ids are safe; of rows that share an id and a set of shingles the near-duplicate
-stage keeps one. Documents without an id are never linked.
+stage keeps one. Documents without an id are never linked. A table may have any other columns, also of names that stages use themselves, and
+need not have n_chars; null, empty and very long texts go through every stage, and an empty table gives no piece.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.base import read
@@ -45,32 +47,41 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(toxic_score(model)("text") < 0.5)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row as one, so that none can clash with what a stage derives."""
+    return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similarity 0.8 or more on five-word shingles; different texts under one id are judged each by itself."""
     classes = near_classes(docs)
-    least = classes.filter("doc_id = component_id and set_id = kept_set").groupBy("doc_id", "set_id").agg(F.min("text_hash").alias("_hash")).drop("set_id")
-    hashed = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
-    one_row = Window.partitionBy("doc_id", "_hash").orderBy(F.xxhash64(*docs.columns))
-    kept = hashed.join(least, ["doc_id", "_hash"], "left_semi").withColumn("_n", F.row_number().over(one_row)).filter("_n = 1")
-    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    least = classes.filter("doc_id = component_id and set_id = kept_set").groupBy("doc_id", "set_id").agg(F.min("text_hash").alias("text_hash")).drop("set_id")
+    comparable = [docs[f"`{f.name}`"] for f in docs.schema if not re.search("map|variant", f.dataType.simpleString())]
+    hashed = docs.filter("doc_id is not null").select(
+        whole_row(docs), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"].cast("string")).alias("text_hash"), F.xxhash64(*comparable).alias("order")
+    )
+    one_row = Window.partitionBy("doc_id", "text_hash").orderBy("order")
+    kept = hashed.join(least, ["doc_id", "text_hash"], "left_semi").withColumn("place", F.row_number().over(one_row)).filter("place = 1")
+    return kept.select("row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark does not contaminate."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    judged = decontaminate(docs, read(spark, sf_dir, "benchmark"), carry=rest).filter(~contaminated())
-    return judged.select("doc_id", "text", *[f"carried.{c}" for c in rest]).select(docs.columns)
+    rows = docs.select("doc_id", "text", whole_row(docs))
+    judged = decontaminate(rows, read(spark, sf_dir, "benchmark"), carry=("row",)).filter(~contaminated())
+    return judged.select("carried.row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each secret replaced by a mark; n_chars follows the text."""
+    """All documents, each secret replaced by a mark; n_chars, where there is one, follows the text."""
     ledger = new_ledger(spark)
-    update_ledger(docs, ledger, MASKED)
+    update_ledger(docs.select("text"), ledger, MASKED)
     findings = cut_lineage(findings_of(read_ledger(spark, ledger), MASKED))
-    found = with_findings(docs.withColumn("blob", blob_of(F.col("text"))), findings)
-    masked = found.withColumn("masked", without_findings(F.col("text"), F.col("findings"), MASK))
-    length = F.when(F.size("findings") > 0, F.length("masked")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return masked.withColumn("n_chars", length).withColumn("text", F.col("masked")).select(docs.columns)
+    rows = docs.select(whole_row(docs), F.col("text").cast("string").alias("text"), blob_of(F.col("text")).alias("blob"))
+    found = with_findings(rows, findings).select("row", F.size("findings").alias("n"), without_findings(F.col("text"), F.col("findings"), MASK).alias("masked"))
+    new = {"text": F.col("masked"), "n_chars": F.when(F.col("n") > 0, F.length("masked")).otherwise(F.col("row").getField("n_chars"))}
+    new = {c: value.cast(docs.schema[c].dataType) for c, value in new.items() if c in docs.columns}
+    return found.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
