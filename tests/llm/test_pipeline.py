@@ -5,6 +5,8 @@ from __future__ import annotations
 import subprocess
 import sys
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.cases import documents, sentence
 from tests.llm.test_dedup import classes_by_definition
@@ -92,6 +94,26 @@ def test_private_keys_are_masked_whole(spark, tmp_path):
     assert {r.doc_id: (r.text, r.n_chars) for r in out} == {i: (want, len(want)) for i, (_, want) in cases.items()}
 
 
+CLASHES = "_ _hash _n blob findings masked words row carried key toxic score place order n text_hash set_id n_hit spans a.b".split()
+
+
+def test_other_columns_do_not_matter(spark, tmp_path):
+    rows, _ = folder_of(spark, tmp_path)
+    plain = spark.read.parquet(f"{tmp_path}/documents.parquet").drop("n_chars")
+    extra = [F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias(c) for c in CLASHES]
+    docs = plain.select("*", *extra, F.create_map(F.lit("k"), F.lit(1)).alias("m"))
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        without, with_all = stage(spark, plain, str(tmp_path)), stage(spark, docs, str(tmp_path))
+        assert with_all.columns == docs.columns and without.columns == plain.columns, name
+        found = with_all.collect()
+        assert sorted((tuple(r[:4]) for r in found), key=str) == sorted(map(tuple, without.collect()), key=str), name
+        assert all(r[4 + i] == f"{c} {'' if r.doc_id is None else r.doc_id}" for r in found for i, c in enumerate(CLASHES)), name
+        for path, df in (("plain", without), ("docs", with_all)):
+            df.write.parquet(f"{tmp_path}/{path}{n}")
+        plain, docs = spark.read.parquet(f"{tmp_path}/plain{n}"), spark.read.parquet(f"{tmp_path}/docs{n}")
+    assert corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).count() == corpus_pipeline.pack_sequences(spark, plain, str(tmp_path)).count()
+
+
 def test_empty_documents(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     labels_table(spark, []).write.parquet(f"{tmp_path}/labels.parquet")
