@@ -28,8 +28,8 @@ from tidewire.session import cut_lineage
 CAPACITY, END_ID = 4096, 1
 #: Pieces of a group: packing holds one group's lengths in a task.
 GROUP = 16_384
-#: Words whose ids a worker remembers before it forgets all but the latest, and the longest it then keeps.
-REMEMBERED, LONGEST = 250_000, 48
+#: Words whose ids a worker remembers before it forgets those not used lately, and the longest it then keeps.
+REMEMBERED, LONGEST = 400_000, 48
 SEPARATOR, SEPARATOR_ID = "<|startoftext|>", 49406
 _STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?= |\Z)")
 # Lower-case ASCII and Latin letters whose UTF-8 bytes the byte alphabet leaves as they are; a quote may start a contraction.
@@ -59,6 +59,7 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
 
     def words(self, text: str) -> list[bytes]:
         data = text.encode("utf-8", "replace").replace(b"\n", b" ")
@@ -88,12 +89,17 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.words(t) for t in texts]
-        used = set().union(*split)
-        self.learn([w for w in used if w not in self.known])
-        known = self.known
+        known, older, fresh = self.known, self.older, []
+        for word in set().union(*split).difference(known):
+            ids = older.get(word)
+            if ids is None:
+                fresh.append(word)
+            else:
+                known[word] = ids
+        self.learn(fresh)
         out = [b"".join([known[w] for w in words]) for words in split]
-        if len(known) > REMEMBERED:  # the words of the last texts stay, unless they are very long
-            self.known = {b"": b"", **{w: known[w] for w in used if len(w) <= LONGEST}}
+        if len(known) > REMEMBERED:  # words used since the last time stay, unless they are very long
+            self.known, self.older = {b"": b""}, {w: ids for w, ids in known.items() if len(w) <= LONGEST}
         return out
 
 
