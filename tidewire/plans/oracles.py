@@ -202,7 +202,7 @@ def rules(c: str, table, otherwise: str) -> str:
 
 ORACLES["entry_conversion"] = f"""
 WITH {PAYLOADS}, e AS (
-  SELECT *, substr({squash('title')}, 1, 260) AS t, rtrim(substr({squash('description')}, 1, 900)) AS d,
+  SELECT *, rtrim(substr({squash('title')}, 1, 260)) AS t, rtrim(substr({squash('description')}, 1, 900)) AS d,
     CASE WHEN ord % 2 = 0 AND n % 3 <> 0 THEN 'http' ELSE 'https' END || '://' || source_name || '.example.org/doc/' || ord || '?id=' || ord AS u
   FROM judged WHERE reason IS NULL),
 kept AS (SELECT * FROM e WHERE t <> '' AND NOT (n % 4 = 2 AND regexp_matches(t, '{word("mit")}'))
