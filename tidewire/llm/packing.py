@@ -29,7 +29,7 @@ CAPACITY, END_ID = 4096, 1
 #: Pieces of a group: packing holds one group's lengths in a task.
 GROUP = 16_384
 #: Words whose ids a worker remembers before it forgets those not used lately, and the longest it then keeps.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 700_000, 48
 SEPARATOR, SEPARATOR_ID = "<|startoftext|>", 49406
 _STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?= |\Z)")
 # Lower-case ASCII and Latin letters whose UTF-8 bytes the byte alphabet leaves as they are; a quote may start a contraction.
