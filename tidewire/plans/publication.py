@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators.dedup import first_per_key
-from tidewire.operators.sinks import write_editions
 from tidewire.sources.state import pointers
 
 STORED = "edition_id string, commit long, articles array<string>"
@@ -34,8 +33,7 @@ def stage(editions: list[DataFrame], folder: str, number: int) -> None:
     both = editions[0]
     for other in editions[1:]:
         both = both.unionByName(other, allowMissingColumns=True)
-    both.limit(0).write.mode("overwrite").json(staged)
-    write_editions(both, staged)
+    both.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("edition_id").json(staged)
     both.select("edition_id", F.size("articles").cast("long").alias("articles")).write.mode("overwrite").parquet(listed)
 
 
