@@ -359,3 +359,36 @@ def test_neighbours_reach_the_recall_and_are_ordered(spark):
         hit, total = hit + len(set(want) & set(found["vec_id"])), total + 20
     assert hit >= 0.95 * total
     assert ann.search(ann.build_index(table.filter("false"), 20), queries, 20).count() == 0
+
+
+def test_neighbours_of_uneven_lengths_reach_the_recall():
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(2500, 48)) * rng.lognormal(0, 0.5, (2500, 1))
+    graph = ann.Graph(vectors)
+    breadth = ann.needed_breadth(graph, 21)
+    assert breadth > ann.SEARCH_BREADTH  # the least breadth is not enough for these
+    asked, hit = range(7, 2500, 31), 0
+    for i in asked:
+        best = set(np.argsort(-(vectors @ vectors[i]))[:20])
+        hit += len(best & set(graph.nearest(vectors[i], breadth)[:20].tolist()))
+    assert hit >= 0.9 * 20 * len(asked)
+    assert ann.needed_breadth(ann.Graph(vectors[:30]), 21) == ann.SEARCH_BREADTH
+
+
+def test_neighbours_of_repeated_ids_other_columns_and_many_groups(spark):
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(300, 8))
+    rows = [(i % 280, v.tolist(), "x", 1, 2, 3) for i, v in enumerate(vectors)]  # ids 0 to 19 have two vectors each
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id string, shard int, salt int, dim int")
+    queries = ann.vectors_of(table, "vec_id", "embedding").filter(F.col("id") % 20 == 0)
+    index = ann.build_index(table, 5, shard=60)
+    out = ann.search(index, queries, 5, block=2, together=1).toPandas()
+    assert sorted(out["query_id"].unique()) == list(range(0, 280, 20))
+    for query, found in out.groupby("query_id"):
+        own = np.stack([v for i, v in enumerate(vectors) if i % 280 == query])
+        best = {}
+        for i, v in enumerate(vectors):
+            if i % 280 != query:
+                best[i % 280] = max(best.get(i % 280, -np.inf), float((own @ v).max()))
+        want = sorted(best, key=lambda i: (-best[i], i))[:5]
+        assert found.sort_values("rank")["vec_id"].tolist() == want

@@ -3,8 +3,10 @@
 Equal vectors are one point that carries its smallest ids (as many as an answer can hold, and one more for a query that is
 itself among them), so copies neither crowd the graph nor lose an answer. Points are dealt at random to shards of a bounded expected
 size. A shard's graph is kept as flat arrays: for each layer one row of neighbours for each of its points. The greatest inner
-product becomes the least distance by one more component that gives all points of a shard the same length. Every block of
-queries is searched in every shard of its dimension, and the shards' answers are merged by score.
+product becomes the least distance by one more component that gives all points of a shard the same length. How broadly a graph
+must be searched depends on its vectors (most on how uneven their lengths are), so each shard finds its own breadth when it is
+built: doubled until enough of the exact answers of a fixed number of its points are found. Every block of queries is searched
+in every shard of its dimension, a few blocks and one shard at a time, and the shards' answers are merged by score.
 
 Vectors that are null, empty, zero or hold a null or non-finite component take no part; neither do rows without an id, nor
 pairs of different dimensions. Ties go to the smaller id. Ids that occur in several rows are ranked once, with their best vector.
@@ -14,7 +16,6 @@ An empty table gives no row. Scores are double-precision inner products of the o
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,9 +25,12 @@ from pyspark.sql import functions as F
 from tidewire.llm.base import read
 from tidewire.session import cut_lineage
 
-#: Expected points of a shard, queries of a block, neighbours of a point on upper layers, breadth of the searches.
-SHARD, BLOCK = 4096, 256
+#: Expected points of a shard, queries of a block, blocks that meet a shard at once, most partitions of a step.
+SHARD, BLOCK, BLOCKS, PARTITIONS = 4096, 256, 4, 20_000
+#: Neighbours of a point on upper layers, breadth of building, least breadth of searching.
 LINKS, BUILD_BREADTH, SEARCH_BREADTH = 16, 64, 96
+#: Points of a shard whose exact answers set its breadth, and the share of them that must be found.
+PROBES, FOUND = 48, 0.97
 
 
 class Graph:
@@ -138,10 +142,26 @@ class Graph:
         return np.array([p for _, p in self._search(query, start, breadth, 0)])
 
 
-def graph_row(dimension: int, shard: int, vectors: np.ndarray, ids: list) -> dict:
+def needed_breadth(graph: Graph, k: int, breadth: int = SEARCH_BREADTH, probes: int = PROBES, share: float = FOUND) -> int:
+    """The least of breadth, twice it and so on that finds that share of the k nearest of evenly spaced points."""
+    vectors = graph.points[:, :-1]
+    n = len(vectors)
+    asked = vectors[np.linspace(0, n - 1, min(n, probes)).astype(np.int64)]
+    scores = asked @ vectors.T
+    least = -np.partition(-scores, min(k, n) - 1, axis=1)[:, min(k, n) - 1]
+    while breadth < n:
+        found = [(own[graph.nearest(q, breadth)] >= low).sum() for q, own, low in zip(asked, scores, least)]
+        if np.minimum(found, k).sum() >= share * min(k, n) * len(asked):
+            break
+        breadth *= 2
+    return breadth
+
+
+def graph_row(dimension: int, shard: int, vectors: np.ndarray, ids: list, k: int) -> dict:
     graph = Graph(vectors)
     flat = [np.ascontiguousarray(x).tobytes() for x in graph.layers]
-    return {"dim": dimension, "shard": shard, "entry": graph.entry, "vectors": vectors.tobytes(), "ids": ids, "layers": flat}
+    breadth = needed_breadth(graph, k + 1)
+    return {"dim": dimension, "shard": shard, "entry": graph.entry, "breadth": breadth, "vectors": vectors.tobytes(), "ids": ids, "layers": flat}
 
 
 def restored(row) -> Graph:
@@ -155,10 +175,15 @@ def restored(row) -> Graph:
     return graph
 
 
-def built_rows(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("point", ignore_index=True)
-    ids = [list(map(int, x)) for x in group["ids"]]
-    return pd.DataFrame([graph_row(int(key[0]), int(key[1]), np.stack(group["vector"].to_numpy()).astype(np.float64), ids)])
+def built_rows(k: int):
+    """The graph of one shard, to be searched for k answers."""
+
+    def rows(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("point", ignore_index=True)
+        ids = [list(map(int, x)) for x in group["ids"]]
+        return pd.DataFrame([graph_row(int(key[0]), int(key[1]), np.stack(group["vector"].to_numpy()).astype(np.float64), ids, k)])
+
+    return rows
 
 
 def usable(vector: Column) -> Column:
@@ -174,7 +199,7 @@ def vectors_of(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def build_index(table: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD) -> DataFrame:
-    """One row for each shard: dim, shard, entry, vectors, ids of each point, layers."""
+    """One row for each shard: dim, shard, entry, breadth, vectors, ids of each point, layers."""
     rows = vectors_of(table, id_col, vector_col).withColumn("point", F.xxhash64("vector"))
     few = Window.partitionBy("point", "vector").orderBy("id")
     points = rows.dropDuplicates(["id", "point"]).withColumn("n", F.row_number().over(few)).filter(F.col("n") <= k + 1)
@@ -182,41 +207,54 @@ def build_index(table: DataFrame, k: int, id_col: str = "vec_id", vector_col: st
     points = cut_lineage(points.withColumn("dim", F.size("vector")))
     shards = max(1, -(-points.count() // shard))
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("point", F.lit(1)), F.lit(shards)).cast("int"))
-    return dealt.groupBy("dim", "shard").applyInPandas(
-        built_rows, "dim int, shard int, entry int, vectors binary, ids array<array<long>>, layers array<binary>"
+    # dealt by number, so that small shards are not put together in a few tasks
+    return dealt.repartition(min(2 * shards, PARTITIONS), "dim", "shard").groupBy("dim", "shard").applyInPandas(
+        built_rows(k), "dim int, shard int, entry int, breadth int, vectors binary, ids array<array<long>>, layers array<binary>"
     )
 
 
-def searched_rows(k: int, breadth: int):
-    """Each query's best answers in one shard; rows hold a shard and a block of queries."""
+def searched_rows(k: int):
+    """Best answers of some blocks of queries in one shard."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                graph, out = restored(row), []
-                vectors = graph.points[:, :-1]
-                for query, vector in zip(row.query_ids, row.query_vectors):
+    def rows(blocks: pd.DataFrame, shards: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for shard in shards.itertuples():
+            graph = restored(shard)
+            vectors = graph.points[:, :-1]
+            for block in blocks.itertuples():
+                for query, vector in zip(block.query_ids, block.query_vectors):
                     vector = np.asarray(vector, dtype=np.float64)
-                    found = graph.nearest(vector, breadth)
+                    found = graph.nearest(vector, shard.breadth)
                     scores = (vectors[found] * vector).sum(axis=1)
-                    answers = sorted((-s, i) for s, p in zip(scores.tolist(), found[: 2 * k + 2].tolist()) for i in row.ids[p] if i != query)[:k]
+                    answers = sorted((-s, i) for s, p in zip(scores.tolist(), found[: 2 * k + 2].tolist()) for i in shard.ids[p] if i != query)[:k]
                     out += [(query, i, -s) for s, i in answers]
-                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     return rows
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, breadth: int = SEARCH_BREADTH, block: int = BLOCK) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, together: int = BLOCKS) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest of each query (id, vector)."""
     index = cut_lineage(index)
     asked = cut_lineage(queries.withColumn("dim", F.size("vector")).withColumn("row", F.monotonically_increasing_id()))
+    shards = 1 + index.agg(F.coalesce(F.max("shard"), F.lit(-1))).first()[0]
     blocks = max(1, -(-asked.count() // block))
+    salts = -(-blocks // together)
+    every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))) if shards else F.explode(F.array().cast("array<int>"))
     grouped = (
         asked.groupBy("dim", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"))
         .agg(F.collect_list(F.struct("id", "vector")).alias("q"))
-        .select("dim", F.col("q.id").alias("query_ids"), F.col("q.vector").alias("query_vectors"))
+        .select("dim", F.pmod("block", F.lit(salts)).cast("int").alias("salt"), F.col("q.id").alias("query_ids"), F.col("q.vector").alias("query_vectors"))
+        .withColumn("shard", every_shard)
+    )
+    # a shard is copied for each few blocks of queries; a task holds one copy and those blocks
+    copies = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    keys = ("dim", "shard", "salt")
+    parts = min(2 * max(1, shards) * salts, PARTITIONS)
+    found = (
+        grouped.repartition(parts, *keys).groupBy(*keys).cogroup(copies.repartition(parts, *keys).groupBy(*keys))
+        .applyInPandas(searched_rows(k), "query_id long, vec_id long, score double")
     )
-    found = grouped.join(index, "dim").mapInPandas(searched_rows(k, breadth), "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
