@@ -478,6 +478,22 @@ def shared_share(a: str, b: str) -> float:
     return max(overlap, min(len(a), len(b)) / max(len(a), len(b)) if a in b or b in a else 0.0)
 
 
+@arrow(T.ArrayType(T.DoubleType()))
+def known_shares(items: pa.Array, references: pa.Array) -> pa.Array:
+    """For each item of a list the share of its distinct trigrams that the references have, in time linear in the texts."""
+
+    def trigrams(s: str) -> set[str]:
+        return {s[i : i + 3] for i in range(max(1, len(s) - 2))} if s else set()
+
+    def shares(texts: list[str], others: list[str]) -> list[float]:
+        known = set().union(*map(trigrams, others))
+        own = [trigrams(t) for t in texts]
+        return [len(x & known) / len(x) if x else 0.0 for x in own]
+
+    rows = zip(items.to_pylist(), references.to_pylist())
+    return pa.array([None if texts is None else shares(texts, others or []) for texts, others in rows], pa.list_(pa.float64()))
+
+
 def text_overlap(c: Column, references: Column) -> Column:
     """Comparison texts: equal to, short and contained in, or sharing 68% of trigrams with the references."""
     kept = F.filter(references, lambda r: r != "")

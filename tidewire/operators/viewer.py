@@ -167,21 +167,21 @@ def distinct_content(sentences: DataFrame, out: str, paragraph: Column, referenc
     df = text.nfkc_items(df, "__refs", F.col("__refs"))
     bare = lambda v: F.regexp_replace(F.lower(v), text.NON_TITLE, "")
     df = df.withColumn("__refs", F.filter(F.transform("__refs", bare), lambda r: r != ""))
-    df = df.withColumn("__overlap", text.text_overlap(F.col("__whole"), F.col("__refs")))
     df = df.withColumn("__parts", sentence_items(paragraph))
     df = text.nfkc_items(df, "__wide", F.transform("__parts", lambda s: F.regexp_replace(s, r"^.{1,100}?の配信概要では、", "")))
-    df = df.withColumn("__ref_grams", F.array_distinct(F.flatten(F.transform("__refs", lambda r: text.grams(r, 3)))))
+    df = df.withColumn("__own", F.concat(F.array("__whole"), F.transform("__wide", bare)))
+    df = df.withColumn("__shares", text.known_shares(F.col("__own"), F.col("__refs")))
 
-    def repeats(w: Column) -> Column:
-        c = bare(w)
-        own = text.grams(c, 3)
-        share = F.size(F.array_intersect(own, F.col("__ref_grams"))) / F.nullif(F.size(own), F.lit(0))
+    def repeats(c: Column, share: Column) -> Column:
         inside = F.exists(F.col("__refs"), lambda r: F.contains(r, c))
-        return F.coalesce(
-            (c != "") & (F.array_contains(F.col("__refs"), c) | F.when(F.length(c) < 12, inside).otherwise(share >= 0.68)), F.lit(False)
-        )
-
-    judged = F.zip_with("__parts", "__wide", lambda s, w: F.struct(s.alias("text"), (~repeats(w) & ~F.regexp_replace(s, text.SPACE, "").rlike(PROCEDURAL_DETAIL)).alias("new")))
+        known = F.array_contains(F.col("__refs"), c) | F.when(F.length(c) < 12, inside).otherwise(share >= 0.68)
+        return F.coalesce((c != "") & known, F.lit(False))
+
+    # the whole paragraph first, then its sentences
+    df = df.withColumn("__repeats", F.zip_with("__own", "__shares", repeats))
+    df = df.withColumn("__overlap", F.get("__repeats", F.lit(0)))
+    repeated = F.slice("__repeats", 2, F.size("__parts"))
+    judged = F.zip_with("__parts", repeated, lambda s, old: F.struct(s.alias("text"), (~old & ~F.regexp_replace(s, text.SPACE, "").rlike(PROCEDURAL_DETAIL)).alias("new")))
     df = df.withColumn("__judged", judged)
     fresh = F.transform(F.filter("__judged", lambda s: s["new"]), lambda s: s["text"])
     whole = F.trim(paragraph)
@@ -190,7 +190,7 @@ def distinct_content(sentences: DataFrame, out: str, paragraph: Column, referenc
         .when((F.size("__parts") <= 1) | (F.size(fresh) == F.size("__parts")), whole)
         .otherwise(F.array_join(fresh, ""))
     )
-    return df.withColumn(out, result).drop("__whole", "__refs", "__overlap", "__parts", "__wide", "__ref_grams", "__judged")
+    return df.withColumn(out, result).drop("__whole", "__refs", "__own", "__shares", "__repeats", "__overlap", "__parts", "__wide", "__judged")
 
 
 # ---- normalisation of stored documents ---------------------------------------------------------------

@@ -93,10 +93,45 @@ def xml_text(c: Column) -> Column:
     return F.replace(escaped, F.lit(">"), F.lit("&gt;"))
 
 
-def feed_payloads(spark: SparkSession, sf: str) -> DataFrame:
+def tagged_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """The feeds without byte limits and with rules on tags, product titles and bracket titles."""
+    n = F.regexp_extract("id", r"(\d+)$", 1).cast("int")
+    return feed_registry(spark, sf).withColumns(
+        {
+            "maxFeedBytes": F.lit(None).cast("int"),
+            "includeEntryCategories": F.when(n % 5 == 1, F.array(F.lit("it・デジタル"), F.lit("Local"))),
+            "excludeEntryCategories": F.when(n % 5 == 2, F.array(F.lit("ＭＩＳＣ"))),
+            "titleFromDescriptionBrackets": n % 2 == 1,
+            "includeProductTitlePatterns": F.when(n % 7 == 3, F.array(F.lit(r"\bthe\b"))),
+        }
+    )
+
+
+def tagged_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """The payloads with subjects by document number; every sixth description opens with a numbered title in brackets."""
+    n = F.col("ord")
+
+    def subjects(*names: str) -> Column:
+        return F.lit("".join(f"<category>{x}</category>" for x in names))
+
+    tags = F.when(n % 4 == 0, subjects("スポーツ")).when(n % 4 == 1, subjects("misc, サイエンス", "ＩＴ・デジタル")).when(n % 4 == 3, subjects("  税、観光 ", "local"))
+    bracket = F.when(n % 6 == 1, F.concat(F.lit("【No. "), n.cast("string"), F.lit(" "), "title", F.lit("】"))).otherwise("")
+    return feed_payloads(spark, sf, F.concat(bracket, "description"), F.coalesce(tags, F.lit("")))
+
+
+def page_documents(rows: DataFrame) -> DataFrame:
+    """Items as official pages, a paragraph for each line of the text; every fifth page is missing."""
+    lines = F.transform(F.split("description", "\n"), lambda line: F.concat(F.lit("<p>"), xml_text(line), F.lit("</p>")))
+    opening = F.concat(F.lit("<html><body><nav><p>menu</p></nav><main><h1>"), xml_text(F.col("title")), F.lit("</h1>"))
+    html = F.concat(opening, F.array_join(lines, "<br>"), F.lit("</main><footer><p>imprint</p></footer></body></html>"))
+    return rows.filter(F.col("ord") % 5 != 4).select("url", "title", html.alias("html"))
+
+
+def feed_payloads(spark: SparkSession, sf: str, description: Column | None = None, tags: Column | None = None) -> DataFrame:
     """Every document as one landed RSS payload of its source; a few are not allowed or not readable."""
     items = tables.candidates(spark, sf)
     n = F.col("ord")
+    description = F.col("description") if description is None else description
     link = F.concat(F.when(n % 2 == 0, F.lit("http://")).otherwise(F.lit("https://")), "source_name", F.lit(".example.org//doc/"), n.cast("string"), F.lit("/?utm_source=feed&id="), n.cast("string"))
     body = F.concat(
         F.lit("<rss><channel><title>feed</title><item><title>"),
@@ -106,8 +141,10 @@ def feed_payloads(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("</link><pubDate>"),
         F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss"),
         F.lit(" GMT</pubDate><description>"),
-        xml_text(F.col("description")),
-        F.lit("</description></item></channel></rss>"),
+        xml_text(description),
+        F.lit("</description>"),
+        F.lit("") if tags is None else tags,
+        F.lit("</item></channel></rss>"),
     )
     body = F.when(n % 97 == 96, F.concat(F.lit("<!DOCTYPE rss>"), body)).otherwise(body)
     return items.select(F.col("source_name").alias("feed_id"), F.encode(body, "UTF-8").alias("body"))

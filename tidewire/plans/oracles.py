@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewire.functions.profiles import CATEGORIES, LATIN
+from tidewire.functions.profiles import CATEGORIES, LATIN, MAX_ARTICLES, MAX_PER_PUBLISHER_OUT, MIN_PUBLISHERS
 from tidewire.plans.fixtures import FIXTURE_INJECTION
 
 ORACLES: dict[str, str] = {}
@@ -212,6 +212,35 @@ SELECT substr(sha256('Feed ' || source_name || '|' || u || '|' || strftime(publi
   CASE WHEN n % 2 = 0 THEN {rules("t || ' ' || d || ' '", TEXT_RULES, f"{CATEGORY_LIST}[n % 9 + 1]")} ELSE {CATEGORY_LIST}[n % 9 + 1] END AS category,
   published_at, CAST(least(greatest(n % 8, 1), 5) AS INT) AS priority, n % 5 = 0 AS primary_source FROM kept"""
 
+OPENED = r"^【\s*([^】]{1,180}?)\s*】"
+BRACKETED = squash("CASE WHEN ord % 6 = 1 THEN '【No. ' || ord || ' ' || title || '】' ELSE '' END || description")
+ORACLES["tagged_entries"] = f"""
+WITH {CAND}, {FEEDS}, e AS (
+  SELECT c.*, f.n, rtrim(substr({squash('title')}, 1, 260)) AS p, rtrim(substr({BRACKETED}, 1, 900)) AS d,
+    CASE WHEN ord % 2 = 0 AND n % 3 <> 0 THEN 'http' ELSE 'https' END || '://' || source_name || '.example.org/doc/' || ord || '?id=' || ord AS u
+  FROM cand c JOIN feeds f ON f.source = c.source_name
+  WHERE ord % 97 <> 96 AND n % 11 <> 10 AND (n % 13 <> 12 OR n % 4 = 2) AND (n % 5 <> 1 OR ord % 4 IN (1, 3)) AND NOT (n % 5 = 2 AND ord % 4 = 1)),
+b AS (SELECT *, CASE WHEN n % 2 = 1 AND regexp_matches(d, '{OPENED}') THEN regexp_extract(d, '{OPENED}', 1) ELSE p END AS t FROM e),
+kept AS (SELECT * FROM b WHERE t <> '' AND NOT (n % 4 = 2 AND regexp_matches(t, '{word("mit")}'))
+  AND (n % 3 <> 1 OR regexp_matches(t, '{word("the")}') OR regexp_matches(t, '(?i)^[aeiou]')) AND (n % 7 <> 3 OR regexp_matches(p, '{word("the")}')))
+SELECT substr(sha256('Feed ' || source_name || '|' || u || '|' || strftime(published_at, '%Y-%m-%dT%H:%M:%S+00:00')), 1, 18) AS id,
+  t AS title, p AS product_title, CASE WHEN n % 6 = 5 THEN '' ELSE d END AS description, u AS url,
+  CASE WHEN n % 2 = 1 THEN {CATEGORY_LIST}[n % 9 + 1] WHEN ord % 4 = 0 THEN 'スポーツ' WHEN ord % 4 = 1 THEN '科学' WHEN ord % 4 = 3 THEN '経済'
+    ELSE {rules("t || ' ' || d || ' '", TEXT_RULES, f"{CATEGORY_LIST}[n % 9 + 1]")} END AS category FROM kept"""
+
+ORACLES["linked_pages"] = rf"""
+WITH {CAND}, given AS (SELECT id, title, rtrim(substr({squash("unnest(string_split(description, chr(10)))")}, 1, 1500)) AS line,
+    generate_subscripts(string_split(description, chr(10)), 1) AS i FROM cand WHERE ord % 2 = 0 AND ord % 5 <> 4),
+firsts AS (SELECT *, regexp_replace(replace(lower(line), 'ß', 'ss'), '[\s\p{{Z}}]+', '', 'g') AS key FROM given
+  WHERE line <> '' AND ({title_norm('title')} = '' OR {title_norm('line')} <> {title_norm('title')})
+  QUALIFY row_number() OVER (PARTITION BY id, key ORDER BY i) = 1),
+pages AS (SELECT id, string_agg(line, ' ' ORDER BY i) AS whole FROM firsts GROUP BY 1),
+clipped AS (SELECT id, whole, substr(whole, 1, 900) AS head, regexp_extract(substr(whole, 1, 900), '^(.*[。！？])', 1) AS ended FROM pages),
+detail AS (SELECT id, CASE WHEN length(whole) <= 900 THEN whole WHEN length(ended) > 160 THEN rtrim(ended) ELSE rtrim(head) END AS detail FROM clipped),
+joined AS (SELECT c.id, url, description, ord, detail, coalesce(ord % 2 = 0 AND length(detail) >= 200 + 100 * (ord % 4), false) AS enough FROM cand c LEFT JOIN detail USING (id))
+SELECT id, url, length(CASE WHEN enough THEN detail ELSE description END) AS n, md5(CASE WHEN enough THEN detail ELSE description END) AS digest
+FROM joined WHERE ord % 2 = 1 OR enough OR ord % 3 <> 0"""
+
 ORACLES["rule_filter"] = f"""
 WITH {FEEDS} SELECT doc_id, d.source FROM documents d JOIN usable u USING (source)
 WHERE NOT (n % 4 = 2 AND regexp_matches(text, '{word("mit")}'))
@@ -308,6 +337,29 @@ p AS (SELECT *, coalesce(lag(own) OVER (PARTITION BY conv_id ORDER BY turn), '')
 SELECT conv_id, turn, length(own) AS n, own <> '' AND ref <> '' AND (own = ref OR CASE WHEN length(own) < 12 THEN contains(ref, own)
   ELSE len(list_intersect({trigrams('own')}, {trigrams('ref')})) / len({trigrams('own')}) >= 0.68 END) AS overlap FROM p"""
 
+def bare(c: str) -> str:
+    return rf"regexp_replace(lower({c}), '[^0-9a-z\x{{3040}}-\x{{30ff}}\x{{3400}}-\x{{9fff}}]+', '', 'g')"
+
+
+def repeated(c: str) -> str:
+    """The text repeats one of refs, whose trigrams are seen."""
+    return f"""({c} <> '' AND (list_contains(refs, {c}) OR CASE WHEN length({c}) < 12 THEN len(list_filter(refs, lambda r: contains(r, {c}))) > 0
+  ELSE len(list_intersect({trigrams(c)}, seen)) / len({trigrams(c)}) >= 0.68 END))"""
+
+
+ORACLES["said_before"] = rf"""
+WITH t AS (SELECT conv_id, turn, replace(text, '.', '。') AS x FROM conversations),
+r AS (SELECT *, {bare('x')} AS own, list_filter([{', '.join(bare(f"coalesce(lag(x, {k}) OVER o, '')") for k in (1, 2, 3))}], lambda v: v <> '') AS refs
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn)),
+g AS (SELECT *, list_distinct(flatten(list_transform(refs, lambda v: {trigrams('v')}))) AS seen,
+  list_filter(list_transform(regexp_extract_all(trim(x), '[^。！？!?]+[。！？!?]?'), lambda p: trim(p)), lambda p: p <> '') AS parts FROM r),
+s AS (SELECT conv_id, turn, refs, seen, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM g),
+k AS (SELECT *, {bare('part')} AS c FROM s),
+f AS (SELECT conv_id, turn, string_agg(part, '' ORDER BY i) AS rest, count(*) AS n_rest FROM k WHERE NOT {repeated('c')} GROUP BY 1, 2),
+w AS (SELECT g.conv_id, g.turn, x, CASE WHEN trim(x) = '' OR {repeated('own')} THEN '' WHEN len(parts) <= 1 OR coalesce(n_rest, 0) = len(parts) THEN trim(x)
+  ELSE coalesce(rest, '') END AS fresh FROM g LEFT JOIN f USING (conv_id, turn))
+SELECT conv_id, turn, length(x) AS n, length(fresh) AS n_fresh, md5(fresh) AS digest FROM w"""
+
 # ---- similarity and quotas -------------------------------------------------------------------------------
 
 EDITIONED = f"{CAND}, ed AS (SELECT *, {edition('published_at')} AS edition_id FROM cand)"
@@ -383,6 +435,29 @@ WITH {USABLE}, {limiter()}
 SELECT t.edition_id, u.id, CAST(row_number() OVER (PARTITION BY t.edition_id ORDER BY t.pass, t.place) - 1 AS INT) AS pos
 FROM taken t JOIN u ON u.edition_id = t.edition_id AND u.place = t.place"""
 
+FRESH = "len(list_filter(publishers, lambda x: NOT list_contains(load, x)))"
+FULL = f"len(list_filter(publishers, lambda x: len(list_filter(load, lambda y: y = x)) >= {MAX_PER_PUBLISHER_OUT}))"
+ORACLES["draft_mix"] = f"""
+WITH RECURSIVE {USABLE}, {limiter()},
+placed AS MATERIALIZED (SELECT u.*, CAST(row_number() OVER (PARTITION BY t.edition_id ORDER BY t.pass, t.place) - 1 AS INT) AS pos
+  FROM taken t JOIN u ON u.edition_id = t.edition_id AND u.place = t.place),
+paired AS MATERIALIZED (SELECT *, lead(id) OVER o AS next_id, lead(source_name) OVER o AS next_source FROM placed WINDOW o AS (PARTITION BY edition_id ORDER BY pos)),
+drafts AS MATERIALIZED (SELECT edition_id, pos, id, category, 1 + ord % 4 AS importance, priority, published_at, ord % 3 = 0 AS preferred,
+    CASE WHEN next_id IS NULL THEN [id] ELSE [id, next_id] END AS ids,
+    CASE WHEN next_source IS NULL OR next_source = source_name THEN [source_name] ELSE [source_name, next_source] END AS publishers FROM paired),
+goals AS MATERIALIZED (SELECT edition_id, least({MIN_PUBLISHERS}, {MAX_ARTICLES}, count(DISTINCT publisher)) AS goal
+  FROM (SELECT edition_id, unnest(publishers) AS publisher FROM drafts) GROUP BY 1),
+chosen(edition_id, pick, place, load, spent, categories) AS (
+  SELECT edition_id, 0, CAST(NULL AS INT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]) FROM goals
+  UNION ALL
+  (SELECT c.edition_id, c.pick + 1, d.pos, list_concat(c.load, d.publishers), list_concat(c.spent, d.ids), list_append(c.categories, d.category)
+   FROM chosen c JOIN goals g ON g.edition_id = c.edition_id JOIN drafts d ON d.edition_id = c.edition_id
+   WHERE c.pick < {MAX_ARTICLES} AND len(list_intersect(c.spent, d.ids)) = 0 AND {FULL} = 0
+   QUALIFY row_number() OVER (PARTITION BY c.edition_id ORDER BY ({FRESH} > 0 AND len(list_distinct(load)) < goal) DESC, {FRESH} DESC,
+     NOT list_contains(categories, category) DESC, preferred DESC, importance DESC, priority DESC, published_at DESC, d.pos) = 1))
+SELECT c.edition_id, c.place, CAST(c.pick AS INT) AS pick, d.id, d.category, array_to_string(d.publishers, ' ') AS publishers
+FROM chosen c JOIN drafts d ON d.edition_id = c.edition_id AND d.pos = c.place"""
+
 # ---- articles of six documents ---------------------------------------------------------------------------
 
 ISO = "strftime({} + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S+09:00')"
@@ -515,6 +590,12 @@ WITH {EDITIONED}, p AS (SELECT edition_id, ord AS draft_no, unnest([0, 1, 2]) AS
 k AS (SELECT p.* FROM p JOIN ed ON ed.edition_id = p.edition_id AND ed.id = p.id)
 SELECT edition_id, draft_no, n, id FROM k QUALIFY row_number() OVER (PARTITION BY edition_id, id ORDER BY draft_no, n) = 1"""
 
+ORACLES["distinct_edition_articles"] = rf"""
+WITH {ART}, listed AS (SELECT edition_id, title, CASE WHEN position % 3 <> 0 THEN id END AS id, 2 * position AS position FROM art),
+both_lists AS (FROM listed UNION ALL SELECT edition_id, title, id, position + 1 FROM listed WHERE position % 4 = 0)
+SELECT edition_id, position, id, title FROM both_lists
+QUALIFY row_number() OVER (PARTITION BY edition_id, coalesce(id, lower(regexp_replace(title, '[\s\p{{Z}}]+', '', 'g'))) ORDER BY position) = 1"""
+
 # ---- read side -------------------------------------------------------------------------------------------
 
 BEST = "importance DESC, updated_at DESC, id"

@@ -167,6 +167,15 @@ def entry_conversion(spark, sf):
     return found.select("id", "title", "description", "url", "source_name", "publisher_id", "category", "published_at", "priority", "primary_source")
 
 
+@query
+def tagged_entries(spark, sf):
+    """Entries with subjects: rules on tags and product titles, titles from brackets, categories by the first known tag."""
+    rules = registry.prepared_rules(registry.usable_feeds(fixtures.tagged_registry(spark, sf)))
+    parsed = payloads.parse_payloads(payloads.decode_payloads(fixtures.tagged_payloads(spark, sf), rules))
+    found = entries.candidates(payloads.entries(parsed), rules, LATIN)
+    return found.select("id", "title", "product_title", "description", "url", "category")
+
+
 @query
 def rule_filter(spark, sf):
     """Include and exclude patterns of each source over the whole text of its documents."""
@@ -202,6 +211,17 @@ def linked_page_rules(spark, sf):
     return pages.select("page_id", urls.linked_page_allowed(F.col("url"), hosts, prefixes, F.lit(False)).alias("allowed"))
 
 
+@query
+def linked_pages(spark, sf):
+    """Every second document takes its text from its official page, where there is one of enough text; required pages that fail drop it."""
+    rows = tables.candidates(spark, sf)
+    n = F.col("ord")
+    linked = rows.filter(n % 2 == 0).withColumns({"linkedHtmlMinimumChars": (200 + 100 * (n % 4)).cast("int"), "linkedHtmlRequired": n % 3 == 0})
+    pages = enrich.extract_pages(fixtures.page_documents(linked))
+    found = enrich.page_candidates(linked, pages).unionByName(rows.filter(n % 2 == 1))
+    return found.select("id", "url", F.length("description").alias("n"), F.md5("description").alias("digest"))
+
+
 # ---- text -------------------------------------------------------------------------------------------------
 
 @query
@@ -281,6 +301,16 @@ def text_overlap(spark, sf):
     return turns.select("conv_id", "turn", F.length("own").alias("n"), overlap.alias("overlap"))
 
 
+@query
+def said_before(spark, sf):
+    """Conversation turns without the sentences that one of the three turns before already said."""
+    turns = tables.texts(spark, sf, "conversations").withColumn("text", F.replace(F.col("text"), F.lit("."), F.lit("。")))
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    before = F.array(*[F.coalesce(F.lag("text", k).over(order), F.lit("")) for k in (1, 2, 3)])
+    turns = viewer.distinct_content(turns.withColumn("before", before), "fresh", F.col("text"), F.col("before"))
+    return turns.select("conv_id", "turn", F.length("text").alias("n"), F.length("fresh").alias("n_fresh"), F.md5("fresh").alias("digest"))
+
+
 # ---- similarity, quotas, clusters, selection -----------------------------------------------------------------
 
 def titled(spark, sf) -> DataFrame:
@@ -362,6 +392,21 @@ def diverse_selection(spark, sf):
     return rows.select("edition_id", "pick", F.col("lead.id").alias("lead"), "category", "importance", F.size("publishers").alias("publishers"))
 
 
+@query
+def draft_mix(spark, sf):
+    """Diverse choice over external drafts of neighbouring candidates: no candidate twice, preferred drafts first among equals."""
+    rows = selection.limit_candidates(tables.with_edition(tables.candidates(spark, sf)), LATIN)
+    order = Window.partitionBy("edition_id").orderBy("pos")
+    pair = lambda c: F.array_compact(F.array(c, F.lead(c).over(order)))
+    proposed = rows.select(
+        "edition_id", F.col("pos").alias("place"), "id", "category", pair("id").alias("ids"), F.array_distinct(pair("publisher_id")).alias("publishers"),
+        (1 + F.col("ord") % 4).cast("int").alias("importance"), F.col("priority").alias("lead_priority"), F.col("published_at").alias("lead_at"),
+        (F.col("ord") % 3 == 0).alias("preferred"),
+    )
+    picked = selection.select_diverse(proposed, "ids", "preferred")
+    return picked.select("edition_id", "place", "pick", "id", "category", F.array_join("publishers", " ").alias("publishers"))
+
+
 @query
 def edition_articles(spark, sf):
     """The whole run over every edition: context, limits, clusters, features, briefs, evidence, articles."""
@@ -433,6 +478,15 @@ def reading_body(spark, sf):
     return rows.withColumn("paragraphs", paragraphs).select("id", F.size(art.reading_body(F.col("paragraphs"))).alias("kept"), F.size("paragraphs").alias("given"))
 
 
+@query
+def distinct_edition_articles(spark, sf):
+    """Articles of an edition that stand in two lists, some of them without an id, once each."""
+    found = fixtures.articles(spark, sf).select("edition_id", "title", "id", (2 * F.col("position")).alias("position"))
+    named = found.withColumn("id", F.when(F.col("position") % 6 != 0, F.col("id")))
+    again = named.filter(F.col("position") % 4 == 0).withColumn("position", F.col("position") + 1)
+    return dedup.distinct_articles(named.unionByName(again)).select("edition_id", "position", "id", "title")
+
+
 @query
 def archive_upsert(spark, sf):
     found = fixtures.articles(spark, sf)
