@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -91,6 +92,55 @@ def test_toxicity_on_held_out_texts(spark):
     assert {w for w in words[segment.start_word : segment.end_word]} & set(INSULTS)
 
 
+def test_toxicity_follows_the_definition(spark):
+    """Lexicon, chance constant, curve and scores against a plain computation over all texts at once."""
+    rows, labels = toxic_rows(200, seed=9)
+    marked = {i: t for i, _, t in labels}
+    texts = [(t or "", marked[i]) for i, t, *_ in rows if i in marked]
+    table = spark.createDataFrame([(t, m, 1, "x") for t, m in texts], "text string, toxic int, odds int, feature string").repartition(5)
+    model = toxicity.learn_toxicity(table)
+
+    def of(word):
+        return {word} | {word[:n] + "*" for n in (4, 5) if len(word) > n}
+
+    words = [(re.findall(r"[^\W\d_]+", t.lower()), m) for t, m in texts]
+    total = [sum(len(w) for w, m in words if m == k) for k in (0, 1)]
+    lexicon, sums = {}, [0, 0]
+    for feature in {f for w, m in words if m for x in w for f in of(x)}:
+        x, y = (sum(feature in of(word) for w, m in words if m == k for word in w) for k in (0, 1))
+        prior = 100 * (x + y) / sum(total) + 0.5
+        odds = math.log((y + prior) / (total[1] + 100 - y)) - math.log((x + prior) / (total[0] + 100 - x))
+        z = odds / math.sqrt(1 / (y + prior) + 1 / (x + prior))
+        if sum(any(feature in of(word) for word in w) for w, m in words if m) >= 3 and z >= 3 and odds > 1:
+            lexicon[feature] = odds
+            if not feature.endswith("*"):
+                sums = [sums[0] + x, sums[1] + y]
+    assert lexicon and set(model.lexicon) == set(lexicon)
+    assert all(math.isclose(model.lexicon[f], lexicon[f], rel_tol=1e-9) for f in lexicon)
+    shares = [min(0.5, (s + 0.5) / n) for s, n in zip(sums, total)]
+    assert math.isclose(model.other, min(-0.005, math.log((1 - shares[1]) / (1 - shares[0]))), rel_tol=1e-9)
+
+    def values(w):
+        found = [lexicon.get(x) for x in w]
+        found = [v if v is not None else next((lexicon[x[:n] + "*"] for n in (5, 4) if len(x) > n and x[:n] + "*" in lexicon), model.other) for x, v in zip(w, found)]
+        best, here = [], 0.0
+        for k, v in enumerate(found):  # the best stretch that ends here, restarted where it cannot be extended
+            here = max(here, 0.0) + v
+            best.append(here)
+        return max(best, default=0.0)
+
+    good = sum(s >= 2 for w, m in words if not m for s, _, _ in model.segments(w))
+    assert math.isclose(model.scale, (good + 0.5) * math.exp(2) / total[0], rel_tol=1e-9)
+    for w, (t, _) in zip((w for w, _ in words), texts):
+        chance = math.log(model.scale * max(1, len(w)))
+        assert math.isclose(model.locations(t)[0], max(values(w), 0.0) - chance, rel_tol=1e-9, abs_tol=1e-9)
+    out = toxicity.score_toxicity(spark.createDataFrame([(1, texts[0][0]), (1, texts[0][0]), (2, None), (3, "word " * 200_000)], "doc_id long, text string"), model)
+    out = [(r.doc_id, r.score) for r in out.orderBy("doc_id").collect()]
+    best, sure, _ = model.locations(texts[0][0])
+    own = 1 / (1 + math.exp(-(model.weights[0] + model.weights[1] * math.tanh(best / 20) + model.weights[2] * math.log1p(sure))))
+    assert [d for d, _ in out] == [1, 1, 2, 3] and out[0] == out[1] and math.isclose(out[0][1], own, rel_tol=1e-9)
+
+
 def test_toxicity_without_examples(spark):
     docs = documents(spark, [(1, "a b", "en", "s", 0)])
     for labels, want in (([], 0.0), ([(1, 0, 0)], 0.0), ([(1, 0, 1)], 1.0)):

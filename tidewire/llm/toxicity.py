@@ -12,8 +12,9 @@ scale by a logistic curve fitted on the labelled texts.
 
 Labels: rows with a null in any column count for nothing; an id with several labels is toxic if one says so. At most
 `max_labelled` labelled ids are learned from (those with the least hash; a documented bound on the training sample, so that
-labels and fitted features may be held in one place); scoring covers every document. Null and empty texts score like a text without a
-toxic word. With no toxic or no clean example all scores are the label's base rate (0 with no label at all).
+labels, scores to be fitted and the significant features may be held in one place); scoring covers every document. Null and empty texts
+score like a text without a toxic word. Every row of a repeated id counts; texts are read whole, whatever their length;
+any other columns of the documents and labels are not looked at. With no toxic or no clean example all scores are the label's base rate (0 with no label at all).
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from tidewire.llm.base import read
 from tidewire.session import cut_lineage
 
-#: Bounds of the training sample and of the lexicon.
-MAX_LABELLED, MAX_FEATURES = 100_000, 50_000
+#: Bound of the training sample, and with it of the lexicon.
+MAX_LABELLED = 100_000
 #: Toxic texts a feature must occur in, its z-score, and the weight of the corpus rate in the prior (in tokens).
 LEAST_TEXTS, LEAST_Z, PRIOR = 3, 3.0, 100.0
 BEGINNINGS = (5, 4)
@@ -50,36 +51,28 @@ def features_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
-def toxic_feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts and number of texts of each feature, for each batch of toxic texts."""
+def feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each batch and feature its counts in toxic and in clean texts and the toxic texts that have it; '' counts all words."""
     for batch in batches:
-        count: Counter[str] = Counter()
+        toxic: Counter[str] = Counter()
         texts: Counter[str] = Counter()
-        for text in batch["text"]:
-            own = Counter(f for w in words_of(text) for f in features_of(w))
-            count.update(own)
-            texts.update(own.keys())
-        yield pd.DataFrame({"feature": list(count), "toxic": list(count.values()), "texts": [texts[f] for f in count]})
-
-
-def clean_count_rows(candidates: set[str]):
-    """Counts of the candidate features in clean texts, and of all tokens of either class (feature null)."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            count: Counter[str] = Counter()
-            tokens = [0, 0]
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                words = words_of(text)
-                tokens[int(toxic)] += len(words)
-                if not toxic:
-                    for word, n in Counter(words).items():
-                        for feature in features_of(word):
-                            if feature in candidates:
-                                count[feature] += n
-            yield pd.DataFrame({"feature": [None, *count], "clean": [tokens[0], *count.values()], "toxic": [tokens[1], *[0] * len(count)]})
-
-    return rows
+        clean: Counter[str] = Counter()
+        clean_words: Counter[str] = Counter()
+        for text, marked in zip(batch["text"], batch["toxic"]):
+            words = words_of(text)
+            if marked:
+                own = Counter(f for w in words for f in features_of(w))
+                own[""] = len(words)
+                toxic.update(own)
+                texts.update(own.keys())
+            else:
+                clean_words.update(words)
+        clean[""] = clean_words.total()
+        for word, n in clean_words.items():
+            for feature in features_of(word):
+                clean[feature] += n
+        every = list(toxic.keys() | clean.keys())
+        yield pd.DataFrame({"feature": every, "toxic": [toxic[f] for f in every], "texts": [texts[f] for f in every], "clean": [clean[f] for f in every]})
 
 
 class Model:
@@ -174,28 +167,30 @@ def location_rows(model: Model):
     return rows
 
 
+def significant_features(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """feature, toxic, clean and odds of the features whose log-odds are positive and significant under the Dirichlet prior."""
+    y, x = F.col("toxic"), F.col("clean")
+    prior = PRIOR * (y + x) / (n_toxic + n_clean) + 0.5
+    odds = F.log((y + prior) / (n_toxic + PRIOR - y)) - F.log((x + prior) / (n_clean + PRIOR - x))
+    z = F.col("odds") / F.sqrt(1 / (y + prior) + 1 / (x + prior))
+    return counts.withColumn("odds", odds).filter((z >= LEAST_Z) & (F.col("odds") > 1)).select("feature", "toxic", "clean", "odds")
+
+
 def learn_toxicity(labelled: DataFrame) -> Model:
-    """A model from rows with text and toxic (0 or 1), at most MAX_LABELLED of them."""
+    """A model from rows with text and toxic (0 or 1); its lexicon holds every significant feature of them."""
     rows = cut_lineage(labelled.select("text", F.col("toxic").cast("int").alias("toxic")))
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not n.get(1) or not n.get(0):
         model = Model({}, 0.0)
         model.base = n.get(1, 0) / max(1, sum(n.values()))
         return model
-    toxic = rows.filter("toxic = 1").select("text").mapInPandas(toxic_feature_rows, "feature string, toxic long, texts long")
-    counted = toxic.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("texts").alias("texts")).filter(F.col("texts") >= LEAST_TEXTS)
-    candidates = counted.orderBy(F.desc("texts"), "feature").limit(4 * MAX_FEATURES).toPandas()
-    clean = rows.mapInPandas(clean_count_rows(set(candidates["feature"])), "feature string, clean long, toxic long")
-    clean = clean.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("tokens")).toPandas()
-    tokens = clean[clean["feature"].isna()].iloc[0]
-    n_toxic, n_clean = max(1, int(tokens["tokens"])), max(1, int(tokens["clean"]))
-    table = candidates.merge(clean[["feature", "clean"]].dropna(), "left", "feature").fillna({"clean": 0})
-    y, x = table["toxic"].to_numpy(float), table["clean"].to_numpy(float)
-    prior = PRIOR * (y + x) / (n_toxic + n_clean) + 0.5
-    odds = np.log((y + prior) / (n_toxic + PRIOR - y)) - np.log((x + prior) / (n_clean + PRIOR - x))
-    z = odds / np.sqrt(1 / (y + prior) + 1 / (x + prior))
-    table = table.assign(odds=odds, z=z)[(z >= LEAST_Z) & (odds > 1)].nlargest(MAX_FEATURES, "z")
-    whole = ~table["feature"].str.endswith("*")
+    counts = rows.mapInPandas(feature_rows, "feature string, toxic long, texts long, clean long")
+    counts = counts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("toxic", "texts", "clean")])
+    counts = cut_lineage(counts.filter((F.col("texts") >= LEAST_TEXTS) | (F.col("feature") == "")))
+    tokens = counts.filter("feature = ''").first()
+    n_toxic, n_clean = max(1, tokens["toxic"]), max(1, tokens["clean"])
+    table = significant_features(counts.filter("feature <> ''"), n_toxic, n_clean).toPandas()
+    whole = ~table["feature"].str.endswith("*").astype(bool)
     share = [min(0.5, (table.loc[whole, c].sum() + 0.5) / n) for c, n in (("toxic", n_toxic), ("clean", n_clean))]
     model = Model(dict(zip(table["feature"], table["odds"])), min(-0.005, math.log((1 - share[0]) / (1 - share[1]))))
     chance = rows.filter("toxic = 0").mapInPandas(chance_rows(model), "tokens long, good long").agg(F.sum("tokens").alias("t"), F.sum("good").alias("g")).first()
