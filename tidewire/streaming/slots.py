@@ -33,9 +33,11 @@ def merge_slots(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counted.groupBy(slots.edition_of(start).alias("edition_id"), *by).agg(F.sum("n").alias("n"))
 
 
-def distinct_urls(stream: DataFrame, ts: str = "published_at", horizon: str = "36 hours") -> DataFrame:
-    """First arrival of each canonical URL; state is kept for the horizon only."""
+def distinct_urls(stream: DataFrame, ts: str = "published_at", horizon: str | None = "36 hours") -> DataFrame:
+    """First arrival of each canonical URL; state is kept for the horizon only, or for good without one (a URL is then put out once ever)."""
     urls = stream.withColumn("url", canonical_url(F.col("url"))).filter(F.col("url").isNotNull())
+    if horizon is None:
+        return urls.dropDuplicates(["url"])
     return urls.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["url"])
 
 
