@@ -43,9 +43,12 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def mix(z: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
-    z = (z ^ (z >> U(30))) * U(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> U(27))) * U(0x94D049BB133111EB)
-    return z ^ (z >> U(31))
+    z = z ^ (z >> U(30))
+    z *= U(0xBF58476D1CE4E5B9)
+    z ^= z >> U(27)
+    z *= U(0x94D049BB133111EB)
+    z ^= z >> U(31)
+    return z
 
 
 def powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,13 +67,16 @@ class Rolling:
         self.n = len(values)
         up, self.down = powers(self.n + 1, which)
         self.sums = np.zeros(self.n + 1, dtype=np.uint64)
-        np.cumsum(values * up[: self.n], out=self.sums[1:])
+        np.multiply(values, up[: self.n], out=self.sums[1:])
+        np.cumsum(self.sums[1:], out=self.sums[1:])
 
     def grams(self, width: int) -> np.ndarray:
         """The hash of each window of the width, by start; none if the sequence is shorter."""
         if self.n < width:
             return np.zeros(0, dtype=np.uint64)
-        return mix((self.sums[width:] - self.sums[:-width]) * self.down[: self.n - width + 1])
+        found = self.sums[width:] - self.sums[:-width]
+        found *= self.down[: self.n - width + 1]
+        return mix(found)
 
     def at(self, start: np.ndarray, width: int) -> np.ndarray:
         """The hashes of the windows of the width at given starts."""
@@ -154,10 +160,12 @@ def with_least_among(grams: np.ndarray, width: int, values: np.ndarray) -> np.nd
 
 def covered(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
     """Which of n positions lie in one of the half-open ranges."""
-    change = np.zeros(n + 1, dtype=np.int64)
+    if not len(low):
+        return np.zeros(n, dtype=bool)
+    change = np.zeros(n + 1, dtype=np.int32)
     np.add.at(change, np.clip(low, 0, n), 1)
     np.add.at(change, np.clip(high, 0, n), -1)
-    return np.cumsum(change[:-1]) > 0
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

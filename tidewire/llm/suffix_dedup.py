@@ -48,7 +48,8 @@ class Suffixes:
             self.rolling = byte_hashes(self.data)
             self.bucket = self.rolling.grams(gram)
             self.least = sliding(self.bucket, self.span, np.minimum)
-            self.least[covered(np.maximum(self.ends - window + 1, self.starts), self.ends, len(self.least))] = 0
+            over = self.ends[:, None] - np.arange(1, window)  # windows that would reach into the next text
+            self.least[over[(over >= self.starts[:, None]) & (over < len(self.least))]] = 0
             around = np.zeros(len(self.least) + 2 * (self.span - 1), dtype=np.uint64)
             around[self.span - 1 : self.span - 1 + len(self.least)] = self.least
             self.at = np.flatnonzero(sliding(around, self.span, np.maximum) == self.bucket)
@@ -68,10 +69,10 @@ class Suffixes:
         """The names (48 bits) of the buckets of the sampled suffixes."""
         return self.bucket[self.at] >> U(16)
 
-    def windows(self, at: np.ndarray, doc: np.ndarray, least: np.ndarray | int, most: np.ndarray | int) -> np.ndarray:
-        """Which windows start that far before one of the places, in the same text."""
+    def windows(self, at: np.ndarray, doc: np.ndarray, least: np.ndarray | int, most: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the end of the windows that start that far before each of the places, in the same text."""
         low, high = np.maximum(at - most, self.starts[doc]), np.minimum(at - least, self.ends[doc] - self.window) + 1
-        return covered(low, np.maximum(low, high), len(self.least))
+        return low, np.maximum(low, high)
 
     def undecided(self, mine: np.ndarray) -> Ranges:
         """All windows around some sampled suffixes, to be halved."""
@@ -140,13 +141,9 @@ class Verdicts:
         return self.known[np.minimum(np.searchsorted(self.known, tags), len(self.known) - 1)] == tags
 
 
-def distinct_rows(*columns: np.ndarray) -> np.ndarray:
-    """Places of the first of equal rows."""
-    order = np.lexsort(columns)
-    fresh = np.ones(len(order), dtype=bool)
-    if len(order):
-        fresh[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
-    return order[fresh]
+def distinct_rows(names: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Places of the first of the rows of equal names and texts."""
+    return np.flatnonzero(~pd.Series(Verdicts.tagged(names, docs)).duplicated().to_numpy())
 
 
 def blocks(batches: Iterator[pd.DataFrame], window: int, gram: int, limit: int = BLOCK) -> Iterator[tuple[pd.DataFrame, Suffixes]]:
@@ -192,18 +189,21 @@ def suffix_rows(window: int, gram: int):
     return rows
 
 
-def refined(batch: pd.DataFrame, block: Suffixes, level: int) -> tuple[np.ndarray, Ranges]:
-    """Which windows are known to be repeated after some levels of refinement, and the ranges that are still open."""
+def refined(batch: pd.DataFrame, block: Suffixes, level: int, with_known: bool = True) -> tuple[np.ndarray | None, Ranges]:
+    """Which windows are known to be repeated after some levels of refinement, if asked for, and the ranges that are still open."""
     around = block.surroundings()
-    whole = Verdicts(batch["done0"]).hold(around, block.doc)
-    known = block.windows(block.at[whole], block.doc[whole], 0, block.span - 1)
+    known = []
+    if with_known:
+        whole = Verdicts(batch["done0"]).hold(around, block.doc)
+        known.append(block.windows(block.at[whole], block.doc[whole], 0, block.span - 1))
     left = block.undecided(Verdicts(batch["open0"]).hold(around, block.doc))
     for n in range(1, level + 1):
         halves = block.halved(left)
-        done = halves.some(Verdicts(batch[f"done{n}"]).hold(halves.whole, halves.doc))
-        known |= block.windows(done.at, done.doc, done.least, done.most)
+        if with_known:
+            done = halves.some(Verdicts(batch[f"done{n}"]).hold(halves.whole, halves.doc))
+            known.append(block.windows(done.at, done.doc, done.least, done.most))
         left = halves.some(Verdicts(batch[f"open{n}"]).hold(halves.whole, halves.doc))
-    return known, left
+    return covered(*map(np.concatenate, zip(*known)), len(block.least)) if with_known else None, left
 
 
 def half_rows(window: int, gram: int, level: int):
@@ -212,7 +212,7 @@ def half_rows(window: int, gram: int, level: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, block in blocks(batches, window, gram):
             if len(block.at):
-                found = block.halved(refined(batch, block, level)[1])
+                found = block.halved(refined(batch, block, level, with_known=False)[1])
                 own = distinct_rows(found.whole, found.doc)
                 key = batch["key"].to_numpy()[found.doc[own]]
                 yield pd.DataFrame({"half": found.name[own].view(np.int64), "whole": found.whole[own].view(np.int64), "key": key})
@@ -244,14 +244,15 @@ def kept_rows(window: int, gram: int):
             if len(block.at):
                 known, left = refined(batch, block, LEVELS)
                 start, name, _ = block.named(left, known)
-                start = np.concatenate((np.flatnonzero(known), start[Verdicts(batch["repeated"]).hold(name, block.doc_of(start))]))
-                mask = covered(start, start + window, block.n)
+                known[start[Verdicts(batch["repeated"]).hold(name, block.doc_of(start))]] = True
+                sums, rest = np.append(0, np.cumsum(known, dtype=np.int32)), np.zeros(window - 1, dtype=np.int32)
+                mask = np.append(sums[1:], rest + sums[-1]) > np.append(rest, sums[:-1])
             edge = np.zeros(block.n + 1, dtype=bool)
             edge[block.starts], edge[block.ends] = True, True
             low = np.flatnonzero(mask & (edge[:-1] | ~np.concatenate(([False], mask[:-1]))))
             high = np.flatnonzero(mask & (edge[1:] | ~np.concatenate((mask[1:], [False])))) + 1
             first, last = np.searchsorted(low, block.starts), np.searchsorted(low, block.ends)
-            gone = np.concatenate(([0], np.cumsum(mask)))
+            gone = np.append(0, np.cumsum(mask, dtype=np.int32))
             data, left, out = block.data[~mask].tobytes(), np.arange(block.n + 1) - gone, []
             for n, doc_id in enumerate(batch["doc_id"].tolist()):
                 a, b = block.starts[n], block.ends[n]
