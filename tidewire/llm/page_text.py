@@ -5,11 +5,11 @@ the neighbour whose path has the longer common beginning. The two pages' lines a
 subsequence, and shared lines are deleted as boilerplate.
 
 Differencing alone is wrong in two ways: a passage that two articles quote is shared but content, and a page's own advert or
-menu is not shared but boilerplate. So the markup decides where it speaks: lines inside the article (or, without one, main)
-element are kept, and those in navigation, footers, asides, forms, scripts, notices, adverts and comments go. Shared lines are
-deleted among all others. Copies show no boilerplate: pages of a host with the same lines are one (at the first of their URLs),
-and a neighbour that holds nearly all plain text of a page, or whose text the page nearly holds (`NEARLY`, by characters), is
-passed over for the next one. Plain text of which nearly all is on every other page of the host is kept whole.
+menu is not shared but boilerplate. So every page is paired and aligned, and then the markup guards the result where it speaks: lines inside the article (or, without one, main)
+element are kept even if they are shared, and those in navigation, footers, asides, forms, scripts, notices, adverts and comments go even if
+they are not. Shared lines are deleted among all others. Copies show no boilerplate: pages of a host with the same lines are one (at the first
+of their URLs), and a neighbour that holds nearly all of a page's own text (its article, or else its plain lines), or whose own text the page
+nearly holds (`NEARLY`, by characters), is passed over for the next one. Plain text of which nearly all is on every other page of the host is kept whole.
 
 Null html is empty. A page without lines has an empty text. Rows may repeat and ids and urls may be null; pages without a url
 are neighbours of one another. Ties of neighbours go to the earlier one in order.
@@ -164,10 +164,18 @@ def shared_lines(one: list[int], two: list[int]) -> list[int]:
     return found[::-1]
 
 
+#: Pages of a part at about most: a task holds one part's lists.
+PART = 20_000
 #: Pages are taken for copies if one holds at least so many of 100 characters of the other.
 NEARLY = 80
 
 
+def own_text(page: dict) -> list[tuple[int, int]]:
+    """The lines by which copies are told, with their sizes: those of the article, else the plain ones, else all."""
+    kind = next((k for k in (ARTICLE, PLAIN) if k in page["kinds"]), None)
+    return [(line, n) for line, k, n in zip(page["lines"], page["kinds"], page["sizes"]) if kind in (k, None)]
+
+
 class Stretch:
     """Consecutive pages of one host, in order. Walks back from a place over the copies of a page.
 
@@ -184,26 +192,30 @@ class Stretch:
 
     def before(self, page: dict, at: int) -> int:
         """The greatest place up to at of a page that is no copy of the given one, or -1."""
-        plain = [(line, n) for line, kind, n in zip(page["lines"], page["kinds"], page["sizes"]) if kind == PLAIN]
-        total = sum(n for _, n in plain)
+        own = own_text(page)
+        total = sum(n for _, n in own)
         lines = set(page["lines"])
         while at >= 0:
             other, since = self.pages[at], self.since[at]
-            held = sum(n for line, n in plain if line in since)
+            held = sum(n for line, n in own if line in since)
             if 100 * held < NEARLY * total:
-                within = sum(n for line, n in zip(other["lines"], other["sizes"]) if line in lines)
-                if 100 * within < NEARLY * sum(other["sizes"]):
+                theirs = own_text(other)
+                within = sum(n for line, n in theirs if line in lines)
+                if 100 * within < NEARLY * sum(n for _, n in theirs):
                     return at
                 at -= 1
                 continue
-            at = max(since[line] for line, _ in plain if line in since) - 1
+            at = max(since[line] for line, _ in own if line in since) - 1
         return -1
 
 
 def found_row(page: dict, other: dict) -> dict:
-    """The places of the plain lines that a page shares with a neighbour, and how long the beginning of their paths is."""
+    """The places of the plain lines that a page shares with a neighbour, and how long the beginning of their paths is; its lists are done with.
+
+    Shared lines in an article stay and lines around it go anyway, so only plain places are listed.
+    """
     gone = [i for i in shared_lines(page["lines"], other["lines"]) if page["kinds"][i] == PLAIN]
-    return {"common": len(os.path.commonprefix([page["path"], other["path"]])), "gone": gone}
+    return {"common": len(os.path.commonprefix([page["path"], other["path"]])), "gone": gone, "lines": [], "kinds": [], "sizes": []}
 
 
 #: What a page meets on a side (-1: before it, 1: after it): a neighbour's shared lines, or copies up to the end of the part (gone is null).
@@ -226,16 +238,15 @@ def stretches(pages: list[dict]) -> list[list[dict]]:
 
 
 def met_in_part(table: pd.DataFrame) -> pd.DataFrame:
-    """What the pages without landmarks meet on both sides in their own part."""
+    """What the pages meet on both sides in their own part."""
     out = []
     for pages in stretches(as_pages(table.sort_values(["host", "path", "row"]))):
         for side, ordered in ((-1, pages), (1, pages[::-1])):
             stretch = Stretch(ordered)
             for i, page in enumerate(ordered):
-                if PLAIN in page["kinds"] and ARTICLE not in page["kinds"]:
-                    at = stretch.before(page, i - 1)
-                    met = {"common": 0, "gone": None} if at < 0 else found_row(page, ordered[at])
-                    out.append({**page, "side": side, "away": 0, **met})
+                at = stretch.before(page, i - 1)
+                met = {"common": 0, "gone": None} if at < 0 else found_row(page, ordered[at])
+                out.append({**page, "side": side, "away": 0, **met})
     return as_table(out)
 
 
@@ -261,7 +272,9 @@ def neighbours(pages: DataFrame) -> DataFrame:
     """
     spark = pages.sparkSession
     order = ("host", "path", "row")
-    dealt = pages.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    number = -(-pages.count() // PART)
+    dealt = pages.repartitionByRange(number, *order) if number > 1 else pages.repartitionByRange(*order)
+    dealt = dealt.sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     dealt = cut_lineage(dealt)
     ends = dealt.groupBy("part").agg(F.min("host").alias("low"), F.max("host").alias("high")).orderBy("part").collect()
     if not ends:
@@ -272,14 +285,15 @@ def neighbours(pages: DataFrame) -> DataFrame:
     waiting, reach = met.filter("gone is null"), 1
     while True:
         home = spans.select(F.col("target").alias("part"), F.col("place").alias("home_place"))
-        near = (F.col("host").between(F.col("low"), F.col("high"))) & ((F.col("place") - F.col("home_place")) * F.col("side")).between(reach, 2 * reach - 1)
-        visits = waiting.join(F.broadcast(home), "part").join(F.broadcast(spans), near)
+        next_places = F.sequence(F.col("home_place") + reach * F.col("side"), F.col("home_place") + (2 * reach - 1) * F.col("side"), F.col("side"))
+        visits = waiting.join(F.broadcast(home), "part").withColumn("place", F.explode(next_places))
+        visits = visits.join(F.broadcast(spans), "place").filter(F.col("host").between(F.col("low"), F.col("high")))
         visits = cut_lineage(
             visits.select(*[c for c in waiting.columns if c not in ("part", "away")], F.col("part").alias("home"), F.col("target").alias("part"), F.abs(F.col("place") - F.col("home_place")).alias("away"))
         )
         if visits.isEmpty():
             break
-        parts = dealt.join(F.broadcast(visits.select("part").distinct()), "part", "left_semi")
+        parts = dealt.join(F.broadcast(visits.select("part", "host").distinct()), ["part", "host"], "left_semi")
         met = cut_lineage(visits.groupBy("part").cogroup(parts.groupBy("part")).applyInPandas(met_elsewhere, MET))
         done = done.unionByName(met.filter("gone is not null"))
         still = met.groupBy("row", "side").agg(F.max(F.col("gone").isNotNull()).alias("over")).filter("not over").select("row", "side")
@@ -302,13 +316,9 @@ def shared_with_neighbour(lines: DataFrame) -> DataFrame:
         "kinds",
         F.transform("texts", lambda t: F.length(t)).alias("sizes"),
     )
-    open_pages = narrow.filter(F.array_contains("kinds", PLAIN) & ~F.array_contains("kinds", ARTICLE))
-    hosts = cut_lineage(open_pages.select("host").distinct())
-    if hosts.isEmpty():
-        return lines.sparkSession.createDataFrame([], "row long, gone array<int>")
-    keyed = cut_lineage(narrow.join(hosts, "host", "left_semi").withColumn("list", F.sha2(F.to_json(F.struct("lines", "kinds")), 256)))
+    keyed = cut_lineage(narrow.filter(F.size("lines") > 0).withColumn("list", F.sha2(F.to_json(F.struct("lines", "kinds")), 256)))
     firsts = keyed.groupBy("host", "list").agg(F.min(F.struct("path", "row")).alias("first")).select("list", F.col("first.row").alias("row"))
-    gone = neighbours(keyed.join(firsts.select("row"), "row", "left_semi").drop("list"))
+    gone = cut_lineage(neighbours(keyed.join(firsts.select("row"), "row", "left_semi").drop("list")).filter(F.size("gone") > 0))
     of_list = firsts.join(gone, "row").join(keyed.select("row", "host"), "row").select("host", "list", "gone")
     return keyed.select("row", "host", "list").join(of_list, ["host", "list"]).select("row", "gone")
 
