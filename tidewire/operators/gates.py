@@ -30,6 +30,8 @@ OFFICIAL_COPY = (
     r"最大震度(?:は|\s*[:：])",
     r"津波.*(?:心配|影響).*(?:ありません|ない)",
 )
+#: Columns of described candidates that the validation of proposals reads.
+JUDGED = "edition_id id category publisher classified sentences field_count primary_source".split()
 
 
 def source_mix_violations(articles: DataFrame, edition_ids: DataFrame) -> DataFrame:
@@ -149,7 +151,7 @@ def validated_drafts(proposals: DataFrame, described: DataFrame, profile: Profil
     and importance fall back, the article type cannot exceed what the evidence carries, sections are exclusive.
     """
     owned = owned_candidates(proposals, described, most)
-    rows = owned.join(described.select("edition_id", "id", "category", "publisher", "classified", "sentences", "field_count", "primary_source"), ["edition_id", "id"])
+    rows = owned.join(described.select(*JUDGED), ["edition_id", "id"])
     kinds = infer_article_type(rows, ("edition_id", "draft_no"), profile)
     ids = rows.groupBy("edition_id", "draft_no").agg(
         F.array_sort(F.collect_list(F.struct("n", "id", F.col("category").alias("own")))).alias("__ids"),
@@ -158,14 +160,14 @@ def validated_drafts(proposals: DataFrame, described: DataFrame, profile: Profil
     df = proposals.drop("candidate_ids").join(ids, ["edition_id", "draft_no"]).join(kinds, ["edition_id", "draft_no"])
     df = df.withColumn("candidate_ids", F.transform("__ids", lambda x: x["id"]))
     df = text.safe_text(df, "title", F.col("title"), 70, profile)
-    df = df.filter(F.col("title") != "")
+    df = text.once(df, "title", F.col("title")).filter(F.col("title") != "")
     for name, width in (("facts", 240), ("impact", 240), ("watch", 180)):
         clean = F.transform(F.coalesce(F.col(name), F.array().cast("array<string>")), lambda v: text.squash(v, 720))
         df = text.complete_items(df, name, clean, width, profile)
         df = df.withColumn(name, F.slice(F.array_distinct(name), 1, SECTION_CAPS[name]))
     df = text.safe_text(df, "summary", F.col("summary"), 420, profile)
     df = df.withColumn("summary", F.when(F.col("summary") != "", F.col("summary")).otherwise(F.substring(F.array_join("facts", " "), 1, 420)))
-    df = df.filter(text.readable(F.concat_ws(" ", "title", "summary"), profile))
+    df = text.once(df, "summary", F.col("summary")).filter(text.readable(F.concat_ws(" ", "title", "summary"), profile))
     df = text.safe_text(df, "background", F.col("background"), BACKGROUND_CHARS, profile)
     df = text.description_sentences(df, "__bg", F.col("background"), profile)
     df = exclusive_sections(df.withColumn("background_points", F.transform("__bg", lambda s: s["text"]))).drop("__bg")
