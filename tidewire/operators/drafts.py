@@ -22,6 +22,7 @@ from tidewire.functions.profiles import (
     forbidden_copy,
 )
 from tidewire.operators.clusters import (
+    CLUSTERING,
     cluster_rows,
     event_clusters,
     feature_clusters,
@@ -230,7 +231,7 @@ def key_chars(keyed: Column) -> Column:
 def feature_drafts(rows: DataFrame, profile: Profile = JAPANESE, most: int = MAX_FEATURES) -> DataFrame:
     """The best qualified features of each edition from same-event cluster rows (members carry points and notes)."""
     members, lead = F.col("members"), F.col("lead")
-    df = rows.filter("any_fresh")
+    df = rows.filter(F.col("any_fresh") & sourced(members))  # before the work on texts, below which Spark moves no condition
     df = text.distinct_by_key(df, "detail", merged(members, "natural"))
     df = df.withColumns({n: merged(members, f"point_{n}") for n in POINT_SECTIONS} | {"background_points": merged(members, "point_background")})
     df = exclusive_sections(df)
@@ -280,12 +281,17 @@ def feature_drafts(rows: DataFrame, profile: Profile = JAPANESE, most: int = MAX
     return df.withColumn("draft_no", F.row_number().over(order)).filter(F.col("draft_no") <= most).select(*DRAFT)
 
 
-def qualified(df: DataFrame, profile: Profile = JAPANESE) -> DataFrame:
-    """Features with enough grounded, independent and natural material."""
-    members = F.col("members")
+def sourced(members: Column) -> Column:
+    """A primary source with sentences, or two publishers with much to say."""
     rich = F.filter(members, lambda m: key_chars(m["sentences"]) >= FEATURE_RICH_SOURCE_CHARS)
     rich_publishers = F.size(F.array_distinct(F.transform(rich, lambda m: m["publisher"])))
     primary = F.exists(members, lambda m: m["primary_source"] & (F.size(m["sentences"]) > 0))
+    return primary | (rich_publishers >= 2)
+
+
+def qualified(df: DataFrame, profile: Profile = JAPANESE) -> DataFrame:
+    """Features with enough grounded, independent and natural material."""
+    members = F.col("members")
     bulletin = F.exists(members, lambda m: m["structured_bulletin"])
     points = F.concat("facts", "impact", F.filter(F.array("background"), lambda b: b != ""), "watch")
     df = df.withColumn("__grounded", F.array_join(points, " "))
@@ -294,7 +300,7 @@ def qualified(df: DataFrame, profile: Profile = JAPANESE) -> DataFrame:
     copy = F.concat_ws(" ", "title", "dek", "summary", F.array_join(points, " "))
     return df.filter(
         F.col("any_fresh")
-        & (primary | (rich_publishers >= 2))
+        & sourced(members)
         & ((F.col("detail_chars") >= FEATURE_MIN_CHARS) | bulletin)
         & (count >= FEATURE_MIN_POINTS)
         & ((F.length("__grounded") >= FEATURE_MIN_CHARS) | bulletin)
@@ -314,9 +320,16 @@ def edited(described: DataFrame, profile: Profile = JAPANESE) -> DataFrame:
 EDITED = "natural point_facts point_impact point_background point_watch bulletin_dek structured_bulletin note".split()
 
 
-def chosen_clusters(fresh: DataFrame, extra: Sequence[str] = ("note",)) -> DataFrame:
+#: Fields of members that features and briefs read.
+FEATURE_FIELDS = "id safe_title title_key publisher desk signature published_at primary_source sentences".split()
+BRIEF_FIELDS = "pos id safe_title source_name category priority published_at sentences".split()
+#: Columns of edited candidates that `build_drafts` reads.
+DRAFTED_FROM = list(dict.fromkeys([*CLUSTERING, "grounded", *FEATURE_FIELDS, *BRIEF_FIELDS, *EDITED]))
+
+
+def chosen_clusters(fresh: DataFrame, extra: Sequence[str] = ("note",), fields: Sequence[str] = BRIEF_FIELDS) -> DataFrame:
     """Cluster rows of the fresh candidates with `pick`, the diverse selection."""
-    rows = ordered_clusters(cluster_rows(event_clusters(fresh), extra))
+    rows = ordered_clusters(cluster_rows(event_clusters(fresh), extra, fields))
     lead = F.col("lead")
     rows = rows.withColumns({"category": lead["category"], "lead_priority": lead["priority"], "lead_at": lead["published_at"]})
     return select_diverse(rows)
@@ -327,7 +340,7 @@ def build_drafts(fresh: DataFrame, pool: DataFrame, profile: Profile = JAPANESE)
 
     `fresh` and `pool` are limited, described and `edited`, with `pos` and `lead_order`; the pool adds context.
     """
-    events = cut_lineage(cluster_rows(feature_clusters(pool), EDITED))
+    events = cut_lineage(cluster_rows(feature_clusters(pool), EDITED, FEATURE_FIELDS))
     chosen = cut_lineage(chosen_clusters(fresh))
     features = cut_lineage(feature_drafts(events, profile))
     return fill_with_individuals(features, cut_lineage(individual_drafts(chosen, profile)))
