@@ -31,7 +31,7 @@ OFFICIAL_COPY = (
     r"津波.*(?:心配|影響).*(?:ありません|ない)",
 )
 #: Columns of described candidates that the validation of proposals reads.
-JUDGED = "edition_id id category publisher classified sentences field_count primary_source".split()
+JUDGED = "edition_id id category publisher classified field_count primary_source".split()
 
 
 def source_mix_violations(articles: DataFrame, edition_ids: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def infer_article_type(members: DataFrame, keys: tuple[str, ...], profile: Profi
     enough = (F.size("classified") >= FEATURE_MIN_POINTS) & (material >= FEATURE_MIN_CHARS)
     official = (F.lower("publisher") == profile.bulletin_publisher) & (F.col("field_count") >= 3)
     alone = F.col("primary_source") & (official | enough)
-    has_text = F.when(F.size("sentences") > 0, F.col("publisher"))
+    has_text = F.when(F.size("classified") > 0, F.col("publisher"))  # a section for each sentence
     out = members.groupBy(*keys).agg(
         F.bool_or(alone).alias("__alone"),
         F.count_distinct(has_text).alias("__publishers"),
