@@ -36,6 +36,16 @@ def test_no_class_is_a_negated_list():
     assert text.one_of("") == "[]" and text.one_of("", other=True) == r"[\x{0}-\x{10ffff}]"
 
 
+def test_only_characters_that_a_normal_form_changes_go_to_python(spark):
+    rows = [chr(n) for n in range(1, 0x180)] + ["Straße", "ÀÉÎÕÜ çñ", "e\u0301", "A\u030a", "ﬁ Ⅷ", "İıſK", "Σας"]
+    df = spark.createDataFrame([(s, [s, "x" + s]) for s in rows], "s string, a array<string>")
+    found = df.select("s", text.nfkc_of("s").alias("w"), text.nfkc_fold_of("s").alias("f"), text.nfkc_items_of("a").alias("v"), text.nfkc_fold_items_of("a").alias("g"))
+    for row in found.collect():
+        s = row["s"]
+        assert [row["w"], row["f"], row["v"], row["g"]] == [text.wide(s), text.fold(s), [text.wide(s), text.wide("x" + s)], [text.fold(s), text.fold("x" + s)]], repr(s)
+    assert not re.search(text.COMPOSED.replace(r"\x{100}-\x{10FFFF}", "\u0100-\U0010ffff"), "ÀÉÎÕÜçñß")
+
+
 def test_squash_evens_every_run_of_white_space(spark):
     rows = ["a b", "a  b", "a \n b", "\ta\u3000\u00a0b ", "\n", " ", "a\r\nb", "a\u2028 b c  d"]
     df = spark.createDataFrame([(s,) for s in rows], "s string")

@@ -14,7 +14,7 @@ from tidewire.operators import articles as art
 from tidewire.operators import gates
 from tidewire.operators.clusters import described, lead_ordered
 from tidewire.operators.dedup import filter_seen, first_per_key, forget_edition, merge_evidence, prune_stories, remember
-from tidewire.operators.drafts import build_drafts, edited
+from tidewire.operators.drafts import DRAFTED_FROM, build_drafts, edited
 from tidewire.operators.selection import limit_candidates
 from tidewire.operators.windows import assign_windows, missing_windows, rolling_context
 from tidewire.plans import publication
@@ -25,6 +25,7 @@ EVIDENCE = (
     "edition_id id title description url source_name publisher_id category published_at priority primary_source "
     "context_only origin_edition_id ord"
 ).split()
+TEXTS = ["title", "description"]
 
 
 class GateFailure(RuntimeError):
@@ -33,17 +34,21 @@ class GateFailure(RuntimeError):
 
 def context_for(candidates: DataFrame, fresh: DataFrame, archive: DataFrame | None = None, limit: int = CONTEXT_LIMIT) -> DataFrame:
     """Up to 24 context rows per edition: the previous 24 hours of candidates, then the archive, without fresh URLs."""
-    earlier = rolling_context(candidates.drop("edition_id")).select(*EVIDENCE)
-    earlier = earlier.join(fresh.select("edition_id", "url").distinct(), ["edition_id", "url"], "left_anti")
-    rows = earlier.withColumn("__side", F.lit(0))
+    narrow = candidates.withColumn("__chars", F.length("description")).drop("edition_id", *TEXTS)
+    earlier = rolling_context(narrow).join(fresh.select("edition_id", "url").distinct(), ["edition_id", "url"], "left_anti")
+    rows = earlier.select("__chars", F.lit(0).alias("__side"), *[c for c in EVIDENCE if c not in TEXTS])
     if archive is not None:
-        rows = rows.unionByName(archive.select(*EVIDENCE).withColumn("__side", F.lit(1)))
+        rows = rows.unionByName(archive.select(F.length("description").alias("__chars"), F.lit(1).alias("__side"), *[c for c in EVIDENCE if c not in TEXTS]))
     # the first row seen of a URL gives its place, the one with the longer text gives its content
-    narrow = rows.select("edition_id", "url", "__side", "ord", F.length("description").alias("__chars"))
-    best = first_per_key(narrow, ["edition_id", "url"], (F.desc("__chars"), F.col("__side"), F.col("ord")))
-    order = (F.col("__side"), F.col("ord"))
-    kept = first_per_key(best, ["edition_id"], order, limit).select("edition_id", "url", "__side", "ord")
-    return rows.join(kept, ["edition_id", "url", "__side", "ord"]).drop("__side")
+    best = first_per_key(rows, ["edition_id", "url"], (F.desc("__chars"), F.col("__side"), F.col("ord")))
+    kept = cut_lineage(first_per_key(best, ["edition_id"], (F.col("__side"), F.col("ord")), limit).drop("__chars"))
+    # a candidate is context of up to four editions: its texts join the few rows that were kept, not all of them
+    own = ["url", "ord", "published_at"]
+    found = kept.filter("__side = 0").join(candidates.select(*own, *TEXTS), own).select(*EVIDENCE)
+    if archive is None:
+        return found
+    own = ["edition_id", "url", "ord"]
+    return found.unionByName(kept.filter("__side = 1").join(archive.select(*own, *TEXTS), own).select(*EVIDENCE))
 
 
 def edition_pool(fresh: DataFrame, context: DataFrame, profile: Profile = JAPANESE) -> tuple[DataFrame, DataFrame]:
@@ -73,14 +78,14 @@ def edition_articles(
     being worked out again for each of them.
     """
     context = cut_lineage(context)  # at most 24 rows per edition, read three times below
-    pool = cut_lineage(edition_pool(fresh, context, profile)[1])
+    pool = cut_lineage(edition_pool(fresh, context, profile)[1].select("lead_order", *DRAFTED_FROM))
     own = lead_ordered(pool.filter(F.col("pos") < MAX_CANDIDATES).drop("lead_order"))
     drafts = cut_lineage(build_drafts(own, pool, profile))
     # only the URLs the drafts cite have to be merged
     cited = drafts.select("edition_id", F.explode("candidate_ids").alias("id")).join(pool.select("edition_id", "id", "url"), ["edition_id", "id"])
     cited = cited.select("edition_id", "url").distinct()
     sides = [side.select(*EVIDENCE).join(cited, ["edition_id", "url"], "left_semi") for side in (fresh, context)]
-    evidence = merge_evidence(*sides, ("edition_id", "url"))
+    evidence = cut_lineage(merge_evidence(*sides, ("edition_id", "url")))  # read for sources and for measures
     return art.build_articles(drafts, evidence, generated_at, profile)
 
 
