@@ -2,21 +2,24 @@
 
 Equal vectors are one point that carries its smallest ids (as many as an answer can hold, and one more for a query that is
 itself among them), so copies neither crowd the graph nor lose an answer. Points are dealt at random to shards of a bounded expected
-size. A shard's graph is kept as flat arrays: for each layer one row of neighbours for each of its points. The greatest inner
-product becomes the least distance by one more component that gives all points of a shard the same length. How broadly a graph
-must be searched depends on its vectors (most on how uneven their lengths are), so each shard finds its own breadth when it is
-built: doubled until enough of the exact answers of a fixed number of its points are found. Every block of queries is searched
-in every shard of its dimension, a few blocks and one shard at a time, and the shards' answers are merged by score.
+size, which grows with the table up to that bound, as every shard is asked about every query. A shard's graph is kept as flat
+arrays: for each layer one row of neighbours for each of its points. The greatest inner
+product becomes the least distance by one more component that gives all points of a shard the same length. A point's candidates are
+its exactly nearest points among those before it, by products of whole blocks; links back are added and thinned when a layer is
+complete. Many queries walk a graph side by side, each with its own list of the best points, so a step is a few operations on arrays.
+How broadly a graph must be searched depends on its vectors (most on how uneven their lengths are), so each shard finds its own
+breadth when it is built: raised until enough of the exact answers of a fixed number of its points are found, each of them by a walk
+that passes over the point itself, as most queries that come to a shard are not among its points. Every block of queries is searched in
+every shard of its dimension, some blocks and one shard at a time, and the shards' answers are merged by score.
 
 Vectors that are null, empty, zero or hold a null or non-finite component take no part; neither do rows without an id, nor
 pairs of different dimensions. Ties go to the smaller id. Ids that occur in several rows are ranked once, with their best vector.
-An empty table gives no row. Scores are double-precision inner products of the original vectors.
+An empty table gives no row. Graphs are built and walked in single precision; scores are double-precision inner products of the
+original vectors.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,135 +28,222 @@ from pyspark.sql import functions as F
 from tidewire.llm.base import read
 from tidewire.session import cut_lineage
 
-#: Expected points of a shard, queries of a block, blocks that meet a shard at once, most partitions of a step.
-SHARD, BLOCK, BLOCKS, PARTITIONS = 4096, 256, 4, 20_000
-#: Neighbours of a point on upper layers, breadth of building, least breadth of searching.
-LINKS, BUILD_BREADTH, SEARCH_BREADTH = 16, 64, 96
+#: Least expected points of a shard, most expected numbers of one above that, shards that a table has before they grow, most partitions of a step.
+SHARD, NUMBERS, SPREAD, PARTITIONS = 4096, 1 << 22, 8, 20_000
+#: Queries of a block, most blocks that meet a shard at once, meetings that a search has if its blocks suffice.
+BLOCK, BLOCKS, MEETINGS = 256, 64, 32
+#: Neighbours of a point on upper layers, breadth of building, least breadth of searching, breadth on upper layers.
+LINKS, BUILD_BREADTH, SEARCH_BREADTH, UPPER_BREADTH = 16, 64, 96, 16
 #: Points of a shard whose exact answers set its breadth, and the share of them that must be found.
 PROBES, FOUND = 48, 0.97
+#: Numbers that a table of one step of building or walking may hold, those that fit a core's cache, and the key of no point.
+CELLS, CHUNK, NONE = 1 << 23, 1 << 16, np.iinfo(np.int64).max
 
 
 class Graph:
     """Flat arrays: vectors, and for each layer the points on it and their neighbours (-1 where there is none)."""
 
     def __init__(self, vectors: np.ndarray, links: int = LINKS, breadth: int = BUILD_BREADTH):
-        length = (vectors**2).sum(axis=1)
-        self.points = np.column_stack((vectors, np.sqrt(np.maximum(0.0, length.max(initial=0.0) - length))))
+        self._hold(vectors)
+        length = (self.walked.astype(np.float64) ** 2).sum(axis=1)
+        reach = length.max(initial=0.0)
+        # the component that makes all lengths equal, less its greatest value, so that short vectors keep their precision
+        last = -length / np.maximum(np.sqrt(reach - length) + np.sqrt(reach), 1e-30)
+        points = np.column_stack((self.walked, last.astype(np.float32)))
         self.links, self.breadth = links, breadth
         n = len(vectors)
         draws = np.random.default_rng(n).random(n)
-        self.level = np.minimum(12, np.floor(-np.log(np.maximum(draws, 1e-12)) / np.log(links))).astype(np.int64)
-        top = int(self.level.max(initial=0))
-        self.layers = [np.full((n, links * (2 if layer == 0 else 1)), -1, dtype=np.int32) for layer in range(top + 1)]
-        self.entry = -1
-        for point in range(n):
-            self._insert(point)
-
-    def far(self, query: np.ndarray, at) -> np.ndarray:
-        gap = self.points[at] - query
-        return np.einsum("ij,ij->i", gap, gap)
-
-    def _search(self, query: np.ndarray, start: list[int], breadth: int, layer: int) -> list[tuple[float, int]]:
-        """The nearest points found from the start points, nearest first."""
-        seen = np.zeros(len(self.points), dtype=bool)
-        seen[start] = True
-        begin = list(zip(self.far(query, start).tolist(), start))
-        open_points = sorted(begin)
-        best = [(-d, p) for d, p in begin]
-        heapq.heapify(best)
-        table = self.layers[layer]
-        while open_points:
-            distance, point = heapq.heappop(open_points)
-            if len(best) >= breadth and distance > -best[0][0]:
-                break
-            near = table[point]
-            near = near[near >= 0]
-            near = near[~seen[near]]
-            if not len(near):
-                continue
-            seen[near] = True
-            found = self.far(query, near)
-            if len(best) >= breadth:
-                keep = found < -best[0][0]
-                near, found = near[keep], found[keep]
-            for d, p in zip(found.tolist(), near.tolist()):
-                if len(best) < breadth:
-                    heapq.heappush(best, (-d, p))
-                elif d < -best[0][0]:
-                    heapq.heapreplace(best, (-d, p))
-                else:
-                    continue
-                heapq.heappush(open_points, (d, p))
-        return sorted((-d, p) for d, p in best)
-
-    def _diverse(self, candidates: np.ndarray, distance: np.ndarray, most: int) -> np.ndarray:
-        """Candidates nearer to the point than to any chosen before, filled up with the nearest others."""
-        order = np.argsort(distance, kind="stable")
-        candidates, distance = candidates[order], distance[order]
-        own = self.points[candidates]
-        size = (own**2).sum(axis=1)
-        between = size[:, None] + size - 2 * own @ own.T
-        closest = np.full(len(candidates), np.inf)
-        chosen, passed = [], []
-        for i in range(len(candidates)):
-            if len(chosen) == most:
-                break
-            if distance[i] < closest[i]:
-                chosen.append(i)
-                np.minimum(closest, between[i], out=closest)
-            else:
-                passed.append(i)
-        return candidates[chosen + passed[: most - len(chosen)]]
-
-    def _insert(self, point: int) -> None:
-        query, level = self.points[point], int(self.level[point])
-        if self.entry < 0:
-            self.entry = point
-            return
-        top = int(self.level[self.entry])
-        start = [self.entry]
-        for layer in range(top, level, -1):
-            start = [self._search(query, start, 1, layer)[0][1]]
-        for layer in range(min(level, top), -1, -1):
-            found = self._search(query, start, self.breadth, layer)
-            start = [p for _, p in found]
-            table = self.layers[layer]
-            near = self._diverse(np.array(start), np.array([d for d, _ in found]), self.links)
-            table[point, : len(near)] = near
-            for other in near.tolist():
-                row = table[other]
-                free = np.flatnonzero(row < 0)
-                if len(free):
-                    row[free[0]] = point
-                else:
-                    all_of = np.append(row, point)
-                    kept = self._diverse(all_of, self.far(self.points[other], all_of), len(row))
-                    table[other] = -1
-                    table[other, : len(kept)] = kept
-        if level > top:
-            self.entry = point
+        level = np.minimum(12, np.floor(-np.log(np.maximum(draws, 1e-12)) / np.log(links))).astype(np.int64)
+        top = int(level.max(initial=0))
+        self.entry = int(level.argmax()) if n else -1
+        self.layers = [self._layer(points, np.flatnonzero(level >= layer), links * (2 if layer == 0 else 1)) for layer in range(top + 1)]
+
+    def _hold(self, vectors: np.ndarray) -> None:
+        """The vectors as given, and in single precision on a scale on which no square overflows."""
+        self.vectors = vectors
+        self.walked = (vectors / max(float(np.abs(vectors).max(initial=0.0)), np.finfo(np.float64).tiny)).astype(np.float32)
+
+    def _layer(self, points: np.ndarray, members: np.ndarray, most: int) -> np.ndarray:
+        """Each member's links to members before it, and the links back, at most that many for each."""
+        own = points[members]
+        size, n = (own**2).sum(axis=1), len(members)
+        links = np.full((n, self.links), -1, dtype=np.int64)
+        gaps = np.full((n, self.links), np.inf, dtype=np.float32)
+        low = 0
+        while low < n:
+            high = min(n, low + max(1, min(512, CELLS // (low + 512), CELLS // (self.breadth * own.shape[1]))))
+            distance = own[low:high] @ own[:high].T
+            distance *= -2
+            distance += size[:high]
+            distance[:, low:high][np.triu_indices(high - low)] = np.inf
+            near = _least(distance, min(self.breadth, high))
+            gap = np.take_along_axis(distance, near, axis=1) + size[low:high, None]
+            links[low:high], gaps[low:high] = self._diverse(own, size, near, gap, self.links)
+            low = high
+        table = self._both_ways(own, size, links, gaps, most)
+        out = np.full((len(points), most), -1, dtype=np.int32)
+        out[members] = np.where(table >= 0, members[table], -1)
+        return out
+
+    @staticmethod
+    def _diverse(own: np.ndarray, size: np.ndarray, near: np.ndarray, gap: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each row, candidates nearer to its point than to any chosen before, filled up with the nearest others."""
+        order = np.argsort(gap, axis=1, kind="stable")
+        near, gap = np.take_along_axis(near, order, axis=1), np.take_along_axis(gap, order, axis=1)
+        there, vectors, sizes = np.isfinite(gap), own.take(near, axis=0), size.take(near)
+        between = vectors @ vectors.transpose(0, 2, 1)
+        between *= -2
+        between += sizes[:, :, None]
+        between += sizes[:, None, :]
+        closest = np.full(gap.shape, np.inf, dtype=np.float32)
+        chosen, count = np.zeros(gap.shape, dtype=bool), np.zeros(len(gap), dtype=np.int64)
+        for i in range(gap.shape[1]):
+            new = np.flatnonzero((gap[:, i] < closest[:, i]) & there[:, i] & (count < most))
+            chosen[new, i] = True
+            count[new] += 1
+            closest[new] = np.minimum(closest[new], between[new, i])
+        first = np.argsort(np.where(chosen, 0, np.where(there, 1, 2)), axis=1, kind="stable")[:, :most]
+        near, gap = np.take_along_axis(near, first, axis=1), np.take_along_axis(gap, first, axis=1)
+        missing = ((0, 0), (0, most - near.shape[1]))
+        return np.pad(np.where(np.isfinite(gap), near, -1), missing, constant_values=-1), np.pad(gap, missing, constant_values=np.inf)
+
+    def _both_ways(self, own: np.ndarray, size: np.ndarray, links: np.ndarray, gaps: np.ndarray, most: int) -> np.ndarray:
+        """The links and those back; where they are too many, diverse ones of the nearest four times as many."""
+        n = len(links)
+        point, other = np.nonzero(links >= 0)[0], links[links >= 0]
+        start, end, gap = np.concatenate((point, other)), np.concatenate((other, point)), np.tile(gaps[links >= 0], 2)
+        order = np.lexsort((gap, start))
+        start, end, gap = start[order], end[order], gap[order]
+        count = np.bincount(start, minlength=n)
+        rank = np.arange(len(start)) - (np.cumsum(count) - count)[start]
+        start, end, gap, rank = (x[rank < 4 * most] for x in (start, end, gap, rank))
+        table = np.full((n, 4 * most), -1, dtype=np.int32)
+        far = np.full((n, 4 * most), np.inf, dtype=np.float32)
+        table[start, rank], far[start, rank] = end, gap
+        out = table[:, :most].copy()
+        many = np.flatnonzero(count > most)
+        many = many[np.argsort(count[many], kind="stable")]
+        step = max(1, min(256, CELLS // (4 * most * own.shape[1])))
+        for low in range(0, len(many), step):
+            at = many[low : low + step]
+            wide = min(4 * most, int(count[at[-1]]))
+            out[at] = self._diverse(own, size, np.maximum(table[at, :wide], 0), far[at, :wide], most)[0]
+        return out
+
+    def _keys(self, queries: np.ndarray, rows: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """A number for each pair of query and point: the greatest inner product first, then the point; the last bit is free."""
+        product = np.empty(len(points), dtype=np.float32)
+        step = max(1, CHUNK // queries.shape[1])
+        for low in range(0, len(points), step):  # a few pairs at a time, whose vectors stay in the cache
+            at = slice(low, low + step)
+            np.einsum("ij,ij->i", self.walked.take(points[at], axis=0), queries.take(rows[at], axis=0), out=product[at])
+        bits = np.negative(product, out=product).view(np.int32)
+        return ((bits ^ ((bits >> 31) & 0x7FFFFFFF)).astype(np.int64) << 32) | (points.astype(np.int64) << 1)
+
+    def _search(self, queries: np.ndarray, start: np.ndarray, breadth: int, layer: int, without: np.ndarray | None = None) -> np.ndarray:
+        """The nearest points found from each query's start points, nearest first, -1 where there is none; no walk meets its point in without."""
+        table, n = self.layers[layer], len(self.walked)
+        together = _together(breadth)
+        seen = np.zeros(len(queries) * n, dtype=np.uint16)
+        best = np.full((len(queries), breadth), NONE, dtype=np.int64)
+        out = np.full((len(queries), breadth), -1, dtype=np.int64)
+        walking = np.arange(len(queries))
+        rows, columns = np.nonzero(start >= 0)
+        points = start[rows, columns]
+        seen[rows * n + points] = 1
+        if without is not None:
+            seen[np.arange(len(queries)) * n + without] = 1
+        best = _joined(best, rows, self._keys(queries, rows, points))
+        while len(walking):
+            left = (best & 1) == 0
+            at = np.flatnonzero(left & (np.cumsum(left, axis=1, dtype=np.int32) <= together))
+            rows, points = at // breadth, (best.take(at) >> 1) & 0x7FFFFFFF
+            best.reshape(-1)[at] |= 1
+            near = table.take(points, axis=0).ravel()
+            at = np.flatnonzero(near >= 0)
+            which, near = at // table.shape[1], near.take(at)
+            places = (walking.take(rows) * n).take(which) + near
+            new = np.flatnonzero(seen.take(places) == 0)
+            which, near, places = which.take(new), near.take(new), places.take(new)
+            # of a point met from several others in this step one stays, as the mark that is written last
+            marks = (np.arange(1, 1 + len(rows)) - np.searchsorted(rows, rows)).astype(np.uint16).take(which)
+            seen[places] = marks
+            once = np.flatnonzero(seen.take(places) == marks)
+            rows, near = rows.take(which.take(once)), near.take(once)
+            keys = self._keys(queries, walking.take(rows), near)
+            good = np.flatnonzero(keys < best[:, -1].take(rows))
+            best = _joined(best, rows.take(good), keys.take(good))
+            left = ((best & 1) == 0).any(axis=1)
+            if not left.all():
+                done = best[~left]
+                out[walking[~left]] = np.where(done == NONE, -1, (done >> 1) & 0x7FFFFFFF)
+                best, walking = best[left], walking[left]
+        return out
+
+    def nearest_each(self, vectors: np.ndarray, breadth: int, without: np.ndarray | None = None) -> np.ndarray:
+        """For each vector a row of points near it, the greatest inner product first as far as found, -1 where there is none."""
+        breadth = min(breadth, len(self.vectors))
+        scale = np.maximum(np.abs(vectors).max(axis=1, initial=0.0), np.finfo(np.float64).tiny)
+        queries = (vectors / scale[:, None]).astype(np.float32)
+        links, (n, dimension) = self.layers[0].shape[1], self.walked.shape
+        # queries side by side, so that their marks, their lists and the vectors of the links they follow stay small
+        side = max(1, min(2 * CELLS // n, CELLS // (4 * breadth), CELLS // (2 * links * _together(breadth) * dimension)))
+        out = np.empty((len(queries), breadth), dtype=np.int64)
+        for low in range(0, len(queries), side):
+            some, passed = queries[low : low + side], None if without is None else without[low : low + side]
+            start = np.full((len(some), 1), self.entry)
+            for layer in range(len(self.layers) - 1, 0, -1):
+                start = self._search(some, start, UPPER_BREADTH, layer, passed)
+            out[low : low + side] = self._search(some, start, breadth, 0, passed)
+        return out
 
     def nearest(self, vector: np.ndarray, breadth: int) -> np.ndarray:
         """Points near the vector, the greatest inner product first as far as found."""
-        query = np.append(vector, 0.0)
-        start = [self.entry]
-        for layer in range(len(self.layers) - 1, 0, -1):
-            start = [self._search(query, start, 1, layer)[0][1]]
-        return np.array([p for _, p in self._search(query, start, breadth, 0)])
+        found = self.nearest_each(np.asarray(vector)[None], breadth)[0]
+        return found[found >= 0]
+
+
+def _together(breadth: int) -> int:
+    """Points of a query's list that are left in one step."""
+    return max(4, breadth // 12)
+
+
+def _least(table: np.ndarray, k: int) -> np.ndarray:
+    """The columns of each row's k least values."""
+    if k == table.shape[1]:
+        return np.broadcast_to(np.arange(k), table.shape)
+    rows, columns = np.divmod(np.flatnonzero(table <= np.partition(table, k - 1, axis=1)[:, k - 1 : k]), table.shape[1])
+    if len(rows) > k * len(table):  # ties
+        columns = columns[np.arange(len(rows)) - np.searchsorted(rows, rows) < k]
+    return columns.reshape(-1, k)
+
+
+def _joined(best: np.ndarray, rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The least numbers of each row and of the given ones (ordered by row), in order."""
+    if not len(rows):
+        return best
+    count = np.bincount(rows, minlength=len(best))
+    more = np.full((len(best), int(count.max())), NONE, dtype=np.int64)
+    more[rows, np.arange(len(rows)) - (np.cumsum(count) - count)[rows]] = keys
+    return np.ascontiguousarray(np.sort(np.concatenate((best, more), axis=1), axis=1)[:, : best.shape[1]])
 
 
 def needed_breadth(graph: Graph, k: int, breadth: int = SEARCH_BREADTH, probes: int = PROBES, share: float = FOUND) -> int:
-    """The least of breadth, twice it and so on that finds that share of the k nearest of evenly spaced points."""
-    vectors = graph.points[:, :-1]
-    n = len(vectors)
-    asked = vectors[np.linspace(0, n - 1, min(n, probes)).astype(np.int64)]
-    scores = asked @ vectors.T
-    least = -np.partition(-scores, min(k, n) - 1, axis=1)[:, min(k, n) - 1]
+    """The least of breadth, half as much again and so on that finds that share of the k nearest others of evenly spaced points."""
+    n = len(graph.vectors)
+    if breadth >= n:
+        return breadth
+    k, own = min(k, n - 1), np.linspace(0, n - 1, min(n, probes)).astype(np.int64)
+    asked = graph.vectors[own]
+    scores = asked @ graph.vectors.T
+    scores[np.arange(len(own)), own] = -np.inf
+    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
     while breadth < n:
-        found = [(own[graph.nearest(q, breadth)] >= low).sum() for q, own, low in zip(asked, scores, least)]
-        if np.minimum(found, k).sum() >= share * min(k, n) * len(asked):
+        near = graph.nearest_each(asked, breadth, own)
+        found = ((np.take_along_axis(scores, np.maximum(near, 0), axis=1) >= least[:, None]) & (near >= 0)).sum(axis=1)
+        if np.minimum(found, k).sum() >= share * k * len(asked):
             break
-        breadth *= 2
+        breadth += breadth // 2
     return breadth
 
 
@@ -161,17 +251,21 @@ def graph_row(dimension: int, shard: int, vectors: np.ndarray, ids: list, k: int
     graph = Graph(vectors)
     flat = [np.ascontiguousarray(x).tobytes() for x in graph.layers]
     breadth = needed_breadth(graph, k + 1)
-    return {"dim": dimension, "shard": shard, "entry": graph.entry, "breadth": breadth, "vectors": vectors.tobytes(), "ids": ids, "layers": flat}
+    single = vectors.astype(np.float32)
+    kept = single if (single == vectors).all() else vectors  # half the bytes where that loses nothing
+    ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
+    row = {"dim": dimension, "shard": shard, "entry": graph.entry, "breadth": breadth, "vectors": kept.tobytes(), "layers": flat}
+    return row | {"ids": np.concatenate(ids).astype(np.int64).tobytes(), "ends": ends.tobytes()}
 
 
 def restored(row) -> Graph:
     """A graph from its stored arrays."""
     graph = Graph.__new__(Graph)
-    vectors = np.frombuffer(row.vectors, dtype=np.float64).reshape(-1, row.dim)
-    length = (vectors**2).sum(axis=1)
-    graph.points = np.column_stack((vectors, np.sqrt(np.maximum(0.0, length.max(initial=0.0) - length))))
+    n = len(row.ends) // 8
+    kind = np.float32 if len(row.vectors) == 4 * n * row.dim else np.float64
+    graph._hold(np.frombuffer(row.vectors, dtype=kind).reshape(n, row.dim))
     graph.entry = row.entry
-    graph.layers = [np.frombuffer(x, dtype=np.int32).reshape(len(vectors), -1) for x in row.layers]
+    graph.layers = [np.frombuffer(x, dtype=np.int32).reshape(n, -1) for x in row.layers]
     return graph
 
 
@@ -180,8 +274,8 @@ def built_rows(k: int):
 
     def rows(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("point", ignore_index=True)
-        ids = [list(map(int, x)) for x in group["ids"]]
-        return pd.DataFrame([graph_row(int(key[0]), int(key[1]), np.stack(group["vector"].to_numpy()).astype(np.float64), ids, k)])
+        vectors = np.stack(group["vector"].to_numpy()).astype(np.float64)
+        return pd.DataFrame([graph_row(int(key[0]), int(key[1]), vectors, list(group["ids"]), k)])
 
     return rows
 
@@ -198,37 +292,56 @@ def vectors_of(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(F.col("id").isNotNull() & F.coalesce(usable(F.col("vector")), F.lit(False))).withColumn("vector", F.transform("vector", lambda x: x + 0.0))
 
 
-def build_index(table: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD) -> DataFrame:
-    """One row for each shard: dim, shard, entry, breadth, vectors, ids of each point, layers."""
+def build_index(
+    table: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD, numbers: int = NUMBERS
+) -> DataFrame:
+    """One row for each shard: dim, shard, entry, breadth, vectors, ids of all points and where each point's end, layers."""
     rows = vectors_of(table, id_col, vector_col).withColumn("point", F.xxhash64("vector"))
     few = Window.partitionBy("point", "vector").orderBy("id")
     points = rows.dropDuplicates(["id", "point"]).withColumn("n", F.row_number().over(few)).filter(F.col("n") <= k + 1)
     points = points.groupBy("point", "vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     points = cut_lineage(points.withColumn("dim", F.size("vector")))
-    shards = max(1, -(-points.count() // shard))
+    n, widest = points.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).first()
+    shards = max(1, -(-n // max(shard, min(numbers // widest, n // SPREAD))))
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("point", F.lit(1)), F.lit(shards)).cast("int"))
-    # dealt by number, so that small shards are not put together in a few tasks
-    return dealt.repartition(min(2 * shards, PARTITIONS), "dim", "shard").groupBy("dim", "shard").applyInPandas(
-        built_rows(k), "dim int, shard int, entry int, breadth int, vectors binary, ids array<array<long>>, layers array<binary>"
+    # dealt by number, to far more partitions than shards, so that few shards share a task
+    return dealt.repartition(min(16 * shards, PARTITIONS), "dim", "shard").groupBy("dim", "shard").applyInPandas(
+        built_rows(k), "dim int, shard int, entry int, breadth int, vectors binary, ids binary, ends binary, layers array<binary>"
     )
 
 
+def answers_in(shard, queries: np.ndarray, vectors: np.ndarray, k: int) -> pd.DataFrame:
+    """The best answers of some queries in one shard."""
+    graph = restored(shard)
+    ids, ends = np.frombuffer(shard.ids, dtype=np.int64), np.frombuffer(shard.ends, dtype=np.int64)
+    out = []
+    for low in range(0, len(queries), BLOCK):
+        asked, some = queries[low : low + BLOCK], vectors[low : low + BLOCK]
+        near = graph.nearest_each(some, shard.breadth)[:, : 2 * k + 2]
+        row, column = np.nonzero(near >= 0)
+        point = near[row, column]
+        score = (graph.vectors.take(point, axis=0).astype(np.float64) * some.take(row, axis=0)).sum(axis=1)
+        count = np.diff(ends, prepend=0)[point]
+        place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(ends[point] - count, count)
+        row, score, found = np.repeat(row, count), np.repeat(score, count), ids[place]
+        other = found != asked[row]
+        row, score, found = row[other], score[other], found[other]
+        order = np.lexsort((found, -score, row))
+        row, score, found = row[order], score[order], found[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row) < k
+        out.append(pd.DataFrame({"query_id": asked[row[first]], "vec_id": found[first], "score": score[first]}))
+    return pd.concat(out, ignore_index=True)
+
+
 def searched_rows(k: int):
     """Best answers of some blocks of queries in one shard."""
 
     def rows(blocks: pd.DataFrame, shards: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for shard in shards.itertuples():
-            graph = restored(shard)
-            vectors = graph.points[:, :-1]
-            for block in blocks.itertuples():
-                for query, vector in zip(block.query_ids, block.query_vectors):
-                    vector = np.asarray(vector, dtype=np.float64)
-                    found = graph.nearest(vector, shard.breadth)
-                    scores = (vectors[found] * vector).sum(axis=1)
-                    answers = sorted((-s, i) for s, p in zip(scores.tolist(), found[: 2 * k + 2].tolist()) for i in shard.ids[p] if i != query)[:k]
-                    out += [(query, i, -s) for s, i in answers]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        if not (len(blocks) and len(shards)):
+            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        queries = np.concatenate(list(blocks["query_ids"])).astype(np.int64)
+        vectors = np.concatenate([np.stack(x) for x in blocks["query_vectors"]]).astype(np.float64)
+        return pd.concat([answers_in(shard, queries, vectors, k) for shard in shards.itertuples()], ignore_index=True)
 
     return rows
 
@@ -239,7 +352,7 @@ def search(index: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, tog
     asked = cut_lineage(queries.withColumn("dim", F.size("vector")).withColumn("row", F.monotonically_increasing_id()))
     shards = 1 + index.agg(F.coalesce(F.max("shard"), F.lit(-1))).first()[0]
     blocks = max(1, -(-asked.count() // block))
-    salts = -(-blocks // together)
+    salts = max(-(-blocks // together), min(blocks, -(-MEETINGS // max(1, shards))))
     every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))) if shards else F.explode(F.array().cast("array<int>"))
     grouped = (
         asked.groupBy("dim", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"))
@@ -247,10 +360,10 @@ def search(index: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, tog
         .select("dim", F.pmod("block", F.lit(salts)).cast("int").alias("salt"), F.col("q.id").alias("query_ids"), F.col("q.vector").alias("query_vectors"))
         .withColumn("shard", every_shard)
     )
-    # a shard is copied for each few blocks of queries; a task holds one copy and those blocks
+    # a shard is copied for some blocks of queries; a task holds one copy and those blocks
     copies = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keys = ("dim", "shard", "salt")
-    parts = min(2 * max(1, shards) * salts, PARTITIONS)
+    parts = min(8 * max(1, shards) * salts, PARTITIONS)
     found = (
         grouped.repartition(parts, *keys).groupBy(*keys).cogroup(copies.repartition(parts, *keys).groupBy(*keys))
         .applyInPandas(searched_rows(k), "query_id long, vec_id long, score double")
