@@ -14,7 +14,7 @@ def test_shards_grow_with_the_table(spark):
     queries = ann.vectors_of(table, "vec_id", "embedding").filter(F.col("id") % 40 == 0)
     index = ann.build_index(table, 5, shard=20)
     assert index.count() == ann.SPREAD  # not 80 graphs, each of which every query would have to walk
-    assert ann.build_index(table, 5, shard=20, numbers=100 * 6).count() == 16  # a graph stays bounded
+    assert ann.build_index(table, 5, shard=20, numbers=100 * 64).count() == 16  # a graph stays bounded
     out = ann.search(index, queries, 5, block=8).toPandas().sort_values(["query_id", "rank"])
     assert len(out) == 5 * 40
     hit = 0

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from tidewire.llm.base import read
 from tidewire.session import cut_lineage
 
-#: Least expected points of a shard, most expected numbers of one above that, shards that a table has before they grow, most partitions of a step.
+#: Least expected points of a shard, most expected numbers of one above that (shorter vectors than of 64 count as such),
+#: shards that a table has before they grow, most partitions of a step.
 SHARD, NUMBERS, SPREAD, PARTITIONS = 4096, 1 << 22, 8, 20_000
 #: Queries of a block, most blocks that meet a shard at once, meetings that a search has if its blocks suffice.
 BLOCK, BLOCKS, MEETINGS = 256, 64, 32
@@ -140,8 +141,11 @@ class Graph:
         bits = np.negative(product, out=product).view(np.int32)
         return ((bits ^ ((bits >> 31) & 0x7FFFFFFF)).astype(np.int64) << 32) | (points.astype(np.int64) << 1)
 
-    def _search(self, queries: np.ndarray, start: np.ndarray, breadth: int, layer: int, without: np.ndarray | None = None) -> np.ndarray:
-        """The nearest points found from each query's start points, nearest first, -1 where there is none; no walk meets its point in without."""
+    def _search(self, queries: np.ndarray, start: np.ndarray, breadth: int, layer: int, without: np.ndarray | None) -> np.ndarray:
+        """The nearest points found from each query's start points, nearest first, -1 where there is none.
+
+        A walk passes over the query's point in without; as a start point alone it is met.
+        """
         table, n = self.layers[layer], len(self.walked)
         together = _together(breadth)
         seen = np.zeros(len(queries) * n, dtype=np.uint16)
@@ -302,7 +306,7 @@ def build_index(
     points = points.groupBy("point", "vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     points = cut_lineage(points.withColumn("dim", F.size("vector")))
     n, widest = points.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).first()
-    shards = max(1, -(-n // max(shard, min(numbers // widest, n // SPREAD))))
+    shards = max(1, -(-n // max(shard, min(numbers // max(64, widest), n // SPREAD))))
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("point", F.lit(1)), F.lit(shards)).cast("int"))
     # dealt by number, to far more partitions than shards, so that few shards share a task
     return dealt.repartition(min(16 * shards, PARTITIONS), "dim", "shard").groupBy("dim", "shard").applyInPandas(
@@ -351,7 +355,9 @@ def search(index: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, tog
     index = cut_lineage(index)
     asked = cut_lineage(queries.withColumn("dim", F.size("vector")).withColumn("row", F.monotonically_increasing_id()))
     shards = 1 + index.agg(F.coalesce(F.max("shard"), F.lit(-1))).first()[0]
-    blocks = max(1, -(-asked.count() // block))
+    n, widest = asked.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).first()
+    blocks = max(1, -(-n // block))
+    together = max(1, min(together, NUMBERS // (block * widest)))
     salts = max(-(-blocks // together), min(blocks, -(-MEETINGS // max(1, shards))))
     every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))) if shards else F.explode(F.array().cast("array<int>"))
     grouped = (
