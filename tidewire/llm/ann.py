@@ -30,7 +30,7 @@ from tidewire.session import cut_lineage
 
 #: Least expected points of a shard, most expected numbers of one above that (shorter vectors than of 64 count as such),
 #: shards that a table has before they grow, most partitions of a step.
-SHARD, NUMBERS, SPREAD, PARTITIONS = 4096, 1 << 22, 8, 20_000
+SHARD, NUMBERS, SPREAD, PARTITIONS = 4096, 1 << 21, 8, 20_000
 #: Queries of a block, most blocks that meet a shard at once, meetings that a search has if its blocks suffice.
 BLOCK, BLOCKS, MEETINGS = 256, 64, 32
 #: Neighbours of a point on upper layers, breadth of building, least breadth of searching, breadth on upper layers.
@@ -38,7 +38,7 @@ LINKS, BUILD_BREADTH, SEARCH_BREADTH, UPPER_BREADTH = 16, 64, 96, 16
 #: Points of a shard whose exact answers set its breadth, and the share of them that must be found.
 PROBES, FOUND = 48, 0.97
 #: Numbers that a table of one step of building or walking may hold, those that fit a core's cache, and the key of no point.
-CELLS, CHUNK, NONE = 1 << 23, 1 << 16, np.iinfo(np.int64).max
+CELLS, CHUNK, NONE = 1 << 22, 1 << 16, np.iinfo(np.int64).max
 
 
 class Graph:
@@ -111,24 +111,24 @@ class Graph:
     def _both_ways(self, own: np.ndarray, size: np.ndarray, links: np.ndarray, gaps: np.ndarray, most: int) -> np.ndarray:
         """The links and those back; where they are too many, diverse ones of the nearest four times as many."""
         n = len(links)
-        point, other = np.nonzero(links >= 0)[0], links[links >= 0]
+        point, other = np.nonzero(links >= 0)[0].astype(np.int32), links[links >= 0].astype(np.int32)
         start, end, gap = np.concatenate((point, other)), np.concatenate((other, point)), np.tile(gaps[links >= 0], 2)
         order = np.lexsort((gap, start))
         start, end, gap = start[order], end[order], gap[order]
         count = np.bincount(start, minlength=n)
-        rank = np.arange(len(start)) - (np.cumsum(count) - count)[start]
-        start, end, gap, rank = (x[rank < 4 * most] for x in (start, end, gap, rank))
-        table = np.full((n, 4 * most), -1, dtype=np.int32)
-        far = np.full((n, 4 * most), np.inf, dtype=np.float32)
-        table[start, rank], far[start, rank] = end, gap
-        out = table[:, :most].copy()
+        first = np.cumsum(count) - count
+        rank = np.arange(len(start)) - first[start]
+        out = np.full((n, most), -1, dtype=np.int32)
+        kept = rank < most
+        out[start[kept], rank[kept]] = end[kept]
         many = np.flatnonzero(count > most)
         many = many[np.argsort(count[many], kind="stable")]
         step = max(1, min(256, CELLS // (4 * most * own.shape[1])))
         for low in range(0, len(many), step):
             at = many[low : low + step]
-            wide = min(4 * most, int(count[at[-1]]))
-            out[at] = self._diverse(own, size, np.maximum(table[at, :wide], 0), far[at, :wide], most)[0]
+            place = np.arange(min(4 * most, int(count[at[-1]])))
+            there, place = place < count[at, None], np.minimum(first[at, None] + place, len(end) - 1)
+            out[at] = self._diverse(own, size, end[place], np.where(there, gap[place], np.float32(np.inf)), most)[0]
         return out
 
     def _keys(self, queries: np.ndarray, rows: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -189,9 +189,9 @@ class Graph:
         breadth = min(breadth, len(self.vectors))
         scale = np.maximum(np.abs(vectors).max(axis=1, initial=0.0), np.finfo(np.float64).tiny)
         queries = (vectors / scale[:, None]).astype(np.float32)
-        links, (n, dimension) = self.layers[0].shape[1], self.walked.shape
-        # queries side by side, so that their marks, their lists and the vectors of the links they follow stay small
-        side = max(1, min(2 * CELLS // n, CELLS // (4 * breadth), CELLS // (2 * links * _together(breadth) * dimension)))
+        n, links = self.layers[0].shape
+        # queries side by side, so that their marks, their lists and the links they follow stay small
+        side = max(1, min(2 * CELLS // n, CELLS // (4 * breadth), CELLS // (16 * links * _together(breadth))))
         out = np.empty((len(queries), breadth), dtype=np.int64)
         for low in range(0, len(queries), side):
             some, passed = queries[low : low + side], None if without is None else without[low : low + side]
